@@ -150,7 +150,7 @@ def to_dead_letter(
     The id is a digest of run, message and payload, so a replayed task gives
     the same ids.
     """
-    body = F.to_json(F.struct(*payload))
+    body = F.to_json(F.struct(*payload), {"ignoreNullFields": "false"})
     return rejected.select(
         F.sha2(F.concat_ws("|", F.lit(run_id), F.col("error_message"), body), 256).alias("dlq_id"),
         F.lit(run_id).alias("run_id"),

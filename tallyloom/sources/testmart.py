@@ -105,11 +105,11 @@ def leads(t: TestTables) -> DataFrame:
     )
 
 
-def _owned_events(t: TestTables) -> DataFrame:
+def _owned_events(t: TestTables, events: DataFrame | None = None) -> DataFrame:
     owner = t.customer.select(
         F.col("c_custkey").alias("user_id"), "c_nationkey", "c_mktsegment"
     )
-    return t.events.join(owner, "user_id")
+    return (t.events if events is None else events).join(owner, "user_id")
 
 
 def _hours(kind: Column) -> Column:
@@ -134,10 +134,10 @@ def activity_records(t: TestTables) -> DataFrame:
     )
 
 
-def activity(t: TestTables) -> DataFrame:
-    """The loaded activity fact."""
+def activity(t: TestTables, events: DataFrame | None = None) -> DataFrame:
+    """The loaded activity fact; `events` may be a stream or a batch of it."""
     kind = F.col("event_type")
-    return _owned_events(t).select(
+    return _owned_events(t, events).select(
         F.col("event_id").cast("string").alias("activity_id"),
         date_key(F.col("ts")).alias("date_key"),
         (F.col("c_nationkey") + 1).cast("bigint").alias("account_key"),
@@ -153,6 +153,18 @@ def activity(t: TestTables) -> DataFrame:
     )
 
 
+def event_records_of(spark: SparkSession, sf_dir: str):
+    """(stream over the event files of a folder, its mapping to fact rows)."""
+    t = TestTables(spark, sf_dir)
+    stream = (
+        spark.readStream.schema(t.events.schema)
+        .option("pathGlobFilter", "events*.parquet")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(t.sf_dir)
+    )
+    return stream, lambda events: activity(t, events)
+
+
 def daily(t: TestTables) -> DataFrame:
     """Daily account snapshot, not scored."""
     return facts.daily_snapshot(activity(t), accounts(t))
