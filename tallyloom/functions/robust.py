@@ -1,19 +1,19 @@
-"""Exact quantiles, median and MAD at any size.
+"""Exact quartiles, median and MAD at any size.
 
 The built-in exact percentile keeps all distinct values of a group in one task.
-Here the values are first counted (`value, n`), which is a plain partial
-aggregate, and an order statistic is then found in two steps: per-bucket totals
-tell which bucket holds it, and only the values of that bucket are put in
-order.  No step gathers a whole group in one task.
+Here the values are first counted (`value, n`), a plain partial aggregate.  A
+coarse histogram of the counts then tells which narrow value ranges can hold
+the wanted order statistics, and only the values in those ranges are put in
+order.  Both readings of the counts come from one shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# Logarithmic buckets: about 1.5 % wide away from zero, a few thousand at most
-# over the whole range of a metric.
-STEPS = 64
+# Logarithmic buckets: 0.4 % wide away from zero, so their number per group
+# depends on the range of a metric and not on its rows.
+STEPS = 256
 FINEST = 1e-4
 
 
@@ -26,8 +26,8 @@ def value_counts(df: DataFrame, by: list[str], metrics: dict[str, Column]) -> Da
         ]
     )
     return (
-        df.select(*by, F.explode(pairs).alias("pair"))
-        .select(*by, "pair.metric", "pair.value")
+        df.select(*by, F.inline(pairs))
+        .filter(F.col("value").isNotNull())
         .groupBy(*by, "metric", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -39,80 +39,110 @@ def _bucket(value: Column) -> Column:
     return F.floor(F.signum(value) * size).cast("int")
 
 
-def exact_quantiles(
-    counts: DataFrame,
-    by: list[str],
-    probs: dict[str, float],
-    bounded_groups: bool,
-    carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """One row per group: `by`, `rows`, and a column per named probability.
+def robust_stats(counts: DataFrame, by: list[str], bounded_groups: bool) -> DataFrame:
+    """rows, q1, median, q3 and mad per group of `counts` (`by`, value, n).
 
-    `counts` holds `by`, `value`, `n` and the columns of `carry`, which are
-    constant in a group and passed on.  Quantiles interpolate linearly between
-    neighbouring order statistics.  `bounded_groups` says that the number of
-    groups is fixed by the query, which is what allows the broadcast.
+    Quantiles interpolate linearly between neighbouring order statistics.
+    `bounded_groups` says that the number of groups is fixed by the query; the
+    list of ranges is then short whatever the data, and is broadcast.
     """
-    placed = counts.withColumn("bucket", _bucket(F.col("value")))
-
-    # Step 1: one row per group and bucket; keep those that hold a wanted
-    # order statistic.
     group = W.partitionBy(*by)
-    rows = F.sum("w").over(group)
-    wanted = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("q"), (F.lit(p) * (F.col("rows") - 1)).alias("pos"))
-                for i, p in enumerate(probs.values())
-            ]
-        ),
-        lambda s: (F.col("through") - F.col("w") <= F.ceil(s["pos"]))
-        & (F.col("through") > F.floor(s["pos"])),
-    )
-    hits = (
-        placed.groupBy(*by, "bucket")
-        .agg(F.sum("n").alias("w"))
-        .withColumn("through", F.sum("w").over(group.orderBy("bucket")))
-        .withColumn("rows", rows)
-        .withColumn("want", wanted)
-        .filter(F.size("want") > 0)
-        .select(*by, "bucket", "rows", (F.col("through") - F.col("w")).alias("before"), "want")
-    )
-
-    # Step 2: order the values inside those buckets only.
-    inner = W.partitionBy(*by, "bucket").orderBy("value")
-    ranked = (
-        placed.join(F.broadcast(hits) if bounded_groups else hits, [*by, "bucket"])
-        .withColumn("end", F.col("before") + F.sum("n").over(inner))
-        .withColumn("start", F.col("end") - F.col("n"))
-    )
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
-    def at(k: Column) -> Column:
-        return F.max(F.when((F.col("start") <= k) & (k < F.col("end")), F.col("value")))
-
-    columns = []
-    for name, p in probs.items():
-        pos = F.lit(p) * (F.max("rows") - 1)
-        own = F.lit(p) * (F.col("rows") - 1)
-        a, b = at(F.floor(own)), at(F.ceil(own))
-        columns.append((a + (b - a) * (pos - F.floor(pos))).alias(name))
-    return ranked.groupBy(*by).agg(
-        F.max("rows").alias("rows"), *columns, *[F.max(c).alias(c) for c in carry]
-    )
+    def first(p: float) -> Column:
+        return F.floor(F.lit(p) * (F.col("rows") - 1))
 
+    def second(p: float) -> Column:
+        return F.ceil(F.lit(p) * (F.col("rows") - 1))
 
-def robust_stats(counts: DataFrame, by: list[str], bounded_groups: bool) -> DataFrame:
-    """rows, q1, median, q3 and mad per group of `counts` (`by`, value, n).
+    def holds(p: float) -> Column:
+        return (F.col("before") <= second(p)) & (F.col("through") > first(p))
 
-    The MAD is taken from the same counts: the deviation is a function of the
-    value, so the input is not read again.
-    """
-    quartiles = exact_quantiles(
-        counts, by, {"q1": 0.25, "median": 0.5, "q3": 0.75}, bounded_groups
-    ).drop("rows")
-    deviations = counts.join(
-        F.broadcast(quartiles) if bounded_groups else quartiles, by
-    ).withColumn("value", F.abs(F.col("value") - F.col("median")))
-    return exact_quantiles(
-        deviations, by, {"mad": 0.5}, bounded_groups, carry=("q1", "median", "q3")
+    # The histogram: one row per group and bucket.
+    placed = counts.withColumn("bucket", _bucket(F.col("value")))
+    lo, hi, w = F.col("lo"), F.col("hi"), F.col("w")
+    m_lo, m_hi = F.col("m_lo"), F.col("m_hi")
+    histogram = (
+        placed.groupBy(*by, "bucket")
+        .agg(F.sum("n").alias("w"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .withColumns(
+            {"through": F.sum("w").over(group.orderBy("bucket")), "rows": F.sum("w").over(group)}
+        )
+        .withColumn("before", F.col("through") - w)
+        # The median lies in [m_lo, m_hi] ...
+        .withColumns(
+            {
+                "m_lo": F.min(F.when(holds(0.5), lo)).over(group),
+                "m_hi": F.max(F.when(holds(0.5), hi)).over(group),
+            }
+        )
+        # ... so deviations in a bucket lie in [near, far] ...
+        .withColumns(
+            {
+                "near": F.greatest(F.lit(0.0), lo - m_hi, m_lo - hi),
+                "far": F.greatest(hi - m_lo, m_hi - lo),
+            }
+        )
+        .withColumns(
+            {
+                "n_near": F.sum("w").over(group.orderBy("near")),
+                "n_far": F.sum("w").over(group.orderBy("far")),
+            }
+        )
+        # ... and the MAD between the medians of both bounds.
+        .withColumns(
+            {
+                "r_lo": F.min(F.when(F.col("n_near") > first(0.5), F.col("near"))).over(group),
+                "r_hi": F.min(F.when(F.col("n_far") > second(0.5), F.col("far"))).over(group),
+            }
+        )
+        .withColumns(
+            {
+                "in_mad": (F.col("far") >= F.col("r_lo")) & (F.col("near") <= F.col("r_hi")),
+                "mad_before": F.sum(
+                    F.when(F.col("far") < F.col("r_lo"), w).otherwise(F.lit(0))
+                ).over(group),
+            }
+        )
+    )
+    ranges = histogram.filter(
+        F.col("in_mad") | holds(0.25) | holds(0.5) | holds(0.75)
+    ).select(*by, "bucket", "rows", "before", "in_mad", "mad_before")
+
+    # The values inside those ranges, in order.
+    near_values = placed.join(
+        F.broadcast(ranges) if bounded_groups else ranges, [*by, "bucket"]
+    ).repartition(*by)
+    in_bucket = W.partitionBy(*by, "bucket").orderBy("value")
+    ranked = near_values.withColumn("end", F.col("before") + F.sum("n").over(in_bucket))
+
+    def between(k: Column, end: str, n: Column, value: Column) -> Column:
+        return F.max(F.when((F.col(end) - n <= k) & (k < F.col(end)), value))
+
+    def place(p: float) -> Column:
+        return F.lit(p) * (F.col("rows") - 1) - first(p)
+
+    def quantile(p: float) -> Column:
+        a = between(first(p), "end", F.col("n"), F.col("value")).over(group)
+        b = between(second(p), "end", F.col("n"), F.col("value")).over(group)
+        return F.least(a + (b - a) * place(p), b)
+
+    counted = F.when(F.col("in_mad"), F.col("n")).otherwise(F.lit(0))
+    by_deviation = group.orderBy("deviation").rowsBetween(W.unboundedPreceding, 0)
+    deviations = (
+        ranked.withColumns({name: quantile(p) for name, p in probs.items()})
+        .withColumn("deviation", F.abs(F.col("value") - F.col("median")))
+        .withColumn("counted", counted)
+        .withColumn("mad_end", F.col("mad_before") + F.sum("counted").over(by_deviation))
+    )
+    n, deviation = F.col("counted"), F.col("deviation")
+    return (
+        deviations.groupBy(*by)
+        .agg(
+            *[F.max(c).alias(c) for c in ("rows", *probs)],
+            between(first(0.5), "mad_end", n, deviation).alias("a"),
+            between(second(0.5), "mad_end", n, deviation).alias("b"),
+        )
+        .withColumn("mad", F.col("a") + (F.col("b") - F.col("a")) * place(0.5))
+        .drop("a", "b")
     )

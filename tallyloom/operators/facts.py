@@ -143,17 +143,17 @@ def replace_by_key(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataF
 
 
 def to_dead_letter(
-    rejected: DataFrame, payload: list[str], run_id: str, error_type: str, failed_at: Column
+    rejected: DataFrame, payload: list[str], run_id: Column, error_type: str, failed_at: Column
 ) -> DataFrame:
     """Dead-letter rows for rejected records.
 
-    The id is a digest of run, message and payload, so a replayed task gives
+    `payload` names the record's own columns.  The id is a digest of run, message and payload, so a replayed task gives
     the same ids.
     """
     body = F.to_json(F.struct(*payload), {"ignoreNullFields": "false"})
     return rejected.select(
-        F.sha2(F.concat_ws("|", F.lit(run_id), F.col("error_message"), body), 256).alias("dlq_id"),
-        F.lit(run_id).alias("run_id"),
+        F.sha2(F.concat_ws("|", run_id, F.col("error_message"), body), 256).alias("dlq_id"),
+        run_id.alias("run_id"),
         body.alias("record_payload"),
         F.lit(error_type).alias("error_type"),
         "error_message",

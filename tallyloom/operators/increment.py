@@ -33,7 +33,7 @@ def advance(state: DataFrame, accepted: DataFrame, entity: str, time: str, at: C
             at.alias("updated_at"),
             "old",
         )
-        .filter(F.col("last_watermark").isNotNull() & ~F.col("last_watermark").eqNullSafe("old"))
+        .filter(F.col("last_watermark").isNotNull() & ~F.col("last_watermark").eqNullSafe(F.col("old")))
         .drop("old")
     )
 

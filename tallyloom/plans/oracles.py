@@ -86,6 +86,11 @@ METRICS = {
 }
 
 
+def _round4(x: str) -> str:
+    """Half-up rounding of the shortest decimal form of a double, as Spark rounds."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), 4) AS DOUBLE)"
+
+
 def _score_ctes(key: str) -> dict[str, str]:
     """Statistics and scores over the snapshot, pooled or per `key`."""
     by = f"GROUP BY {key}" if key else ""
@@ -104,7 +109,8 @@ def _score_ctes(key: str) -> dict[str, str]:
         for m, (_, bad) in METRICS.items()
     )
     total = " + ".join(f"raw_{m} * {w}::DOUBLE" for m, (w, _) in METRICS.items())
-    zs = ", ".join(f"round(raw_{m}, 4) AS z_{m}" for m in METRICS)
+    zs = ", ".join(f"{_round4(f'raw_{m}')} AS z_{m}" for m in METRICS)
+    score = _round4(f"({total})")
     drop = ", ".join(
         [f"raw_{m}" for m in METRICS]
         + [f"{m}_{s}" for m in METRICS for s in ("med", "mad", "q1", "q3")]
@@ -115,9 +121,9 @@ def _score_ctes(key: str) -> dict[str, str]:
         "raws": f"SELECT ghosted.*, stats.* {'EXCLUDE (' + key + ')' if key else ''}, {raw} "
         f"FROM ghosted {using}",
         "scored": f"""SELECT * EXCLUDE ({drop}), {zs},
-            round(({total}) / 1.0::DOUBLE, 4) AS anomaly_score,
-            CASE WHEN round({total}, 4) <= 2 THEN 'Normal'
-                 WHEN round({total}, 4) <= 3.5 THEN 'Warning' ELSE 'Critical' END AS risk_flag
+            {score} AS anomaly_score,
+            CASE WHEN {score} <= 2 THEN 'Normal' WHEN {score} <= 3.5 THEN 'Warning'
+                 ELSE 'Critical' END AS risk_flag
             FROM raws""",
     }
 
@@ -344,13 +350,14 @@ oracle("tier_limits", """
 # Fact load
 
 oracle("activity_date_key", f"""SELECT raw_time, created_at, type,
-        CAST(strftime(event_time, '%Y%m%d') AS INTEGER) AS date_key,
+        coalesce(CAST(strftime(event_time, '%Y%m%d') AS INTEGER), -1) AS date_key,
         strftime(event_time, {TS}) AS event_time FROM timed""")
 
 oracle("resolve_keys", """
     SELECT activity_id AS id, coalesce(c.account_key, 0) AS account_key,
-        CASE WHEN act.campaign_id <> 'MACHINERY' THEN act.campaign_key END AS campaign_key,
-        CASE WHEN c_acctbal >= 0 THEN lead_key END AS lead_key
+        CASE WHEN act.campaign_id <> 'MACHINERY' THEN act.campaign_key ELSE -1 END
+            AS campaign_key,
+        CASE WHEN c_acctbal >= 0 THEN lead_key ELSE -1 END AS lead_key
     FROM act LEFT JOIN connected c ON agent_id = account_id""")
 
 oracle("activity_projection", f"""
@@ -646,7 +653,7 @@ def _decay(key: str, rate: str, digits: int, source: str) -> str:
 
 
 oracle("reply_decay", _decay("account_key", "reply_rate", 6, "daily"))
-oracle("reply_decay_revenue", _decay("l_suppkey", "revenue", 2, """(
+oracle("reply_decay_revenue", _decay("l_suppkey", "revenue", 4, """(
     SELECT l_suppkey, CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS date_key,
         CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue
     FROM lineitem GROUP BY ALL)"""))
@@ -821,10 +828,10 @@ oracle("dq_history_row", """SELECT 'run-1' AS run_id,
     '2024-02-01 06:00:00.000000' AS check_timestamp, * EXCLUDE (total_checks),
     CASE WHEN composite_dq_score >= 0.85 THEN 'PASS' ELSE 'FAIL' END AS pass_fail,
     0.85::DOUBLE AS threshold_used,
-    (SELECT CAST(json_group_array(json_object('check_name', check_name, 'dimension', dimension,
-        'table', table_name, 'score', round(score, 4), 'total', total_records,
-        'passed', passed_records, 'failed', failed_records, 'details', details)
-        ORDER BY check_name) AS VARCHAR) FROM checks) AS details_json
+    (SELECT CAST(to_json(list({'check_name': check_name, 'dimension': dimension,
+        'table': table_name, 'score': round(score, 4), 'total': total_records,
+        'passed': passed_records, 'failed': failed_records, 'details': details}
+        ORDER BY check_name)) AS VARCHAR) FROM checks) AS details_json
     FROM composed""", CHECKS)
 oracle("dq_grades", """SELECT check_name, CASE WHEN score >= 0.85 THEN 'good'
     WHEN score >= 0.5 THEN 'weak' ELSE 'bad' END AS grade FROM checks""", CHECKS)

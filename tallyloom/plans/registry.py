@@ -250,7 +250,8 @@ def dirty_records(t: tm.TestTables) -> DataFrame:
 @query
 def activity_date_key(t):
     return facts.with_event_time(dirty_records(t)).select(
-        F.col("timestamp").alias("raw_time"), "created_at", "type", "date_key",
+        F.col("timestamp").alias("raw_time"), "created_at", "type",
+        F.coalesce("date_key", F.lit(-1)).alias("date_key"),
         text_time("event_time").alias("event_time"),
     )
 
@@ -267,8 +268,10 @@ def _resolved(t: tm.TestTables, records: DataFrame) -> DataFrame:
 
 @query
 def resolve_keys(t):
+    """Keys that stay NULL are given out as -1."""
     return _resolved(t, tm.activity_records(t)).select(
-        "id", "account_key", "campaign_key", "lead_key"
+        "id", "account_key",
+        *[F.coalesce(c, F.lit(-1).cast("bigint")).alias(c) for c in ("campaign_key", "lead_key")],
     )
 
 
@@ -337,14 +340,8 @@ def _dead_letters(t: tm.TestTables) -> DataFrame:
     records = tm.activity_records(t).withColumn("timestamp", text_time("timestamp"))
     records = records.withColumn("created_at", F.lit(None).cast("string"))
     _, rejected = facts.split_valid(_resolved(t, records), facts.load_rules())
-    early = F.col("event_time") < F.lit(WATERMARK)
-    return facts.to_dead_letter(
-        rejected.filter(early), PAYLOAD, "run-1", "load", F.col("event_time")
-    ).unionByName(
-        facts.to_dead_letter(
-            rejected.filter(~early), PAYLOAD, "run-2", "load", F.col("event_time")
-        )
-    )
+    run = F.when(F.col("event_time") < F.lit(WATERMARK), "run-1").otherwise("run-2")
+    return facts.to_dead_letter(rejected, PAYLOAD, run, "load", F.col("event_time"))
 
 
 def _dlq_out(df: DataFrame) -> DataFrame:
@@ -715,7 +712,7 @@ def reply_decay_revenue(t):
         .alias("revenue")
     )
     return trends.reply_decay(per_day, ["l_suppkey"], rate="revenue").withColumn(
-        "reply_trend_slope", F.round("reply_trend_slope", 2)
+        "reply_trend_slope", F.round("reply_trend_slope", 4)
     )
 
 
