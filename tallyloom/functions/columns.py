@@ -1,4 +1,7 @@
-"""Small column expressions used across the mart."""
+"""SQL expressions used across the mart.
+
+The helpers take and give expression text, for `expr`, `selectExpr` and `agg`.
+"""
 
 from __future__ import annotations
 
@@ -7,64 +10,77 @@ from pyspark.sql import Column, functions as F
 from tallyloom import constants as C
 
 
-def ratio(num: Column, den: Column) -> Column:
+def lit(value) -> str:
+    """A literal; floats are doubles, not decimals."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
+def exprs(columns: dict[str, str]) -> list[Column]:
+    """Aliased columns from {name: expression}."""
+    return [F.expr(text).alias(name) for name, text in columns.items()]
+
+
+def ratio(num: str, den: str) -> str:
     """num / den as double, 0 where the denominator is zero, negative or NULL."""
-    return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
+    return f"CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / ({den}) ELSE 0D END"
 
 
-def rate(num: Column, den: Column) -> Column:
+def rate(num: str, den: str) -> str:
     """`ratio` rounded to four digits, as stored in the mart."""
-    return F.round(ratio(num, den), 4)
+    return f"round({ratio(num, den)}, 4)"
 
 
-def divide(num: Column, den: Column) -> Column:
+def divide(num: str, den: str) -> str:
     """BI division: 0 where the denominator is zero or either side is NULL."""
-    return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
+    return f"coalesce(try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE)), 0D)"
 
 
-def date_key(day: Column) -> Column:
+def date_key(day: str) -> str:
     """YYYYMMDD as int."""
-    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
+    return f"year({day}) * 10000 + month({day}) * 100 + day({day})"
 
 
-def key_to_date(key: Column) -> Column:
+def key_to_date(key: str) -> str:
     """The date of a YYYYMMDD key; NULL where the key is no calendar date."""
-    return F.try_to_date(key.cast("string"), "yyyyMMdd")
+    return f"try_to_date(CAST({key} AS STRING), 'yyyyMMdd')"
+
 
+def count_type(kind: str) -> str:
+    """Number of activities of a type."""
+    return f"count_if(activity_type = {lit(kind)})"
 
-def count_if(cond: Column) -> Column:
-    return F.count(F.when(cond, F.lit(1)))
 
+def total(column: str) -> str:
+    """Sum of an integer column as bigint, 0 for no rows."""
+    return f"coalesce(sum(CAST({column} AS BIGINT)), 0)"
 
-def flag(cond: Column) -> Column:
+
+def flag(cond: str) -> str:
     """1 where the condition holds, 0 where it is false or NULL."""
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0))
+    return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
+
+
+def pick(column: str, mapping: dict, default=None) -> str:
+    """The mapped literal of a column's value."""
+    arms = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"CASE {column} {arms} ELSE {lit(default)} END"
 
 
-def tier_value(tier: Column, position: int) -> Column:
+def tier_value(tier: str, position: int) -> str:
     """One attribute of an age tier (0 risk class, 1 invites, 2 messages).
 
-    Five literal branches, so no lookup join; an unknown or NULL tier gets the
-    top tier's value.
+    Literal branches, so no lookup join; an unknown or NULL tier gets the top
+    tier's value.
     """
-    expr = F.lit(C.TIERS[C.TOP_TIER][position])
-    for name, values in C.TIERS.items():
-        if name != C.TOP_TIER:
-            expr = F.when(tier == name, F.lit(values[position])).otherwise(expr)
-    return expr
-
-
-def above(col: Column, steps: list[tuple[float, float]], default: float) -> Column:
-    """Value of the first (bound, value) step whose bound lies below `col`."""
-    expr = F.lit(default)
-    for bound, value in reversed(steps):
-        expr = F.when(col > F.lit(bound), F.lit(value)).otherwise(expr)
-    return expr
-
-
-def below(col: Column, steps: list[tuple[float, float]], default: float) -> Column:
-    """Value of the first (bound, value) step whose bound lies above `col`."""
-    expr = F.lit(default)
-    for bound, value in reversed(steps):
-        expr = F.when(col < F.lit(bound), F.lit(value)).otherwise(expr)
-    return expr
+    values = {name: attributes[position] for name, attributes in C.TIERS.items()}
+    return pick(tier, values, values[C.TOP_TIER])
+
+
+def steps(column: str, test: str, bounds: list[tuple], default) -> str:
+    """Value of the first (bound, value) for which `column test bound` holds."""
+    arms = " ".join(f"WHEN {column} {test} {lit(b)} THEN {lit(v)}" for b, v in bounds)
+    return f"CASE {arms} ELSE {lit(default)} END"

@@ -9,34 +9,46 @@ order.  Both readings of the counts come from one shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Logarithmic buckets: 0.4 % wide away from zero, so their number per group
 # depends on the range of a metric and not on its rows.
 STEPS = 256
 FINEST = 1e-4
+BUCKET = (
+    f"CAST(floor(signum(value) * ln(1D + abs(value) / {FINEST!r}D) * {STEPS}) AS INT) AS bucket"
+)
 
+PROBS = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
-def value_counts(df: DataFrame, by: list[str], metrics: dict[str, Column]) -> DataFrame:
-    """(by..., metric, value, n) for several metrics from one scan."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("metric"), col.cast("double").alias("value"))
-            for name, col in metrics.items()
-        ]
-    )
+
+def value_counts(df: DataFrame, by: list[str], metrics: dict[str, str]) -> DataFrame:
+    """(by..., metric, value, n) for several metric expressions from one scan."""
+    pairs = ", ".join(f"'{name}', CAST({text} AS DOUBLE)" for name, text in metrics.items())
     return (
-        df.select(*by, F.inline(pairs))
-        .filter(F.col("value").isNotNull())
+        df.selectExpr(*by, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
+        .filter("value IS NOT NULL")
         .groupBy(*by, "metric", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.expr("count(*) AS n"))
     )
 
 
-def _bucket(value: Column) -> Column:
-    """A non-decreasing step function of the value."""
-    size = F.log1p(F.abs(value) / F.lit(FINEST)) * STEPS
-    return F.floor(F.signum(value) * size).cast("int")
+def _first(p: float) -> str:
+    return f"floor({p}D * (rows - 1))"
+
+
+def _second(p: float) -> str:
+    return f"ceil({p}D * (rows - 1))"
+
+
+def _holds(p: float) -> str:
+    """The bucket holds one of the two order statistics of the quantile."""
+    return f"(before <= {_second(p)} AND through > {_first(p)})"
+
+
+def _at(k: str, end: str, n: str, value: str) -> str:
+    """The value whose run of `n` places up to `end` contains place k."""
+    return f"max(CASE WHEN {end} - {n} <= {k} AND {k} < {end} THEN {value} END)"
 
 
 def robust_stats(counts: DataFrame, by: list[str], bounded_groups: bool) -> DataFrame:
@@ -46,103 +58,76 @@ def robust_stats(counts: DataFrame, by: list[str], bounded_groups: bool) -> Data
     `bounded_groups` says that the number of groups is fixed by the query; the
     list of ranges is then short whatever the data, and is broadcast.
     """
-    group = W.partitionBy(*by)
-    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    keys = ", ".join(by)
 
-    def first(p: float) -> Column:
-        return F.floor(F.lit(p) * (F.col("rows") - 1))
+    def over(order: str = "") -> str:
+        return f"OVER (PARTITION BY {keys}{' ORDER BY ' + order if order else ''})"
 
-    def second(p: float) -> Column:
-        return F.ceil(F.lit(p) * (F.col("rows") - 1))
-
-    def holds(p: float) -> Column:
-        return (F.col("before") <= second(p)) & (F.col("through") > first(p))
-
-    # The histogram: one row per group and bucket.
-    placed = counts.withColumn("bucket", _bucket(F.col("value")))
-    lo, hi, w = F.col("lo"), F.col("hi"), F.col("w")
-    m_lo, m_hi = F.col("m_lo"), F.col("m_hi")
+    # The histogram: one row per group and bucket.  The median lies in
+    # [m_lo, m_hi], so the deviations in a bucket lie in [near, far], and the
+    # MAD lies in [r_lo, r_hi], the medians of both bounds.
+    placed = counts.selectExpr("*", BUCKET)
     histogram = (
         placed.groupBy(*by, "bucket")
-        .agg(F.sum("n").alias("w"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .withColumns(
-            {"through": F.sum("w").over(group.orderBy("bucket")), "rows": F.sum("w").over(group)}
+        .agg(*map(F.expr, ("sum(n) AS w", "min(value) AS lo", "max(value) AS hi")))
+        .selectExpr("*", f"sum(w) {over('bucket')} AS through", f"sum(w) {over()} AS rows")
+        .selectExpr("*", "through - w AS before")
+        .selectExpr(
+            "*",
+            f"min(CASE WHEN {_holds(0.5)} THEN lo END) {over()} AS m_lo",
+            f"max(CASE WHEN {_holds(0.5)} THEN hi END) {over()} AS m_hi",
         )
-        .withColumn("before", F.col("through") - w)
-        # The median lies in [m_lo, m_hi] ...
-        .withColumns(
-            {
-                "m_lo": F.min(F.when(holds(0.5), lo)).over(group),
-                "m_hi": F.max(F.when(holds(0.5), hi)).over(group),
-            }
+        .selectExpr(
+            "*",
+            "greatest(0D, lo - m_hi, m_lo - hi) AS near",
+            "greatest(hi - m_lo, m_hi - lo) AS far",
         )
-        # ... so deviations in a bucket lie in [near, far] ...
-        .withColumns(
-            {
-                "near": F.greatest(F.lit(0.0), lo - m_hi, m_lo - hi),
-                "far": F.greatest(hi - m_lo, m_hi - lo),
-            }
+        .selectExpr(
+            "*", f"sum(w) {over('near')} AS n_near", f"sum(w) {over('far')} AS n_far"
         )
-        .withColumns(
-            {
-                "n_near": F.sum("w").over(group.orderBy("near")),
-                "n_far": F.sum("w").over(group.orderBy("far")),
-            }
+        .selectExpr(
+            "*",
+            f"min(CASE WHEN n_near > {_first(0.5)} THEN near END) {over()} AS r_lo",
+            f"min(CASE WHEN n_far > {_second(0.5)} THEN far END) {over()} AS r_hi",
         )
-        # ... and the MAD between the medians of both bounds.
-        .withColumns(
-            {
-                "r_lo": F.min(F.when(F.col("n_near") > first(0.5), F.col("near"))).over(group),
-                "r_hi": F.min(F.when(F.col("n_far") > second(0.5), F.col("far"))).over(group),
-            }
-        )
-        .withColumns(
-            {
-                "in_mad": (F.col("far") >= F.col("r_lo")) & (F.col("near") <= F.col("r_hi")),
-                "mad_before": F.sum(
-                    F.when(F.col("far") < F.col("r_lo"), w).otherwise(F.lit(0))
-                ).over(group),
-            }
+        .selectExpr(
+            *by, "bucket", "rows", "before", "through",
+            "far >= r_lo AND near <= r_hi AS in_mad",
+            f"sum(CASE WHEN far < r_lo THEN w ELSE 0 END) {over()} AS mad_before",
         )
     )
-    ranges = histogram.filter(
-        F.col("in_mad") | holds(0.25) | holds(0.5) | holds(0.75)
-    ).select(*by, "bucket", "rows", "before", "in_mad", "mad_before")
+    ranges = histogram.filter(" OR ".join(["in_mad", *map(_holds, PROBS.values())])).drop("through")
 
     # The values inside those ranges, in order.
-    near_values = placed.join(
-        F.broadcast(ranges) if bounded_groups else ranges, [*by, "bucket"]
-    ).repartition(*by)
-    in_bucket = W.partitionBy(*by, "bucket").orderBy("value")
-    ranked = near_values.withColumn("end", F.col("before") + F.sum("n").over(in_bucket))
-
-    def between(k: Column, end: str, n: Column, value: Column) -> Column:
-        return F.max(F.when((F.col(end) - n <= k) & (k < F.col(end)), value))
-
-    def place(p: float) -> Column:
-        return F.lit(p) * (F.col("rows") - 1) - first(p)
-
-    def quantile(p: float) -> Column:
-        a = between(first(p), "end", F.col("n"), F.col("value")).over(group)
-        b = between(second(p), "end", F.col("n"), F.col("value")).over(group)
-        return F.least(a + (b - a) * place(p), b)
-
-    counted = F.when(F.col("in_mad"), F.col("n")).otherwise(F.lit(0))
-    by_deviation = group.orderBy("deviation").rowsBetween(W.unboundedPreceding, 0)
-    deviations = (
-        ranked.withColumns({name: quantile(p) for name, p in probs.items()})
-        .withColumn("deviation", F.abs(F.col("value") - F.col("median")))
-        .withColumn("counted", counted)
-        .withColumn("mad_end", F.col("mad_before") + F.sum("counted").over(by_deviation))
+    def quantile(p: float) -> str:
+        a = f"{_at(_first(p), 'upto', 'n', 'value')} {over()}"
+        b = f"{_at(_second(p), 'upto', 'n', 'value')} {over()}"
+        return f"least({a} + ({b} - {a}) * ({p}D * (rows - 1) - {_first(p)}), {b})"
+
+    ranked = (
+        placed.join(F.broadcast(ranges) if bounded_groups else ranges, [*by, "bucket"])
+        .repartition(*by)
+        .selectExpr(
+            "*", f"before + sum(n) OVER (PARTITION BY {keys}, bucket ORDER BY value) AS upto"
+        )
+        .selectExpr("*", *[f"{quantile(p)} AS {name}" for name, p in PROBS.items()])
+        .selectExpr(
+            "*", "abs(value - median) AS deviation", "CASE WHEN in_mad THEN n ELSE 0 END AS m"
+        )
+        .selectExpr(
+            "*",
+            f"mad_before + sum(m) OVER (PARTITION BY {keys} ORDER BY deviation "
+            "ROWS UNBOUNDED PRECEDING) AS mad_end",
+        )
     )
-    n, deviation = F.col("counted"), F.col("deviation")
     return (
-        deviations.groupBy(*by)
+        ranked.groupBy(*by)
         .agg(
-            *[F.max(c).alias(c) for c in ("rows", *probs)],
-            between(first(0.5), "mad_end", n, deviation).alias("a"),
-            between(second(0.5), "mad_end", n, deviation).alias("b"),
+            *[F.expr(f"max({c}) AS {c}") for c in ("rows", *PROBS)],
+            F.expr(f"{_at(_first(0.5), 'mad_end', 'm', 'deviation')} AS a"),
+            F.expr(f"{_at(_second(0.5), 'mad_end', 'm', 'deviation')} AS b"),
+        )
+        .selectExpr(
+            *by, "rows", *PROBS, f"a + (b - a) * (0.5D * (rows - 1) - {_first(0.5)}) AS mad"
         )
-        .withColumn("mad", F.col("a") + (F.col("b") - F.col("a")) * place(0.5))
-        .drop("a", "b")
     )

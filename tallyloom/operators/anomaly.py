@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyloom import constants as C
-from tallyloom.functions.columns import count_if, ratio
+from tallyloom.functions.columns import lit, ratio
 from tallyloom.functions.robust import robust_stats, value_counts
 
 
-def _attach_stats(df: DataFrame, metrics: dict[str, Column], by: list[str]) -> DataFrame:
+def _attach_stats(df: DataFrame, metrics: dict[str, str], by: list[str]) -> DataFrame:
     """Add a struct `_stats` with one struct (rows, q1, median, q3, mad) per metric.
 
     Without `by` the statistics are one row and enter as a scalar subquery;
@@ -17,35 +17,36 @@ def _attach_stats(df: DataFrame, metrics: dict[str, Column], by: list[str]) -> D
     """
     counts = value_counts(df, by, metrics)
     stats = robust_stats(counts, [*by, "metric"], bounded_groups=not by)
-    packed = F.struct("rows", "q1", "median", "q3", "mad")
-    wide = F.struct(
-        *[F.max(F.when(F.col("metric") == m, packed)).alias(m) for m in metrics]
-    ).alias("_stats")
+    parts = ", ".join(
+        f"'{m}', max(CASE WHEN metric = '{m}' THEN struct(rows, q1, median, q3, mad) END)"
+        for m in metrics
+    )
+    wide = F.expr(f"named_struct({parts})").alias("_stats")
     if not by:
-        return df.withColumn("_stats", stats.agg(wide).scalar())
+        return df.select("*", stats.agg(wide).scalar().alias("_stats"))
     return df.join(stats.groupBy(*by).agg(wide), by, "left")
 
 
-def _z(value: Column, stat: Column) -> Column:
+def _z(value: str, stat: str) -> str:
     """0 where the MAD is 0, even if values differ."""
-    mad = stat["mad"]
-    return F.when(mad == 0, F.lit(0.0)).otherwise(
-        F.lit(C.Z_FACTOR) * (value - stat["median"]) / mad
+    return (
+        f"CASE WHEN {stat}.mad = 0 THEN 0D "
+        f"ELSE {lit(C.Z_FACTOR)} * ({value} - {stat}.median) / {stat}.mad END"
     )
 
 
-def _outside(value: Column, stat: Column, k: float) -> Column:
-    reach = F.lit(k) * (stat["q3"] - stat["q1"])
-    return (value < stat["q1"] - reach) | (value > stat["q3"] + reach)
+def _outside(value: str, stat: str, k: float) -> str:
+    reach = f"{lit(float(k))} * ({stat}.q3 - {stat}.q1)"
+    return f"({value} < {stat}.q1 - {reach} OR {value} > {stat}.q3 + {reach})"
 
 
 def with_modified_z(
     df: DataFrame, col: str, partition_by: list[str] | None = None, out: str | None = None
 ) -> DataFrame:
     """Add the modified z-score of `col`."""
-    value = F.col(col).cast("double")
+    value = f"CAST({col} AS DOUBLE)"
     scored = _attach_stats(df, {"x": value}, partition_by or [])
-    return scored.withColumn(out or f"z_{col}", _z(value, F.col("_stats.x"))).drop("_stats")
+    return scored.selectExpr("*", f"{_z(value, '_stats.x')} AS {out or 'z_' + col}").drop("_stats")
 
 
 def with_iqr_flag(
@@ -56,29 +57,27 @@ def with_iqr_flag(
     out: str | None = None,
 ) -> DataFrame:
     """Add 1/0: `col` lies strictly outside the fences q1 - k*iqr, q3 + k*iqr."""
-    value = F.col(col).cast("double")
+    value = f"CAST({col} AS DOUBLE)"
     scored = _attach_stats(df, {"x": value}, partition_by or [])
-    hit = _outside(value, F.col("_stats.x"), k).cast("int")
-    return scored.withColumn(out or f"iqr_outlier_{col}", hit).drop("_stats")
+    hit = f"CAST({_outside(value, '_stats.x', k)} AS INT)"
+    return scored.selectExpr("*", f"{hit} AS {out or 'iqr_outlier_' + col}").drop("_stats")
 
 
 def with_ghost_rate(df: DataFrame) -> DataFrame:
     """Add `ghost_rate` = 1 - replies/accepts, 0 without accepts; kept if present."""
     if "ghost_rate" in df.columns:
         return df
-    accepts = F.coalesce(F.col("invites_accepted"), F.lit(0))
-    replies = F.coalesce(F.col("replies_received"), F.lit(0))
-    return df.withColumn(
-        "ghost_rate", F.when(accepts > 0, 1.0 - ratio(replies, accepts)).otherwise(F.lit(0.0))
+    replied = ratio("coalesce(replies_received, 0)", "invites_accepted")
+    return df.selectExpr(
+        "*", f"CASE WHEN invites_accepted > 0 THEN 1D - {replied} ELSE 0D END AS ghost_rate"
     )
 
 
-def risk_flag(score: Column) -> Column:
+def risk_flag(score: str) -> str:
     """Normal up to and including 2.0, Warning up to and including 3.5, else Critical."""
     return (
-        F.when(score <= C.WARNING_ABOVE, "Normal")
-        .when(score <= C.CRITICAL_ABOVE, "Warning")
-        .otherwise("Critical")
+        f"CASE WHEN {score} <= {lit(C.WARNING_ABOVE)} THEN 'Normal' "
+        f"WHEN {score} <= {lit(C.CRITICAL_ABOVE)} THEN 'Warning' ELSE 'Critical' END"
     )
 
 
@@ -96,35 +95,38 @@ def anomaly_scores(
     """
     df = with_ghost_rate(daily.drop("anomaly_score", "risk_flag"))
     present = [m for m in metrics if m[0] in df.columns]
-    values = {m: F.coalesce(F.col(m).cast("double"), F.lit(null_as)) for m, _, _ in present}
-    scored = _attach_stats(df, values, partition_by or [])
-
-    columns: dict[str, Column] = {}
-    total, weights = F.lit(0.0), 0.0
-    for name, weight, bad in present:
-        stat = F.col(f"_stats.{name}")
-        enough = stat["rows"] >= C.MIN_ROWS
-        z = _z(values[name], stat)
-        z = F.greatest(-z if bad == "low" else z, F.lit(0.0))
-        z = F.when(enough, z).otherwise(F.lit(0.0))
-        columns[f"z_{name}"] = F.round(z, 4)
-        columns[f"iqr_outlier_{name}"] = F.when(
-            enough, _outside(values[name], stat, C.FENCE_K).cast("int")
+    if not present:
+        return df.selectExpr("*", "0D AS anomaly_score", "'Normal' AS risk_flag")
+    values = {m: f"coalesce(CAST({m} AS DOUBLE), {lit(float(null_as))})" for m, _, _ in present}
+
+    zs, columns = [], []
+    for name, _, bad in present:
+        stat = f"_stats.{name}"
+        sign = "-" if bad == "low" else ""
+        zs.append(
+            f"CASE WHEN {stat}.rows >= {C.MIN_ROWS} "
+            f"THEN greatest({sign}({_z(values[name], stat)}), 0D) ELSE 0D END AS _z_{name}"
         )
-        total = total + z * F.lit(weight)
-        weights += weight
-    columns["anomaly_score"] = F.round(total / F.lit(weights), 4) if present else F.lit(0.0)
+        columns += [
+            f"round(_z_{name}, 4) AS z_{name}",
+            f"CASE WHEN {stat}.rows >= {C.MIN_ROWS} THEN "
+            f"CAST({_outside(values[name], stat, C.FENCE_K)} AS INT) END AS iqr_outlier_{name}",
+        ]
+    total = " + ".join(f"_z_{name} * {lit(weight)}" for name, weight, _ in present)
+    weights = lit(sum(weight for _, weight, _ in present))
     return (
-        scored.withColumns(columns)
-        .drop("_stats")
-        .withColumn("risk_flag", risk_flag(F.col("anomaly_score")))
+        _attach_stats(df, values, partition_by or [])
+        .selectExpr("*", *zs)
+        .selectExpr("*", *columns, f"round(({total}) / {weights}, 4) AS anomaly_score")
+        .selectExpr("*", f"{risk_flag('anomaly_score')} AS risk_flag")
+        .drop("_stats", *[f"_z_{name}" for name, _, _ in present])
     )
 
 
 def anomaly_summary(scored: DataFrame) -> DataFrame:
     """Rows in total and per raised flag, as one row."""
     return scored.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        count_if(F.col("risk_flag") == "Warning").alias("warnings"),
-        count_if(F.col("risk_flag") == "Critical").alias("criticals"),
+        F.expr("count(*) AS total_records"),
+        F.expr("count_if(risk_flag = 'Warning') AS warnings"),
+        F.expr("count_if(risk_flag = 'Critical') AS criticals"),
     )

@@ -3,7 +3,7 @@ surrogate keys and tier attributes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import constants as C
 from tallyloom.functions.columns import date_key, tier_value
@@ -13,40 +13,35 @@ from tallyloom.operators.facts import absent_from, last_per_key
 # Calendar
 
 
-def _calendar(days: DataFrame) -> DataFrame:
-    d = F.col("full_date")
-    weekday = F.weekday(d)
-    return days.select(
-        date_key(d).alias("date_key"),
+def _calendar(years: DataFrame) -> DataFrame:
+    """All days of the given years."""
+    d = "full_date"
+    return years.selectExpr(
+        "explode(sequence(make_date(year, 1, 1), make_date(year, 12, 31))) AS full_date"
+    ).selectExpr(
+        f"{date_key(d)} AS date_key",
         d,
-        weekday.alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
-        F.dayofmonth(d).alias("day_of_month"),
-        F.weekofyear(d).alias("week_of_year"),
-        F.month(d).alias("month_number"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.quarter(d).alias("quarter"),
-        F.year(d).alias("year"),
-        (weekday >= 5).cast("int").alias("is_weekend"),
+        f"weekday({d}) AS day_of_week",
+        f"date_format({d}, 'EEEE') AS day_name",
+        f"day({d}) AS day_of_month",
+        f"weekofyear({d}) AS week_of_year",
+        f"month({d}) AS month_number",
+        f"date_format({d}, 'MMMM') AS month_name",
+        f"quarter({d}) AS quarter",
+        f"year({d}) AS year",
+        f"CAST(weekday({d}) >= 5 AS INT) AS is_weekend",
     )
 
 
 def dim_date(spark: SparkSession, start_year: int = 2024, end_year: int = 2027) -> DataFrame:
     """One row per day of the given years."""
-    years = spark.range(start_year, end_year + 1).select(F.col("id").cast("int").alias("year"))
-    return _calendar(_days_of(years))
+    return _calendar(spark.range(start_year, end_year + 1).selectExpr("CAST(id AS INT) AS year"))
 
 
 def dim_date_covering(rows: DataFrame, time: str) -> DataFrame:
     """The calendar of all years from the first to the last time in `rows`."""
-    bounds = rows.agg(F.year(F.min(time)).alias("a"), F.year(F.max(time)).alias("b"))
-    return _calendar(_days_of(bounds.select(F.explode(F.sequence("a", "b")).alias("year"))))
-
-
-def _days_of(years: DataFrame) -> DataFrame:
-    first = F.make_date("year", F.lit(1), F.lit(1))
-    last = F.make_date("year", F.lit(12), F.lit(31))
-    return years.select(F.explode(F.sequence(first, last)).alias("full_date"))
+    bounds = rows.agg(F.expr(f"year(min({time})) AS a"), F.expr(f"year(max({time})) AS b"))
+    return _calendar(bounds.selectExpr("explode(sequence(a, b)) AS year"))
 
 
 # Surrogate keys
@@ -62,23 +57,22 @@ def assign_keys(
     more than one bucket; the numbering depends on the data only, and a
     recomputed task gives the same keys.
     """
-    bucket = F.substring(F.md5(F.col(natural_key).cast("string")), 1, 3)
-    placed = new.withColumn("_bucket", bucket)
+    placed = new.selectExpr(
+        "*", f"substring(md5(CAST({natural_key} AS STRING)), 1, 3) AS _bucket"
+    )
     offsets = (
         placed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.sum("_n").over(W.orderBy("_bucket")) - F.col("_n"))
-        .drop("_n")
+        .agg(F.expr("count(*) AS _n"))
+        .selectExpr("_bucket", "sum(_n) OVER (ORDER BY _bucket) - _n AS _offset")
     )
-    row = F.row_number().over(W.partitionBy("_bucket").orderBy(natural_key))
-    key = F.col("_row") + F.col("_offset")
-    if target is not None:
-        key = key + F.coalesce(target.agg(F.max(out)).scalar(), F.lit(0))
+    start = F.lit(0) if target is None else F.coalesce(target.agg(F.max(out)).scalar(), F.lit(0))
     # The broadcast side has at most 4096 rows.
     return (
-        placed.withColumn("_row", row)
+        placed.selectExpr(
+            "*", f"row_number() OVER (PARTITION BY _bucket ORDER BY {natural_key}) AS _row"
+        )
         .join(F.broadcast(offsets), "_bucket")
-        .withColumn(out, key.cast("bigint"))
+        .withColumn(out, (F.col("_row") + F.col("_offset") + start).cast("bigint"))
         .drop("_bucket", "_row", "_offset")
     )
 
@@ -90,68 +84,76 @@ def scd1_merge(
     target: DataFrame,
     updates: DataFrame,
     key: str,
-    order: Column,
+    order: str,
     surrogate: str | None = None,
-    at: Column | None = None,
+    at: str | None = None,
 ) -> DataFrame:
     """Overwrite matched rows, insert new ones; the last record of a key wins.
 
     Every column of `updates` that the target has is overwritten, also by
-    NULL; the others, and the surrogate key, stay.  `at` fills `updated_at`
-    (and `created_at` of new rows) where the target has them.
+    NULL; the others, and the surrogate key, stay.  The expression `at` fills
+    `updated_at` (and `created_at` of new rows) where the target has them.
     """
     supplied = [c for c in updates.columns if c in target.columns and c not in (key, surrogate)]
     latest = last_per_key(updates, [key], order)
 
-    news = latest.select(key, F.struct(*supplied).alias("_new"))
-    hit = F.col("_new").isNotNull()
-    changed = {c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in supplied}
-    if at is not None and "updated_at" in target.columns:
-        changed["updated_at"] = F.when(hit, at).otherwise(F.col("updated_at"))
-    kept = target.join(news, key, "left").withColumns(changed).select(*target.columns)
+    news = latest.selectExpr(key, f"struct({', '.join(supplied)}) AS _new")
+    changed = {c: f"IF(_new IS NULL, {c}, _new.{c})" for c in supplied}
+    audits = [c for c in ("created_at", "updated_at") if at and c in target.columns]
+    if "updated_at" in audits:
+        changed["updated_at"] = f"IF(_new IS NULL, updated_at, {at})"
+    kept = target.join(news, key, "left").selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in target.columns]
+    )
 
     added = absent_from(latest.select(key, *supplied), target, [key])
     if surrogate is not None:
         added = assign_keys(added, key, surrogate, target)
-    if at is not None:
-        for audit in ("created_at", "updated_at"):
-            if audit in target.columns:
-                added = added.withColumn(audit, at)
+    if audits:
+        added = added.selectExpr("*", *[f"{at} AS {c}" for c in audits if c not in supplied])
     return kept.unionByName(added, allowMissingColumns=True)
 
 
 def to_dim_campaign(records: DataFrame) -> DataFrame:
     """Campaign records onto dimension columns."""
-    return records.select(
-        F.col("id").alias("campaign_id"),
-        F.coalesce("name", F.lit("Unknown")).alias("campaign_name"),
+    return records.selectExpr(
+        "id AS campaign_id",
+        "coalesce(name, 'Unknown') AS campaign_name",
         "target_segment",
         "description",
-        F.coalesce("status", F.lit("Active")).alias("status"),
-        F.col("created_at").alias("created_date"),
+        "coalesce(status, 'Active') AS status",
+        "created_at AS created_date",
     )
 
 
 def to_dim_lead(records: DataFrame) -> DataFrame:
     """Lead records onto dimension columns."""
-    return records.select(
-        F.col("id").alias("lead_id"),
-        "profile_url",
-        "full_name",
-        "job_title",
-        "company",
-        "location",
-        "industry",
+    return records.selectExpr(
+        "id AS lead_id", "profile_url", "full_name", "job_title", "company", "location", "industry"
     )
 
 
 def to_dim_template(records: DataFrame) -> DataFrame:
     """Template records onto dimension columns."""
-    return records.select(
-        F.col("id").alias("template_id"),
-        F.col("name").alias("template_name"),
-        F.col("body").alias("template_body"),
-        F.coalesce("type", F.lit("Connection")).alias("template_type"),
+    return records.selectExpr(
+        "id AS template_id",
+        "name AS template_name",
+        "body AS template_body",
+        "coalesce(type, 'Connection') AS template_type",
+    )
+
+
+def to_account_changes(records: DataFrame) -> DataFrame:
+    """Account records onto the change stream of the version history."""
+    return with_tier_limits(
+        records.selectExpr(
+            "id AS account_id",
+            "email AS account_email",
+            "name AS account_name",
+            "age_tier AS account_age_tier",
+            "coalesce(status, 'Active') AS agent_status",
+            "try_to_timestamp(changed_at) AS changed_at",
+        )
     )
 
 
@@ -159,29 +161,32 @@ def to_dim_template(records: DataFrame) -> DataFrame:
 
 
 def _neighbour(
-    rows: DataFrame, key: list[str], time: str, value: Column, step: int, out: str
+    rows: DataFrame, key: list[str], time: str, value: str, step: int, out: str
 ) -> DataFrame:
-    """`value` of the previous (step -1) or next (step +1) row of the key by time.
+    """`value` of the previous (step -1) or next (step +1) row of the key by time,
+    as a struct `out` with field `v`; NULL where there is no such row.
 
     `rows` is unique by key and time.  A key may have any number of rows, so
     its history is cut into days: neighbours inside a day come from a window
     over (key, day), and a day's outer neighbour from a window over one edge
     row per (key, day), whose number the calendar bounds.
     """
-    rows = rows.withColumn("_day", F.to_date(time)).withColumn("_v", F.struct(value.alias("v")))
-    inner = W.partitionBy(*key, "_day").orderBy(time)
-    outer = W.partitionBy(*key).orderBy("_day")
-    shift, edge = (F.lag, F.max_by) if step < 0 else (F.lead, F.min_by)
+    keys = ", ".join(key)
+    shift, edge = ("lag", "max_by") if step < 0 else ("lead", "min_by")
+    rows = rows.selectExpr("*", f"to_date({time}) AS _day", f"struct({value} AS v) AS _v")
     edges = (
         rows.groupBy(*key, "_day")
-        .agg(edge("_v", F.col(time)).alias("_edge"))
-        .withColumn("_outer", shift("_edge").over(outer))
-        .drop("_edge")
+        .agg(F.expr(f"{edge}(_v, {time}) AS _edge"))
+        .selectExpr(
+            *key, "_day", f"{shift}(_edge) OVER (PARTITION BY {keys} ORDER BY _day) AS _outer"
+        )
     )
     return (
-        rows.withColumn("_inner", shift("_v").over(inner))
+        rows.selectExpr(
+            "*", f"{shift}(_v) OVER (PARTITION BY {keys}, _day ORDER BY {time}) AS _inner"
+        )
         .join(edges, [*key, "_day"], "left")
-        .withColumn(out, F.coalesce("_inner", "_outer"))
+        .selectExpr("*", f"coalesce(_inner, _outer) AS {out}")
         .drop("_day", "_v", "_inner", "_outer")
     )
 
@@ -199,20 +204,20 @@ def scd2_history(
     A version starts where a tracked attribute differs from the state before.
     Of several records at one instant the last by `tie` counts.
     """
-    state = F.struct(*tracked)
-    order = F.col(tie) if tie else F.to_json(state)
-    states = changes.groupBy(*key, time).agg(F.max_by(state, order).alias("state"))
-    versions = _neighbour(states, key, time, F.col("state"), -1, "before").filter(
-        F.col("before").isNull() | ~F.col("before.v").eqNullSafe(F.col("state"))
+    state = f"struct({', '.join(tracked)})"
+    states = changes.groupBy(*key, time).agg(
+        F.expr(f"max_by({state}, {tie or state}) AS state")
+    )
+    versions = _neighbour(states, key, time, "state", -1, "before").filter(
+        "before IS NULL OR NOT before.v <=> state"
     )
-    closed = _neighbour(versions.drop("before"), key, time, F.col(time), +1, "after")
     kind = dict(changes.dtypes)[time]
-    return closed.select(
+    return _neighbour(versions.drop("before"), key, time, time, +1, "after").selectExpr(
         *key,
         "state.*",
-        F.col(time).alias("effective_from"),
-        F.coalesce(F.col("after.v"), F.lit(open_end).cast(kind)).alias("effective_to"),
-        F.col("after").isNull().cast("int").alias("is_current"),
+        f"{time} AS effective_from",
+        f"coalesce(after.v, CAST('{open_end}' AS {kind})) AS effective_to",
+        "CAST(after IS NULL AS INT) AS is_current",
     )
 
 
@@ -231,22 +236,21 @@ def scd2_merge(
     the changes together, so replaying a batch alters nothing.  A change at
     the instant of an existing version replaces it.
     """
+    columns = [*key, *tracked]
     touched = changes.select(*key).distinct()
-    base = [*key, *tracked, "effective_from", "effective_to", "is_current"]
-    old = target.join(touched, key, "left_semi").select(
-        *key, *tracked, F.col("effective_from").alias(time), F.lit(0).alias("_batch"),
-        F.lit(None).cast(dict(changes.dtypes)[tie] if tie else "int").alias("_tie"),
+    tie_kind = dict(changes.dtypes)[tie] if tie else "int"
+    old = target.join(touched, key, "left_semi").selectExpr(
+        *columns, f"effective_from AS {time}", "0 AS _batch", f"CAST(NULL AS {tie_kind}) AS _tie"
     )
-    new = changes.select(
-        *key, *tracked, time, F.lit(1).alias("_batch"),
-        (F.col(tie) if tie else F.lit(None).cast("int")).alias("_tie"),
+    new = changes.selectExpr(
+        *columns, time, "1 AS _batch", f"{tie or 'CAST(NULL AS INT)'} AS _tie"
     )
-    stream = old.unionByName(new).withColumn(
-        "_order", F.struct("_batch", "_tie", F.to_json(F.struct(*tracked)))
+    stream = old.unionByName(new).selectExpr(
+        "*", f"struct(_batch, _tie, {', '.join(tracked)}) AS _order"
     )
     rebuilt = scd2_history(stream, key, tracked, time, "_order", open_end)
-    kept = target.join(touched, key, "left_anti").select(*base)
-    return kept.unionByName(rebuilt.select(*base))
+    kept = target.select(*rebuilt.columns).join(touched, key, "left_anti")
+    return kept.unionByName(rebuilt)
 
 
 def current_versions(versions: DataFrame) -> DataFrame:
@@ -255,11 +259,9 @@ def current_versions(versions: DataFrame) -> DataFrame:
 
 def with_tier_limits(df: DataFrame, tier: str = "account_age_tier") -> DataFrame:
     """Add risk class and ceilings of the age tier; unknown tiers get the top tier's."""
-    col = F.col(tier)
-    return df.withColumns(
-        {
-            "risk_classification": tier_value(col, 0),
-            "daily_invite_limit": tier_value(col, 1),
-            "daily_message_limit": tier_value(col, 2),
-        }
+    return df.selectExpr(
+        "*",
+        f"{tier_value(tier, 0)} AS risk_classification",
+        f"{tier_value(tier, 1)} AS daily_invite_limit",
+        f"{tier_value(tier, 2)} AS daily_message_limit",
     )

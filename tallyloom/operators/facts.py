@@ -3,13 +3,10 @@ and the daily account snapshot."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallyloom import constants as C
-from tallyloom.functions.columns import count_if, date_key, flag, key_to_date, rate
-
-# Columns the load adds to a record while it is worked on.
-WORK_COLUMNS = ["event_time", "date_key", "account_key", "campaign_key", "lead_key"]
+from tallyloom.functions.columns import date_key, exprs, flag, key_to_date, lit, rate
+from tallyloom.operators.measures import TYPE_COUNTS
 
 
 def with_event_time(records: DataFrame) -> DataFrame:
@@ -19,13 +16,12 @@ def with_event_time(records: DataFrame) -> DataFrame:
     offset does not move it.  Both are NULL where no time can be read.
     """
     if isinstance(records.schema["timestamp"].dataType, T.StringType):
-        raw = F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("timestamp", "created_at")])
-        day = F.try_to_date(F.substring(raw, 1, 10), "yyyy-MM-dd")
-        return records.withColumns(
-            {"event_time": F.try_to_timestamp(raw), "date_key": date_key(day)}
-        )
-    time = F.coalesce("timestamp", "created_at")
-    return records.withColumns({"event_time": time, "date_key": date_key(time)})
+        raw = "coalesce(nullif(timestamp, ''), nullif(created_at, ''))"
+        time = f"try_to_timestamp({raw})"
+        day = f"try_to_date(substring({raw}, 1, 10), 'yyyy-MM-dd')"
+    else:
+        time = day = "coalesce(timestamp, created_at)"
+    return records.selectExpr("*", f"{time} AS event_time", f"{date_key(day)} AS date_key")
 
 
 def resolve_keys(
@@ -37,78 +33,85 @@ def resolve_keys(
     two overwrite dimensions.  None is hinted: the optimizer broadcasts a
     dimension when its measured size allows, and splits a hot id otherwise.
     """
-    current = accounts.filter("is_current = 1").select(
-        F.col("account_id").alias("agent_id"), "account_key"
-    )
+    current = accounts.filter("is_current = 1").selectExpr("account_id AS agent_id", "account_key")
     return (
         records.join(current, "agent_id", "left")
         .join(campaigns.select("campaign_id", "campaign_key"), "campaign_id", "left")
         .join(leads.select("lead_id", "lead_key"), "lead_id", "left")
-        .withColumn("account_key", F.coalesce("account_key", F.lit(0).cast("bigint")))
+        .fillna(0, ["account_key"])
     )
 
 
-def load_rules(dim_date: tuple[int, int] | None = None) -> list[tuple[Column, str]]:
-    """Rejection rules of the activity load, in order of precedence.
+def load_rules(calendar: tuple[int, int] | None = None) -> list[tuple[str, str]]:
+    """Rejection rules (condition, message) of the activity load, in order.
 
-    `dim_date` gives the first and last date key of the date dimension; it is
+    `calendar` gives the first and last date key of the date dimension; it is
     gapless, so membership is a range test.
     """
     rules = [
-        (F.col("event_time").isNull() | F.col("date_key").isNull(), "missing or unreadable time"),
-        (F.coalesce(F.col("id"), F.lit("")) == "", "missing id"),
-        (F.col("account_key") == 0, "unknown account"),
+        ("event_time IS NULL OR date_key IS NULL", "missing or unreadable time"),
+        ("coalesce(id, '') = ''", "missing id"),
+        ("account_key = 0", "unknown account"),
     ]
-    if dim_date is not None:
-        first, last = dim_date
-        rules.append((~F.col("date_key").between(first, last), "date outside the calendar"))
+    if calendar is not None:
+        first, last = calendar
+        rules.append(
+            (f"NOT date_key BETWEEN {first} AND {last}", "date outside the calendar")
+        )
     return rules
 
 
-def split_valid(records: DataFrame, rules: list[tuple[Column, str]]) -> tuple[DataFrame, DataFrame]:
+def checked(records: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """Add `error_message`: the first failed rule of a record, else NULL."""
+    arms = " ".join(f"WHEN {cond} THEN {lit(text)}" for cond, text in rules)
+    return records.selectExpr("*", f"CASE {arms} END AS error_message")
+
+
+def split_valid(records: DataFrame, rules: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected); a rejected row carries its first failed rule."""
-    failed = F.coalesce(*[F.when(cond, F.lit(text)) for cond, text in rules])
-    checked = records.withColumn("error_message", failed)
+    both = checked(records, rules)
     return (
-        checked.filter(F.col("error_message").isNull()).drop("error_message"),
-        checked.filter(F.col("error_message").isNotNull()),
+        both.filter("error_message IS NULL").drop("error_message"),
+        both.filter("error_message IS NOT NULL"),
     )
 
 
 def to_fact_activity(records: DataFrame, source_system: str) -> DataFrame:
     """Project resolved records onto the fact columns."""
-    return records.select(
-        F.col("id").alias("activity_id"),
+    return records.selectExpr(
+        "id AS activity_id",
         "date_key",
         "account_key",
         "campaign_key",
         "lead_key",
-        F.coalesce("type", F.lit("unknown")).alias("activity_type"),
-        F.col("event_time").alias("activity_timestamp"),
-        flag(F.col("accepted")).alias("is_accepted"),
-        flag(F.col("replied")).alias("is_replied"),
-        flag(F.col("converted")).alias("is_converted"),
+        "coalesce(type, 'unknown') AS activity_type",
+        "event_time AS activity_timestamp",
+        f"{flag('accepted')} AS is_accepted",
+        f"{flag('replied')} AS is_replied",
+        f"{flag('converted')} AS is_converted",
         "response_time_hours",
-        F.lit(source_system).alias("source_system"),
+        f"{lit(source_system)} AS source_system",
     )
 
 
-def first_per_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+def _pick_per_key(rows: DataFrame, keys: list[str], order: str, function: str) -> DataFrame:
+    rest = ", ".join(c for c in rows.columns if c not in keys)
+    best = F.expr(f"{function}(struct({rest}), {order}) AS _best")
+    return rows.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*rows.columns)
+
+
+def first_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row that comes first by `order` for each key.
 
     An aggregate rather than a window: copies of a hot key are reduced on the
     map side and never meet in one task.
     """
-    rest = [c for c in rows.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), order).alias("best")
-    return rows.groupBy(*keys).agg(best).select(*keys, "best.*").select(*rows.columns)
+    return _pick_per_key(rows, keys, order, "min_by")
 
 
-def last_per_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+def last_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row that comes last by `order` for each key."""
-    rest = [c for c in rows.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), order).alias("best")
-    return rows.groupBy(*keys).agg(best).select(*keys, "best.*").select(*rows.columns)
+    return _pick_per_key(rows, keys, order, "max_by")
 
 
 def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -122,14 +125,12 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
     return rows.join(present, keys, "left_anti")
 
 
-def insert_facts(
-    target: DataFrame, batch: DataFrame, keys: list[str], arrival: Column
-) -> DataFrame:
+def insert_facts(target: DataFrame, batch: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     """Rows to append: the first arrival of every key not yet loaded."""
     return absent_from(first_per_key(batch, keys, arrival), target, keys)
 
 
-def insert_new(target: DataFrame, rows: DataFrame, keys: list[str], arrival: Column) -> DataFrame:
+def insert_new(target: DataFrame, rows: DataFrame, keys: list[str], arrival: str) -> DataFrame:
     """The target with the rows of absent keys added."""
     return target.unionByName(insert_facts(target, rows, keys, arrival))
 
@@ -143,23 +144,28 @@ def replace_by_key(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataF
 
 
 def to_dead_letter(
-    rejected: DataFrame, payload: list[str], run_id: Column, error_type: str, failed_at: Column
+    rejected: DataFrame, payload: list[str], run_id: str, error_type: str, failed_at: str
 ) -> DataFrame:
-    """Dead-letter rows for rejected records.
+    """Dead-letter rows for rejected records; `run_id` and `failed_at` are expressions.
 
-    `payload` names the record's own columns.  The id is a digest of run, message and payload, so a replayed task gives
-    the same ids.
+    `payload` names the record's own columns.  The id is a digest of run,
+    message and payload, so a replayed task gives the same ids.
     """
-    body = F.to_json(F.struct(*payload), {"ignoreNullFields": "false"})
-    return rejected.select(
-        F.sha2(F.concat_ws("|", run_id, F.col("error_message"), body), 256).alias("dlq_id"),
-        run_id.alias("run_id"),
-        body.alias("record_payload"),
-        F.lit(error_type).alias("error_type"),
+    return rejected.selectExpr(
+        "error_message",
+        f"{run_id} AS run_id",
+        f"{failed_at} AS failed_at",
+        f"to_json(struct({', '.join(payload)}), map('ignoreNullFields', 'false'))"
+        " AS record_payload",
+    ).selectExpr(
+        "sha2(concat_ws('|', run_id, error_message, record_payload), 256) AS dlq_id",
+        "run_id",
+        "record_payload",
+        f"{lit(error_type)} AS error_type",
         "error_message",
-        failed_at.alias("failed_at"),
-        F.lit(0).alias("retried"),
-        F.lit(None).cast("timestamp").alias("retried_at"),
+        "failed_at",
+        "0 AS retried",
+        "CAST(NULL AS TIMESTAMP) AS retried_at",
     )
 
 
@@ -172,61 +178,35 @@ def unretried(dead_letters: DataFrame, limit: int = 100) -> DataFrame:
     )
 
 
-def mark_retried(dead_letters: DataFrame, ids: DataFrame, at: Column) -> DataFrame:
-    """Set `retried` and `retried_at` on the rows named in `ids` (dlq_id)."""
-    done = ids.select("dlq_id").distinct().withColumn("_done", F.lit(True))
-    hit = F.col("_done").isNotNull()
-    return (
-        dead_letters.join(done, "dlq_id", "left")
-        .withColumns(
-            {
-                "retried": F.when(hit, F.lit(1)).otherwise(F.col("retried")),
-                "retried_at": F.when(hit, at).otherwise(F.col("retried_at")),
-            }
-        )
-        .drop("_done")
+def mark_retried(dead_letters: DataFrame, ids: DataFrame, at: str) -> DataFrame:
+    """Set `retried` and `retried_at` (expression `at`) on the rows named in `ids`."""
+    done = ids.select("dlq_id").distinct().selectExpr("dlq_id", "true AS _done")
+    changed = {"retried": "IF(_done, 1, retried)", "retried_at": f"IF(_done, {at}, retried_at)"}
+    return dead_letters.join(done, "dlq_id", "left").selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in dead_letters.columns]
     )
 
 
 def dead_letter_counts(dead_letters: DataFrame) -> DataFrame:
-    return dead_letters.groupBy("run_id").agg(F.count(F.lit(1)).alias("dead_letters"))
+    return dead_letters.groupBy("run_id").agg(F.expr("count(*) AS dead_letters"))
 
 
 # Daily snapshot
 
 
-def type_counts() -> list[Column]:
-    """Conditional counts per activity type and the sum of conversions."""
-    kind = F.col("activity_type")
-    return [
-        count_if(kind == C.INVITE_SENT).alias("invites_sent"),
-        count_if(kind == C.INVITE_ACCEPTED).alias("invites_accepted"),
-        count_if(kind == C.MESSAGE_SENT).alias("messages_sent"),
-        count_if(kind == C.REPLY_RECEIVED).alias("replies_received"),
-        count_if(kind == C.FOLLOW_UP_SENT).alias("follow_ups_sent"),
-        F.coalesce(F.sum(F.col("is_converted").cast("bigint")), F.lit(0)).alias("conversions"),
-    ]
-
-
 def snapshot_rates(counts: DataFrame, accounts: DataFrame) -> DataFrame:
     """Add rates and utilizations to daily counts; an account without a
     dimension row has utilization 0."""
     limits = accounts.select("account_key", "daily_invite_limit", "daily_message_limit")
-    inv, msg = F.col("invites_sent"), F.col("messages_sent")
-    return counts.join(limits, "account_key", "left").select(
-        "date_key",
-        "account_key",
-        "invites_sent",
-        "invites_accepted",
-        "messages_sent",
-        "replies_received",
-        "follow_ups_sent",
-        "conversions",
-        rate(F.col("invites_accepted"), inv).alias("acceptance_rate"),
-        rate(F.col("replies_received"), msg).alias("reply_rate"),
-        rate(F.col("conversions"), inv + msg).alias("conversion_rate"),
-        rate(inv, F.col("daily_invite_limit")).alias("invite_utilization"),
-        rate(msg, F.col("daily_message_limit")).alias("message_utilization"),
+    rates = {
+        "acceptance_rate": rate("invites_accepted", "invites_sent"),
+        "reply_rate": rate("replies_received", "messages_sent"),
+        "conversion_rate": rate("conversions", "invites_sent + messages_sent"),
+        "invite_utilization": rate("invites_sent", "daily_invite_limit"),
+        "message_utilization": rate("messages_sent", "daily_message_limit"),
+    }
+    return counts.join(limits, "account_key", "left").selectExpr(
+        "date_key", "account_key", *TYPE_COUNTS, *[f"{text} AS {c}" for c, text in rates.items()]
     )
 
 
@@ -237,22 +217,20 @@ def daily_snapshot(fact: DataFrame, accounts: DataFrame, dense: bool = False) ->
     `dense`, every account seen gets a row, zeros included, for every day
     between its own first and last active day.
     """
-    counts = fact.groupBy("date_key", "account_key").agg(*type_counts())
+    counts = fact.groupBy("date_key", "account_key").agg(*exprs(TYPE_COUNTS))
     if dense:
-        day = key_to_date(F.col("date_key"))
+        day = key_to_date("date_key")
         days = (
             counts.groupBy("account_key")
-            .agg(F.min(day).alias("a"), F.max(day).alias("b"))
-            .select("account_key", F.explode(F.sequence("a", "b")).alias("day"))
-            .select("account_key", date_key(F.col("day")).alias("date_key"))
+            .agg(F.expr(f"min({day}) AS a"), F.expr(f"max({day}) AS b"))
+            .selectExpr("account_key", "explode(sequence(a, b)) AS day")
+            .selectExpr("account_key", f"{date_key('day')} AS date_key")
         )
         counts = days.join(counts, ["date_key", "account_key"], "left").fillna(0)
     return snapshot_rates(counts, accounts)
 
 
-def refresh_days(
-    daily: DataFrame, fact: DataFrame, batch: DataFrame, accounts: DataFrame
-) -> DataFrame:
+def refresh_days(fact: DataFrame, batch: DataFrame, accounts: DataFrame) -> DataFrame:
     """The snapshot rows of the days a batch touches, recomputed from the fact."""
     touched = batch.select("date_key").distinct()
     return daily_snapshot(fact.join(touched, "date_key", "left_semi"), accounts)
@@ -262,7 +240,7 @@ def snapshot_refresh(
     daily: DataFrame, fact: DataFrame, batch: DataFrame, accounts: DataFrame
 ) -> DataFrame:
     """The whole snapshot after a batch: untouched days kept, the others redone."""
-    fresh = refresh_days(daily, fact, batch, accounts)
+    fresh = refresh_days(fact, batch, accounts)
     touched = batch.select("date_key").distinct()
     kept = daily.select(*fresh.columns).join(touched, "date_key", "left_anti")
     return kept.unionByName(fresh)

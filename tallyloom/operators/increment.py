@@ -2,38 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import datetime as dt
 
+from pyspark.sql import DataFrame, functions as F
+
+from tallyloom.functions.columns import lit
 from tallyloom.operators.facts import replace_by_key
 
 
-def scan_since(records: DataFrame, time: Column, watermark) -> DataFrame:
-    """Records after the watermark; all of them where it is None.
+def scan_since(records: DataFrame, time: str, watermark: dt.datetime | None) -> DataFrame:
+    """Records whose time expression is after the watermark; all where it is None.
 
-    The watermark is a literal, so the test is pushed into the scan.
+    The watermark is a literal of the column's type, so the test is pushed
+    into the scan.
     """
-    return records if watermark is None else records.filter(time > F.lit(watermark))
+    if watermark is None:
+        return records
+    kind = records.select(F.expr(time).alias("t")).dtypes[0][1]
+    bound = lit(watermark.isoformat(sep=" "))
+    return records.filter(f"{time} > CAST({bound} AS {kind})")
 
 
-def read_watermark(state: DataFrame, entity: str):
+def read_watermark(state: DataFrame, entity: str) -> dt.datetime | None:
     """The stored watermark of an entity, or None."""
     row = state.filter(F.col("entity_name") == entity).select("last_watermark").first()
     return row[0] if row else None
 
 
-def advance(state: DataFrame, accepted: DataFrame, entity: str, time: str, at: Column) -> DataFrame:
+def advance(state: DataFrame, accepted: DataFrame, entity: str, time: str, at: str) -> DataFrame:
     """The watermark row an accepted batch gives: the later of the stored value
     and the newest accepted time.  Empty if that leaves the value unchanged."""
     old = state.filter(F.col("entity_name") == entity).agg(F.max("last_watermark")).scalar()
     return (
-        accepted.agg(F.max(F.col(time).cast("timestamp")).alias("newest"), old.alias("old"))
-        .select(
-            F.lit(entity).alias("entity_name"),
-            F.greatest("newest", "old").alias("last_watermark"),
-            at.alias("updated_at"),
+        accepted.agg(F.expr(f"CAST(max({time}) AS TIMESTAMP) AS newest"), old.alias("old"))
+        .selectExpr(
+            f"{lit(entity)} AS entity_name",
+            "greatest(newest, old) AS last_watermark",
+            f"{at} AS updated_at",
             "old",
         )
-        .filter(F.col("last_watermark").isNotNull() & ~F.col("last_watermark").eqNullSafe(F.col("old")))
+        .filter("last_watermark IS NOT NULL AND NOT last_watermark <=> old")
         .drop("old")
     )
 

@@ -6,9 +6,16 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom import constants as C
-from tallyloom.functions.columns import count_if, date_key, rate
+from tallyloom.functions.columns import exprs, rate, total
 from tallyloom.operators.dims import current_versions
+from tallyloom.operators.measures import (
+    ACCEPTS,
+    CONVERSIONS,
+    INVITES,
+    MESSAGES,
+    REPLIES,
+    TYPE_COUNTS,
+)
 
 
 def core_kpis(
@@ -23,42 +30,36 @@ def core_kpis(
     fact's own date key too, so a fact partitioned by date is pruned.  Facts
     are reduced per day before the calendar is joined.
     """
-    if date_from is not None:
-        fact = fact.filter(F.col("date_key") >= date_key(F.lit(date_from)))
-        dim_date = dim_date.filter(F.col("full_date") >= F.lit(date_from))
-    if date_to is not None:
-        fact = fact.filter(F.col("date_key") <= date_key(F.lit(date_to)))
-        dim_date = dim_date.filter(F.col("full_date") <= F.lit(date_to))
+    for bound, test in ((date_from, ">="), (date_to, "<=")):
+        if bound is not None:
+            fact = fact.filter(f"date_key {test} {bound:%Y%m%d}")
+            dim_date = dim_date.filter(f"full_date {test} DATE '{bound:%Y-%m-%d}'")
 
-    kind = F.col("activity_type")
     by_day = fact.groupBy("date_key").agg(
-        count_if(kind == C.INVITE_SENT).alias("inv"),
-        count_if(kind == C.INVITE_ACCEPTED).alias("acc"),
-        count_if(kind == C.MESSAGE_SENT).alias("msg"),
-        count_if(kind == C.REPLY_RECEIVED).alias("rep"),
-        count_if(kind == C.FOLLOW_UP_SENT).alias("fol"),
-        F.sum(F.col("is_converted").cast("bigint")).alias("conv"),
-        F.sum("response_time_hours").alias("hours"),
-        F.count("response_time_hours").alias("timed"),
-    )
-
-    def total(name: str):
-        return F.coalesce(F.sum(name), F.lit(0))
-
-    inv, acc, msg, rep, conv = (total(c) for c in ("inv", "acc", "msg", "rep", "conv"))
-    mean = F.coalesce(F.try_divide(F.sum("hours"), F.sum("timed")), F.lit(0.0))
-    return by_day.join(dim_date.select("date_key"), "date_key").agg(
-        inv.alias("total_invites_sent"),
-        acc.alias("total_invites_accepted"),
-        msg.alias("total_messages_sent"),
-        rep.alias("total_replies_received"),
-        total("fol").alias("total_follow_ups"),
-        conv.alias("total_conversions"),
-        rate(acc, inv).alias("acceptance_rate"),
-        rate(rep, msg).alias("reply_rate"),
-        rate(conv, inv + msg).alias("conversion_rate"),
-        F.round(mean, 2).alias("avg_response_time_hours"),
+        *exprs(
+            {
+                **TYPE_COUNTS,
+                "hours": "sum(response_time_hours)",
+                "timed": "count(response_time_hours)",
+            }
+        )
     )
+    inv, acc = total("invites_sent"), total("invites_accepted")
+    msg, rep, conv = total("messages_sent"), total("replies_received"), total("conversions")
+    mean = "coalesce(try_divide(sum(hours), sum(timed)), 0D)"
+    kpis = {
+        "total_invites_sent": inv,
+        "total_invites_accepted": acc,
+        "total_messages_sent": msg,
+        "total_replies_received": rep,
+        "total_follow_ups": total("follow_ups_sent"),
+        "total_conversions": conv,
+        "acceptance_rate": rate(acc, inv),
+        "reply_rate": rate(rep, msg),
+        "conversion_rate": rate(conv, f"{inv} + {msg}"),
+        "avg_response_time_hours": f"round({mean}, 2)",
+    }
+    return by_day.join(dim_date.select("date_key"), "date_key").agg(*exprs(kpis))
 
 
 def account_health(accounts: DataFrame, daily: DataFrame) -> DataFrame:
@@ -66,63 +67,57 @@ def account_health(accounts: DataFrame, daily: DataFrame) -> DataFrame:
 
     Snapshots are reduced to one row per account before the join.
     """
+    measures = {
+        "avg_invite_utilization": "avg(invite_utilization)",
+        "avg_message_utilization": "avg(message_utilization)",
+        "avg_acceptance_rate": "avg(acceptance_rate)",
+        "avg_reply_rate": "avg(reply_rate)",
+        "max_anomaly_score": "max(anomaly_score)",
+        "avg_anomaly_score": "avg(anomaly_score)",
+    }
     per_account = daily.groupBy("account_key").agg(
-        F.count(F.lit(1)).alias("days_active"),
-        F.avg("invite_utilization").alias("avg_invite_utilization"),
-        F.avg("message_utilization").alias("avg_message_utilization"),
-        F.avg("acceptance_rate").alias("avg_acceptance_rate"),
-        F.avg("reply_rate").alias("avg_reply_rate"),
-        F.max("anomaly_score").alias("max_anomaly_score"),
-        F.avg("anomaly_score").alias("avg_anomaly_score"),
+        *exprs({"days_active": "count(*)", **measures})
     )
-    measures = [c for c in per_account.columns if c not in ("account_key", "days_active")]
     return (
         current_versions(accounts)
-        .select(
-            "account_key",
+        .join(per_account, "account_key", "left")
+        .selectExpr(
             "account_id",
             "account_name",
             "agent_status",
             "account_age_tier",
             "daily_invite_limit",
             "daily_message_limit",
+            "coalesce(days_active, 0) AS days_active",
+            *[f"coalesce({m}, 0D) AS {m}" for m in measures],
         )
-        .join(per_account, "account_key", "left")
-        .fillna(0, ["days_active"])
-        .fillna(0.0, measures)
-        .drop("account_key")
     )
 
 
 def campaign_performance(campaigns: DataFrame, fact: DataFrame) -> DataFrame:
     """Campaigns with counts, conversions, response time and rates, most
     conversions first.  Conversions are NULL for a campaign without facts."""
-    kind = F.col("activity_type")
+    counts = {
+        "invites_sent": INVITES,
+        "invites_accepted": ACCEPTS,
+        "messages_sent": MESSAGES,
+        "replies_received": REPLIES,
+    }
     per_campaign = fact.groupBy("campaign_key").agg(
-        count_if(kind == C.INVITE_SENT).alias("invites_sent"),
-        count_if(kind == C.INVITE_ACCEPTED).alias("invites_accepted"),
-        count_if(kind == C.MESSAGE_SENT).alias("messages_sent"),
-        count_if(kind == C.REPLY_RECEIVED).alias("replies_received"),
-        F.sum(F.col("is_converted").cast("bigint")).alias("conversions"),
-        F.avg("response_time_hours").alias("hours"),
+        *exprs({**counts, "conversions": CONVERSIONS, "hours": "avg(response_time_hours)"})
     )
-    counts = ["invites_sent", "invites_accepted", "messages_sent", "replies_received"]
     return (
-        campaigns.select(
-            "campaign_key", "campaign_id", "campaign_name", "target_segment", "status"
-        )
-        .join(per_campaign, "campaign_key", "left")
-        .fillna(0, counts)
-        .select(
+        campaigns.join(per_campaign, "campaign_key", "left")
+        .selectExpr(
             "campaign_id",
             "campaign_name",
             "target_segment",
             "status",
-            *counts,
+            *[f"coalesce({c}, 0) AS {c}" for c in counts],
             "conversions",
-            F.round(F.coalesce("hours", F.lit(0.0)), 2).alias("avg_response_time"),
-            rate(F.col("invites_accepted"), F.col("invites_sent")).alias("acceptance_rate"),
-            rate(F.col("replies_received"), F.col("messages_sent")).alias("reply_rate"),
+            "round(coalesce(hours, 0D), 2) AS avg_response_time",
+            f"{rate('invites_accepted', 'invites_sent')} AS acceptance_rate",
+            f"{rate('replies_received', 'messages_sent')} AS reply_rate",
         )
         .orderBy(F.desc_nulls_last("conversions"), "campaign_id")
     )

@@ -2,47 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyloom import constants as C
-from tallyloom.functions.columns import count_if, divide, key_to_date
+from tallyloom.functions.columns import count_type, divide, exprs, key_to_date, total
+
+INVITES, ACCEPTS = count_type(C.INVITE_SENT), count_type(C.INVITE_ACCEPTED)
+MESSAGES, REPLIES = count_type(C.MESSAGE_SENT), count_type(C.REPLY_RECEIVED)
+CONVERSIONS = "sum(CAST(is_converted AS BIGINT))"
+
+# Counts per type and conversions of a group of activities.
+TYPE_COUNTS = {
+    "invites_sent": INVITES,
+    "invites_accepted": ACCEPTS,
+    "messages_sent": MESSAGES,
+    "replies_received": REPLIES,
+    "follow_ups_sent": count_type(C.FOLLOW_UP_SENT),
+    "conversions": total("is_converted"),
+}
 
 
 def activity_measures(fact: DataFrame, by: list[str]) -> DataFrame:
     """Counts per type, conversions, the three rates and mean response time."""
-    kind = F.col("activity_type")
-    inv, acc = count_if(kind == C.INVITE_SENT), count_if(kind == C.INVITE_ACCEPTED)
-    msg, rep = count_if(kind == C.MESSAGE_SENT), count_if(kind == C.REPLY_RECEIVED)
-    conv = F.sum(F.col("is_converted").cast("bigint"))
-    return fact.groupBy(*by).agg(
-        inv.alias("invites_sent"),
-        acc.alias("invites_accepted"),
-        msg.alias("messages_sent"),
-        rep.alias("replies_received"),
-        count_if(kind == C.FOLLOW_UP_SENT).alias("follow_ups_sent"),
-        conv.alias("conversions"),
-        divide(acc, inv).alias("acceptance_rate"),
-        divide(rep, msg).alias("reply_rate"),
-        divide(conv, inv + msg).alias("conversion_rate"),
-        F.avg("response_time_hours").alias("avg_response_time"),
-    )
+    measures = {
+        **TYPE_COUNTS,
+        "acceptance_rate": divide(ACCEPTS, INVITES),
+        "reply_rate": divide(REPLIES, MESSAGES),
+        "conversion_rate": divide(CONVERSIONS, f"{INVITES} + {MESSAGES}"),
+        "avg_response_time": "avg(response_time_hours)",
+    }
+    return fact.groupBy(*by).agg(*exprs(measures))
 
 
 def agent_status_counts(accounts: DataFrame) -> DataFrame:
     """One row: current accounts per status."""
-    current = F.col("is_current") == 1
     return accounts.agg(
-        *[
-            count_if((F.col("agent_status") == s) & current).alias(f"{s.lower()}_agents")
-            for s in C.AGENT_STATUSES
-        ]
+        *exprs(
+            {
+                f"{s.lower()}_agents": f"count_if(agent_status = '{s}' AND is_current = 1)"
+                for s in C.AGENT_STATUSES
+            }
+        )
     )
 
 
 def utilization(daily: DataFrame, by: list[str]) -> DataFrame:
+    """Mean invite and message utilization."""
     return daily.groupBy(*by).agg(
-        F.avg("invite_utilization").alias("avg_invite_utilization"),
-        F.avg("message_utilization").alias("avg_message_utilization"),
+        F.expr("avg(invite_utilization) AS avg_invite_utilization"),
+        F.expr("avg(message_utilization) AS avg_message_utilization"),
     )
 
 
@@ -52,20 +60,15 @@ def invite_throughput(daily: DataFrame, accounts: DataFrame, by: list[str]) -> D
     Snapshots are reduced per account first; the limit then counts once per row.
     """
     per_account = daily.groupBy(*dict.fromkeys([*by, "account_key"])).agg(
-        F.sum("invites_sent").alias("invites"), F.count(F.lit(1)).alias("days")
+        F.expr("sum(invites_sent) AS invites"), F.expr("count(*) AS days")
     )
     limits = accounts.filter("is_current = 1").select("account_key", "daily_invite_limit")
-    invites = F.sum("invites")
-    capacity = F.sum(F.col("days") * F.col("daily_invite_limit"))
-    return (
-        per_account.join(limits, "account_key", "left")
-        .groupBy(*by)
-        .agg(
-            invites.alias("invites_sent"),
-            capacity.alias("invite_capacity"),
-            divide(invites, capacity).alias("invite_throughput"),
-        )
-    )
+    measures = {
+        "invites_sent": "sum(invites)",
+        "invite_capacity": "sum(days * daily_invite_limit)",
+        "invite_throughput": divide("sum(invites)", "sum(days * daily_invite_limit)"),
+    }
+    return per_account.join(limits, "account_key", "left").groupBy(*by).agg(*exprs(measures))
 
 
 def risk_measures(scored: DataFrame, by: list[str]) -> DataFrame:
@@ -74,57 +77,58 @@ def risk_measures(scored: DataFrame, by: list[str]) -> DataFrame:
     Rows are reduced to one per account before accounts are counted, so no
     distinct set is built.
     """
-    raised = F.col("risk_flag")
     per_account = scored.groupBy(*dict.fromkeys([*by, "account_key"])).agg(
-        F.sum("anomaly_score").alias("total"),
-        F.count("anomaly_score").alias("n"),
-        F.max("anomaly_score").alias("top"),
-        F.max((raised == "Warning").cast("int")).alias("warned"),
-        F.max((raised == "Critical").cast("int")).alias("critical"),
-    )
-    mean = F.try_divide(F.sum("total"), F.sum("n"))
-    return per_account.groupBy(*by).agg(
-        mean.alias("avg_anomaly_score"),
-        F.max("top").alias("max_anomaly_score"),
-        count_if(F.col("warned") == 1).alias("warning_accounts"),
-        count_if(F.col("critical") == 1).alias("critical_accounts"),
-        F.when(mean > C.CRITICAL_ABOVE, 3)
-        .when(mean > C.WARNING_ABOVE, 2)
-        .otherwise(1)
-        .alias("risk_score_kpi"),
+        *exprs(
+            {
+                "total": "sum(anomaly_score)",
+                "n": "count(anomaly_score)",
+                "top": "max(anomaly_score)",
+                "warned": "max(CAST(risk_flag = 'Warning' AS INT))",
+                "critical": "max(CAST(risk_flag = 'Critical' AS INT))",
+            }
+        )
     )
+    mean = "try_divide(sum(total), sum(n))"
+    measures = {
+        "avg_anomaly_score": mean,
+        "max_anomaly_score": "max(top)",
+        "warning_accounts": "count_if(warned = 1)",
+        "critical_accounts": "count_if(critical = 1)",
+        "risk_score_kpi": f"CASE WHEN {mean} > {C.CRITICAL_ABOVE} THEN 3 "
+        f"WHEN {mean} > {C.WARNING_ABOVE} THEN 2 ELSE 1 END",
+    }
+    return per_account.groupBy(*by).agg(*exprs(measures))
 
 
 def campaign_measures(
-    fact: DataFrame, campaigns: DataFrame, by: list[str], keep: Column | None = None
+    fact: DataFrame, campaigns: DataFrame, by: list[str], keep: str | None = None
 ) -> DataFrame:
     """Campaign rates; conversions are set against all activity rows.
 
     `by` names campaign attributes; `keep` slices the campaigns.  Facts are
     reduced per campaign before the attributes are joined.
     """
-    kind = F.col("activity_type")
     per_campaign = fact.groupBy("campaign_key").agg(
-        count_if(kind == C.INVITE_SENT).alias("inv"),
-        count_if(kind == C.INVITE_ACCEPTED).alias("acc"),
-        count_if(kind == C.MESSAGE_SENT).alias("msg"),
-        count_if(kind == C.REPLY_RECEIVED).alias("rep"),
-        F.sum(F.col("is_converted").cast("bigint")).alias("conv"),
-        F.count(F.lit(1)).alias("rows"),
-    )
-    if keep is not None:
-        campaigns = campaigns.filter(keep)
-    return (
-        per_campaign.join(campaigns, "campaign_key")
-        .groupBy(*by)
-        .agg(
-            F.sum("rows").alias("activities"),
-            F.sum("conv").alias("conversions"),
-            divide(F.sum("acc"), F.sum("inv")).alias("acceptance_rate"),
-            divide(F.sum("rep"), F.sum("msg")).alias("reply_rate"),
-            divide(F.sum("conv"), F.sum("rows")).alias("conversion_rate"),
+        *exprs(
+            {
+                "inv": INVITES,
+                "acc": ACCEPTS,
+                "msg": MESSAGES,
+                "rep": REPLIES,
+                "conv": CONVERSIONS,
+                "rows": "count(*)",
+            }
         )
     )
+    measures = {
+        "activities": "sum(rows)",
+        "conversions": "sum(conv)",
+        "acceptance_rate": divide("sum(acc)", "sum(inv)"),
+        "reply_rate": divide("sum(rep)", "sum(msg)"),
+        "conversion_rate": divide("sum(conv)", "sum(rows)"),
+    }
+    sliced = campaigns.filter(keep) if keep else campaigns
+    return per_campaign.join(sliced, "campaign_key").groupBy(*by).agg(*exprs(measures))
 
 
 def best_campaign(measures: DataFrame) -> DataFrame:
@@ -136,50 +140,57 @@ def best_campaign(measures: DataFrame) -> DataFrame:
 def _by_day(fact: DataFrame, by: list[str]) -> DataFrame:
     """Daily invites and accepts; the windows below run over these rows, whose
     number per group is bounded by the calendar."""
-    kind = F.col("activity_type")
-    day = key_to_date(F.col("date_key"))
     return (
         fact.groupBy(*by, "date_key")
-        .agg(
-            count_if(kind == C.INVITE_SENT).alias("invites_sent"),
-            count_if(kind == C.INVITE_ACCEPTED).alias("invites_accepted"),
-        )
-        .withColumn("day_no", F.unix_date(day))
+        .agg(*exprs({"invites_sent": INVITES, "invites_accepted": ACCEPTS}))
+        .selectExpr("*", f"unix_date({key_to_date('date_key')}) AS day_no")
     )
 
 
+def _days(by: list[str], first: int, last: int) -> str:
+    """Window over the calendar days from `first` to `last` before the row's own."""
+    partition = f"PARTITION BY {', '.join(by)} " if by else ""
+    end = f"{last} PRECEDING" if last else "CURRENT ROW"
+    return f"OVER ({partition}ORDER BY day_no RANGE BETWEEN {first} PRECEDING AND {end})"
+
+
 def rolling_7d(fact: DataFrame, by: list[str]) -> DataFrame:
     """Per day: invites and acceptance rate of the 7 calendar days ending there."""
-    week = W.partitionBy(*by).orderBy("day_no").rangeBetween(-6, 0)
-    inv, acc = F.sum("invites_sent").over(week), F.sum("invites_accepted").over(week)
-    return _by_day(fact, by).select(
-        *by,
-        "date_key",
-        inv.alias("invites_7d"),
-        divide(acc, inv).alias("acceptance_rate_7d"),
+    week = _days(by, 6, 0)
+    return (
+        _by_day(fact, by)
+        .selectExpr(
+            *by, "date_key", f"sum(invites_sent) {week} AS invites_7d",
+            f"sum(invites_accepted) {week} AS accepts_7d",
+        )
+        .selectExpr(
+            *by, "date_key", "invites_7d",
+            f"{divide('accepts_7d', 'invites_7d')} AS acceptance_rate_7d",
+        )
     )
 
 
 def wow_change(fact: DataFrame, by: list[str]) -> DataFrame:
     """Per day: relative change of invites against 7 calendar days earlier."""
-    earlier = W.partitionBy(*by).orderBy("day_no").rangeBetween(-7, -7)
-    prior = F.sum("invites_sent").over(earlier)
-    return _by_day(fact, by).select(
-        *by,
-        "date_key",
-        "invites_sent",
-        F.coalesce(prior, F.lit(0)).alias("invites_prior_week"),
-        divide(F.col("invites_sent") - prior, prior).alias("wow_change"),
+    return (
+        _by_day(fact, by)
+        .selectExpr(
+            *by, "date_key", "invites_sent", f"sum(invites_sent) {_days(by, 7, 7)} AS prior"
+        )
+        .selectExpr(
+            *by, "date_key", "invites_sent", "coalesce(prior, 0) AS invites_prior_week",
+            f"{divide('invites_sent - prior', 'prior')} AS wow_change",
+        )
     )
 
 
 def dq_latest(history: DataFrame, passing: float = C.DQ_PASS) -> DataFrame:
     """Highest score of the last check day, and its verdict."""
-    day = F.to_date("check_timestamp")
-    score = F.col("latest_dq_score")
     return (
-        history.groupBy(day.alias("day"))
-        .agg(F.max("composite_dq_score").alias("top"))
-        .agg(F.max("day").alias("check_day"), F.max_by("top", "day").alias("latest_dq_score"))
-        .withColumn("dq_status", F.when(score >= passing, "PASS").otherwise("FAIL"))
+        history.groupBy(F.expr("to_date(check_timestamp) AS day"))
+        .agg(F.expr("max(composite_dq_score) AS top"))
+        .agg(F.expr("max(day) AS check_day"), F.expr("max_by(top, day) AS latest_dq_score"))
+        .selectExpr(
+            "*", f"IF(latest_dq_score >= {passing}D, 'PASS', 'FAIL') AS dq_status"
+        )
     )

@@ -1,30 +1,21 @@
 """Data quality: checks over five dimensions, composite score, history, gate.
 
-Every check is one row (CHECK_COLUMNS).  Rules are data: a `Rules` object says
+Every check is one row: check_name, dimension, table_name, total_records,
+passed_records, failed_records, score, details.  Rules are data: a `Rules` object says
 which checks run on which tables, and all checks of one table that need only a
 scan share one aggregate.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyloom import constants as C
-from tallyloom.functions.columns import count_if
-
-CHECK_COLUMNS = [
-    "check_name",
-    "dimension",
-    "table_name",
-    "total_records",
-    "passed_records",
-    "failed_records",
-    "score",
-    "details",
-]
+from tallyloom.functions.columns import exprs, lit
 
 
 @dataclass
@@ -78,33 +69,33 @@ MART_RULES = Rules(
 
 
 def _check(
-    name: str, dimension: str, table: str, total: Column, failed: Column, details: Column
-) -> Column:
+    name: str, dimension: str, table: str, total: str, failed: str, details: str
+) -> str:
     """One check row as a struct; an empty table scores 1."""
-    passed = total - failed
-    score = F.when(total == 0, F.lit(1.0)).otherwise(
-        F.try_divide(passed.cast("double"), total.cast("double"))
+    return (
+        f"struct('{name}' AS check_name, '{dimension}' AS dimension, '{table}' AS table_name, "
+        f"{total} AS total_records, {total} - {failed} AS passed_records, "
+        f"{failed} AS failed_records, "
+        f"IF({total} = 0, 1D, try_divide(CAST({total} - {failed} AS DOUBLE), {total})) AS score, "
+        f"{details} AS details)"
     )
-    values = [F.lit(name), F.lit(dimension), F.lit(table), total, passed, failed, score, details]
-    return F.struct(*[v.alias(c) for v, c in zip(values, CHECK_COLUMNS)])
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def _rows(one: DataFrame, checks: list[str]) -> DataFrame:
+    return one.selectExpr(f"inline(array({', '.join(checks)}))")
 
 
 # Checks that one scan of a table answers
 
 
-def _missing(df: DataFrame, cols: list[str]) -> Column:
+def _missing(df: DataFrame, cols: list[str]) -> str:
     """Any of the columns is NULL or, for text, empty."""
-    tests = [
-        F.coalesce(F.col(c) == "", F.lit(True))
+    return " OR ".join(
+        f"coalesce({c}, '') = ''"
         if isinstance(df.schema[c].dataType, T.StringType)
-        else F.col(c).isNull()
+        else f"{c} IS NULL"
         for c in cols
-    ]
-    return reduce(Column.__or__, tests)
+    )
 
 
 def scan_checks(
@@ -118,41 +109,34 @@ def scan_checks(
 
     Validity checks give no row for an empty table, and NULL is valid.
     """
-    total = F.col("total")
-    counts = {"total": F.count(F.lit(1))}
-    always, unless_empty = [], []
+    counts, checks = {"total": "count(*)"}, []
     if required:
-        counts["required"] = count_if(_missing(df, required))
-        always.append(
+        counts["required"] = f"count_if({_missing(df, required)})"
+        checks.append(
             _check(
-                f"completeness_{table}", "completeness", table, total, F.col("required"),
-                F.format_string(
-                    f"required: {', '.join(required)}; incomplete rows: %d", "required"
-                ),
+                f"completeness_{table}", "completeness", table, "total", "required",
+                f"format_string('required: {', '.join(required)}; incomplete rows: %d', required)",
             )
         )
     for column, values in in_set:
-        counts[column] = count_if(~F.col(column).isin(*values))
-        unless_empty.append(
+        counts[column] = f"count_if({column} NOT IN ({', '.join(map(lit, values))}))"
+        checks.append(
             _check(
-                f"validity_{column}", "validity", table, total, F.col(column),
-                F.format_string(f"allowed: {', '.join(values)}; other values: %d", column),
+                f"validity_{column}", "validity", table, "total", column,
+                f"format_string('allowed: {', '.join(values)}; other values: %d', {column})",
             )
         )
     for column, low, high in in_range:
-        counts[column] = count_if((F.col(column) < low) | (F.col(column) > high))
-        unless_empty.append(
+        counts[column] = f"count_if({column} < {lit(low)} OR {column} > {lit(high)})"
+        checks.append(
             _check(
-                f"validity_{column}", "validity", table, total, F.col(column),
-                F.format_string(f"range [{low:g}, {high:g}]; rows outside: %d", column),
+                f"validity_{column}", "validity", table, "total", column,
+                f"format_string('range [{low:g}, {high:g}]; rows outside: %d', {column})",
             )
         )
-    rows = F.filter(
-        F.array(*always, *unless_empty),
-        lambda c: (total > 0) | (c["dimension"] == "completeness"),
+    return _rows(df.agg(*exprs(counts)), checks).filter(
+        "total_records > 0 OR dimension = 'completeness'"
     )
-    one = df.agg(*[col.alias(name) for name, col in counts.items()])
-    return one.select(F.explode(rows).alias("c")).select("c.*")
 
 
 def check_completeness(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
@@ -176,43 +160,56 @@ def check_uniqueness(df: DataFrame, table: str, key: str) -> DataFrame:
     Text keys are shuffled as their digest, so a long text is read but not
     moved; copies are reduced on the map side.
     """
-    col = F.col(key)
-    if isinstance(df.schema[key].dataType, T.StringType):
-        col = F.unhex(F.sha2(col, 256))
-    groups = df.select(col.alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    total = F.coalesce(F.sum("n"), F.lit(0))
-    repeated = count_if(F.col("n") > 1)
-    failed = total - F.count("k")
-    one = groups.agg(total.alias("total"), failed.alias("failed"), repeated.alias("repeated"))
-    row = _check(
-        f"uniqueness_{table}_{key}", "uniqueness", table, F.col("total"), F.col("failed"),
-        F.format_string(f"key: {key}; repeated keys: %d; surplus rows: %d", "repeated", "failed"),
+    text = isinstance(df.schema[key].dataType, T.StringType)
+    groups = (
+        df.selectExpr(f"unhex(sha2({key}, 256)) AS k" if text else f"{key} AS k")
+        .groupBy("k")
+        .agg(F.expr("count(*) AS n"))
+    )
+    one = groups.agg(
+        *exprs(
+            {
+                "total": "coalesce(sum(n), 0)",
+                "failed": "coalesce(sum(n), 0) - count(k)",
+                "repeated": "count_if(n > 1)",
+            }
+        )
+    )
+    details = (
+        f"format_string('key: {key}; repeated keys: %d; surplus rows: %d', repeated, failed)"
+    )
+    return _rows(
+        one, [_check(f"uniqueness_{table}_{key}", "uniqueness", table, "total", "failed", details)]
     )
-    return one.select(row.alias("c")).select("c.*")
 
 
-def check_timeliness(df: DataFrame, table: str, time: str, as_of: Column) -> DataFrame:
+def check_timeliness(df: DataFrame, table: str, time: str, as_of: dt.datetime) -> DataFrame:
     """Score of the newest time: 1 up to 24 h of age, 0 from 168 h, linear between.
 
     Passes at 0.5; 0 where there is no time.
     """
-    newest = F.col("newest")
-    # Both sides to microseconds, so age keeps its fraction.
-    age = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(newest)) / F.lit(3.6e9)
-    fall = F.lit(1.0) - (age - C.FRESH_HOURS) / F.lit(float(C.STALE_HOURS - C.FRESH_HOURS))
-    score = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), fall)), F.lit(0.0))
-    failed = (score < 0.5).cast("bigint")
-    details = F.format_string(
-        "newest: %s; age in hours: %.1f",
-        F.coalesce(F.date_format(newest, "yyyy-MM-dd HH:mm:ss"), F.lit("none")),
-        F.coalesce(age, F.lit(-1.0)),
+    now = f"TIMESTAMP {lit(as_of.isoformat(sep=' '))}"
+    age = f"(unix_micros({now}) - unix_micros(newest)) / 3.6e9D"
+    span = float(C.STALE_HOURS - C.FRESH_HOURS)
+    score = f"greatest(0D, least(1D, 1D - (age - {C.FRESH_HOURS}) / {lit(span)}))"
+    details = (
+        "format_string('newest: %s; age in hours: %.1f', "
+        "coalesce(date_format(newest, 'yyyy-MM-dd HH:mm:ss'), 'none'), coalesce(age, -1D))"
     )
-    values = [
-        F.lit("timeliness_latest_activity"), F.lit("timeliness"), F.lit(table),
-        F.lit(1).cast("bigint"), 1 - failed, failed, score, details,
-    ]
-    return df.agg(F.max(time).cast("timestamp").alias("newest")).select(
-        *[v.alias(c) for v, c in zip(values, CHECK_COLUMNS)]
+    return (
+        df.agg(F.expr(f"CAST(max({time}) AS TIMESTAMP) AS newest"))
+        .selectExpr("newest", f"{age} AS age")
+        .selectExpr("*", f"coalesce(IF(age IS NULL, 0D, {score}), 0D) AS score")
+        .selectExpr(
+            "'timeliness_latest_activity' AS check_name",
+            "'timeliness' AS dimension",
+            f"'{table}' AS table_name",
+            "1L AS total_records",
+            "CAST(score >= 0.5D AS BIGINT) AS passed_records",
+            "CAST(score < 0.5D AS BIGINT) AS failed_records",
+            "score",
+            f"{details} AS details",
+        )
     )
 
 
@@ -224,21 +221,28 @@ def check_fk(
     The child is counted per key first, so the join sees one row per key and a
     hot key costs nothing.
     """
-    keys = child.groupBy(F.col(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_column).alias("k")).distinct().withColumn("hit", F.lit(1))
-    lost = F.col("k").isNotNull() & F.col("hit").isNull()
+    keys = child.groupBy(F.col(column).alias("k")).agg(F.expr("count(*) AS n"))
+    known = parent.selectExpr(f"{parent_column} AS k", "1 AS hit").distinct()
     one = keys.join(known, "k", "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("failed"),
+        *exprs(
+            {
+                "total": "coalesce(sum(n), 0)",
+                "failed": "coalesce(sum(n) FILTER (WHERE k IS NOT NULL AND hit IS NULL), 0)",
+            }
+        )
     )
-    row = _check(
-        f"ri_{table}_{column}", "referential_integrity", table, F.col("total"), F.col("failed"),
-        F.format_string(f"{table}.{column} without parent: %d", "failed"),
+    return _rows(
+        one,
+        [
+            _check(
+                f"ri_{table}_{column}", "referential_integrity", table, "total", "failed",
+                f"format_string('{table}.{column} without parent: %d', failed)",
+            )
+        ],
     )
-    return one.select(row.alias("c")).select("c.*")
 
 
-def run_checks(tables: dict[str, DataFrame], rules: Rules, as_of: Column) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], rules: Rules, as_of: dt.datetime) -> DataFrame:
     """All checks as one set of rows."""
     frames = []
     scanned = [*rules.required, *[t for t, *_ in rules.in_set], *[t for t, *_ in rules.in_range]]
@@ -255,72 +259,62 @@ def run_checks(tables: dict[str, DataFrame], rules: Rules, as_of: Column) -> Dat
     frames += [check_uniqueness(tables[t], t, key) for t, key in rules.unique]
     frames += [check_timeliness(tables[t], t, time, as_of) for t, time in rules.fresh]
     frames += [check_fk(tables[t], t, c, tables[p], pc) for t, c, p, pc in rules.references]
-    return _union(frames)
+    return reduce(DataFrame.unionByName, frames)
 
 
 # Scores
 
 
-def dimension_scores() -> dict[str, Column]:
-    """Mean score per dimension in one aggregate; 1 for a dimension without checks."""
-    return {
-        d: F.coalesce(F.avg(F.when(F.col("dimension") == d, F.col("score"))), F.lit(1.0))
-        for d in C.DQ_WEIGHTS
-    }
-
-
 def composite(checks: DataFrame, threshold: float = C.DQ_PASS) -> DataFrame:
-    """One row: dimension scores, weighted composite, verdict, threshold."""
-    means = dimension_scores()
-    weighted = F.lit(0.0)
-    for dimension, weight in C.DQ_WEIGHTS.items():
-        weighted = weighted + F.col(dimension) * F.lit(weight)
+    """One row: dimension scores, weighted composite, verdict, threshold.
+
+    A dimension without checks counts as 1.
+    """
+    means = {d: f"coalesce(avg(score) FILTER (WHERE dimension = '{d}'), 1D)" for d in C.DQ_WEIGHTS}
+    weighted = " + ".join(f"{d} * {lit(weight)}" for d, weight in C.DQ_WEIGHTS.items())
     return (
-        checks.agg(
-            *[mean.alias(d) for d, mean in means.items()],
-            F.count(F.lit(1)).alias("total_checks"),
-        )
-        .withColumn("composite_dq_score", F.round(weighted, 4))
-        .select(
-            *[F.round(d, 4).alias(f"{d}_score") for d in means],
+        checks.agg(*exprs({**means, "total_checks": "count(*)"}))
+        .selectExpr("*", f"round({weighted}, 4) AS composite_dq_score")
+        .selectExpr(
+            *[f"round({d}, 4) AS {d}_score" for d in means],
             "composite_dq_score",
-            F.when(F.col("composite_dq_score") >= threshold, "PASS")
-            .otherwise("FAIL")
-            .alias("pass_fail"),
-            F.lit(threshold).alias("threshold_used"),
+            f"IF(composite_dq_score >= {lit(threshold)}, 'PASS', 'FAIL') AS pass_fail",
+            f"{lit(threshold)} AS threshold_used",
             "total_checks",
         )
     )
 
 
 def dq_history_row(
-    checks: DataFrame, run_id: str | None, at: Column, threshold: float = C.DQ_PASS
+    checks: DataFrame, run_id: str | None, at: str, threshold: float = C.DQ_PASS
 ) -> DataFrame:
     """The history row of a run, with all check rows (one per rule) as JSON."""
-    entry = F.struct(
-        "check_name", "dimension", F.col("table_name").alias("table"),
-        F.round("score", 4).alias("score"), F.col("total_records").alias("total"),
-        F.col("passed_records").alias("passed"), F.col("failed_records").alias("failed"),
-        "details",
+    entry = (
+        "struct(check_name, dimension, table_name AS table, round(score, 4) AS score, "
+        "total_records AS total, passed_records AS passed, failed_records AS failed, details)"
     )
-    details = checks.agg(F.to_json(F.sort_array(F.collect_list(entry)))).scalar()
-    return composite(checks, threshold).select(
-        F.lit(run_id).cast("string").alias("run_id"),
-        at.alias("check_timestamp"),
-        *[f"{d}_score" for d in C.DQ_WEIGHTS],
-        "composite_dq_score",
-        "pass_fail",
-        "threshold_used",
-        details.alias("details_json"),
+    details = checks.agg(F.expr(f"to_json(sort_array(collect_list({entry})))")).scalar()
+    return (
+        composite(checks, threshold)
+        .withColumn("details_json", details)
+        .selectExpr(
+            f"CAST({lit(run_id)} AS STRING) AS run_id",
+            f"{at} AS check_timestamp",
+            *[f"{d}_score" for d in C.DQ_WEIGHTS],
+            "composite_dq_score",
+            "pass_fail",
+            "threshold_used",
+            "details_json",
+        )
     )
 
 
 def dq_grades(checks: DataFrame) -> DataFrame:
     """Grade per check: good from 0.85, weak from 0.5, else bad."""
-    score = F.col("score")
-    return checks.withColumn(
-        "grade",
-        F.when(score >= C.DQ_PASS, "good").when(score >= C.DQ_WEAK, "weak").otherwise("bad"),
+    return checks.selectExpr(
+        "*",
+        f"CASE WHEN score >= {C.DQ_PASS}D THEN 'good' WHEN score >= {C.DQ_WEAK}D THEN 'weak' "
+        "ELSE 'bad' END AS grade",
     )
 
 

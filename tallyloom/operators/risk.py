@@ -2,45 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tallyloom.functions.columns import above, below, tier_value
+from tallyloom.functions.columns import exprs, pick, steps, tier_value
 
 # Points per signal and levels per point total.
 ANOMALY_POINTS = [(3.5, 4), (2.0, 2), (1.0, 1)]
 ACCEPTANCE_POINTS = [(0.05, 3), (0.10, 2), (0.20, 1)]
 REPLY_POINTS = [(0.02, 2), (0.05, 1)]
 UTILIZATION_POINTS = [(0.95, 2), (0.80, 1)]
-LEVELS = [(7, "Critical"), (5, "High"), (3, "Moderate"), (1, "Low"), (0, "Healthy")]
+LEVELS = [(7, "Critical"), (5, "High"), (3, "Moderate"), (1, "Low")]
+LOWEST_LEVEL = "Healthy"
 
 # Capacity factors per signal, least days per confidence level.
 ANOMALY_FACTORS = [(3.5, 0.40), (2.0, 0.65), (1.0, 0.85)]
 ACCEPTANCE_FACTORS = [(0.05, 0.50), (0.10, 0.70), (0.20, 0.85)]
 REPLY_FACTORS = [(0.02, 0.75), (0.05, 0.90)]
-CONFIDENCE_DAYS = [(14, "HIGH"), (7, "MEDIUM"), (3, "LOW"), (0, "INSUFFICIENT")]
+CONFIDENCE_DAYS = [(14, "HIGH"), (7, "MEDIUM"), (3, "LOW")]
+NO_CONFIDENCE = "INSUFFICIENT"
 CONFIDENCE_FACTORS = {"LOW": 0.80, "MEDIUM": 0.90}
 
 
-def _at_least(col: Column, steps: list[tuple[int, str]]) -> Column:
-    expr = F.lit(steps[-1][1])
-    for bound, value in reversed(steps[:-1]):
-        expr = F.when(col >= bound, F.lit(value)).otherwise(expr)
-    return expr
-
-
-def risk_level(anomaly: Column, acceptance: Column, reply: Column, used: Column) -> Column:
+def risk_level(anomaly: str, acceptance: str, reply: str, used: str) -> str:
     """Level from the point total of the four signals."""
-    points = (
-        above(anomaly, ANOMALY_POINTS, 0)
-        + below(acceptance, ACCEPTANCE_POINTS, 0)
-        + below(reply, REPLY_POINTS, 0)
-        + above(used, UTILIZATION_POINTS, 0)
+    points = " + ".join(
+        [
+            steps(anomaly, ">", ANOMALY_POINTS, 0),
+            steps(acceptance, "<", ACCEPTANCE_POINTS, 0),
+            steps(reply, "<", REPLY_POINTS, 0),
+            steps(used, ">", UTILIZATION_POINTS, 0),
+        ]
     )
-    return _at_least(points, LEVELS)
+    return steps(f"({points})", ">=", LEVELS, LOWEST_LEVEL)
 
 
-def confidence(days: Column) -> Column:
-    return _at_least(days, CONFIDENCE_DAYS)
+def confidence(days: str) -> str:
+    return steps(days, ">=", CONFIDENCE_DAYS, NO_CONFIDENCE)
 
 
 def with_capacity(
@@ -56,58 +53,45 @@ def with_capacity(
     With too few days the ceilings are recommended and the level is Unknown.
     The level's use of capacity is recommended over ceiling invites.
     """
-    a, c, r = F.col(anomaly), F.col(acceptance), F.col(reply)
-    enough = F.col("confidence") != "INSUFFICIENT"
-    trust = F.lit(1.0)
-    for level, value in CONFIDENCE_FACTORS.items():
-        trust = F.when(F.col("confidence") == level, F.lit(value)).otherwise(trust)
-    factor = (
-        above(a, ANOMALY_FACTORS, 1.0)
-        * below(c, ACCEPTANCE_FACTORS, 1.0)
-        * below(r, REPLY_FACTORS, 1.0)
-        * trust
+    enough = f"confidence <> '{NO_CONFIDENCE}'"
+    factor = " * ".join(
+        [
+            steps(anomaly, ">", ANOMALY_FACTORS, 1.0),
+            steps(acceptance, "<", ACCEPTANCE_FACTORS, 1.0),
+            steps(reply, "<", REPLY_FACTORS, 1.0),
+            pick("confidence", CONFIDENCE_FACTORS, 1.0),
+        ]
     )
 
-    def recommended(ceiling: Column) -> Column:
-        scaled = F.floor(ceiling * F.col("_factor")).cast("int")
-        return F.greatest(F.lit(1), F.least(ceiling, scaled))
-
-    inv, msg = F.col("invite_ceiling"), F.col("message_ceiling")
-    used = F.col("recommended_daily_invites") / inv
-    reason = F.when(
-        enough,
-        F.format_string(
-            "%s tier (%s), ceilings %d/%d; factor %.2f from anomaly %.2f, acceptance %.2f%%, "
-            "replies %.2f%%; confidence %s on %d days; level %s",
-            F.coalesce(tier, F.lit("unknown")), tier_value(F.col(tier), 0), inv, msg,
-            F.col("_factor"), a, c * 100, r * 100, "confidence", F.col(days), "risk_level",
-        ),
-    ).otherwise(
-        F.format_string(
-            "%d days of data are too few for a recommendation; tier ceilings %d/%d apply",
-            F.col(days), inv, msg,
-        )
+    def recommended(ceiling: str) -> str:
+        return f"greatest(1, least({ceiling}, CAST(floor({ceiling} * _factor) AS INT)))"
+
+    level = risk_level(
+        anomaly, acceptance, reply, "CAST(recommended_daily_invites AS DOUBLE) / invite_ceiling"
     )
+    reason = f"""IF({enough},
+        format_string('%s tier (%s), ceilings %d/%d; factor %.2f from anomaly %.2f, '
+            || 'acceptance %.2f%%, replies %.2f%%; confidence %s on %d days; level %s',
+            coalesce({tier}, 'unknown'), {tier_value(tier, 0)}, invite_ceiling, message_ceiling,
+            _factor, {anomaly}, {acceptance} * 100, {reply} * 100, confidence, {days}, risk_level),
+        format_string('%d days of data are too few for a recommendation; ceilings %d/%d apply',
+            {days}, invite_ceiling, message_ceiling))"""
     return (
-        df.withColumns(
-            {
-                "invite_ceiling": tier_value(F.col(tier), 1),
-                "message_ceiling": tier_value(F.col(tier), 2),
-                "confidence": confidence(F.col(days)),
-            }
-        )
-        .withColumn("_factor", F.when(enough, factor).otherwise(F.lit(1.0)))
-        .withColumns(
-            {
-                "recommended_daily_invites": recommended(inv),
-                "recommended_daily_messages": recommended(msg),
-                "safety_factor": F.round("_factor", 4),
-            }
+        df.selectExpr(
+            "*",
+            f"{tier_value(tier, 1)} AS invite_ceiling",
+            f"{tier_value(tier, 2)} AS message_ceiling",
+            f"{confidence(days)} AS confidence",
         )
-        .withColumn(
-            "risk_level", F.when(enough, risk_level(a, c, r, used)).otherwise(F.lit("Unknown"))
+        .selectExpr("*", f"IF({enough}, {factor}, 1D) AS _factor")
+        .selectExpr(
+            "*",
+            f"{recommended('invite_ceiling')} AS recommended_daily_invites",
+            f"{recommended('message_ceiling')} AS recommended_daily_messages",
+            "round(_factor, 4) AS safety_factor",
         )
-        .withColumn("reasoning", reason)
+        .selectExpr("*", f"IF({enough}, {level}, 'Unknown') AS risk_level")
+        .selectExpr("*", f"{reason} AS reasoning")
         .drop("_factor")
     )
 
@@ -118,30 +102,31 @@ def risk_report(accounts: DataFrame, daily: DataFrame) -> DataFrame:
     Means skip NULL; the score is the latest non-NULL one.  An account without
     snapshots is kept, with NULL averages.  Rounding comes after the rules.
     """
+    signals = ["avg_acceptance_rate", "avg_reply_rate", "recent_anomaly_score"]
     per_account = daily.groupBy("account_key").agg(
-        F.count(F.lit(1)).alias("days_of_data"),
-        F.avg("acceptance_rate").alias("avg_acceptance_rate"),
-        F.avg("reply_rate").alias("avg_reply_rate"),
-        F.max_by(
-            F.col("anomaly_score"),
-            F.when(F.col("anomaly_score").isNotNull(), F.col("date_key")),
-        ).alias("recent_anomaly_score"),
+        *exprs(
+            {
+                "days_of_data": "count(*)",
+                "avg_acceptance_rate": "avg(acceptance_rate)",
+                "avg_reply_rate": "avg(reply_rate)",
+                "recent_anomaly_score": "max_by(anomaly_score, date_key) "
+                "FILTER (WHERE anomaly_score IS NOT NULL)",
+            }
+        )
     )
-    seen = F.col("days_of_data") > 0
-    signals = ["avg_acceptance_rate", "avg_reply_rate", "recent_anomaly_score"]
-    report = with_capacity(
-        accounts.filter("is_current = 1 and agent_status = 'Active'")
+    known = (
+        accounts.filter("is_current = 1 AND agent_status = 'Active'")
         .select("account_key", "account_id", "account_name", "account_age_tier")
         .join(per_account, "account_key", "left")
         .fillna(0, ["days_of_data"])
         .fillna(0.0, signals)
     )
-    return report.withColumns({c: F.when(seen, F.round(c, 4)) for c in signals}).select(
+    return with_capacity(known).selectExpr(
         "account_id",
         "account_name",
-        F.col("account_age_tier").alias("account_tier"),
+        "account_age_tier AS account_tier",
         "days_of_data",
-        *signals,
+        *[f"IF(days_of_data > 0, round({c}, 4), NULL) AS {c}" for c in signals],
         "recommended_daily_invites",
         "recommended_daily_messages",
         "invite_ceiling",

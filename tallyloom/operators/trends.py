@@ -6,7 +6,16 @@ row per day, so its size is bounded by the calendar.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame
+
+from tallyloom.functions.columns import lit
+
+
+def _trailing(partition_by: list[str], window: int) -> str:
+    return (
+        f"OVER (PARTITION BY {', '.join(partition_by)} ORDER BY date_key "
+        f"ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
+    )
 
 
 def acceptance_collapse(
@@ -18,11 +27,14 @@ def acceptance_collapse(
 ) -> DataFrame:
     """Add `acceptance_collapse`: the rate lies more than `threshold` below the
     mean of the trailing rows (current one included, at least 3 non-NULL)."""
-    trailing = W.partitionBy(*partition_by).orderBy("date_key").rowsBetween(1 - window, 0)
-    mean = F.when(F.count(rate).over(trailing) >= 3, F.avg(rate).over(trailing))
-    drop = (mean - F.col(rate)) / F.greatest(mean, F.lit(0.01))
-    return daily.withColumn(
-        "acceptance_collapse", F.coalesce(drop > threshold, F.lit(False))
+    trailing = _trailing(partition_by, window)
+    drop = f"(_mean - {rate}) / greatest(_mean, 0.01D)"
+    return (
+        daily.selectExpr(
+            "*", f"IF(count({rate}) {trailing} >= 3, avg({rate}) {trailing}, NULL) AS _mean"
+        )
+        .selectExpr("*", f"coalesce({drop} > {lit(threshold)}, false) AS acceptance_collapse")
+        .drop("_mean")
     )
 
 
@@ -34,24 +46,29 @@ def reply_decay(
     Regression of the rate (NULL as 0) on the row position over the trailing
     rows; 0 / false for fewer than `window` rows or a constant window.
     """
-    ordered = W.partitionBy(*partition_by).orderBy("date_key")
-    trailing = ordered.rowsBetween(1 - window, 0)
-    y = F.coalesce(F.col(rate).cast("double"), F.lit(0.0))
-    numbered = daily.withColumn("_x", F.row_number().over(ordered).cast("double"))
-    x = F.col("_x")
-    usable = (F.count(F.lit(1)).over(trailing) == window) & (
-        F.min(y).over(trailing) != F.max(y).over(trailing)
+    trailing = _trailing(partition_by, window)
+    keys = ", ".join(partition_by)
+    return (
+        daily.selectExpr(
+            "*",
+            f"coalesce(CAST({rate} AS DOUBLE), 0D) AS _y",
+            f"CAST(row_number() OVER (PARTITION BY {keys} ORDER BY date_key) AS DOUBLE) AS _x",
+        )
+        .selectExpr(
+            "*",
+            f"count(*) {trailing} = {window} AND min(_y) {trailing} <> max(_y) {trailing} AS _ok",
+            f"regr_slope(_y, _x) {trailing} AS _slope",
+            f"regr_r2(_y, _x) {trailing} AS _r2",
+        )
+        .selectExpr(
+            "*",
+            "IF(_ok, round(_slope, 6), 0D) AS reply_trend_slope",
+            "IF(_ok, _slope < 0 AND _r2 > 0.5D, false) AS reply_decay",
+        )
+        .drop("_x", "_y", "_ok", "_slope", "_r2")
     )
-    slope = F.regr_slope(y, x).over(trailing)
-    r2 = F.regr_r2(y, x).over(trailing)
-    return numbered.withColumns(
-        {
-            "reply_trend_slope": F.when(usable, F.round(slope, 6)).otherwise(F.lit(0.0)),
-            "reply_decay": F.when(usable, (slope < 0) & (r2 > 0.5)).otherwise(F.lit(False)),
-        }
-    ).drop("_x")
 
 
 def utilization_spikes(daily: DataFrame, at: float = 0.95) -> DataFrame:
     """Snapshot rows at or above the given share of a daily limit."""
-    return daily.filter(F.greatest("invite_utilization", "message_utilization") >= at)
+    return daily.filter(f"greatest(invite_utilization, message_utilization) >= {lit(at)}")

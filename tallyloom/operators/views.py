@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tallyloom import constants as C
-from tallyloom.functions.columns import count_if, divide
-from tallyloom.operators.measures import activity_measures
+from tallyloom.functions.columns import divide, exprs
+from tallyloom.operators.measures import TYPE_COUNTS, activity_measures
 
 
 def daily_trend(fact: DataFrame) -> DataFrame:
@@ -18,62 +17,49 @@ def daily_trend(fact: DataFrame) -> DataFrame:
 
 def last_days(fact: DataFrame, days: int = 7) -> DataFrame:
     """Daily KPI rows of the last days that have activity (`days` of them)."""
-    recent = (
-        fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("date_key")).limit(days).select("date_key")
-    )
+    recent = fact.select("date_key").distinct().orderBy(F.desc("date_key")).limit(days)
     return activity_measures(fact.join(recent, "date_key", "left_semi"), ["date_key"])
 
 
 def activity_breakdown(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("activity_type").agg(F.count(F.lit(1)).alias("activities"))
+    return fact.groupBy("activity_type").agg(F.expr("count(*) AS activities"))
 
 
 def utilization_bands(daily: DataFrame) -> DataFrame:
     """Mean invite utilization per account with its band: red above 0.90,
     yellow above 0.70."""
-    used = F.col("avg_invite_utilization")
+    used = "avg_invite_utilization"
     return (
         daily.groupBy("account_key")
-        .agg(F.avg("invite_utilization").alias("avg_invite_utilization"))
-        .withColumn("band", F.when(used > 0.90, "red").when(used > 0.70, "yellow").otherwise("ok"))
+        .agg(F.expr(f"avg(invite_utilization) AS {used}"))
+        .selectExpr(
+            "*", f"CASE WHEN {used} > 0.9D THEN 'red' WHEN {used} > 0.7D THEN 'yellow' "
+            "ELSE 'ok' END AS band"
+        )
     )
 
 
 def anomaly_grid(scored: DataFrame) -> DataFrame:
     """Account by day grid of scores: a row per account and month, a column per
     day of the month, so the column list is fixed for any date range."""
-    month = F.floor(F.col("date_key") / 100).cast("int")
-    day = F.col("date_key") % 100
-    return scored.groupBy("account_key", month.alias("month_key")).agg(
-        *[
-            F.max(F.when(day == d, F.col("anomaly_score"))).alias(f"d{d:02d}")
-            for d in range(1, 32)
-        ]
-    )
+    days = {f"d{d:02d}": f"max(IF(date_key % 100 = {d}, anomaly_score, NULL))" for d in range(1, 32)}
+    return scored.groupBy(
+        "account_key", F.expr("CAST(floor(date_key / 100) AS INT) AS month_key")
+    ).agg(*exprs(days))
 
 
 def funnel(fact: DataFrame) -> DataFrame:
     """Five steps with count, share of the step before and of the first step."""
     steps = ["invites_sent", "invites_accepted", "messages_sent", "replies_received", "conversions"]
-    kind = F.col("activity_type")
-    types = [C.INVITE_SENT, C.INVITE_ACCEPTED, C.MESSAGE_SENT, C.REPLY_RECEIVED]
-    totals = [count_if(kind == t) for t in types]
-    totals.append(F.coalesce(F.sum(F.col("is_converted").cast("bigint")), F.lit(0)))
-    one = fact.agg(*[col.alias(name) for col, name in zip(totals, steps)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("step_no"),
-                F.lit(name).alias("step"),
-                F.col(name).alias("n"),
-                divide(F.col(name), F.col(steps[max(i - 2, 0)])).alias("of_previous"),
-                divide(F.col(name), F.col(steps[0])).alias("of_first"),
-            )
-            for i, name in enumerate(steps, 1)
-        ]
+    rows = ", ".join(
+        f"struct({i} AS step_no, '{name}' AS step, {name} AS n, "
+        f"{divide(name, steps[max(i - 2, 0)])} AS of_previous, "
+        f"{divide(name, steps[0])} AS of_first)"
+        for i, name in enumerate(steps, 1)
+    )
+    return fact.agg(*exprs({s: TYPE_COUNTS[s] for s in steps})).selectExpr(
+        f"inline(array({rows}))"
     )
-    return one.select(F.inline(rows))
 
 
 def campaign_share(measures: DataFrame) -> DataFrame:
@@ -83,23 +69,28 @@ def campaign_share(measures: DataFrame) -> DataFrame:
     allow 10,001 at most, and joined back; the campaigns themselves never meet
     in one task.
     """
-    ranked = measures.withColumn("conversion_rate", F.round("conversion_rate", 4))
-    by_rate = ranked.groupBy("conversion_rate").agg(F.count(F.lit(1)).alias("n"))
-    above = F.sum("n").over(W.orderBy(F.desc("conversion_rate"))) - F.col("n")
-    ranks = by_rate.select("conversion_rate", (above + 1).alias("rank"))
+    rated = measures.withColumn("conversion_rate", F.round("conversion_rate", 4))
+    ranks = (
+        rated.groupBy("conversion_rate")
+        .agg(F.expr("count(*) AS n"))
+        .selectExpr(
+            "conversion_rate", "sum(n) OVER (ORDER BY conversion_rate DESC) - n + 1 AS rank"
+        )
+    )
     total = measures.agg(F.sum("activities")).scalar()
-    return ranked.join(F.broadcast(ranks), "conversion_rate").select(
-        "campaign_name",
-        "activities",
-        "conversion_rate",
-        "rank",
-        divide(F.col("activities"), total).alias("activity_share"),
+    return (
+        rated.join(F.broadcast(ranks), "conversion_rate")
+        .withColumn("total", total)
+        .selectExpr(
+            "campaign_name", "activities", "conversion_rate", "rank",
+            f"{divide('activities', 'total')} AS activity_share",
+        )
     )
 
 
 def account_trend(scored: DataFrame) -> DataFrame:
     """Per account and day: utilization, acceptance, score, flag and volume."""
-    return scored.select(
+    return scored.selectExpr(
         "account_key",
         "date_key",
         "invite_utilization",
@@ -107,7 +98,7 @@ def account_trend(scored: DataFrame) -> DataFrame:
         "acceptance_rate",
         "anomaly_score",
         "risk_flag",
-        (F.col("invites_sent") + F.col("messages_sent")).alias("volume"),
+        "invites_sent + messages_sent AS volume",
     )
 
 

@@ -10,9 +10,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.functions.columns import date_key
+from tallyloom.functions.columns import date_key, pick
 from tallyloom.operators import (
     anomaly,
     dims,
@@ -32,9 +32,11 @@ from tallyloom.streaming import daily_counts, ingest
 # Parameters of the registered queries.
 WATERMARK = dt.datetime(2024, 1, 15)
 AS_OF = dt.datetime(2024, 2, 1)
-STAMP = dt.datetime(2024, 2, 1, 6, 0)
+STAMP = "TIMESTAMP '2024-02-01 06:00:00'"
 ORDER_SPLIT = dt.datetime(1997, 1, 1)
+ORDER_TIME = "struct(o_orderdate, o_orderkey)"
 RUN = "run-1"
+EARLY = f"TIMESTAMP_NTZ '{WATERMARK}'"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,12 +52,22 @@ def query(fn: Callable[[tm.TestTables], DataFrame]) -> Callable[[tm.TestTables],
     return fn
 
 
-def text_time(col: str | Column) -> Column:
-    return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+def text_time(col: str, name: str | None = None) -> str:
+    """A time as text."""
+    return f"date_format({col}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {name or col}"
+
+
+def changed(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """The frame with the expressions of some columns replaced."""
+    return df.selectExpr(*[f"{texts[c]} AS {c}" if c in texts else c for c in df.columns])
+
+
+def with_text_times(df: DataFrame, *cols: str) -> DataFrame:
+    return df.selectExpr(*[text_time(c) if c in cols else c for c in df.columns])
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+    return changed(df, {c: f"round({c}, 6)" for c in cols})
 
 
 def scored(t: tm.TestTables) -> DataFrame:
@@ -75,79 +87,76 @@ def connected_accounts(t: tm.TestTables) -> DataFrame:
 
 @query
 def scan_since_watermark(t):
-    records = increment.scan_since(tm.activity_records(t), F.col("timestamp"), WATERMARK)
-    return records.select("id", text_time("timestamp").alias("event_time"), "agent_id", "type")
+    records = increment.scan_since(tm.activity_records(t), "timestamp", WATERMARK)
+    return records.selectExpr("id", text_time("timestamp", "event_time"), "agent_id", "type")
 
 
 @query
 def dim_campaign_scd1(t):
     """Segments loaded before meet records that rename some and add the regions."""
-    segment = F.col("campaign_id")
-    known = tm.campaigns(t).select(
-        segment.alias("id"),
-        F.when(segment != "MACHINERY", F.lower(segment)).alias("name"),
-        F.col("target_segment"),
-        F.when(segment != "HOUSEHOLD", F.lit("Paused")).alias("status"),
-    )
-    added = t.region.select(
-        F.col("r_name").alias("id"),
-        F.initcap("r_name").alias("name"),
-        F.lit(None).cast("string").alias("target_segment"),
-        F.lit(None).cast("string").alias("status"),
-    )
-    empty = F.lit(None).cast("string")
-    records = known.unionByName(added).withColumns({"description": empty, "created_at": empty})
+    known = tm.campaigns(t).selectExpr(
+        "campaign_id AS id",
+        "IF(campaign_id = 'MACHINERY', NULL, lower(campaign_id)) AS name",
+        "target_segment",
+        "IF(campaign_id = 'HOUSEHOLD', NULL, 'Paused') AS status",
+    )
+    added = t.region.selectExpr(
+        "r_name AS id", "initcap(r_name) AS name", "CAST(NULL AS STRING) AS target_segment",
+        "CAST(NULL AS STRING) AS status",
+    )
+    records = known.unionByName(added).selectExpr(
+        "*", "CAST(NULL AS STRING) AS description", "CAST(NULL AS STRING) AS created_at"
+    )
     updates = dims.to_dim_campaign(records).drop("description", "created_date")
     return dims.scd1_merge(
-        tm.campaigns(t), updates, "campaign_id", F.lit(1), surrogate="campaign_key"
+        tm.campaigns(t), updates, "campaign_id", "1", surrogate="campaign_key"
     )
 
 
 @query
 def dim_lead_incremental(t):
     """Orders as lead updates: the state at the split, then the records after it."""
-    changed = F.coalesce("updated_at", "created_at")
-    records = t.orders.select(
-        F.col("o_custkey").cast("string").alias("lead_id"),
-        F.col("o_orderpriority").alias("location"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("updated_at"),
-        F.col("o_orderdate").alias("created_at"),
-        F.col("o_orderkey").alias("seq"),
-    ).withColumn("arrival", F.struct(changed.alias("at"), "seq"))
-    order = F.col("arrival")
-    before = facts.last_per_key(
-        records.filter(changed <= F.lit(ORDER_SPLIT)), ["lead_id"], order
-    ).select("lead_id", "location")
-    target = dims.assign_keys(before, "lead_id", "lead_key").select(
-        "lead_key", "lead_id", "location"
-    )
-    news = increment.scan_since(records, changed, ORDER_SPLIT)
+    time = "coalesce(updated_at, created_at)"
+    records = t.orders.selectExpr(
+        "CAST(o_custkey AS STRING) AS lead_id",
+        "o_orderpriority AS location",
+        "IF(o_orderstatus <> 'P', o_orderdate, NULL) AS updated_at",
+        "o_orderdate AS created_at",
+        "o_orderkey AS seq",
+    ).selectExpr("*", f"struct({time} AS at, seq) AS arrival")
+    before = records.filter(f"{time} <= TIMESTAMP_NTZ '{ORDER_SPLIT}'")
+    old = facts.last_per_key(
+        before.select("lead_id", "location", "arrival"), ["lead_id"], "arrival"
+    )
+    target = dims.assign_keys(old.drop("arrival"), "lead_id", "lead_key")
+    news = increment.scan_since(records, time, ORDER_SPLIT)
     return dims.scd1_merge(
-        target, news.select("lead_id", "location", "arrival"), "lead_id", order,
+        target, news.select("lead_id", "location", "arrival"), "lead_id", "arrival",
         surrogate="lead_key",
     )
 
 
-def _order_states(t: tm.TestTables, keep: Column) -> DataFrame:
-    rows = t.orders.filter(keep).select("o_custkey", "o_orderstatus", "o_orderdate", "o_orderkey")
-    return rows
+def _order_states(t: tm.TestTables, keep: str = "true") -> DataFrame:
+    return t.orders.filter(keep).select(
+        "o_custkey", "o_orderstatus", "o_orderdate", "o_orderkey"
+    )
+
+
+BEFORE_SPLIT = f"o_orderdate < TIMESTAMP_NTZ '{ORDER_SPLIT}'"
+AFTER_SPLIT = f"o_orderdate >= TIMESTAMP_NTZ '{ORDER_SPLIT}'"
 
 
 @query
 def insert_new_only(t):
-    split = F.col("o_orderdate") < F.lit(ORDER_SPLIT)
-    arrival = F.struct("o_orderdate", "o_orderkey")
-    target = facts.first_per_key(_order_states(t, split), ["o_custkey"], arrival)
-    result = facts.insert_new(target, _order_states(t, F.lit(True)), ["o_custkey"], arrival)
+    target = facts.first_per_key(_order_states(t, BEFORE_SPLIT), ["o_custkey"], ORDER_TIME)
+    result = facts.insert_new(target, _order_states(t), ["o_custkey"], ORDER_TIME)
     return result.select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
 @query
 def replace_by_key(t):
-    split = F.col("o_orderdate") < F.lit(ORDER_SPLIT)
-    order = F.struct("o_orderdate", "o_orderkey")
-    target = facts.last_per_key(_order_states(t, split), ["o_custkey"], order)
-    rows = facts.last_per_key(_order_states(t, ~split), ["o_custkey"], order)
+    target = facts.last_per_key(_order_states(t, BEFORE_SPLIT), ["o_custkey"], ORDER_TIME)
+    rows = facts.last_per_key(_order_states(t, AFTER_SPLIT), ["o_custkey"], ORDER_TIME)
     return facts.replace_by_key(target, rows, ["o_custkey"]).select(
         "o_custkey", "o_orderkey", "o_orderstatus"
     )
@@ -158,71 +167,63 @@ def replace_by_key(t):
 
 @query
 def dim_date(t):
-    return dims.dim_date_covering(t.orders, "o_orderdate").withColumn(
-        "full_date", F.col("full_date").cast("string")
-    )
+    calendar = dims.dim_date_covering(t.orders, "o_orderdate")
+    return changed(calendar, {"full_date": "CAST(full_date AS STRING)"})
 
 
 @query
 def scd1_merge(t):
     target = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    updates = t.orders.select(
-        F.col("o_custkey").alias("c_custkey"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("c_mktsegment"),
-        F.struct("o_orderdate", "o_orderkey").alias("arrival"),
+    updates = t.orders.selectExpr(
+        "o_custkey AS c_custkey",
+        "IF(o_orderstatus <> 'P', o_orderpriority, NULL) AS c_mktsegment",
+        f"{ORDER_TIME} AS arrival",
     )
-    return dims.scd1_merge(target, updates, "c_custkey", F.col("arrival"))
+    return dims.scd1_merge(target, updates, "c_custkey", "arrival")
 
 
 def _versions_out(versions: DataFrame) -> DataFrame:
-    return versions.withColumns(
-        {c: text_time(c) for c in ("effective_from", "effective_to")}
-    )
+    return with_text_times(versions, "effective_from", "effective_to")
 
 
-def _history(t: tm.TestTables) -> DataFrame:
-    return dims.scd2_history(
-        orders_as_changes(t), ["o_custkey"], ["o_orderpriority"], "o_orderdate", "o_orderkey"
-    )
+HISTORY_OF_ORDERS = (["o_custkey"], ["o_orderpriority"], "o_orderdate", "o_orderkey")
 
 
 @query
 def scd2_history(t):
-    return _versions_out(_history(t))
+    return _versions_out(dims.scd2_history(orders_as_changes(t), *HISTORY_OF_ORDERS))
 
 
 @query
 def scd2_merge(t):
     changes = orders_as_changes(t)
-    args = ["o_custkey"], ["o_orderpriority"], "o_orderdate", "o_orderkey"
-    old = dims.scd2_history(changes.filter(F.col("o_orderdate") < F.lit(ORDER_SPLIT)), *args)
-    new = changes.filter(F.col("o_orderdate") >= F.lit(ORDER_SPLIT))
-    return _versions_out(dims.scd2_merge(old, new, *args))
+    old = dims.scd2_history(changes.filter(BEFORE_SPLIT), *HISTORY_OF_ORDERS)
+    return _versions_out(
+        dims.scd2_merge(old, changes.filter(AFTER_SPLIT), *HISTORY_OF_ORDERS)
+    )
 
 
 @query
 def scd2_current(t):
-    return _versions_out(dims.current_versions(_history(t)))
+    versions = dims.scd2_history(orders_as_changes(t), *HISTORY_OF_ORDERS)
+    return _versions_out(dims.current_versions(versions))
 
 
 @query
 def surrogate_keys(t):
-    taken = t.nation.select(F.col("n_nationkey").cast("bigint").alias("lead_key"))
+    taken = t.nation.selectExpr("CAST(n_nationkey AS BIGINT) AS lead_key")
     return dims.assign_keys(t.customer.select("c_name"), "c_name", "lead_key", taken)
 
 
+def _nation_tiers(t: tm.TestTables) -> DataFrame:
+    return t.nation.selectExpr("n_nationkey AS c_nationkey", f"{tm.TIER} AS tier")
+
+
 @query
 def tier_limits(t):
     """Customers by the tier of their nation; one segment has an unknown tier."""
-    nations = t.nation.select(
-        F.col("n_nationkey").alias("c_nationkey"),
-        tm.tier_of_region(F.col("n_regionkey")).alias("tier"),
-    )
-    rows = t.customer.join(nations, "c_nationkey").select(
-        "c_custkey",
-        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("unseen"))
-        .otherwise(F.col("tier"))
-        .alias("account_age_tier"),
+    rows = t.customer.join(_nation_tiers(t), "c_nationkey").selectExpr(
+        "c_custkey", "IF(c_mktsegment = 'BUILDING', 'unseen', tier) AS account_age_tier"
     )
     return dims.with_tier_limits(rows)
 
@@ -232,102 +233,98 @@ def tier_limits(t):
 
 def dirty_records(t: tm.TestTables) -> DataFrame:
     """Records with text times, some of them absent or unreadable, and lost ids."""
-    time = text_time("timestamp")
-    hours = F.col("response_time_hours")
-    return tm.activity_records(t).withColumns(
+    hours = "response_time_hours"
+    time = "date_format(timestamp, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    return changed(
+        tm.activity_records(t),
         {
-            "id": F.when((F.col("type") == "reply_received") & (hours > 300), F.lit(""))
-            .otherwise(F.col("id")),
-            "timestamp": F.when(hours > 250, F.lit("not a time"))
-            .when(hours < 1, F.lit(None).cast("string"))
-            .when(F.col("type") == "follow_up_sent", F.lit(""))
-            .otherwise(time),
-            "created_at": F.when(F.col("type") == "follow_up_sent", time),
-        }
+            "id": f"IF(type = 'reply_received' AND {hours} > 300, '', id)",
+            "timestamp": f"CASE WHEN {hours} > 250 THEN 'not a time' WHEN {hours} < 1 THEN NULL "
+            f"WHEN type = 'follow_up_sent' THEN '' ELSE {time} END",
+            "created_at": f"IF(type = 'follow_up_sent', {time}, NULL)",
+        },
     )
 
 
 @query
 def activity_date_key(t):
-    return facts.with_event_time(dirty_records(t)).select(
-        F.col("timestamp").alias("raw_time"), "created_at", "type",
-        F.coalesce("date_key", F.lit(-1)).alias("date_key"),
-        text_time("event_time").alias("event_time"),
+    """A date key that stays NULL is given out as -1."""
+    return facts.with_event_time(dirty_records(t)).selectExpr(
+        "timestamp AS raw_time", "created_at", "type", "coalesce(date_key, -1) AS date_key",
+        text_time("event_time"),
     )
 
 
 def _resolved(t: tm.TestTables, records: DataFrame) -> DataFrame:
+    leads = t.customer.filter("c_acctbal >= 0").selectExpr(
+        "c_custkey AS lead_key", "CAST(c_custkey AS STRING) AS lead_id"
+    )
     return facts.resolve_keys(
         facts.with_event_time(records),
         connected_accounts(t),
         tm.campaigns(t).filter("status <> 'Completed'"),
-        tm.leads(t).join(t.customer.select(F.col("c_custkey").alias("lead_key"), "c_acctbal"),
-                         "lead_key").filter("c_acctbal >= 0"),
+        leads,
     )
 
 
 @query
 def resolve_keys(t):
     """Keys that stay NULL are given out as -1."""
-    return _resolved(t, tm.activity_records(t)).select(
-        "id", "account_key",
-        *[F.coalesce(c, F.lit(-1).cast("bigint")).alias(c) for c in ("campaign_key", "lead_key")],
+    return _resolved(t, tm.activity_records(t)).selectExpr(
+        "id", "account_key", "coalesce(campaign_key, -1L) AS campaign_key",
+        "coalesce(lead_key, -1L) AS lead_key",
     )
 
 
 @query
 def activity_projection(t):
     """Loose source values: NULL flags and a NULL type."""
-    records = tm.activity_records(t).withColumns(
+    records = changed(
+        tm.activity_records(t),
         {
-            "accepted": F.when(F.col("accepted"), F.lit(True)),
-            "type": F.when(F.col("type") != "follow_up_sent", F.col("type")),
-        }
+            "accepted": "IF(accepted, true, NULL)",
+            "type": "IF(type = 'follow_up_sent', NULL, type)",
+        },
     )
-    ready = facts.with_event_time(records).withColumns(
-        {
-            "account_key": F.col("agent_id").cast("bigint") + 1,
-            "campaign_key": tm.campaign_key(F.col("campaign_id")),
-            "lead_key": F.col("lead_id").cast("bigint"),
-        }
+    segment_key = pick("campaign_id", {s: k for k, s in enumerate(tm.SEGMENTS, 1)})
+    ready = facts.with_event_time(records).selectExpr(
+        "*",
+        "CAST(agent_id AS BIGINT) + 1 AS account_key",
+        f"CAST({segment_key} AS BIGINT) AS campaign_key",
+        "CAST(lead_id AS BIGINT) AS lead_key",
     )
-    fact = facts.to_fact_activity(ready, tm.SOURCE_SYSTEM)
-    return fact.withColumn("activity_timestamp", text_time("activity_timestamp"))
-
-
-def _fact_columns(t: tm.TestTables) -> DataFrame:
-    return tm.activity(t).select(
-        "activity_id", "date_key", "account_key", "activity_type", "is_converted",
-        "response_time_hours",
+    return with_text_times(
+        facts.to_fact_activity(ready, tm.SOURCE_SYSTEM), "activity_timestamp"
     )
 
 
 @query
 def fact_idempotent_load(t):
     """Half is loaded; the batch brings everything twice with other values."""
-    fact = _fact_columns(t)
-    target = fact.filter(F.col("date_key") < date_key(F.lit(WATERMARK)))
-    later = F.coalesce("response_time_hours", F.lit(0.0)) + 1
-    batch = fact.withColumn("arrival", F.lit(2)).unionByName(
-        fact.withColumns({"response_time_hours": later, "arrival": F.lit(1)})
+    fact = tm.activity(t).select(
+        "activity_id", "date_key", "account_key", "activity_type", "is_converted",
+        "response_time_hours",
+    )
+    target = fact.filter(f"date_key < {WATERMARK:%Y%m%d}")
+    later = changed(fact, {"response_time_hours": "coalesce(response_time_hours, 0D) + 1D"})
+    batch = later.selectExpr("*", "1 AS arrival").unionByName(
+        fact.selectExpr("*", "2 AS arrival")
     )
     return target.unionByName(
-        facts.insert_facts(target, batch, ["activity_id"], F.col("arrival")).drop("arrival")
+        facts.insert_facts(target, batch, ["activity_id"], "arrival").drop("arrival")
     )
 
 
-def _checked(t: tm.TestTables) -> tuple[DataFrame, DataFrame]:
-    return facts.split_valid(_resolved(t, dirty_records(t)), facts.load_rules())
+def _checked(t: tm.TestTables) -> DataFrame:
+    return facts.checked(_resolved(t, dirty_records(t)), facts.load_rules())
 
 
 @query
 def reject_split(t):
-    accepted, rejected = _checked(t)
-    out = ["lead_id", "type", "response_time_hours", "error_message"]
-    return (
-        accepted.withColumn("error_message", F.lit(None).cast("string"))
-        .select(*out)
-        .unionByName(rejected.select(*out))
+    accepted, rejected = facts.split_valid(_resolved(t, dirty_records(t)), facts.load_rules())
+    accepted = accepted.selectExpr("*", "CAST(NULL AS STRING) AS error_message")
+    return accepted.unionByName(rejected).select(
+        "lead_id", "type", "response_time_hours", "error_message"
     )
 
 
@@ -337,37 +334,39 @@ PAYLOAD = ["id", "timestamp", "created_at", "agent_id", "campaign_id", "lead_id"
 
 def _dead_letters(t: tm.TestTables) -> DataFrame:
     """Rejects of records without an account, failed at their own time."""
-    records = tm.activity_records(t).withColumn("timestamp", text_time("timestamp"))
-    records = records.withColumn("created_at", F.lit(None).cast("string"))
+    records = changed(
+        tm.activity_records(t),
+        {
+            "timestamp": "date_format(timestamp, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+            "created_at": "CAST(NULL AS STRING)",
+        },
+    )
     _, rejected = facts.split_valid(_resolved(t, records), facts.load_rules())
-    run = F.when(F.col("event_time") < F.lit(WATERMARK), "run-1").otherwise("run-2")
-    return facts.to_dead_letter(rejected, PAYLOAD, run, "load", F.col("event_time"))
-
-
-def _dlq_out(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: text_time(c) for c in ("failed_at", "retried_at")})
+    run = f"IF(event_time < {EARLY}, 'run-1', 'run-2')"
+    return facts.to_dead_letter(rejected, PAYLOAD, run, "load", "event_time")
 
 
 @query
 def dead_letter_rows(t):
-    return _dlq_out(_dead_letters(t))
+    return with_text_times(_dead_letters(t), "failed_at", "retried_at")
 
 
 def _half_retried(t: tm.TestTables) -> DataFrame:
     letters = _dead_letters(t)
-    ids = letters.filter("record_payload like '%invite_sent%'").select("dlq_id")
-    return facts.mark_retried(letters, ids, F.lit(STAMP).cast("timestamp"))
+    ids = letters.filter("record_payload LIKE '%invite_sent%'").select("dlq_id")
+    return facts.mark_retried(letters, ids, STAMP)
 
 
 @query
 def dead_letter_mark_retried(t):
-    return _dlq_out(_half_retried(t)).select("dlq_id", "retried", "retried_at")
+    return _half_retried(t).selectExpr("dlq_id", "retried", text_time("retried_at"))
 
 
 @query
 def dead_letter_unretried(t):
-    return _dlq_out(facts.unretried(_half_retried(t))).select(
-        "dlq_id", "run_id", "record_payload", "error_type", "error_message", "failed_at"
+    return facts.unretried(_half_retried(t)).selectExpr(
+        "dlq_id", "run_id", "record_payload", "error_type", "error_message",
+        text_time("failed_at"),
     )
 
 
@@ -378,9 +377,7 @@ def dead_letter_counts(t):
 
 @query
 def load_counts(t):
-    accepted, rejected = _checked(t)
-    both = accepted.withColumn("error_message", F.lit(None).cast("string")).unionByName(rejected)
-    return ops.load_counts(both)
+    return ops.load_counts(_checked(t))
 
 
 @query
@@ -396,68 +393,59 @@ def daily_snapshot_dense(t):
 # Incremental
 
 
-def _state(t: tm.TestTables) -> DataFrame:
-    """Watermarks as two earlier runs left them."""
-    seen = t.events.filter(F.col("ts") < F.lit(WATERMARK)).agg(F.max("ts").alias("ts"))
-    rows = seen.select(F.lit("outreach_activity").alias("entity_name"), "ts").unionByName(
-        t.orders.agg(F.max("o_orderdate").alias("ts")).select(
-            F.lit("leads").alias("entity_name"), "ts"
-        )
-    )
-    return rows.select(
-        "entity_name",
-        F.col("ts").cast("timestamp").alias("last_watermark"),
-        F.lit(AS_OF).cast("timestamp").alias("updated_at"),
-    )
-
-
 @query
 def watermark_advance(t):
     """Rejected records do not move the watermark; the other entity keeps its own."""
-    state = _state(t)
-    old = state.filter("entity_name = 'outreach_activity'").agg(F.max("last_watermark")).scalar()
-    checked = _resolved(t, tm.activity_records(t))
-    accepted, _ = facts.split_valid(
-        checked.filter(F.col("event_time").cast("timestamp") > old), facts.load_rules()
+    seen = t.events.filter(f"ts < {EARLY}").selectExpr("max(ts) AS ts")
+    state = (
+        seen.selectExpr("'outreach_activity' AS entity_name", "ts")
+        .unionByName(t.orders.selectExpr("'leads' AS entity_name", "max(o_orderdate) AS ts"))
+        .selectExpr(
+            "entity_name", "CAST(ts AS TIMESTAMP) AS last_watermark",
+            f"TIMESTAMP '{AS_OF}' AS updated_at",
+        )
+    )
+    records = tm.activity_records(t).filter(F.col("timestamp") > seen.scalar())
+    accepted, _ = facts.split_valid(_resolved(t, records), facts.load_rules())
+    row = increment.advance(state, accepted, "outreach_activity", "event_time", STAMP)
+    return with_text_times(
+        increment.put_watermark(state, row), "last_watermark", "updated_at"
     )
-    stamp = F.lit(STAMP).cast("timestamp")
-    row = increment.advance(state, accepted, "outreach_activity", "event_time", stamp)
-    result = increment.put_watermark(state, row)
-    return result.withColumns({c: text_time(c) for c in ("last_watermark", "updated_at")})
 
 
 @query
 def incremental_equals_full(t):
     """Two loads, the second overlapping the first by five days."""
     records = facts.with_event_time(tm.activity_records(t))
-    source = tm.SOURCE_SYSTEM
 
     def loaded(part: DataFrame) -> DataFrame:
         resolved = facts.resolve_keys(part, connected_accounts(t), tm.campaigns(t), tm.leads(t))
         ok, _ = facts.split_valid(resolved, facts.load_rules())
-        return facts.to_fact_activity(ok, source)
+        return facts.to_fact_activity(ok, tm.SOURCE_SYSTEM)
 
-    time = F.col("event_time")
-    first = loaded(records.filter(time < F.lit(WATERMARK)))
-    again = loaded(increment.scan_since(records, time, WATERMARK - dt.timedelta(days=5)))
-    order = F.col("activity_timestamp")
-    fact = facts.insert_new(first, again, ["activity_id"], order)
-    return fact.withColumn("activity_timestamp", text_time("activity_timestamp"))
+    first = loaded(records.filter(f"event_time < {EARLY}"))
+    overlap = WATERMARK - dt.timedelta(days=5)
+    again = loaded(increment.scan_since(records, "event_time", overlap))
+    fact = facts.insert_new(first, again, ["activity_id"], "activity_timestamp")
+    return with_text_times(fact, "activity_timestamp")
 
 
 @query
 def snapshot_refresh(t):
     """The snapshot of half the facts, refreshed with the rest."""
     fact, accounts = tm.activity(t), tm.accounts(t)
-    late = F.col("activity_timestamp") >= F.lit(WATERMARK + dt.timedelta(hours=12))
-    old = facts.daily_snapshot(fact.filter(~late), accounts)
-    return facts.snapshot_refresh(old, fact, fact.filter(late), accounts)
+    noon = f"TIMESTAMP_NTZ '{WATERMARK + dt.timedelta(hours=12)}'"
+    old = facts.daily_snapshot(fact.filter(f"activity_timestamp < {noon}"), accounts)
+    return facts.snapshot_refresh(
+        old, fact, fact.filter(f"activity_timestamp >= {noon}"), accounts
+    )
 
 
 @query
 def stream_ingest(t):
-    result = ingest.replay(t.spark, t.sf_dir, tm.event_records_of)
-    return result.withColumn("activity_timestamp", text_time("activity_timestamp"))
+    return with_text_times(
+        ingest.replay(t.spark, t.sf_dir, tm.event_stream), "activity_timestamp"
+    )
 
 
 @query
@@ -548,13 +536,12 @@ def campaign_measures(t):
 
 @query
 def campaign_measures_sliced(t):
-    first, last = date_key(F.lit(dt.date(2024, 1, 8))), date_key(F.lit(dt.date(2024, 1, 21)))
     return rounded(
         measures.campaign_measures(
-            tm.activity(t).filter(F.col("date_key").between(first, last)),
+            tm.activity(t).filter("date_key BETWEEN 20240108 AND 20240121"),
             tm.campaigns(t),
             ["target_segment", "status"],
-            F.col("status").isin("Active", "Paused"),
+            "status IN ('Active', 'Paused')",
         ),
         "acceptance_rate", "reply_rate", "conversion_rate",
     )
@@ -646,17 +633,16 @@ def anomaly_scores_by_account(t):
 def modified_z(t):
     """Pooled over all order prices."""
     rows = t.orders.select("o_orderkey", "o_totalprice")
-    return anomaly.with_modified_z(rows, "o_totalprice", out="z").withColumn(
-        "z", F.round("z", 4)
+    return changed(
+        anomaly.with_modified_z(rows, "o_totalprice", out="z"), {"z": "round(z, 4)"}
     )
 
 
 @query
 def modified_z_by_priority(t):
     rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return anomaly.with_modified_z(
-        rows, "o_totalprice", ["o_orderpriority"], out="z"
-    ).withColumn("z", F.round("z", 4))
+    scores = anomaly.with_modified_z(rows, "o_totalprice", ["o_orderpriority"], out="z")
+    return changed(scores, {"z": "round(z, 4)"})
 
 
 @query
@@ -707,12 +693,12 @@ def reply_decay(t):
 @query
 def reply_decay_revenue(t):
     """The same regression over daily revenue per supplier."""
-    per_day = t.lineitem.groupBy("l_suppkey", date_key(F.col("l_shipdate")).alias("date_key")).agg(
-        F.round(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double"), 2)
-        .alias("revenue")
-    )
-    return trends.reply_decay(per_day, ["l_suppkey"], rate="revenue").withColumn(
-        "reply_trend_slope", F.round("reply_trend_slope", 4)
+    per_day = t.lineitem.groupBy(
+        "l_suppkey", F.expr(date_key("l_shipdate")).alias("date_key")
+    ).agg(F.expr("CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue"))
+    return changed(
+        trends.reply_decay(per_day, ["l_suppkey"], rate="revenue"),
+        {"reply_trend_slope": "round(reply_trend_slope, 4)"},
     )
 
 
@@ -728,31 +714,23 @@ def utilization_spikes(t):
 
 def risk_grid(t: tm.TestTables) -> DataFrame:
     """Customers with derived signals that reach every branch of the rules."""
-    nations = t.nation.select(
-        F.col("n_nationkey").alias("c_nationkey"),
-        tm.tier_of_region(F.col("n_regionkey")).alias("account_age_tier"),
-    )
-    key = F.col("c_custkey")
-    return t.customer.join(nations, "c_nationkey").select(
-        key,
-        "account_age_tier",
-        ((key % 45) / F.lit(10.0)).alias("recent_anomaly_score"),
-        ((key % 31) / F.lit(100.0)).alias("avg_acceptance_rate"),
-        ((key % 13) / F.lit(100.0)).alias("avg_reply_rate"),
-        (key % 20).alias("days_of_data"),
-        ((key % 11) / F.lit(10.0)).alias("utilization"),
+    return t.customer.join(_nation_tiers(t), "c_nationkey").selectExpr(
+        "c_custkey",
+        "tier AS account_age_tier",
+        "(c_custkey % 45) / 10D AS recent_anomaly_score",
+        "(c_custkey % 31) / 100D AS avg_acceptance_rate",
+        "(c_custkey % 13) / 100D AS avg_reply_rate",
+        "c_custkey % 20 AS days_of_data",
+        "(c_custkey % 11) / 10D AS utilization",
     )
 
 
 @query
 def risk_classify(t):
-    return risk_grid(t).select(
-        "c_custkey",
-        risk.risk_level(
-            F.col("recent_anomaly_score"), F.col("avg_acceptance_rate"),
-            F.col("avg_reply_rate"), F.col("utilization"),
-        ).alias("risk_level"),
+    level = risk.risk_level(
+        "recent_anomaly_score", "avg_acceptance_rate", "avg_reply_rate", "utilization"
     )
+    return risk_grid(t).selectExpr("c_custkey", f"{level} AS risk_level")
 
 
 @query
@@ -796,7 +774,7 @@ def dq_uniqueness(t):
 @query
 def dq_validity_set(t):
     return quality.check_in_set(
-        t.documents.select(F.col("lang")), "documents", "lang", ["en", "de"]
+        t.documents, "documents", "lang", ["en", "de"]
     ).unionByName(
         quality.check_in_set(
             tm.activity(t), "fact_activity", "activity_type", ["invite_sent", "message_sent"]
@@ -812,9 +790,8 @@ def dq_validity_range(t):
 
 @query
 def dq_timeliness(t):
-    as_of = F.lit(AS_OF + dt.timedelta(days=3))
     return quality.check_timeliness(
-        tm.activity(t), "fact_activity", "activity_timestamp", as_of
+        tm.activity(t), "fact_activity", "activity_timestamp", AS_OF + dt.timedelta(days=3)
     )
 
 
@@ -834,7 +811,7 @@ def mart_checks(t: tm.TestTables) -> DataFrame:
         "fact_daily": tm.daily(t),
         "dim_date": dims.dim_date_covering(t.events, "ts"),
     }
-    return quality.run_checks(tables, quality.MART_RULES, F.lit(AS_OF))
+    return quality.run_checks(tables, quality.MART_RULES, AS_OF)
 
 
 @query
@@ -849,8 +826,9 @@ def dq_composite(t):
 
 @query
 def dq_history_row(t):
-    row = quality.dq_history_row(mart_checks(t), RUN, F.lit(STAMP).cast("timestamp"))
-    return row.withColumn("check_timestamp", text_time("check_timestamp"))
+    return with_text_times(
+        quality.dq_history_row(mart_checks(t), RUN, STAMP), "check_timestamp"
+    )
 
 
 @query
@@ -859,17 +837,15 @@ def dq_grades(t):
 
 
 def daily_scores(t: tm.TestTables) -> DataFrame:
-    """A score history from the data: one check per day and account, the share
-    of snapshot rates in range."""
-    ok = F.col("acceptance_rate").between(0, 1).cast("int") + F.col("reply_rate").between(
-        0, 1
-    ).cast("int")
+    """A score history from the data: one check per day, the share of snapshot
+    rates in range."""
+    ok = "CAST(acceptance_rate BETWEEN 0 AND 1 AS INT) + CAST(reply_rate BETWEEN 0 AND 1 AS INT)"
     return (
         tm.daily(t)
         .groupBy("date_key")
-        .agg(F.round(F.sum(ok) / (2.0 * F.count(F.lit(1))), 4).alias("composite_dq_score"))
-        .select(
-            F.to_timestamp(F.col("date_key").cast("string"), "yyyyMMdd").alias("check_timestamp"),
+        .agg(F.expr(f"round(sum({ok}) / (2D * count(*)), 4) AS composite_dq_score"))
+        .selectExpr(
+            "to_timestamp(CAST(date_key AS STRING), 'yyyyMMdd') AS check_timestamp",
             "composite_dq_score",
         )
     )
@@ -877,8 +853,8 @@ def daily_scores(t: tm.TestTables) -> DataFrame:
 
 @query
 def dq_latest(t):
-    return measures.dq_latest(daily_scores(t)).withColumn(
-        "check_day", F.col("check_day").cast("string")
+    return changed(
+        measures.dq_latest(daily_scores(t)), {"check_day": "CAST(check_day AS STRING)"}
     )
 
 
@@ -888,42 +864,43 @@ def dq_latest(t):
 def daily_runs(t: tm.TestTables) -> DataFrame:
     """A run log from the data: one run per day of events, failed on days with
     more errors than views."""
-    errors = F.count(F.when(F.col("event_type") == "error", 1))
-    views_ = F.count(F.when(F.col("event_type") == "view", 1))
-    day = F.to_date("ts")
-    return t.events.groupBy(day.alias("day")).agg(
-        F.min("ts").cast("timestamp").alias("started_at"),
-        F.max("ts").cast("timestamp").alias("ended_at"),
-        F.when(errors > views_, "failed").otherwise("success").alias("status"),
-        F.format_string("%d errors", errors).alias("error_message"),
-    ).withColumn("run_id", F.concat(F.lit("run-"), F.col("day").cast("string"))).drop("day")
+    return (
+        t.events.groupBy(F.expr("to_date(ts) AS day"))
+        .agg(
+            F.expr("CAST(min(ts) AS TIMESTAMP) AS started_at"),
+            F.expr("CAST(max(ts) AS TIMESTAMP) AS ended_at"),
+            F.expr("count_if(event_type = 'error') AS errors"),
+            F.expr("count_if(event_type = 'view') AS views"),
+        )
+        .selectExpr(
+            "concat('run-', CAST(day AS STRING)) AS run_id",
+            "started_at",
+            "ended_at",
+            "IF(errors > views, 'failed', 'success') AS status",
+            "concat(errors, ' errors') AS error_message",
+        )
+    )
 
 
 @query
 def run_log(t):
-    return daily_runs(t).withColumns({c: text_time(c) for c in ("started_at", "ended_at")})
+    return with_text_times(daily_runs(t), "started_at", "ended_at")
 
 
 def grid_report(t: tm.TestTables) -> DataFrame:
-    return risk.with_capacity(risk_grid(t)).select(
-        F.col("c_custkey").cast("string").alias("account_id"),
-        F.lit(None).cast("string").alias("account_name"),
+    return risk.with_capacity(risk_grid(t)).selectExpr(
+        "CAST(c_custkey AS STRING) AS account_id", "CAST(NULL AS STRING) AS account_name",
         "risk_level",
     )
 
 
 @query
 def alerts(t):
-    stamp = F.lit(STAMP).cast("timestamp")
-    history = quality.dq_history_row(mart_checks(t), RUN, stamp, threshold=0.99)
-    return ops.alerts(history, daily_runs(t), grid_report(t), stamp).withColumn(
-        "raised_at", text_time("raised_at")
-    )
+    history = quality.dq_history_row(mart_checks(t), RUN, STAMP, threshold=0.99)
+    raised = ops.alerts(history, daily_runs(t), grid_report(t), STAMP)
+    return with_text_times(raised, "raised_at")
 
 
 @query
 def critical_accounts(t):
-    stamp = F.lit(STAMP).cast("timestamp")
-    return ops.critical_accounts(grid_report(t), stamp).withColumn(
-        "raised_at", text_time("raised_at")
-    )
+    return with_text_times(ops.critical_accounts(grid_report(t), STAMP), "raised_at")

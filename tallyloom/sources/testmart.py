@@ -6,10 +6,10 @@ leads, and `events` joined with `customer` the activity records.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom import constants as C
-from tallyloom.functions.columns import date_key, flag, tier_value
+from tallyloom.functions.columns import date_key, flag, lit, pick, tier_value
 from tallyloom.operators import facts
 
 # Fixed values of the mapping.
@@ -45,115 +45,90 @@ class TestTables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def _pick(col: Column, mapping: dict) -> Column:
-    expr = F.lit(None)
-    for key, value in mapping.items():
-        expr = F.when(col == key, F.lit(value)).otherwise(expr)
-    return expr
-
-
-def tier_of_region(region_key: Column) -> Column:
-    return _pick(region_key, dict(enumerate(C.TIERS)))
+TIER = pick("n_regionkey", dict(enumerate(C.TIERS)))
+CAMPAIGN_KEY = f"CAST({pick('c_mktsegment', {s: k for k, s in enumerate(SEGMENTS, 1)})} AS BIGINT)"
+ACTIVITY_TYPE = pick("event_type", EVENT_TYPES)
+HOURS = "IF(event_type IN ('click', 'purchase'), value, NULL)"
+CONVERTED = "event_type = 'purchase' AND value > 100"
 
 
 def accounts(t: TestTables) -> DataFrame:
-    tier = F.col("account_age_tier")
-    status = F.col("n_nationkey") % 10
-    return (
-        t.nation.select(
-            (F.col("n_nationkey") + 1).cast("bigint").alias("account_key"),
-            F.col("n_nationkey").cast("string").alias("account_id"),
-            F.col("n_name").alias("account_name"),
-            tier_of_region(F.col("n_regionkey")).alias("account_age_tier"),
-            F.when(status == 0, "Paused")
-            .when(status == 1, "Ghost")
-            .when(status == 2, "Disconnected")
-            .otherwise("Active")
-            .alias("agent_status"),
-        )
-        .withColumn("risk_classification", tier_value(tier, 0))
-        .withColumn("daily_invite_limit", tier_value(tier, 1))
-        .withColumn("daily_message_limit", tier_value(tier, 2))
-        .withColumn("is_current", F.lit(1))
+    status = "n_nationkey % 10"
+    return t.nation.selectExpr("*", f"{TIER} AS account_age_tier").selectExpr(
+        "CAST(n_nationkey + 1 AS BIGINT) AS account_key",
+        "CAST(n_nationkey AS STRING) AS account_id",
+        "n_name AS account_name",
+        "account_age_tier",
+        f"{pick(status, {0: 'Paused', 1: 'Ghost', 2: 'Disconnected'}, 'Active')} AS agent_status",
+        f"{tier_value('account_age_tier', 0)} AS risk_classification",
+        f"{tier_value('account_age_tier', 1)} AS daily_invite_limit",
+        f"{tier_value('account_age_tier', 2)} AS daily_message_limit",
+        "1 AS is_current",
     )
 
 
-def campaign_key(segment: Column) -> Column:
-    return _pick(segment, {s: k for k, s in enumerate(SEGMENTS, 1)}).cast("bigint")
-
-
 def campaigns(t: TestTables) -> DataFrame:
-    segment = F.col("c_mktsegment")
     return (
-        t.customer.select(segment)
+        t.customer.select("c_mktsegment")
         .distinct()
-        .select(
-            campaign_key(segment).alias("campaign_key"),
-            segment.alias("campaign_id"),
-            F.initcap(segment).alias("campaign_name"),
-            segment.alias("target_segment"),
-            _pick(segment, SEGMENTS).alias("status"),
+        .selectExpr(
+            f"{CAMPAIGN_KEY} AS campaign_key",
+            "c_mktsegment AS campaign_id",
+            "initcap(c_mktsegment) AS campaign_name",
+            "c_mktsegment AS target_segment",
+            f"{pick('c_mktsegment', SEGMENTS)} AS status",
         )
     )
 
 
 def leads(t: TestTables) -> DataFrame:
-    return t.customer.select(
-        F.col("c_custkey").alias("lead_key"),
-        F.col("c_custkey").cast("string").alias("lead_id"),
-        F.col("c_name").alias("full_name"),
+    return t.customer.selectExpr(
+        "c_custkey AS lead_key", "CAST(c_custkey AS STRING) AS lead_id", "c_name AS full_name"
     )
 
 
 def _owned_events(t: TestTables, events: DataFrame | None = None) -> DataFrame:
-    owner = t.customer.select(
-        F.col("c_custkey").alias("user_id"), "c_nationkey", "c_mktsegment"
-    )
+    owner = t.customer.selectExpr("c_custkey AS user_id", "c_nationkey", "c_mktsegment")
     return (t.events if events is None else events).join(owner, "user_id")
 
 
-def _hours(kind: Column) -> Column:
-    return F.when(kind.isin("click", "purchase"), F.col("value"))
-
-
 def activity_records(t: TestTables) -> DataFrame:
     """Raw activity records in the shape the loader reads."""
-    kind = F.col("event_type")
-    return _owned_events(t).select(
-        F.col("event_id").cast("string").alias("id"),
-        F.col("ts").alias("timestamp"),
-        F.lit(None).cast("timestamp_ntz").alias("created_at"),
-        F.col("c_nationkey").cast("string").alias("agent_id"),
-        F.col("c_mktsegment").alias("campaign_id"),
-        F.col("user_id").cast("string").alias("lead_id"),
-        _pick(kind, EVENT_TYPES).alias("type"),
-        (kind == "click").alias("accepted"),
-        (kind == "purchase").alias("replied"),
-        ((kind == "purchase") & (F.col("value") > 100)).alias("converted"),
-        _hours(kind).alias("response_time_hours"),
+    return _owned_events(t).selectExpr(
+        "CAST(event_id AS STRING) AS id",
+        "ts AS timestamp",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS created_at",
+        "CAST(c_nationkey AS STRING) AS agent_id",
+        "c_mktsegment AS campaign_id",
+        "CAST(user_id AS STRING) AS lead_id",
+        f"{ACTIVITY_TYPE} AS type",
+        "event_type = 'click' AS accepted",
+        "event_type = 'purchase' AS replied",
+        f"{CONVERTED} AS converted",
+        f"{HOURS} AS response_time_hours",
     )
 
 
 def activity(t: TestTables, events: DataFrame | None = None) -> DataFrame:
     """The loaded activity fact; `events` may be a stream or a batch of it."""
-    kind = F.col("event_type")
-    return _owned_events(t, events).select(
-        F.col("event_id").cast("string").alias("activity_id"),
-        date_key(F.col("ts")).alias("date_key"),
-        (F.col("c_nationkey") + 1).cast("bigint").alias("account_key"),
-        campaign_key(F.col("c_mktsegment")).alias("campaign_key"),
-        F.col("user_id").alias("lead_key"),
-        _pick(kind, EVENT_TYPES).alias("activity_type"),
-        F.col("ts").alias("activity_timestamp"),
-        flag(kind == "click").alias("is_accepted"),
-        flag(kind == "purchase").alias("is_replied"),
-        flag((kind == "purchase") & (F.col("value") > 100)).alias("is_converted"),
-        _hours(kind).alias("response_time_hours"),
-        F.lit(SOURCE_SYSTEM).alias("source_system"),
+    clicked, bought = "event_type = 'click'", "event_type = 'purchase'"
+    return _owned_events(t, events).selectExpr(
+        "CAST(event_id AS STRING) AS activity_id",
+        f"{date_key('ts')} AS date_key",
+        "CAST(c_nationkey + 1 AS BIGINT) AS account_key",
+        f"{CAMPAIGN_KEY} AS campaign_key",
+        "user_id AS lead_key",
+        f"{ACTIVITY_TYPE} AS activity_type",
+        "ts AS activity_timestamp",
+        f"{flag(clicked)} AS is_accepted",
+        f"{flag(bought)} AS is_replied",
+        f"{flag(CONVERTED)} AS is_converted",
+        f"{HOURS} AS response_time_hours",
+        f"{lit(SOURCE_SYSTEM)} AS source_system",
     )
 
 
-def event_records_of(spark: SparkSession, sf_dir: str):
+def event_stream(spark: SparkSession, sf_dir: str):
     """(stream over the event files of a folder, its mapping to fact rows)."""
     t = TestTables(spark, sf_dir)
     stream = (

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.functions.columns import date_key
-from tallyloom.operators.facts import last_per_key, type_counts
+from tallyloom.functions.columns import date_key, exprs
+from tallyloom.operators.facts import last_per_key
+from tallyloom.operators.measures import TYPE_COUNTS
 from tallyloom.sources import testmart as tm
 from tallyloom.sources.locations import work_folder
 
@@ -21,8 +22,8 @@ def daily_counts(activity: DataFrame, lateness: str = "2 days") -> DataFrame:
     return (
         timed.withWatermark("activity_timestamp", lateness)
         .groupBy(F.window("activity_timestamp", "1 day").alias("w"), "account_key")
-        .agg(*type_counts())
-        .withColumn("date_key", date_key(F.col("w.start")))
+        .agg(*exprs(TYPE_COUNTS))
+        .withColumn("date_key", F.expr(date_key("w.start")))
         .drop("w")
     )
 
@@ -46,13 +47,13 @@ def start(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def latest(spark: SparkSession, path: str) -> DataFrame:
     """The current counts: the last written row of each day and account."""
     rows = spark.read.parquet(path)
-    return last_per_key(rows, ["date_key", "account_key"], F.col("batch_id")).drop("batch_id")
+    return last_per_key(rows, ["date_key", "account_key"], "batch_id").drop("batch_id")
 
 
 def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream the event files of a folder and read the resulting counts."""
     folder = work_folder(spark, "stream-counts")
-    source, to_fact = tm.event_records_of(spark, sf_dir)
+    source, to_fact = tm.event_stream(spark, sf_dir)
     query = start(daily_counts(to_fact(source)), f"{folder}/counts", f"{folder}/checkpoint")
     query.awaitTermination()
     return latest(spark, f"{folder}/counts")

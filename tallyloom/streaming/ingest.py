@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.operators import facts
@@ -34,7 +34,7 @@ def ingest_stream(
         spark = batch.sparkSession
         rows = to_fact(batch)
         target = spark.read.schema(rows.schema).parquet(fact_path)
-        fresh = facts.insert_facts(target, rows, list(keys), F.col(order))
+        fresh = facts.insert_facts(target, rows, list(keys), order)
         fresh.write.mode("append").partitionBy("date_key").parquet(fact_path)
 
     schema_batch = to_fact(source.sparkSession.createDataFrame([], source.schema))
