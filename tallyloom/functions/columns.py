@@ -5,15 +5,19 @@ The helpers take and give expression text, for `expr`, `selectExpr` and `agg`.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 from tallyloom import constants as C
 
 
 def lit(value) -> str:
-    """A literal; floats are doubles, not decimals."""
+    """A literal; floats are doubles, not decimals, and times are in the session zone."""
     if value is None:
         return "NULL"
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
     return f"{value!r}D" if isinstance(value, float) else repr(value)

@@ -114,8 +114,8 @@ def scd1_merge(
     return kept.unionByName(added, allowMissingColumns=True)
 
 
-def to_dim_campaign(records: DataFrame) -> DataFrame:
-    """Campaign records onto dimension columns."""
+def to_dim_campaign(records: DataFrame, *extra: str) -> DataFrame:
+    """Campaign records onto dimension columns, and `extra` ones."""
     return records.selectExpr(
         "id AS campaign_id",
         "coalesce(name, 'Unknown') AS campaign_name",
@@ -123,13 +123,21 @@ def to_dim_campaign(records: DataFrame) -> DataFrame:
         "description",
         "coalesce(status, 'Active') AS status",
         "created_at AS created_date",
+        *extra,
     )
 
 
-def to_dim_lead(records: DataFrame) -> DataFrame:
-    """Lead records onto dimension columns."""
+def to_dim_lead(records: DataFrame, *extra: str) -> DataFrame:
+    """Lead records onto dimension columns, and `extra` ones."""
     return records.selectExpr(
-        "id AS lead_id", "profile_url", "full_name", "job_title", "company", "location", "industry"
+        "id AS lead_id",
+        "profile_url",
+        "full_name",
+        "job_title",
+        "company",
+        "location",
+        "industry",
+        *extra,
     )
 
 

@@ -95,9 +95,13 @@ def to_fact_activity(records: DataFrame, source_system: str) -> DataFrame:
 
 
 def _pick_per_key(rows: DataFrame, keys: list[str], order: str, function: str) -> DataFrame:
-    rest = ", ".join(c for c in rows.columns if c not in keys)
-    best = F.expr(f"{function}(struct({rest}), {order}) AS _best")
-    return rows.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*rows.columns)
+    """Rows that agree in `order` are told apart by their values, so the choice
+    does not depend on the order in which tasks finish."""
+    rest = [c for c in rows.columns if c not in keys]
+    best = F.expr(f"{function}(struct({order} AS _order, {', '.join(rest)})) AS _best")
+    return rows.groupBy(*keys).agg(best).selectExpr(
+        *[c if c in keys else f"_best.{c}" for c in rows.columns]
+    )
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -106,12 +110,12 @@ def first_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     An aggregate rather than a window: copies of a hot key are reduced on the
     map side and never meet in one task.
     """
-    return _pick_per_key(rows, keys, order, "min_by")
+    return _pick_per_key(rows, keys, order, "min")
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row that comes last by `order` for each key."""
-    return _pick_per_key(rows, keys, order, "max_by")
+    return _pick_per_key(rows, keys, order, "max")
 
 
 def absent_from(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from tallyloom.functions.columns import lit
 from tallyloom.operators.facts import replace_by_key
 
 
-def scan_since(records: DataFrame, time: str, watermark: dt.datetime | None) -> DataFrame:
+def scan_since(records: DataFrame, time: str, watermark: dt.datetime | str | None) -> DataFrame:
     """Records whose time expression is after the watermark; all where it is None.
 
     The watermark is a literal of the column's type, so the test is pushed
@@ -19,14 +19,17 @@ def scan_since(records: DataFrame, time: str, watermark: dt.datetime | None) ->
     if watermark is None:
         return records
     kind = records.select(F.expr(time).alias("t")).dtypes[0][1]
-    bound = lit(watermark.isoformat(sep=" "))
-    return records.filter(f"{time} > CAST({bound} AS {kind})")
+    return records.filter(f"{time} > CAST({lit(str(watermark))} AS {kind})")
 
 
-def read_watermark(state: DataFrame, entity: str) -> dt.datetime | None:
-    """The stored watermark of an entity, or None."""
-    row = state.filter(F.col("entity_name") == entity).select("last_watermark").first()
-    return row[0] if row else None
+def read_watermark(state: DataFrame, entity: str) -> str | None:
+    """The stored watermark of an entity as text in the session zone, or None."""
+    row = (
+        state.filter(F.col("entity_name") == entity)
+        .selectExpr("CAST(last_watermark AS STRING) AS mark")
+        .first()
+    )
+    return row["mark"] if row else None
 
 
 def advance(state: DataFrame, accepted: DataFrame, entity: str, time: str, at: str) -> DataFrame:

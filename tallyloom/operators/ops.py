@@ -7,14 +7,19 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import constants as C
+from tallyloom.functions.columns import lit
 from tallyloom.schemas import TABLES
 
 
 def run_row(spark: SparkSession, **values) -> DataFrame:
     """One run-log row; columns not given are NULL, status defaults to running."""
     row = {"status": "running", **values}
-    schema = TABLES["run_log"]
-    return spark.createDataFrame([[row.get(f.name) for f in schema.fields]], schema)
+    return spark.range(1).selectExpr(
+        *[
+            f"CAST({lit(row.get(f.name))} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in TABLES["run_log"].fields
+        ]
+    )
 
 
 # Counters of a checked batch (`error_message` per row): as an aggregate, or

@@ -188,8 +188,7 @@ def check_timeliness(df: DataFrame, table: str, time: str, as_of: dt.datetime) -
 
     Passes at 0.5; 0 where there is no time.
     """
-    now = f"TIMESTAMP {lit(as_of.isoformat(sep=' '))}"
-    age = f"(unix_micros({now}) - unix_micros(newest)) / 3.6e9D"
+    age = f"(unix_micros({lit(as_of)}) - unix_micros(newest)) / 3.6e9D"
     span = float(C.STALE_HOURS - C.FRESH_HOURS)
     score = f"greatest(0D, least(1D, 1D - (age - {C.FRESH_HOURS}) / {lit(span)}))"
     details = (
