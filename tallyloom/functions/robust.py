@@ -1,10 +1,9 @@
 """Exact quartiles, median and MAD at any size.
 
 The built-in exact percentile keeps all distinct values of a group in one task.
-Here the values are first counted (`value, n`), a plain partial aggregate.  A
-coarse histogram of the counts then tells which narrow value ranges can hold
-the wanted order statistics, and only the values in those ranges are put in
-order.  Both readings of the counts come from one shuffle.
+Here a coarse histogram, a plain partial aggregate, first tells which narrow
+value ranges can hold the wanted order statistics; only the values in those
+ranges are then counted and put in order.
 """
 
 from __future__ import annotations
@@ -22,15 +21,20 @@ BUCKET = (
 PROBS = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def value_counts(df: DataFrame, by: list[str], metrics: dict[str, str]) -> DataFrame:
-    """(by..., metric, value, n) for several metric expressions from one scan."""
+def metric_values(df: DataFrame, by: list[str], metrics: dict[str, str]) -> DataFrame:
+    """(by..., metric, value, n) for several metric expressions from one scan.
+
+    With `by` the values are counted per group first, since the ranges of many
+    groups are joined by shuffle.  Without, they stay as they are (n = 1): the
+    few ranges are broadcast, and all values outside them are never moved.
+    """
     pairs = ", ".join(f"'{name}', CAST({text} AS DOUBLE)" for name, text in metrics.items())
-    return (
-        df.selectExpr(*by, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
-        .filter("value IS NOT NULL")
-        .groupBy(*by, "metric", "value")
-        .agg(F.expr("count(*) AS n"))
+    rows = df.selectExpr(*by, f"stack({len(metrics)}, {pairs}) AS (metric, value)").filter(
+        "value IS NOT NULL"
     )
+    if not by:
+        return rows.selectExpr("*", "1L AS n")
+    return rows.groupBy(*by, "metric", "value").agg(F.expr("count(*) AS n"))
 
 
 def _first(p: float) -> str:
@@ -51,8 +55,8 @@ def _at(k: str, end: str, n: str, value: str) -> str:
     return f"max(CASE WHEN {end} - {n} <= {k} AND {k} < {end} THEN {value} END)"
 
 
-def robust_stats(counts: DataFrame, by: list[str], bounded_groups: bool) -> DataFrame:
-    """rows, q1, median, q3 and mad per group of `counts` (`by`, value, n).
+def robust_stats(values: DataFrame, by: list[str], bounded_groups: bool) -> DataFrame:
+    """rows, q1, median, q3 and mad per group of `values` (`by`, value, n).
 
     Quantiles interpolate linearly between neighbouring order statistics.
     `bounded_groups` says that the number of groups is fixed by the query; the
@@ -66,7 +70,7 @@ def robust_stats(counts: DataFrame, by: list[str], bounded_groups: bool) -> Data
     # The histogram: one row per group and bucket.  The median lies in
     # [m_lo, m_hi], so the deviations in a bucket lie in [near, far], and the
     # MAD lies in [r_lo, r_hi], the medians of both bounds.
-    placed = counts.selectExpr("*", BUCKET)
+    placed = values.selectExpr("*", BUCKET)
     histogram = (
         placed.groupBy(*by, "bucket")
         .agg(*map(F.expr, ("sum(n) AS w", "min(value) AS lo", "max(value) AS hi")))
@@ -104,8 +108,11 @@ def robust_stats(counts: DataFrame, by: list[str], bounded_groups: bool) -> Data
         b = f"{_at(_second(p), 'upto', 'n', 'value')} {over()}"
         return f"least({a} + ({b} - {a}) * ({p}D * (rows - 1) - {_first(p)}), {b})"
 
+    known = ("rows", "before", "in_mad", "mad_before")
     ranked = (
         placed.join(F.broadcast(ranges) if bounded_groups else ranges, [*by, "bucket"])
+        .groupBy(*by, "bucket", "value", *known)
+        .agg(F.expr("sum(n) AS n"))
         .repartition(*by)
         .selectExpr(
             "*", f"before + sum(n) OVER (PARTITION BY {keys}, bucket ORDER BY value) AS upto"

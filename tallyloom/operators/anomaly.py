@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyloom import constants as C
 from tallyloom.functions.columns import lit, ratio
-from tallyloom.functions.robust import robust_stats, value_counts
+from tallyloom.functions.robust import metric_values, robust_stats
 
 
 def _attach_stats(df: DataFrame, metrics: dict[str, str], by: list[str]) -> DataFrame:
@@ -15,8 +15,8 @@ def _attach_stats(df: DataFrame, metrics: dict[str, str], by: list[str]) -> Data
     Without `by` the statistics are one row and enter as a scalar subquery;
     with `by` they are joined on the partition columns.
     """
-    counts = value_counts(df, by, metrics)
-    stats = robust_stats(counts, [*by, "metric"], bounded_groups=not by)
+    values = metric_values(df, by, metrics)
+    stats = robust_stats(values, [*by, "metric"], bounded_groups=not by)
     parts = ", ".join(
         f"'{m}', max(CASE WHEN metric = '{m}' THEN struct(rows, q1, median, q3, mad) END)"
         for m in metrics

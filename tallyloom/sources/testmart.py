@@ -7,6 +7,7 @@ leads, and `events` joined with `customer` the activity records.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tallyloom import constants as C
 from tallyloom.functions.columns import date_key, flag, lit, pick, tier_value
@@ -31,9 +32,13 @@ SOURCE_SYSTEM = "outreach_api"
 
 
 class TestTables:
-    """Lazy access to the parquet tables of one scale factor."""
+    """Lazy access to the parquet tables of one scale factor.
+
+    A table's schema is read from its files once per process.
+    """
 
     __test__ = False
+    _schemas: dict[str, StructType] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -42,7 +47,10 @@ class TestTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
 
 TIER = pick("n_regionkey", dict(enumerate(C.TIERS)))
