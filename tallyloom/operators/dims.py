@@ -174,13 +174,19 @@ def _neighbour(
     """`value` of the previous (step -1) or next (step +1) row of the key by time,
     as a struct `out` with field `v`; NULL where there is no such row.
 
-    `rows` is unique by key and time.  A key may have any number of rows, so
-    its history is cut into days: neighbours inside a day come from a window
-    over (key, day), and a day's outer neighbour from a window over one edge
-    row per (key, day), whose number the calendar bounds.
+    `rows` is unique by key and time.  With dates the calendar bounds the rows
+    of a key, and one window does.  With timestamps a key may have any number
+    of rows, so its history is cut into days: neighbours inside a day come from
+    a window over (key, day), and a day's outer neighbour from a window over
+    one edge row per (key, day).
     """
     keys = ", ".join(key)
     shift, edge = ("lag", "max_by") if step < 0 else ("lead", "min_by")
+    if dict(rows.dtypes)[time] == "date":
+        return rows.selectExpr(
+            "*",
+            f"{shift}(struct({value} AS v)) OVER (PARTITION BY {keys} ORDER BY {time}) AS {out}",
+        )
     rows = rows.selectExpr("*", f"to_date({time}) AS _day", f"struct({value} AS v) AS _v")
     edges = (
         rows.groupBy(*key, "_day")

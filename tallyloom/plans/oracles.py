@@ -329,8 +329,17 @@ VERSIONS = {
         FROM lagged WHERE was IS DISTINCT FROM o_orderpriority""",
 }
 _VERSION_OUT = f"""SELECT o_custkey, o_orderpriority, strftime(o_orderdate, {TS})
-    AS effective_from, coalesce(strftime(until, {TS}), '9999-12-31 23:59:59.000000')
+    AS effective_from, coalesce(strftime(until, {TS}), '9999-12-31 00:00:00.000000')
     AS effective_to, CAST(until IS NULL AS INTEGER) AS is_current FROM version"""
+oracle("scd2_history_events", f"""
+    SELECT user_id, event_type, strftime(ts, {TS}) AS effective_from,
+        coalesce(strftime(until, {TS}), '9999-12-31 23:59:59.000000') AS effective_to,
+        CAST(until IS NULL AS INTEGER) AS is_current
+    FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until
+        FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS was
+            FROM (SELECT user_id, ts, arg_max(event_type, event_id) AS event_type
+                  FROM events GROUP BY ALL))
+        WHERE was IS DISTINCT FROM event_type)""")
 oracle("scd2_history", _VERSION_OUT, VERSIONS)
 oracle("scd2_merge", _VERSION_OUT, VERSIONS)
 oracle("scd2_current", _VERSION_OUT + " WHERE until IS NULL", VERSIONS)

@@ -75,7 +75,10 @@ def scored(t: tm.TestTables) -> DataFrame:
 
 
 def orders_as_changes(t: tm.TestTables) -> DataFrame:
-    return t.orders.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey")
+    """Orders as dated changes of a customer's priority."""
+    return t.orders.selectExpr(
+        "o_custkey", "o_orderpriority", "CAST(o_orderdate AS DATE) AS o_orderdate", "o_orderkey"
+    )
 
 
 def connected_accounts(t: tm.TestTables) -> DataFrame:
@@ -195,14 +198,23 @@ def scd2_history(t):
 
 
 @query
-def scd2_merge(t):
-    changes = orders_as_changes(t)
-    old = dims.scd2_history(changes.filter(BEFORE_SPLIT), *HISTORY_OF_ORDERS)
+def scd2_history_events(t):
+    """Timed changes: the kind of a user's last event."""
+    changes = t.events.select("user_id", "event_type", "ts", "event_id")
     return _versions_out(
-        dims.scd2_merge(old, changes.filter(AFTER_SPLIT), *HISTORY_OF_ORDERS)
+        dims.scd2_history(changes, ["user_id"], ["event_type"], "ts", "event_id")
     )
 
 
+@query
+def scd2_merge(t):
+    changes = orders_as_changes(t)
+    split = f"DATE '{ORDER_SPLIT:%Y-%m-%d}'"
+    old = dims.scd2_history(changes.filter(f"o_orderdate < {split}"), *HISTORY_OF_ORDERS)
+    new = changes.filter(f"o_orderdate >= {split}")
+    return _versions_out(dims.scd2_merge(old, new, *HISTORY_OF_ORDERS))
+
+
 @query
 def scd2_current(t):
     versions = dims.scd2_history(orders_as_changes(t), *HISTORY_OF_ORDERS)
