@@ -117,9 +117,10 @@ def anomaly_scores(
     return (
         _attach_stats(df, values, partition_by or [])
         .selectExpr("*", *zs)
-        .selectExpr("*", *columns, f"round(({total}) / {weights}, 4) AS anomaly_score")
+        .selectExpr(
+            *df.columns, *columns, f"round(({total}) / {weights}, 4) AS anomaly_score"
+        )
         .selectExpr("*", f"{risk_flag('anomaly_score')} AS risk_flag")
-        .drop("_stats", *[f"_z_{name}" for name, _, _ in present])
     )
 
 

@@ -62,9 +62,9 @@ class MartTables:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
         keys = PARTITIONED.get(name, [])
         rows = df.select(*columns)
-        # One task per date and hash slice of it, so a date is not scattered
-        # over every task's files.
-        rows = rows.repartition(*keys, F.expr("hash(account_key) % 16")) if keys else rows
+        # Rows of a date are brought together, so it is not scattered over the
+        # files of every task; a date too large for one task is split again.
+        rows = rows.hint("rebalance", *keys) if keys else rows
         rows.write.mode("append").partitionBy(*keys).parquet(path)
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -91,7 +91,7 @@ class MartTables:
         columns = [f.name for f in TABLES[name].fields]
         (
             df.select(*columns)
-            .repartition("date_key", F.expr("hash(account_key) % 16"))
+            .hint("rebalance", "date_key")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("date_key")

@@ -35,7 +35,9 @@ def ingest_stream(
         rows = to_fact(batch)
         target = spark.read.schema(rows.schema).parquet(fact_path)
         fresh = facts.insert_facts(target, rows, list(keys), order)
-        fresh.write.mode("append").partitionBy("date_key").parquet(fact_path)
+        fresh.hint("rebalance", "date_key").write.mode("append").partitionBy(
+            "date_key"
+        ).parquet(fact_path)
 
     schema_batch = to_fact(source.sparkSession.createDataFrame([], source.schema))
     schema_batch.write.mode("append").partitionBy("date_key").parquet(fact_path)
