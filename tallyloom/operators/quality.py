@@ -98,14 +98,37 @@ def _missing(df: DataFrame, cols: list[str]) -> str:
     )
 
 
+def _fresh_check(table: str, as_of: dt.datetime) -> str:
+    """Age of `newest`: score 1 up to 24 h, 0 from 168 h, linear between; passes
+    at 0.5; 0 where there is no time."""
+    age = f"((unix_micros({lit(as_of)}) - unix_micros(newest)) / 3.6e9D)"
+    span = lit(float(C.STALE_HOURS - C.FRESH_HOURS))
+    score = (
+        f"IF(newest IS NULL, 0D, greatest(0D, least(1D, 1D - ({age} - {C.FRESH_HOURS}) / {span})))"
+    )
+    details = (
+        "format_string('newest: %s; age in hours: %.1f', "
+        f"coalesce(date_format(newest, 'yyyy-MM-dd HH:mm:ss'), 'none'), coalesce({age}, -1D))"
+    )
+    return (
+        "struct('timeliness_latest_activity' AS check_name, 'timeliness' AS dimension, "
+        f"'{table}' AS table_name, 1L AS total_records, "
+        f"CAST({score} >= 0.5D AS BIGINT) AS passed_records, "
+        f"CAST({score} < 0.5D AS BIGINT) AS failed_records, "
+        f"{score} AS score, {details} AS details)"
+    )
+
+
 def scan_checks(
     df: DataFrame,
     table: str,
     required: list[str] | None = None,
     in_set: list[tuple[str, list[str]]] = (),
     in_range: list[tuple[str, float, float]] = (),
+    fresh: str | None = None,
+    as_of: dt.datetime | None = None,
 ) -> DataFrame:
-    """Completeness and validity checks of one table from one aggregate.
+    """Completeness, validity and timeliness checks of one table from one aggregate.
 
     Validity checks give no row for an empty table, and NULL is valid.
     """
@@ -134,6 +157,9 @@ def scan_checks(
                 f"format_string('range [{low:g}, {high:g}]; rows outside: %d', {column})",
             )
         )
+    if fresh:
+        counts["newest"] = f"CAST(max({fresh}) AS TIMESTAMP)"
+        checks.append(_fresh_check(table, as_of))
     return _rows(df.agg(*exprs(counts)), checks).filter(
         "total_records > 0 OR dimension = 'completeness'"
     )
@@ -184,67 +210,47 @@ def check_uniqueness(df: DataFrame, table: str, key: str) -> DataFrame:
 
 
 def check_timeliness(df: DataFrame, table: str, time: str, as_of: dt.datetime) -> DataFrame:
-    """Score of the newest time: 1 up to 24 h of age, 0 from 168 h, linear between.
+    return scan_checks(df, table, fresh=time, as_of=as_of)
 
-    Passes at 0.5; 0 where there is no time.
+
+def check_fks(
+    child: DataFrame, table: str, references: list[tuple[str, DataFrame, str]]
+) -> DataFrame:
+    """failed = rows whose non-NULL key the parent lacks, per (column, parent, parent column).
+
+    The child is counted once by all its keys, so the joins see one row per
+    combination and a hot key costs nothing.
     """
-    age = f"(unix_micros({lit(as_of)}) - unix_micros(newest)) / 3.6e9D"
-    span = float(C.STALE_HOURS - C.FRESH_HOURS)
-    score = f"greatest(0D, least(1D, 1D - (age - {C.FRESH_HOURS}) / {lit(span)}))"
-    details = (
-        "format_string('newest: %s; age in hours: %.1f', "
-        "coalesce(date_format(newest, 'yyyy-MM-dd HH:mm:ss'), 'none'), coalesce(age, -1D))"
+    keys = child.groupBy(*dict.fromkeys(c for c, _, _ in references)).agg(
+        F.expr("count(*) AS _n")
     )
-    return (
-        df.agg(F.expr(f"CAST(max({time}) AS TIMESTAMP) AS newest"))
-        .selectExpr("newest", f"{age} AS age")
-        .selectExpr("*", f"coalesce(IF(age IS NULL, 0D, {score}), 0D) AS score")
-        .selectExpr(
-            "'timeliness_latest_activity' AS check_name",
-            "'timeliness' AS dimension",
-            f"'{table}' AS table_name",
-            "1L AS total_records",
-            "CAST(score >= 0.5D AS BIGINT) AS passed_records",
-            "CAST(score < 0.5D AS BIGINT) AS failed_records",
-            "score",
-            f"{details} AS details",
+    counts, checks = {"total": "coalesce(sum(_n), 0)"}, []
+    for i, (column, parent, parent_column) in enumerate(references):
+        known = parent.selectExpr(f"{parent_column} AS _k{i}", f"1 AS _hit{i}").distinct()
+        keys = keys.join(known, F.expr(f"{column} = _k{i}"), "left")
+        lost = f"{column} IS NOT NULL AND _hit{i} IS NULL"
+        counts[f"failed{i}"] = f"coalesce(sum(_n) FILTER (WHERE {lost}), 0)"
+        checks.append(
+            _check(
+                f"ri_{table}_{column}", "referential_integrity", table, "total", f"failed{i}",
+                f"format_string('{table}.{column} without parent: %d', failed{i})",
+            )
         )
-    )
+    return _rows(keys.agg(*exprs(counts)), checks)
 
 
 def check_fk(
     child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
-    """failed = rows whose non-NULL key the parent lacks.
-
-    The child is counted per key first, so the join sees one row per key and a
-    hot key costs nothing.
-    """
-    keys = child.groupBy(F.col(column).alias("k")).agg(F.expr("count(*) AS n"))
-    known = parent.selectExpr(f"{parent_column} AS k", "1 AS hit").distinct()
-    one = keys.join(known, "k", "left").agg(
-        *exprs(
-            {
-                "total": "coalesce(sum(n), 0)",
-                "failed": "coalesce(sum(n) FILTER (WHERE k IS NOT NULL AND hit IS NULL), 0)",
-            }
-        )
-    )
-    return _rows(
-        one,
-        [
-            _check(
-                f"ri_{table}_{column}", "referential_integrity", table, "total", "failed",
-                f"format_string('{table}.{column} without parent: %d', failed)",
-            )
-        ],
-    )
+    return check_fks(child, table, [(column, parent, parent_column)])
 
 
 def run_checks(tables: dict[str, DataFrame], rules: Rules, as_of: dt.datetime) -> DataFrame:
-    """All checks as one set of rows."""
-    frames = []
-    scanned = [*rules.required, *[t for t, *_ in rules.in_set], *[t for t, *_ in rules.in_range]]
+    """All checks as one set of rows: per table one scan for completeness,
+    validity and timeliness, one for all foreign keys, one per unique key."""
+    frames, fresh = [], dict(rules.fresh)
+    scanned = [*rules.required, *fresh]
+    scanned += [t for t, *_ in rules.in_set] + [t for t, *_ in rules.in_range]
     for table in dict.fromkeys(scanned):
         frames.append(
             scan_checks(
@@ -253,11 +259,14 @@ def run_checks(tables: dict[str, DataFrame], rules: Rules, as_of: dt.datetime) -
                 rules.required.get(table),
                 [(c, v) for t, c, v in rules.in_set if t == table],
                 [(c, lo, hi) for t, c, lo, hi in rules.in_range if t == table],
+                fresh.get(table),
+                as_of,
             )
         )
     frames += [check_uniqueness(tables[t], t, key) for t, key in rules.unique]
-    frames += [check_timeliness(tables[t], t, time, as_of) for t, time in rules.fresh]
-    frames += [check_fk(tables[t], t, c, tables[p], pc) for t, c, p, pc in rules.references]
+    for table in dict.fromkeys(t for t, *_ in rules.references):
+        references = [(c, tables[p], pc) for t, c, p, pc in rules.references if t == table]
+        frames.append(check_fks(tables[table], table, references))
     return reduce(DataFrame.unionByName, frames)
 
 

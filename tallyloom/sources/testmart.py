@@ -142,7 +142,6 @@ def event_stream(spark: SparkSession, sf_dir: str):
     stream = (
         spark.readStream.schema(t.events.schema)
         .option("pathGlobFilter", "events*.parquet")
-        .option("maxFilesPerTrigger", 1)
         .parquet(t.sf_dir)
     )
     return stream, lambda events: activity(t, events)

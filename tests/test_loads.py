@@ -53,6 +53,19 @@ def test_scd1_into_empty_target_and_audit(spark):
     assert later.updated_at > later.created_at and later.campaign_key == 1
 
 
+def test_templates(spark):
+    records = spark.createDataFrame(
+        [("t1", "Hello", "Hi {name}", None), ("t1", "Hello", "Hi {name}!", "Follow-Up"),
+         ("t2", None, None, None)], "id string, name string, body string, type string")
+    empty = spark.createDataFrame([], "template_key bigint, template_id string, "
+                                      "template_name string, template_body string, "
+                                      "template_type string")
+    merged = dims.scd1_merge(empty, dims.to_dim_template(records), "template_id",
+                             "template_type", "template_key")
+    got = {r.template_id: (r.template_body, r.template_type) for r in merged.collect()}
+    assert got == {"t1": ("Hi {name}!", "Follow-Up"), "t2": (None, "Connection")}
+
+
 def test_keys_are_dense_and_repeatable(spark):
     new = spark.range(5000).selectExpr("concat('n', id) AS name")
     taken = spark.sql("SELECT 40L AS k")

@@ -90,3 +90,21 @@ def test_date_filter_reaches_the_scan(spark, tmp_path):
     assert "PartitionFilters" in text and "date_key" in text.split("PartitionFilters")[1][:200]
     assert "account_key" not in text.split("ReadSchema")[1][:200]
     assert df.first().total_invites_sent == 10
+
+
+def test_watermark_reaches_the_scan(spark, sf_dir):
+    from tallyloom.plans.registry import QUERIES
+
+    text = plan(QUERIES["scan_since_watermark"](spark, sf_dir))
+    pushed = [line for line in text.split("\n") if "events.parquet" in line][0]
+    assert "GreaterThan(ts,2024-01-15T00:00)" in pushed
+    assert "props" not in pushed.split("ReadSchema")[1]
+
+
+def test_foreign_keys_of_a_hot_child(spark):
+    child = hot(spark).selectExpr("IF(k = 0, NULL, k) AS a", "k AS b")
+    parent = spark.range(1, 100).selectExpr("id")
+    both = quality.check_fks(child, "c", [("a", parent, "id"), ("b", parent, "id")])
+    got = {r.check_name: (r.total_records, r.failed_records) for r in both.collect()}
+    # 20,000 rows of key 0, and one row for every odd key below 40,000
+    assert got == {"ri_c_a": (40_000, 19_950), "ri_c_b": (40_000, 39_950)}
