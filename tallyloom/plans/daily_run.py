@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tallyloom import constants as C
 from tallyloom.functions.columns import lit
 from tallyloom.operators import anomaly, dims, facts, increment, ops, quality, risk
 from tallyloom.schemas import RECORDS
@@ -85,10 +84,17 @@ class Run:
         self.mart.publish("run_log", facts.replace_by_key(old, row, ["run_id"]))
 
 
+def accepted_of(
+    run: Run, records: DataFrame, entity: str, rules: list[tuple[str, str]]
+) -> DataFrame:
+    """Stage dimension records, send the bad ones away, give the good ones."""
+    staged = run.staged(facts.checked(records, rules))
+    run.reject(staged, entity, "transformation")
+    return staged.filter("error_message IS NULL")
+
+
 def load_campaigns(run: Run, records: DataFrame) -> None:
-    staged = run.staged(facts.checked(records, NO_ID))
-    run.reject(staged, "campaign", "transformation")
-    updates = dims.to_dim_campaign(staged.filter("error_message IS NULL"))
+    updates = dims.to_dim_campaign(accepted_of(run, records, "campaign", NO_ID))
     target = run.mart.read("dim_campaign")
     run.mart.publish(
         "dim_campaign",
@@ -97,7 +103,7 @@ def load_campaigns(run: Run, records: DataFrame) -> None:
 
 
 def load_templates(run: Run, records: DataFrame) -> None:
-    updates = dims.to_dim_template(records.filter("coalesce(id, '') <> ''"))
+    updates = dims.to_dim_template(accepted_of(run, records, "template", NO_ID))
     target = run.mart.read("dim_template")
     run.mart.publish(
         "dim_template",
@@ -109,9 +115,8 @@ def load_accounts(run: Run, records: DataFrame) -> None:
     """Version history of accounts.  A version keeps its key; new ones are added."""
     tracked = ["account_email", "account_name", "account_age_tier", "agent_status",
                "risk_classification", "daily_invite_limit", "daily_message_limit"]
-    changes = dims.to_account_changes(records).filter(
-        "coalesce(account_id, '') <> '' AND changed_at IS NOT NULL"
-    )
+    rules = [*NO_ID, ("try_to_timestamp(changed_at) IS NULL", "missing or unreadable time")]
+    changes = dims.to_account_changes(accepted_of(run, records, "account", rules))
     old = run.mart.read("dim_account")
     merged = dims.scd2_merge(
         old.drop("account_key", "created_at", "updated_at"),
@@ -133,9 +138,7 @@ def load_leads(run: Run, records: DataFrame) -> None:
     time = "try_to_timestamp(coalesce(nullif(updated_at, ''), nullif(created_at, '')))"
     timed = records.selectExpr("*", f"{time} AS event_time")
     fresh = since_or_timeless(timed, run.watermark(LEADS))
-    staged = run.staged(facts.checked(fresh, NO_ID))
-    run.reject(staged, "lead", "transformation")
-    accepted = staged.filter("error_message IS NULL")
+    accepted = accepted_of(run, fresh, "lead", NO_ID)
     batch = dims.to_dim_lead(accepted, "event_time")
     target = run.mart.read("dim_lead")
     run.mart.publish(
@@ -177,6 +180,18 @@ def load_activities(run: Run, records: DataFrame) -> DataFrame:
     return batch
 
 
+def raise_alerts(run: Run, report: DataFrame) -> None:
+    """Write the alerts of this run from its log row, its data-quality row and
+    its risk report."""
+    mine = F.col("run_id") == run.run_id
+    history, log = run.mart.read("dq_history").filter(mine), run.mart.read("run_log").filter(mine)
+    write_alerts(ops.alerts(history, log, report, run.at), f"{run.mart.root}/alerts")
+    write_alerts(ops.critical_accounts(report, run.at), f"{run.mart.root}/alert_accounts")
+
+
+NO_REPORT = "account_id string, account_name string, risk_level string"
+
+
 def run_daily(
     spark: SparkSession,
     mart: MartTables,
@@ -185,12 +200,14 @@ def run_daily(
     source_system: str,
     run_type: str = "incremental",
     years: tuple[int, int] = (2024, 2027),
+    enforce_quality: bool = False,
     clock=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
 ) -> dict:
     """Run all stages and give the run's id, counters and data-quality verdict.
 
     `sources` holds DataFrames of records by entity; entities may be absent.
-    `now` stamps the run; `clock` gives its end.
+    `now` stamps the run; `clock` gives its end.  With `enforce_quality` a run
+    whose data quality fails is a failed run.
     """
     mart.init()
     run = Run(spark, mart, run_type, now, source_system)
@@ -209,18 +226,19 @@ def run_daily(
                 load(run, sources[entity])
         if "activity" in sources:
             batch = load_activities(run, sources["activity"])
-            accounts = mart.read("dim_account")
             refreshed = facts.snapshot_refresh(
-                mart.read("fact_daily"), mart.read("fact_activity"), batch, accounts
+                mart.read("fact_daily"), mart.read("fact_activity"), batch,
+                mart.read("dim_account"),
             )
             mart.publish("fact_daily", anomaly.anomaly_scores(refreshed))
 
         names = {*quality.MART_RULES.required, *[t for t, _ in quality.MART_RULES.unique]}
         tables = {name: mart.read(name) for name in names}
         checks = quality.run_checks(tables, quality.MART_RULES, now)
-        verdict = quality.dq_history_row(checks, run.run_id, run.at)
-        mart.append("dq_history", verdict)
-        history = mart.read("dq_history").filter(F.col("run_id") == run.run_id)
+        mart.append("dq_history", quality.dq_history_row(checks, run.run_id, run.at))
+        score = mart.read("dq_history").filter(F.col("run_id") == run.run_id)
+        if enforce_quality:
+            quality.enforce(score)
 
         report_path = f"{mart.root}/risk_report/run_id={run.run_id}"
         risk.risk_report(mart.read("dim_account"), mart.read("fact_daily")).write.parquet(
@@ -229,10 +247,8 @@ def run_daily(
         run.log("success", clock())
     except Exception as error:
         run.log("failed", clock(), str(error)[:1000])
+        raise_alerts(run, spark.createDataFrame([], NO_REPORT))
         raise
-    log = mart.read("run_log").filter(F.col("run_id") == run.run_id)
-    report = spark.read.parquet(report_path)
-    write_alerts(ops.alerts(history, log, report, run.at), f"{mart.root}/alerts")
-    write_alerts(ops.critical_accounts(report, run.at), f"{mart.root}/alert_accounts")
-    score = history.select("composite_dq_score", "pass_fail").first()
-    return {"run_id": run.run_id, **run.counts, **score.asDict(), "threshold": C.DQ_PASS}
+    raise_alerts(run, spark.read.parquet(report_path))
+    verdict = score.select("composite_dq_score", "pass_fail", "threshold_used").first()
+    return {"run_id": run.run_id, **run.counts, **verdict.asDict()}

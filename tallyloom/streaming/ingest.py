@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyloom.functions.columns import lit
 from tallyloom.operators import facts
 from tallyloom.sources.locations import work_folder
 
@@ -23,24 +24,35 @@ def ingest_stream(
     to_fact: Callable[[DataFrame], DataFrame],
     keys: tuple[str, ...] = ("activity_id",),
     order: str = "activity_timestamp",
+    to_rejects: Callable[[DataFrame], DataFrame] | None = None,
+    reject_path: str | None = None,
 ) -> StreamingQuery:
     """Load all available files of a streaming source into the fact table.
 
-    `to_fact` maps a batch of source rows to fact rows.  The fact is
-    partitioned by `date_key`.
+    `to_fact` maps a batch of source rows to accepted fact rows, `to_rejects`
+    to dead letters, which are kept per micro-batch, so a replayed one
+    overwrites its own.  The fact is partitioned by `date_key`.
     """
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = to_fact(batch)
-        target = spark.read.schema(rows.schema).parquet(fact_path)
-        fresh = facts.insert_facts(target, rows, list(keys), order)
-        fresh.hint("rebalance", "date_key").write.mode("append").partitionBy(
-            "date_key"
-        ).parquet(fact_path)
-
-    schema_batch = to_fact(source.sparkSession.createDataFrame([], source.schema))
-    schema_batch.write.mode("append").partitionBy("date_key").parquet(fact_path)
+    def load(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            rows = to_fact(batch)
+            target = batch.sparkSession.read.schema(rows.schema).parquet(fact_path)
+            fresh = facts.insert_facts(target, rows, list(keys), order)
+            fresh.hint("rebalance", "date_key").write.mode("append").partitionBy(
+                "date_key"
+            ).parquet(fact_path)
+            if to_rejects is not None:
+                to_rejects(batch).write.mode("overwrite").parquet(
+                    f"{reject_path}/batch_id={batch_id}"
+                )
+        finally:
+            batch.unpersist()
+
+    # An empty append creates the table on the first run.
+    empty = to_fact(source.sparkSession.createDataFrame([], source.schema))
+    empty.write.mode("append").partitionBy("date_key").parquet(fact_path)
     return (
         source.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
@@ -49,6 +61,39 @@ def ingest_stream(
     )
 
 
+def ingest_records(
+    source: DataFrame,
+    fact_path: str,
+    checkpoint: str,
+    reject_path: str,
+    accounts: DataFrame,
+    campaigns: DataFrame,
+    leads: DataFrame,
+    source_system: str,
+    run_id: str,
+    at: str,
+) -> StreamingQuery:
+    """The whole activity load on a stream of raw records: times, keys, rules,
+    facts and dead letters (`at` is the expression of their time)."""
+    payload = source.columns
+
+    def checked(batch: DataFrame) -> DataFrame:
+        resolved = facts.resolve_keys(facts.with_event_time(batch), accounts, campaigns, leads)
+        return facts.checked(resolved, facts.load_rules())
+
+    def to_fact(batch: DataFrame) -> DataFrame:
+        accepted = checked(batch).filter("error_message IS NULL")
+        return facts.to_fact_activity(accepted, source_system)
+
+    def to_rejects(batch: DataFrame) -> DataFrame:
+        rejected = checked(batch).filter("error_message IS NOT NULL")
+        return facts.to_dead_letter(rejected, payload, lit(run_id), "load", at)
+
+    return ingest_stream(
+        source, fact_path, checkpoint, to_fact, to_rejects=to_rejects, reject_path=reject_path
+    )
+
+
 def replay(
     spark: SparkSession, sf_dir: str, mapper: Callable[[SparkSession, str], tuple]
 ) -> DataFrame:

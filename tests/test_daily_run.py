@@ -25,6 +25,7 @@ ACCOUNTS = [
     {"id": "a2", "name": "Two", "age_tier": "1 Month", "changed_at": "2024-01-01 00:00:00"},
     {"id": "a2", "name": "Two", "age_tier": "1 Month", "changed_at": "2024-01-05 00:00:00"},
     {"id": "a2", "name": "Two", "age_tier": "2-6 Months", "changed_at": "2024-01-09 00:00:00"},
+    {"id": "a3", "name": "Never", "age_tier": "1 Month"},
 ]
 CAMPAIGNS = [{"id": "c1", "name": "Spring", "status": "Paused"}, {"id": "c2"}, {"name": "no id"}]
 LEADS = [
@@ -84,13 +85,13 @@ def loaded(spark, tmp_path_factory):
 def test_counters_and_rejects(loaded):
     _, first, state, _, _, _ = loaded
     assert first["rows_extracted"] == 10
-    # four bad activities of five rules plus the date, and a campaign without id
+    # five bad activities, a campaign without id, an account without time
     reasons = sorted(r.error_message for r in state["letters"])
     assert reasons == sorted(
-        ["missing or unreadable time", "missing or unreadable time", "missing id", "missing id",
-         "unknown account", "date outside the calendar"]
+        ["missing or unreadable time"] * 3 + ["missing id"] * 2
+        + ["unknown account", "date outside the calendar"]
     )
-    assert first["rows_rejected"] == 6
+    assert first["rows_rejected"] == 7
     payload = json.loads(
         next(r.record_payload for r in state["letters"] if r.error_message == "unknown account")
     )
@@ -132,6 +133,7 @@ def test_replay_adds_nothing_and_later_load_only_the_new(loaded):
 
 def test_snapshot_log_history(loaded):
     mart, first, _, _, third, root = loaded
+    assert third["rows_loaded"] >= 1
     days = {(r.date_key, r.invites_sent, r.conversions)
             for r in mart.read("fact_daily").collect()}
     assert (20240110, 1, 0) in days and (20240114, 0, 1) in days
@@ -142,7 +144,9 @@ def test_snapshot_log_history(loaded):
     assert 0 <= first["composite_dq_score"] <= 1
     mart.export_csv(str(root / "csv"))
     head = next((root / "csv" / "fact_daily").glob("*.csv")).read_text().splitlines()[0]
-    assert head.startswith("date_key,account_key") or "account_key" in head
+    assert "account_key" in head and "anomaly_score" in head
+    alerts = mart.spark.read.json(str(root / "mart" / "alerts")).collect()
+    assert {r.alert_type for r in alerts} <= {"dq_breach", "risk_critical"}
 
 
 def test_failed_run_is_logged(spark, tmp_path):
@@ -155,6 +159,9 @@ def test_failed_run_is_logged(spark, tmp_path):
                             clock=lambda: CLOCK)
     rows = mart.read("run_log").collect()
     assert [r.status for r in rows] == ["failed"] and "boom" in rows[0].error_message
+    raised = spark.read.json(f"{mart.root}/alerts").collect()
+    assert [r.alert_type for r in raised] == ["pipeline_failure"]
+    assert rows[0].run_id in raised[0].message
 
 
 def test_days_are_replaced_in_place(spark, tmp_path):

@@ -192,6 +192,35 @@ def test_stream_takes_replays_and_late_files_once(spark, tmp_path):
     assert run() == sorted((k, v) for k, _, _, v in rows)
 
 
+def test_stream_of_raw_records(spark, tmp_path):
+    import json
+
+    from tallyloom.sources.records import stream_records
+
+    src, fact, check, bad = (str(tmp_path / p) for p in ("src", "fact", "check", "bad"))
+    (tmp_path / "src").mkdir()
+    accounts = spark.sql("SELECT 5L AS account_key, 'a1' AS account_id, 1 AS is_current")
+    campaigns = spark.sql("SELECT 3L AS campaign_key, 'c1' AS campaign_id")
+    leads = spark.sql("SELECT 8L AS lead_key, 'l1' AS lead_id")
+
+    def deliver(name, rows):
+        (tmp_path / "src" / name).write_text("\n".join(json.dumps(r) for r in rows))
+        ingest.ingest_records(
+            stream_records(spark, src, "activity"), fact, check, bad, accounts, campaigns, leads,
+            "unit", "r1", "TIMESTAMP '2024-01-01 00:00:00'",
+        ).awaitTermination()
+
+    good = {"id": "e1", "timestamp": "2024-01-05T01:00:00", "agent_id": "a1", "lead_id": "l1",
+            "campaign_id": "c1", "type": "invite_sent"}
+    deliver("1.json", [good, {**good, "id": "e2", "agent_id": "zz"}, {"id": "e3"}])
+    deliver("2.json", [good, {**good, "id": "e4", "lead_id": None}])
+    rows = {r.activity_id: (r.account_key, r.campaign_key, r.lead_key)
+            for r in spark.read.parquet(fact).collect()}
+    assert rows == {"e1": (5, 3, 8), "e4": (5, 3, None)}
+    letters = {r.error_message for r in spark.read.parquet(bad).collect()}
+    assert letters == {"unknown account", "missing or unreadable time"}
+
+
 def test_streamed_counts_equal_batch(spark, sf_dir):
     t = tm.TestTables(spark, sf_dir)
     batch = tm.daily(t)

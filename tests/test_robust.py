@@ -99,7 +99,7 @@ def snapshots(spark, n=30, low=0):
     return spark.createDataFrame(rows, SNAPSHOT)
 
 
-def reference_score(pdf):
+def score_by_definition(pdf):
     """The composite from its definition, with numpy."""
     pdf = pdf.copy()
     pdf["ghost_rate"] = 1 - pdf.replies_received / pdf.invites_accepted
@@ -118,7 +118,7 @@ def reference_score(pdf):
 def test_composite_score_and_injected_anomalies(spark):
     plain, injected = snapshots(spark), snapshots(spark, low=3)
     scored = anomaly.anomaly_scores(injected).toPandas().sort_values("date_key")
-    want = reference_score(injected.toPandas().sort_values("date_key"))
+    want = score_by_definition(injected.toPandas().sort_values("date_key"))
     np.testing.assert_allclose(scored.anomaly_score, want, atol=6e-5)
     assert len(scored) == 30
     assert {"z_ghost_rate", "iqr_outlier_reply_rate", "risk_flag"} <= set(scored.columns)
@@ -138,7 +138,7 @@ def test_few_rows_missing_metric_and_null(spark):
         *["IF(date_key % 4 = 0, NULL, reply_rate) AS reply_rate" if c == "reply_rate" else c
           for c in snapshots(spark, 1).columns])
     got = anomaly.anomaly_scores(nulls).toPandas().sort_values("date_key")
-    want = reference_score(nulls.toPandas().sort_values("date_key"))
+    want = score_by_definition(nulls.toPandas().sort_values("date_key"))
     np.testing.assert_allclose(got.anomaly_score, want, atol=6e-5)
 
     part = snapshots(spark, 20).drop("reply_rate")

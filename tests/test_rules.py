@@ -140,7 +140,7 @@ def test_best_campaign_and_rank_keep_ties(spark):
 # Data quality
 
 
-def test_reference_quality_fixture(spark):
+def test_small_mart_scores_exactly_the_threshold(spark):
     """One account, one campaign, ten activities: sixteen checks, exactly 0.85."""
     day = spark.sql("SELECT CAST(date_format(d, 'yyyyMMdd') AS INT) AS date_key, d AS full_date "
                     "FROM (SELECT explode(sequence(DATE '2024-01-01', DATE '2024-12-31')) AS d)")
