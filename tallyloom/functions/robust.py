@@ -30,7 +30,7 @@ def metric_values(df: DataFrame, by: list[str], metrics: dict[str, str]) -> Data
     """
     pairs = ", ".join(f"'{name}', CAST({text} AS DOUBLE)" for name, text in metrics.items())
     rows = df.selectExpr(*by, f"stack({len(metrics)}, {pairs}) AS (metric, value)").filter(
-        "value IS NOT NULL"
+        "value IS NOT NULL AND NOT isnan(value)"
     )
     if not by:
         return rows.selectExpr("*", "1L AS n")

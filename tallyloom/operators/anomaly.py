@@ -90,14 +90,15 @@ def anomaly_scores(
     """Add per-metric z and fence columns, `anomaly_score` and `risk_flag`.
 
     Statistics are pooled over all rows unless `partition_by` is given.  A
-    metric that is not a column is left out and not weighted.  With fewer than
-    five rows every z and the score are 0 and the fence columns are NULL.
+    metric that is not a column is left out and not weighted; NULL and NaN read
+    as `null_as`.  With fewer than five rows every z and the score are 0 and the fence columns are NULL.
     """
     df = with_ghost_rate(daily.drop("anomaly_score", "risk_flag"))
     present = [m for m in metrics if m[0] in df.columns]
     if not present:
         return df.selectExpr("*", "0D AS anomaly_score", "'Normal' AS risk_flag")
-    values = {m: f"coalesce(CAST({m} AS DOUBLE), {lit(float(null_as))})" for m, _, _ in present}
+    missing = lit(float(null_as))
+    values = {m: f"nanvl(coalesce(CAST({m} AS DOUBLE), {missing}), {missing})" for m, *_ in present}
 
     zs, columns = [], []
     for name, _, bad in present:

@@ -234,10 +234,15 @@ def daily_snapshot(fact: DataFrame, accounts: DataFrame, dense: bool = False) ->
     return snapshot_rates(counts, accounts)
 
 
+def touched_days(batch: DataFrame) -> DataFrame:
+    """The dates of a batch.  The calendar bounds their number, so they are
+    broadcast, and the fact is not shuffled."""
+    return F.broadcast(batch.select("date_key").distinct())
+
+
 def refresh_days(fact: DataFrame, batch: DataFrame, accounts: DataFrame) -> DataFrame:
     """The snapshot rows of the days a batch touches, recomputed from the fact."""
-    touched = batch.select("date_key").distinct()
-    return daily_snapshot(fact.join(touched, "date_key", "left_semi"), accounts)
+    return daily_snapshot(fact.join(touched_days(batch), "date_key", "left_semi"), accounts)
 
 
 def snapshot_refresh(
@@ -245,6 +250,5 @@ def snapshot_refresh(
 ) -> DataFrame:
     """The whole snapshot after a batch: untouched days kept, the others redone."""
     fresh = refresh_days(fact, batch, accounts)
-    touched = batch.select("date_key").distinct()
-    kept = daily.select(*fresh.columns).join(touched, "date_key", "left_anti")
+    kept = daily.select(*fresh.columns).join(touched_days(batch), "date_key", "left_anti")
     return kept.unionByName(fresh)

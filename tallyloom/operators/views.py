@@ -18,7 +18,8 @@ def daily_trend(fact: DataFrame) -> DataFrame:
 def last_days(fact: DataFrame, days: int = 7) -> DataFrame:
     """Daily KPI rows of the last days that have activity (`days` of them)."""
     recent = fact.select("date_key").distinct().orderBy(F.desc("date_key")).limit(days)
-    return activity_measures(fact.join(recent, "date_key", "left_semi"), ["date_key"])
+    kept = fact.join(F.broadcast(recent), "date_key", "left_semi")
+    return activity_measures(kept, ["date_key"])
 
 
 def activity_breakdown(fact: DataFrame) -> DataFrame:

@@ -226,8 +226,12 @@ def run_daily(
                 load(run, sources[entity])
         if "activity" in sources:
             batch = load_activities(run, sources["activity"])
+            # The dates of a batch, bounded by the calendar, prune the fact's partitions.
+            days = [r["date_key"] for r in batch.select("date_key").distinct().collect()]
             refreshed = facts.snapshot_refresh(
-                mart.read("fact_daily"), mart.read("fact_activity"), batch,
+                mart.read("fact_daily"),
+                mart.read("fact_activity").filter(F.col("date_key").isin(days)),
+                batch,
                 mart.read("dim_account"),
             )
             mart.publish("fact_daily", anomaly.anomaly_scores(refreshed))

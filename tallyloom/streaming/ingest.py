@@ -35,20 +35,18 @@ def ingest_stream(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            rows = to_fact(batch)
-            target = batch.sparkSession.read.schema(rows.schema).parquet(fact_path)
-            fresh = facts.insert_facts(target, rows, list(keys), order)
-            fresh.hint("rebalance", "date_key").write.mode("append").partitionBy(
-                "date_key"
-            ).parquet(fact_path)
-            if to_rejects is not None:
-                to_rejects(batch).write.mode("overwrite").parquet(
-                    f"{reject_path}/batch_id={batch_id}"
-                )
-        finally:
-            batch.unpersist()
+        # The files of a batch are read again for the rejects: cheaper than
+        # keeping a copy of a large first load.
+        rows = to_fact(batch)
+        target = batch.sparkSession.read.schema(rows.schema).parquet(fact_path)
+        fresh = facts.insert_facts(target, rows, list(keys), order)
+        fresh.hint("rebalance", "date_key").write.mode("append").partitionBy(
+            "date_key"
+        ).parquet(fact_path)
+        if to_rejects is not None:
+            to_rejects(batch).write.mode("overwrite").parquet(
+                f"{reject_path}/batch_id={batch_id}"
+            )
 
     # An empty append creates the table on the first run.
     empty = to_fact(source.sparkSession.createDataFrame([], source.schema))

@@ -135,7 +135,8 @@ def test_few_rows_missing_metric_and_null(spark):
     assert all(r.iqr_outlier_reply_rate is None and r.z_reply_rate == 0 for r in few)
 
     nulls = snapshots(spark, 20).selectExpr(
-        *["IF(date_key % 4 = 0, NULL, reply_rate) AS reply_rate" if c == "reply_rate" else c
+        *["CASE date_key % 4 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') ELSE reply_rate END "
+          "AS reply_rate" if c == "reply_rate" else c
           for c in snapshots(spark, 1).columns])
     got = anomaly.anomaly_scores(nulls).toPandas().sort_values("date_key")
     want = score_by_definition(nulls.toPandas().sort_values("date_key"))

@@ -108,3 +108,22 @@ def test_foreign_keys_of_a_hot_child(spark):
     got = {r.check_name: (r.total_records, r.failed_records) for r in both.collect()}
     # 20,000 rows of key 0, and one row for every odd key below 40,000
     assert got == {"ri_c_a": (40_000, 19_950), "ri_c_b": (40_000, 39_950)}
+
+
+def test_refresh_does_not_shuffle_the_fact(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    spark.range(1000).selectExpr(
+        "20240101 + CAST(id % 20 AS INT) AS date_key", "id % 3 AS account_key",
+        "'invite_sent' AS activity_type", "0 AS is_converted",
+    ).write.partitionBy("date_key").parquet(path)
+    fact = spark.read.parquet(path)
+    batch = spark.range(3).selectExpr("20240105 + CAST(id % 1 AS INT) AS date_key")
+    accounts = spark.sql("SELECT 1L AS account_key, 9 AS daily_invite_limit, "
+                         "9 AS daily_message_limit")
+    fresh = facts.refresh_days(fact, batch, accounts)
+    text = plan(fresh)
+    semi = [i for i, line in enumerate(text.split("\n")) if "LeftSemi" in line]
+    assert len(semi) == 1 and "BroadcastHashJoin" in text.split("\n")[semi[0]]
+    below = text.split("\n")[semi[0] + 1:semi[0] + 4]
+    assert not any("hashpartitioning" in line for line in below)
+    assert {r.date_key for r in fresh.collect()} == {20240105}
