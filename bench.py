@@ -17,10 +17,8 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = [
-    "anomaly_scores",
     "daily_snapshot",
     "core_kpis",
-    "account_health",
     "campaign_performance",
     "measures_by_day",
     "rolling_7d",
@@ -29,7 +27,6 @@ HEADLINE = [
     "reply_decay_revenue",
     "modified_z",
     "iqr_flags",
-    "risk_report",
     "capacity_limits",
     "dq_uniqueness",
     "dq_all_checks",
@@ -39,6 +36,9 @@ HEADLINE = [
     "fact_idempotent_load",
     "reject_split",
     "incremental_equals_full",
+    "anomaly_scores",
+    "account_health",
+    "risk_report",
 ]
 
 
