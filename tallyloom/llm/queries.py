@@ -5,13 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import mixing, sharding, url_filter
+from tallyloom.llm import mixing, separators, sharding, token_files, url_filter
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
 MIX_SEED = 20240501
+VOCABULARY = "byte_bpe_50k.json"
+#: The end-of-text id of that vocabulary.
+END_OF_TEXT = 50256
+
+
+def op2_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_files.write_token_files(docs, vocabulary(VOCABULARY), end_id=0)
+    index = token_files.document_index(manifest)
+    read = token_files.read_documents(index, digest_only=True)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +51,16 @@ def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat files of all documents, scanned for their ends; documents are named by their place in a file."""
+    docs = table(spark, sf_dir, "documents")
+    names = separators.write_flat_files(docs, vocabulary(VOCABULARY), END_OF_TEXT)
+    found = written(separators.scan_blocks(names.where("ordinal = -1"), END_OF_TEXT), "op8-ends")
+    lengths = separators.document_lengths(found)
+    named = names.where("ordinal >= 0").select("part", "ordinal", "doc_id")
+    return lengths.join(named, ["part", "ordinal"], "left").select("doc_id", "part", "ordinal", "start", "n_tokens", "complete")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trees learn from the URLs that a rule decides and judge the others."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -49,8 +71,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_seekable_tokens": op2_seekable_tokens,
     "op4_poisson_mix": op4_poisson_mix,
     "op7_rendezvous_shards": op7_rendezvous_shards,
+    "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
 }
 
