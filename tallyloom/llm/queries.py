@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import mixing, separators, sharding, token_files, url_filter
+from tallyloom.llm import decontaminate, mixing, separators, sharding, token_files, url_filter
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -26,6 +26,19 @@ def op2_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source at an equal share of as many rows as there are."""
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +85,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_seekable_tokens": op2_seekable_tokens,
+    "op3_decontamination": op3_decontamination,
     "op4_poisson_mix": op4_poisson_mix,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_token_counts": op8_token_counts,
@@ -79,6 +93,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_decontamination": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT item_id, least(13, len(w)) AS size, w[i : i + least(13, len(w)) - 1] AS win
+  FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, i, size, w[i : i + size - 1] AS win FROM words, sizes, unnest(range(1, len(w) - size + 2)) AS t(i)
+), hits AS (SELECT doc_id, i, p.size, item_id FROM places p JOIN windows v ON p.size = v.size AND p.win = v.win),
+hit_words AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hits, unnest(range(0, size)) AS t(j) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+""",
     "op4_poisson_mix": f"""
 WITH rates AS (
   SELECT source, sum(count(*)) OVER () / CAST(count(*) OVER () AS DOUBLE) / count(*) AS rate FROM documents GROUP BY source
