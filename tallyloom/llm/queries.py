@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, mixing, separators, sharding, token_files, url_filter
+from tallyloom.llm import decontaminate, mixing, quality_cascade, separators, sharding, token_files, url_filter
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -46,6 +46,12 @@ def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "copy", "position")
 
 
+def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_cascade.quality(table(spark, sf_dir, "documents").select("doc_id", "text"), metrics=True)
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept")
+
+
 def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     even = [1.0] * SHARDS
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_seekable_tokens": op2_seekable_tokens,
     "op3_decontamination": op3_decontamination,
     "op4_poisson_mix": op4_poisson_mix,
+    "op5_quality_cascade": op5_quality_cascade,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
