@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, mixing, quality_cascade, separators, sharding, token_files, url_filter
+from tallyloom.llm import decontaminate, language_id, mixing, quality_cascade, separators, sharding, token_files, url_filter
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -52,6 +52,15 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the documents that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    known = docs.where(fold != 2).select("doc_id", "text", "lang")
+    predicted = language_id.languages(docs.select("doc_id", "text"), language_id.train(known), spans=False)
+    return predicted.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     even = [1.0] * SHARDS
@@ -94,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_poisson_mix": op4_poisson_mix,
     "op5_quality_cascade": op5_quality_cascade,
+    "op6_language_id": op6_language_id,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_token_counts": op8_token_counts,
     "op10_url_filter": op10_url_filter,
