@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, language_id, mixing, quality_cascade, separators, sharding, token_files, url_filter
+from tallyloom.llm import decontaminate, language_id, mixing, quality_cascade, secrets, separators, sharding, token_files, url_filter
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -18,6 +18,19 @@ VOCABULARY = "byte_bpe_50k.json"
 END_OF_TEXT = 50256
 
 
+def op1_secret_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+    base = F.col("base_spans")
+    counts = [secrets.of_kind(base, k).alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.spelled(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.spelled(F.col("secret_spans")).alias("spans"),
+    )
+
+
 def op2_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = token_files.write_token_files(docs, vocabulary(VOCABULARY), end_id=0)
@@ -99,6 +112,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_tagger": op1_secret_tagger,
     "op2_seekable_tokens": op2_seekable_tokens,
     "op3_decontamination": op3_decontamination,
     "op4_poisson_mix": op4_poisson_mix,
