@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, language_id, mixing, quality_cascade, secrets, separators, sharding, token_files, url_filter
+from tallyloom.llm import decontaminate, language_id, mixing, near_dup, quality_cascade, secrets, separators, sharding, token_files, url_filter
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -102,6 +102,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.join(named, ["part", "ordinal"], "left").select("doc_id", "part", "ordinal", "start", "n_tokens", "complete")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dup.near_duplicates(docs).select("doc_id", "class_id", "class_size")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trees learn from the URLs that a rule decides and judge the others."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_token_counts": op8_token_counts,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_url_filter": op10_url_filter,
 }
 
