@@ -13,6 +13,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +36,7 @@ WORD_CAP = 4.0
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
 #: Word scores kept by one Python worker.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 SLICE_BYTES = 1 << 20
 
 # First code points of Unicode script ranges, each up to the next.
@@ -53,6 +54,7 @@ SCRIPTS = [
     (0xFFA0, "Other"), (0x20000, "Han"), (0x30000, "Other"),
 ]
 _STARTS = [s for s, _ in SCRIPTS]
+_NOT_LATIN = chr(0x0370)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -130,44 +132,64 @@ def fit(languages: list[str], counts: list[tuple[str, str, int]]) -> Model:
 
 
 class Scorer:
-    """Scores of words, kept from text to text."""
+    """Scores of words, kept from text to text: those of the present generation and of the one before."""
 
     def __init__(self, model: Model):
         self.model = model
-        n = len(model.languages)
-        self.numbers: dict[str, int] = {}
-        self.scores = np.zeros((1024, n))
-        self.letters = np.zeros(1024, np.int64)
-
-    def word(self, word: str) -> tuple[np.ndarray, int]:
-        """(score of each language, best 0 and least -`WORD_CAP`, number of letters)."""
-        model, runs = self.model, _LETTERS.findall(word.lower())
-        n = sum(map(len, runs))
-        if not n:
-            return np.zeros(len(model.languages)), 0
-        total = np.zeros(len(model.languages))
-        for run in runs:
-            for g in grams(run):
-                k = model.grams.get(g)
-                total += model.unseen if k is None else model.weights[k]
-        seen = {"Latin"} if word.isascii() else {script(c) for run in runs for c in run}
-        possible = np.array([bool(seen & s) for s in model.scripts])
-        if possible.any():
-            total = np.where(possible, total, -np.inf)
-        return np.maximum(total - total.max(), -WORD_CAP), n
+        self.table = np.concatenate([model.weights, model.unseen[None]])
+        self.latin = np.array(["Latin" in s for s in model.scripts])
+        self._start({})
+
+    def _start(self, old: dict[str, int]) -> None:
+        n = len(self.model.languages)
+        self.old, self.numbers = old, {}
+        self.old_scores, self.old_letters = getattr(self, "scores", np.zeros((0, n))), getattr(self, "letters", np.zeros(0, np.int64))
+        self.scores, self.letters = np.zeros((0, n)), np.zeros(0, np.int64)
+
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(score of each language, best 0 and least -`WORD_CAP`; number of letters) of each word.
+
+        The trigrams' log probabilities are summed; languages that don't use a
+        script of the word are out, unless that leaves none.
+        """
+        find, missing = self.model.grams.get, len(self.table) - 1
+        places: list[int] = []
+        sizes, letters = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        possible = np.broadcast_to(self.latin, (len(words), len(self.latin))).copy()
+        for i, w in enumerate(words):
+            low = w.lower()
+            runs = [low] if low.isalpha() else _LETTERS.findall(low)
+            before = len(places)
+            for run in runs:
+                letters[i] += len(run)
+                padded = f"^{run}$"
+                places += [find(padded[k : k + 3], missing) for k in range(len(run))]
+            sizes[i] = len(places) - before
+            if runs and max(low) >= _NOT_LATIN:
+                seen = {script(c) for run in runs for c in run}
+                possible[i] = [bool(seen & s) for s in self.model.scripts]
+        some = np.flatnonzero(sizes)
+        total = np.zeros((len(words), len(self.latin)))
+        if len(some):
+            starts = np.cumsum(sizes[some]) - sizes[some]
+            total[some] = np.add.reduceat(self.table[places], starts, axis=0)
+            possible[~possible.any(axis=1)] = True
+            total[some] = np.where(possible[some], total[some], -np.inf)
+            total[some] = np.maximum(total[some] - total[some].max(axis=1, keepdims=True), -WORD_CAP)
+        return total, letters
 
     def number(self, words: set[str]) -> None:
-        for w in words - self.numbers.keys():
-            i = len(self.numbers)
-            if i == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-                self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-            self.scores[i], self.letters[i] = self.word(w)
-            self.numbers[w] = i
-
-    def forget(self) -> None:
-        if len(self.numbers) > CACHE_WORDS:
-            self.numbers.clear()
+        """Have a number, scores and letters for each of these words."""
+        if len(self.numbers) > CACHE_WORDS // 2:
+            self._start(self.numbers)
+        missing = words - self.numbers.keys()
+        again = list(missing & self.old.keys())
+        new = list(missing.difference(again))
+        kept = np.fromiter(map(self.old.__getitem__, again), np.int64, len(again))
+        scores, letters = self.score(new)
+        self.numbers.update(zip([*again, *new], range(len(self.numbers), len(self.numbers) + len(missing)), strict=True))
+        self.scores = np.concatenate([self.scores, self.old_scores[kept], scores])
+        self.letters = np.concatenate([self.letters, self.old_letters[kept], letters])
 
 
 def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
@@ -228,8 +250,8 @@ def identify(texts: list[str | None], scorer: Scorer, switch: float = SWITCH, sp
     languages = scorer.model.languages
     words = [(t or "").split() for t in texts]
     scorer.number(set().union(*words))
-    numbers = np.fromiter((i for w in words for i in map(scorer.numbers.__getitem__, w)), np.int64)
     first = np.cumsum([0, *map(len, words)])
+    numbers = np.fromiter(map(scorer.numbers.__getitem__, chain.from_iterable(words)), np.int64, first[-1])
     scores, letters = scorer.scores[numbers], scorer.letters[numbers]
     labels = label_words(scores, first, switch)
     out = []
@@ -284,7 +306,6 @@ def _predict(model: Broadcast, switch: float, spans: bool):
         for part in slices(texts, SLICE_BYTES):
             for r in identify(part.to_pylist(), held[0], switch, spans):
                 out.append({"lang": r.lang, "score": r.score, "spans": [dict(zip(("start", "end", "lang"), s, strict=True)) for s in r.spans]})
-            held[0].forget()
         return pa.array(out, _RESULT_ARROW)
 
     return predict
