@@ -11,7 +11,7 @@ elements.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import exp, lgamma, log
 
@@ -31,9 +31,13 @@ DARTS, ROWS = 128, 4
 BANDS = DARTS // ROWS
 #: First band of time; each further band ends `GROWTH` times later.
 FIRST_TIME, GROWTH = 0.25, 2**0.5
-#: A pair is left out of the exact comparison if the share of equal coordinates is this far
-#: below the threshold: four standard deviations, so that one true pair in 30,000 at the threshold is lost.
-SLACK = 0.14
+#: Coordinates of the finer signatures of texts in crowded buckets.
+FINE_DARTS = 512
+#: A pair is left out of the exact comparison if the share of equal coordinates is so many standard
+#: deviations below the threshold; one true pair in 30,000 at the very threshold is lost by that.
+SLACK = 4.0
+#: Rounds in which texts are compared with their likeliest partner in another component only.
+PARTNER_ROUNDS = 2
 #: Buckets up to this size are compared in one task; larger ones are cut by further bands first.
 BUCKET_ROWS = 4096
 #: Node ids up to this number are broadcast (16 MB); more are joined by a shuffle.
@@ -126,7 +130,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
 _SKETCH_ARROW = pa.schema([("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
 
-def sketches(texts: DataFrame, by_count: bool = False, shingle: int = SHINGLE) -> DataFrame:
+def sketches(texts: DataFrame, by_count: bool = False, shingle: int = SHINGLE, darts: int = DARTS) -> DataFrame:
     """(node, bands, sketch) for each distinct (node, text) with words; the sketch is a byte of each coordinate.
 
     `by_count` weighs shingles by how often they occur. A copy that follows in
@@ -151,7 +155,7 @@ def sketches(texts: DataFrame, by_count: bool = False, shingle: int = SHINGLE) -
                 w = None
                 if by_count:
                     owner, element, w = weights(owner, element)
-                signature = signatures(len(part), owner, element, w)
+                signature = signatures(len(part), owner, element, w, darts)
                 some = np.flatnonzero(np.diff(words.first))
                 signature = signature[some]
                 keys = bands(signature)
@@ -180,9 +184,9 @@ def _agreement():
     return agreement
 
 
-def _least(threshold: float) -> int:
+def _least(threshold: float, darts: int = DARTS) -> int:
     """Equal sketch bytes that a pair needs to be compared."""
-    return int(DARTS * (threshold - SLACK))
+    return int(darts * threshold - SLACK * (darts * threshold * (1 - threshold)) ** 0.5)
 
 
 def jaccard(a: list[str], b: list[str], by_count: bool = False, shingle: int = SHINGLE) -> np.ndarray:
@@ -256,10 +260,15 @@ def components(edges: DataFrame) -> DataFrame:
 _PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _bucket_pairs(bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketch: np.ndarray, least: int) -> np.ndarray:
-    """Pairs of different labels in whole buckets (sorted by bucket) whose sketches agree enough."""
+def _bucket_pairs(bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketch: np.ndarray, threshold: float, partners: bool) -> np.ndarray:
+    """Pairs of different labels in whole buckets (sorted by bucket) whose sketches agree enough.
+
+    With `partners` only the likeliest of each row outside the bucket's largest
+    label. The first `DARTS` bytes decide which pairs the others are compared for.
+    """
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     out = [np.zeros((0, 2), np.int64)]
+    columns = sketch.T[:DARTS].copy()
     for s, e in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
         names, place = np.unique(label[s:e], return_inverse=True)
         major = np.bincount(place).argmax()
@@ -267,20 +276,25 @@ def _bucket_pairs(bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketc
         for i in range(0, len(others), 64):
             rows = others[i : i + 64]
             agree = np.zeros((len(rows), e - s), np.int16)
-            for j in range(sketch.shape[1]):
-                agree += sketch[s + rows, j][:, None] == sketch[s:e, j]
-            x, y = np.nonzero((agree >= least) & (place[rows][:, None] != place))
-            x = rows[x]
-            # A pair of two rows outside the largest label comes up twice; once is enough.
-            once = (place[y] == major) | (x < y)
-            out.append(np.stack([node[s + x[once]], node[s + y[once]]], axis=1))
+            for c in columns:
+                agree += c[s + rows][:, None] == c[s:e]
+            agree[place[rows][:, None] == place] = 0
+            x, y = np.nonzero(agree >= _least(threshold))
+            if partners:
+                best = agree.argmax(axis=1)
+                x = np.flatnonzero(agree[np.arange(len(rows)), best] >= _least(threshold))
+                y = best[x]
+            elif sketch.shape[1] > DARTS and len(x):
+                full = np.concatenate([(sketch[s + rows[x[k : k + 8192]]] == sketch[s + y[k : k + 8192]]).sum(axis=1) for k in range(0, len(x), 8192)])
+                enough = full >= _least(threshold, sketch.shape[1])
+                x, y = x[enough], y[enough]
+            out.append(np.stack([node[s + rows[x]], node[s + y]], axis=1))
     pairs = np.concatenate(out)
     return np.unique(np.sort(pairs, axis=1), axis=0)
 
 
-def _compared(rows: DataFrame, threshold: float) -> DataFrame:
+def _compared(rows: DataFrame, threshold: float, partners: bool) -> DataFrame:
     """Pairs (a, b) of different labels within the buckets of (bucket, node, label, sketch)."""
-    least = _least(threshold)
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +304,7 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
             t = pa.Table.from_batches(parts)
             bucket, node, label = (t.column(i).to_numpy() for i in range(3))
             sketch = np.frombuffer(b"".join(t.column(3).to_pylist()), np.uint8).reshape(len(t), -1)
-            pairs = _bucket_pairs(bucket, node, label, sketch, least)
+            pairs = _bucket_pairs(bucket, node, label, sketch, threshold, partners)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR_ARROW)
 
         for batch in batches:
@@ -308,13 +322,15 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _across(active: DataFrame, labels: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+def _across(active: DataFrame, labels: DataFrame, known: DataFrame, threshold: float, finer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Pairs that share a bucket, are not in one component yet and whose sketches agree enough.
 
     `active` has (bucket, used, node), `used` the bands in the bucket's key as bits. Only
     buckets with several labels matter. One of more than `BUCKET_ROWS` rows is cut
     by each of the bands it hasn't used: a similar pair agrees in some of them as
     surely as in the first place, a pair that shares one passage seldom does.
+    `finer` gives finer sketches for some nodes; without it only the likeliest
+    partner of each row in a bucket counts.
     """
     found = None
     rows = active.join(labels, "node", "left").select("bucket", "used", "node", F.coalesce("label", "node").alias("label"))
@@ -324,8 +340,10 @@ def _across(active: DataFrame, labels: DataFrame, known: DataFrame, threshold: f
         mixed_buckets = sizes.where("lo <> hi").select("bucket", "used", "n")
         rows = rows.join(mixed_buckets, ["bucket", "used"])
         final = (F.col("n") <= BUCKET_ROWS) | (F.bit_count("used") >= BANDS)
-        fit = rows.where(final).join(known.select("node", "sketch"), "node").select("bucket", "node", "label", "sketch")
-        pairs = written(_compared(fit, threshold), "pairs")
+        fit = rows.where(final)
+        shown = finer(fit.select("node").distinct()) if finer else known.select("node", "sketch")
+        fit = fit.join(shown, "node").select("bucket", "node", "label", "sketch")
+        pairs = written(_compared(fit, threshold, finer is None), "pairs")
         found = pairs if found is None else found.unionAll(pairs)
         large = rows.where(~final)
         if large.isEmpty():
@@ -352,11 +370,18 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold:
     picked = written(picked.groupBy("node").agg(F.first("text").alias("text")), "texts")
     edges = written(_verified(star, picked, threshold, by_count, shingle), "links")
     labels = components(edges)
-    across = written(_across(active.select("bucket", "used", "node"), labels, known, threshold), "across")
-    if across.isEmpty():
-        return labels
-    more = _verified(across, picked, threshold, by_count, shingle)
-    return components(written(edges.unionAll(more), "links"))
+    buckets = active.select("bucket", "used", "node")
+
+    def finer(nodes: DataFrame) -> DataFrame:
+        return written(sketches(picked.join(nodes, "node", "left_semi"), by_count, shingle, FINE_DARTS).select("node", "sketch"), "fine")
+
+    for last in (*[False] * PARTNER_ROUNDS, True):
+        across = written(_across(buckets, labels, known, threshold, finer if last else None), "across")
+        if across.isEmpty():
+            break
+        edges = written(edges.unionAll(_verified(across, picked, threshold, by_count, shingle)), "links")
+        labels = components(edges)
+    return labels
 
 
 def near_duplicates(
@@ -374,8 +399,9 @@ def near_duplicates(
     How it finds links: texts that share a band of the signature are in a bucket.
     First every text is compared with the least of each of its buckets, which
     joins most of a group of any size by links in proportion to its texts. Then,
-    in buckets that still hold several components, pairs across components are
-    compared where their sketches agree enough. All accepted links are exact.
+    in buckets that still hold several components, each text is compared with
+    its likeliest partner in another component, and at last all pairs across
+    components are compared whose finer sketches agree enough. All links are exact.
     Keys may repeat or be NULL.
     """
     found = classes(docs, text, key, threshold, by_count, shingle)
