@@ -43,7 +43,7 @@ def write_flat_files(docs: DataFrame, vocabulary: str, end_id: int, dtype: str =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         part, name = task.partitionId(), f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}.ids"
-        enc, out, n, size = encoder(vocabulary, dtype, True), None, 0, 0
+        enc, out, n, size = encoder(vocabulary, np.dtype(dtype).itemsize, True), None, 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -51,7 +51,7 @@ def write_flat_files(docs: DataFrame, vocabulary: str, end_id: int, dtype: str =
                 store, path = filesystem(folder)
                 store.create_dir(path, recursive=True)
                 out = store.open_output_stream(filesystem(name)[1], compression=None)
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), 1 << 20):
                 data = end.join([*enc.encode(texts.to_pylist()), b""])
                 out.write(data)
                 size += len(data)

@@ -152,7 +152,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, key: st
         enc, out = encoder(vocabulary), None
         for batch in batches:
             keys, at = batch.column(0).to_pylist(), 0
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), 1 << 20):
                 if out is None:
                     store, path = filesystem(folder)
                     store.create_dir(path, recursive=True)
