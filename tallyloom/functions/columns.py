@@ -63,6 +63,17 @@ def total(column: str) -> str:
     return f"coalesce(sum(CAST({column} AS BIGINT)), 0)"
 
 
+def name(column: str) -> str:
+    """A column name, quoted."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def truthy(column: str) -> str:
+    """A flag of the source is set: true, a number but 0, or a text but an empty one, 0, false, no, off or null."""
+    text = f"lower(trim(CAST({column} AS STRING)))"
+    return f"coalesce({text} NOT IN ('', '0', '0.0', 'false', 'no', 'n', 'f', 'off', 'null', 'none'), false)"
+
+
 def flag(cond: str) -> str:
     """1 where the condition holds, 0 where it is false or NULL."""
     return f"CASE WHEN {cond} THEN 1 ELSE 0 END"

@@ -109,8 +109,11 @@ def robust_stats(values: DataFrame, by: list[str], bounded_groups: bool) -> Data
         return f"least({a} + ({b} - {a}) * ({p}D * (rows - 1) - {_first(p)}), {b})"
 
     known = ("rows", "before", "in_mad", "mad_before")
+    # A group may be NULL.
+    named = ranges.withColumnsRenamed({c: f"_at_{c}" for c in (*by, "bucket")})
+    same = F.expr(" AND ".join(f"{c} <=> _at_{c}" for c in (*by, "bucket")))
     ranked = (
-        placed.join(F.broadcast(ranges) if bounded_groups else ranges, [*by, "bucket"])
+        placed.join(F.broadcast(named) if bounded_groups else named, same)
         .groupBy(*by, "bucket", "value", *known)
         .agg(F.expr("sum(n) AS n"))
         .repartition(*by)

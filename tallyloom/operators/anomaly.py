@@ -24,7 +24,9 @@ def _attach_stats(df: DataFrame, metrics: dict[str, str], by: list[str]) -> Data
     wide = F.expr(f"named_struct({parts})").alias("_stats")
     if not by:
         return df.select("*", stats.agg(wide).scalar().alias("_stats"))
-    return df.join(stats.groupBy(*by).agg(wide), by, "left")
+    grouped = stats.groupBy(*by).agg(wide).withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = F.expr(" AND ".join(f"{c} <=> _by_{c}" for c in by))
+    return df.join(grouped, same, "left").drop(*[f"_by_{c}" for c in by])
 
 
 def _z(value: str, stat: str) -> str:

@@ -279,3 +279,8 @@ def with_tier_limits(df: DataFrame, tier: str = "account_age_tier") -> DataFrame
         f"{tier_value(tier, 1)} AS daily_invite_limit",
         f"{tier_value(tier, 2)} AS daily_message_limit",
     )
+
+
+def of_accounts(daily: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Snapshot rows with the `account_id` of their version's account; versions keep their own keys."""
+    return daily.join(accounts.select("account_key", "account_id"), "account_key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallyloom.functions.columns import date_key, exprs, flag, key_to_date, lit, rate
+from tallyloom.functions.columns import date_key, exprs, flag, key_to_date, lit, rate, truthy
 from tallyloom.operators.measures import TYPE_COUNTS
 
 
@@ -86,9 +86,9 @@ def to_fact_activity(records: DataFrame, source_system: str) -> DataFrame:
         "lead_key",
         "coalesce(type, 'unknown') AS activity_type",
         "event_time AS activity_timestamp",
-        f"{flag('accepted')} AS is_accepted",
-        f"{flag('replied')} AS is_replied",
-        f"{flag('converted')} AS is_converted",
+        f"{flag(truthy('accepted'))} AS is_accepted",
+        f"{flag(truthy('replied'))} AS is_replied",
+        f"{flag(truthy('converted'))} AS is_converted",
         "response_time_hours",
         f"{lit(source_system)} AS source_system",
     )

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.columns import exprs, rate, total
-from tallyloom.operators.dims import current_versions
+from tallyloom.operators.dims import current_versions, of_accounts
 from tallyloom.operators.measures import (
     ACCEPTS,
     CONVERSIONS,
@@ -65,7 +65,8 @@ def core_kpis(
 def account_health(accounts: DataFrame, daily: DataFrame) -> DataFrame:
     """Current accounts with snapshot averages; accounts without days are kept.
 
-    Snapshots are reduced to one row per account before the join.
+    Snapshots count for the account over all its versions and are reduced to one
+    row per account before the join.
     """
     measures = {
         "avg_invite_utilization": "avg(invite_utilization)",
@@ -75,12 +76,12 @@ def account_health(accounts: DataFrame, daily: DataFrame) -> DataFrame:
         "max_anomaly_score": "max(anomaly_score)",
         "avg_anomaly_score": "avg(anomaly_score)",
     }
-    per_account = daily.groupBy("account_key").agg(
+    per_account = of_accounts(daily, accounts).groupBy("account_id").agg(
         *exprs({"days_active": "count(*)", **measures})
     )
     return (
         current_versions(accounts)
-        .join(per_account, "account_key", "left")
+        .join(per_account, "account_id", "left")
         .selectExpr(
             "account_id",
             "account_name",

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallyloom import constants as C
-from tallyloom.functions.columns import exprs, lit
+from tallyloom.functions.columns import exprs, lit, name
 
 
 @dataclass
@@ -69,11 +69,11 @@ MART_RULES = Rules(
 
 
 def _check(
-    name: str, dimension: str, table: str, total: str, failed: str, details: str
+    check: str, dimension: str, table: str, total: str, failed: str, details: str
 ) -> str:
     """One check row as a struct; an empty table scores 1."""
     return (
-        f"struct('{name}' AS check_name, '{dimension}' AS dimension, '{table}' AS table_name, "
+        f"struct({lit(check)} AS check_name, '{dimension}' AS dimension, {lit(table)} AS table_name, "
         f"{total} AS total_records, {total} - {failed} AS passed_records, "
         f"{failed} AS failed_records, "
         f"IF({total} = 0, 1D, try_divide(CAST({total} - {failed} AS DOUBLE), {total})) AS score, "
@@ -91,9 +91,9 @@ def _rows(one: DataFrame, checks: list[str]) -> DataFrame:
 def _missing(df: DataFrame, cols: list[str]) -> str:
     """Any of the columns is NULL or, for text, empty."""
     return " OR ".join(
-        f"coalesce({c}, '') = ''"
+        f"coalesce({name(c)}, '') = ''"
         if isinstance(df.schema[c].dataType, T.StringType)
-        else f"{c} IS NULL"
+        else f"{name(c)} IS NULL"
         for c in cols
     )
 
@@ -138,27 +138,28 @@ def scan_checks(
         checks.append(
             _check(
                 f"completeness_{table}", "completeness", table, "total", "required",
-                f"format_string('required: {', '.join(required)}; incomplete rows: %d', required)",
+                f"format_string('required: %s; incomplete rows: %d', {lit(', '.join(required))}, required)",
             )
         )
-    for column, values in in_set:
-        counts[column] = f"count_if({column} NOT IN ({', '.join(map(lit, values))}))"
+    # Counts are named by rule, so that rules on one column don't meet.
+    for i, (column, values) in enumerate(in_set):
+        counts[f"other{i}"] = f"count_if({name(column)} NOT IN ({', '.join(map(lit, values))}))"
         checks.append(
             _check(
-                f"validity_{column}", "validity", table, "total", column,
-                f"format_string('allowed: {', '.join(values)}; other values: %d', {column})",
+                f"validity_{column}", "validity", table, "total", f"other{i}",
+                f"format_string('allowed: %s; other values: %d', {lit(', '.join(values))}, other{i})",
             )
         )
-    for column, low, high in in_range:
-        counts[column] = f"count_if({column} < {lit(low)} OR {column} > {lit(high)})"
+    for i, (column, low, high) in enumerate(in_range):
+        counts[f"outside{i}"] = f"count_if({name(column)} < {lit(low)} OR {name(column)} > {lit(high)})"
         checks.append(
             _check(
-                f"validity_{column}", "validity", table, "total", column,
-                f"format_string('range [{low:g}, {high:g}]; rows outside: %d', {column})",
+                f"validity_{column}", "validity", table, "total", f"outside{i}",
+                f"format_string('range [{low:g}, {high:g}]; rows outside: %d', outside{i})",
             )
         )
     if fresh:
-        counts["newest"] = f"CAST(max({fresh}) AS TIMESTAMP)"
+        counts["newest"] = f"CAST(max({name(fresh)}) AS TIMESTAMP)"
         checks.append(_fresh_check(table, as_of))
     return _rows(df.agg(*exprs(counts)), checks).filter(
         "total_records > 0 OR dimension = 'completeness'"
@@ -188,7 +189,7 @@ def check_uniqueness(df: DataFrame, table: str, key: str) -> DataFrame:
     """
     text = isinstance(df.schema[key].dataType, T.StringType)
     groups = (
-        df.selectExpr(f"unhex(sha2({key}, 256)) AS k" if text else f"{key} AS k")
+        df.selectExpr(f"unhex(sha2({name(key)}, 256)) AS k" if text else f"{name(key)} AS k")
         .groupBy("k")
         .agg(F.expr("count(*) AS n"))
     )
@@ -202,7 +203,7 @@ def check_uniqueness(df: DataFrame, table: str, key: str) -> DataFrame:
         )
     )
     details = (
-        f"format_string('key: {key}; repeated keys: %d; surplus rows: %d', repeated, failed)"
+        f"format_string('key: %s; repeated keys: %d; surplus rows: %d', {lit(key)}, repeated, failed)"
     )
     return _rows(
         one, [_check(f"uniqueness_{table}_{key}", "uniqueness", table, "total", "failed", details)]
@@ -221,19 +222,19 @@ def check_fks(
     The child is counted once by all its keys, so the joins see one row per
     combination and a hot key costs nothing.
     """
-    keys = child.groupBy(*dict.fromkeys(c for c, _, _ in references)).agg(
+    keys = child.groupBy(*[F.col(name(c)) for c in dict.fromkeys(c for c, _, _ in references)]).agg(
         F.expr("count(*) AS _n")
     )
     counts, checks = {"total": "coalesce(sum(_n), 0)"}, []
     for i, (column, parent, parent_column) in enumerate(references):
-        known = parent.selectExpr(f"{parent_column} AS _k{i}", f"1 AS _hit{i}").distinct()
-        keys = keys.join(known, F.expr(f"{column} = _k{i}"), "left")
-        lost = f"{column} IS NOT NULL AND _hit{i} IS NULL"
+        known = parent.selectExpr(f"{name(parent_column)} AS _k{i}", f"1 AS _hit{i}").distinct()
+        keys = keys.join(known, F.expr(f"{name(column)} = _k{i}"), "left")
+        lost = f"{name(column)} IS NOT NULL AND _hit{i} IS NULL"
         counts[f"failed{i}"] = f"coalesce(sum(_n) FILTER (WHERE {lost}), 0)"
         checks.append(
             _check(
                 f"ri_{table}_{column}", "referential_integrity", table, "total", f"failed{i}",
-                f"format_string('{table}.{column} without parent: %d', failed{i})",
+                f"format_string('%s without parent: %d', {lit(f'{table}.{column}')}, failed{i})",
             )
         )
     return _rows(keys.agg(*exprs(counts)), checks)

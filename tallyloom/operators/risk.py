@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallyloom.functions.columns import exprs, pick, steps, tier_value
+from tallyloom.operators.dims import of_accounts
 
 # Points per signal and levels per point total.
 ANOMALY_POINTS = [(3.5, 4), (2.0, 2), (1.0, 1)]
@@ -99,11 +100,12 @@ def with_capacity(
 def risk_report(accounts: DataFrame, daily: DataFrame) -> DataFrame:
     """Capacity recommendation for every current, active account.
 
-    Means skip NULL; the score is the latest non-NULL one.  An account without
-    snapshots is kept, with NULL averages.  Rounding comes after the rules.
+    Means skip NULL; the score is the latest non-NULL one.  Snapshots count for
+    the account over all its versions.  An account without snapshots is kept,
+    with NULL averages.  Rounding comes after the rules.
     """
     signals = ["avg_acceptance_rate", "avg_reply_rate", "recent_anomaly_score"]
-    per_account = daily.groupBy("account_key").agg(
+    per_account = of_accounts(daily, accounts).groupBy("account_id").agg(
         *exprs(
             {
                 "days_of_data": "count(*)",
@@ -117,7 +119,7 @@ def risk_report(accounts: DataFrame, daily: DataFrame) -> DataFrame:
     known = (
         accounts.filter("is_current = 1 AND agent_status = 'Active'")
         .select("account_key", "account_id", "account_name", "account_age_tier")
-        .join(per_account, "account_key", "left")
+        .join(per_account, "account_id", "left")
         .fillna(0, ["days_of_data"])
         .fillna(0.0, signals)
     )

@@ -64,26 +64,33 @@ def funnel(fact: DataFrame) -> DataFrame:
 
 
 def campaign_share(measures: DataFrame) -> DataFrame:
-    """Campaigns ranked by conversion rate (4 digits), with their activity share.
+    """Campaigns ranked by their exact conversion rate, with their activity share;
+    the rate is rounded to four digits in the output only.
 
-    The rank is taken over the distinct rates, of which four digits in [0, 1]
-    allow 10,001 at most, and joined back; the campaigns themselves never meet
-    in one task.
+    Campaigns are counted per distinct rate, and rates are ranked inside slices
+    of a ten-thousandth, of which [0, 1] has 10,001; slice totals give each slice
+    its first rank. A NULL rate comes last. Campaigns never meet in one task.
     """
-    rated = measures.withColumn("conversion_rate", F.round("conversion_rate", 4))
+    rated = measures.withColumn("_slice", F.expr("CAST(floor(conversion_rate * 10000) AS INT)"))
+    counts = rated.groupBy("_slice", "conversion_rate").agg(F.expr("count(*) AS n"))
+    firsts = (
+        counts.groupBy("_slice")
+        .agg(F.expr("sum(n) AS in_slice"))
+        .selectExpr("_slice", "sum(in_slice) OVER (ORDER BY _slice DESC NULLS LAST) - in_slice AS above")
+    )
+    inside = "sum(n) OVER (PARTITION BY _slice ORDER BY conversion_rate DESC) - n"
     ranks = (
-        rated.groupBy("conversion_rate")
-        .agg(F.expr("count(*) AS n"))
-        .selectExpr(
-            "conversion_rate", "sum(n) OVER (ORDER BY conversion_rate DESC) - n + 1 AS rank"
-        )
+        counts.selectExpr("_slice", "conversion_rate", f"{inside} AS before")
+        .alias("c")
+        .join(F.broadcast(firsts).alias("f"), F.expr("c._slice <=> f._slice"))
+        .selectExpr("conversion_rate AS _rate", "above + before + 1 AS rank")
     )
     total = measures.agg(F.sum("activities")).scalar()
     return (
-        rated.join(F.broadcast(ranks), "conversion_rate")
+        rated.join(ranks, F.expr("conversion_rate <=> _rate"))
         .withColumn("total", total)
         .selectExpr(
-            "campaign_name", "activities", "conversion_rate", "rank",
+            "campaign_name", "activities", "round(conversion_rate, 4) AS conversion_rate", "rank",
             f"{divide('activities', 'total')} AS activity_share",
         )
     )

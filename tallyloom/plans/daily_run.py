@@ -156,8 +156,12 @@ def since_or_timeless(records: DataFrame, watermark: str | None) -> DataFrame:
     return records.filter(f"event_time > {bound} OR event_time IS NULL")
 
 
-def load_activities(run: Run, records: DataFrame) -> DataFrame:
-    """Load new activities; gives the staged batch of accepted rows."""
+def load_activities(run: Run, records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Load new activities; gives the staged batch as facts and its accepted records.
+
+    The watermark is left to the caller: it may move only when all that follows
+    from the batch is stored, so that a run that dies in between is repeated.
+    """
     mart = run.mart
     first, last = mart.read("dim_date").selectExpr("min(date_key)", "max(date_key)").first()
     timed = since_or_timeless(facts.with_event_time(records), run.watermark(ACTIVITIES))
@@ -176,8 +180,7 @@ def load_activities(run: Run, records: DataFrame) -> DataFrame:
         mart.read("fact_activity"), batch, ["activity_id"], "activity_timestamp"
     )
     mart.append("fact_activity", rows)
-    run.advance(accepted, ACTIVITIES, "event_time")
-    return batch
+    return batch, accepted
 
 
 def raise_alerts(run: Run, report: DataFrame) -> None:
@@ -225,7 +228,7 @@ def run_daily(
             if entity in sources:
                 load(run, sources[entity])
         if "activity" in sources:
-            batch = load_activities(run, sources["activity"])
+            batch, accepted = load_activities(run, sources["activity"])
             # The dates of a batch, bounded by the calendar, prune the fact's partitions.
             days = [r["date_key"] for r in batch.select("date_key").distinct().collect()]
             refreshed = facts.snapshot_refresh(
@@ -235,6 +238,7 @@ def run_daily(
                 mart.read("dim_account"),
             )
             mart.publish("fact_daily", anomaly.anomaly_scores(refreshed))
+            run.advance(accepted, ACTIVITIES, "event_time")
 
         names = {*quality.MART_RULES.required, *[t for t, _ in quality.MART_RULES.unique]}
         tables = {name: mart.read(name) for name in names}
@@ -250,7 +254,7 @@ def run_daily(
         )
         run.log("success", clock())
     except Exception as error:
-        run.log("failed", clock(), str(error)[:1000])
+        run.log("failed", clock(), str(error))
         raise_alerts(run, spark.createDataFrame([], NO_REPORT))
         raise
     raise_alerts(run, spark.read.parquet(report_path))

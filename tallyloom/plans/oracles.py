@@ -601,8 +601,14 @@ oracle("funnel", """
                 CAST(coalesce(sum(is_converted), 0) AS BIGINT) FROM act))""")
 oracle("campaign_share", """
     SELECT campaign_name, activities, round(conversion_rate, 4) AS conversion_rate,
-        rank() OVER (ORDER BY round(conversion_rate, 4) DESC) AS rank,
+        rank() OVER (ORDER BY conversion_rate DESC NULLS LAST) AS rank,
         round(activities::DOUBLE / sum(activities) OVER (), 6) AS activity_share FROM camp_m""")
+oracle("campaign_rank_exact", """
+    SELECT CAST(l_partkey AS VARCHAR) AS campaign_name, count(*) AS activities,
+        round(sum(CAST(l_quantity AS BIGINT))::DOUBLE / (count(*) * 53), 4) AS conversion_rate,
+        rank() OVER (ORDER BY sum(CAST(l_quantity AS BIGINT))::DOUBLE / (count(*) * 53) DESC) AS rank,
+        round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS activity_share
+    FROM lineitem GROUP BY l_partkey""")
 oracle("account_trend", """SELECT account_key, date_key, invite_utilization,
     message_utilization, acceptance_rate, anomaly_score, risk_flag,
     invites_sent + messages_sent AS volume FROM scored""")
@@ -781,6 +787,21 @@ oracle("dq_validity_set", _all(
     _in_set("fact_activity", "activity_type", ["invite_sent", "message_sent"], "act"),
 ))
 RATES = ("acceptance_rate", "reply_rate", "conversion_rate")
+oracle("dq_rules_on_one_column", """
+    SELECT check_name, 'validity' AS dimension, 'orders' AS table_name, t AS total_records,
+        t - f AS passed_records, f AS failed_records, (t - f)::DOUBLE / t AS score, details || f AS details
+    FROM (SELECT count(*) AS t,
+            count(*) FILTER (o_orderpriority NOT IN ('1-URGENT', 'O''Brien', '50%')) AS a,
+            count(*) FILTER (o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM')) AS b,
+            count(*) FILTER (o_totalprice < 0 OR o_totalprice > 1000) AS c,
+            count(*) FILTER (o_totalprice < 0 OR o_totalprice > 100000) AS d FROM orders),
+        LATERAL (VALUES
+            ('validity_o total', a, 'allowed: 1-URGENT, O''Brien, 50%; other values: '),
+            ('validity_o total', b, 'allowed: 2-HIGH, 3-MEDIUM; other values: '),
+            ('validity_o_totalprice', c, 'range [0, 1000]; rows outside: '),
+            ('validity_o_totalprice', d, 'range [0, 100000]; rows outside: ')) v(check_name, f, details)""")
+oracle("source_flag_forms", """SELECT event_id,
+    CAST(event_id % 10 IN (0, 1, 2, 8) AS INTEGER) AS is_set FROM events""")
 oracle("dq_validity_range", _all(*[_in_range("fact_daily", r, "daily") for r in RATES]))
 oracle("dq_timeliness", _fresh("fact_activity", "ts", "2024-02-04 00:00:00", "act"))
 oracle("dq_referential", _all(

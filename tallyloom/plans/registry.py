@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.functions.columns import date_key, pick
+from tallyloom.functions.columns import date_key, flag, pick, truthy
 from tallyloom.operators import (
     anomaly,
     dims,
@@ -623,6 +623,17 @@ def campaign_share(t):
     return rounded(views.campaign_share(per_campaign), "activity_share")
 
 
+@query
+def campaign_rank_exact(t):
+    """Parts as campaigns: their rates differ in the fifth digit and beyond."""
+    rates = t.lineitem.groupBy("l_partkey").agg(
+        F.expr("CAST(l_partkey AS STRING) AS campaign_name"),
+        F.expr("count(*) AS activities"),
+        F.expr("CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / (count(*) * 53D) AS conversion_rate"),
+    )
+    return rounded(views.campaign_share(rates), "activity_share")
+
+
 @query
 def account_trend(t):
     return views.account_trend(scored(t))
@@ -753,6 +764,12 @@ def capacity_limits(t):
     )
 
 
+@query
+def capacity_reasoning(t):
+    """The sentence that explains each recommendation."""
+    return risk.with_capacity(risk_grid(t)).select("c_custkey", "risk_level", "reasoning")
+
+
 @query
 def risk_report(t):
     return risk.risk_report(tm.accounts(t), scored(t)).drop("reasoning")
@@ -766,6 +783,26 @@ def risk_table(t):
 # Data quality
 
 
+@query
+def dq_rules_on_one_column(t):
+    """Two ranges and two sets on one column each, with quotes and percent signs."""
+    return quality.scan_checks(
+        t.orders.withColumnRenamed("o_orderpriority", "o total"),
+        "orders",
+        in_set=[("o total", ["1-URGENT", "O'Brien", "50%"]), ("o total", ["2-HIGH", "3-MEDIUM"])],
+        in_range=[("o_totalprice", 0.0, 1000.0), ("o_totalprice", 0.0, 100000.0)],
+    )
+
+
+@query
+def source_flag_forms(t):
+    """Flags as sources write them: numbers, words, nothing."""
+    forms = "element_at(array('1', 'true', 'yes', '0', 'false', '', 'No', NULL, 'TRUE', '0.0'), CAST(event_id % 10 AS INT) + 1)"
+    return t.events.selectExpr("event_id", f"{forms} AS form").selectExpr(
+        "event_id", f"{flag(truthy('form'))} AS is_set"
+    )
+
+
 @query
 def dq_completeness(t):
     fact = quality.check_completeness(

@@ -87,6 +87,6 @@ RECORDS = {
     "account": _struct("""id string, email string, name string, age_tier string,
         status string, changed_at string"""),
     "activity": _struct("""id string, timestamp string, created_at string, agent_id string,
-        campaign_id string, lead_id string, type string, accepted boolean, replied boolean,
-        converted boolean, response_time_hours double"""),
+        campaign_id string, lead_id string, type string, accepted string, replied string,
+        converted string, response_time_hours double"""),
 }

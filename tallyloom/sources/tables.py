@@ -40,7 +40,9 @@ class MartTables:
                 .agg(F.expr("max(struct(seq, folder)) AS last"))
                 .first()
             )
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         return row["last"]
 

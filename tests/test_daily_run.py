@@ -177,3 +177,59 @@ def test_days_are_replaced_in_place(spark, tmp_path):
     mart.overwrite_days("fact_daily", spark.createDataFrame(fresh, mart.read("fact_daily").schema))
     got = {(r.date_key, r.invites_sent) for r in mart.read("fact_daily").collect()}
     assert got == {(20240101, 1), (20240102, 9)}
+
+
+@pytest.mark.parametrize("step", ["append_fact", "publish_daily", "report"])
+def test_a_run_that_dies_is_made_good_by_the_next(spark, tmp_path, monkeypatch, step):
+    """Whatever the step, facts, snapshot and watermark end as after one clean run."""
+    lines(tmp_path / "account", ACCOUNTS[:3])
+    lines(tmp_path / "activity", ACTIVITIES[:4])
+    sources = {e: read_records(spark, str(tmp_path / e), e) for e in ("account", "activity")}
+
+    def run(root):
+        return daily_run.run_daily(spark, MartTables(spark, str(root)), sources, NOW, "crm", clock=lambda: CLOCK)
+
+    def state(root):
+        mart = MartTables(spark, str(root))
+        keep = {"fact_activity": ["activity_id", "date_key"], "fact_daily": ["date_key", "account_key", "invites_sent"], "watermark": ["entity_name", "last_watermark"]}
+        return {t: sorted(map(str, mart.read(t).select(*[c for c in cols if c in mart.read(t).columns]).collect())) for t, cols in keep.items()}
+
+    MartTables(spark, str(tmp_path / "mart")).init()
+    with monkeypatch.context() as m:
+        if step in ("append_fact", "publish_daily"):
+            method, table = step.split("_")
+            real = getattr(MartTables, method)
+
+            def fail(self, name, df):
+                if name.startswith("fact") and name.endswith({"fact": "activity"}.get(table, table)):
+                    raise RuntimeError("lost " + "x" * 2000)
+                return real(self, name, df)
+
+            m.setattr(MartTables, method, fail)
+        else:
+
+            def lost(*_):
+                raise RuntimeError("lost " + "x" * 2000)
+
+            m.setattr(daily_run.risk, "risk_report", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            run(tmp_path / "mart")
+    log = MartTables(spark, str(tmp_path / "mart")).read("run_log").where("status = 'failed'").first()
+    assert len(log["error_message"]) > 2000
+    run(tmp_path / "mart")
+    run(tmp_path / "clean")
+    assert state(tmp_path / "mart") == state(tmp_path / "clean")
+
+
+def test_only_a_missing_path_means_no_table(spark, tmp_path, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    mart = MartTables(spark, str(tmp_path))
+    mart.init()
+
+    def broken(self):
+        raise AnalysisException(errorClass="PATH_ALREADY_EXISTS", messageParameters={"outputPath": "x"})
+
+    monkeypatch.setattr(MartTables, "_log", broken)
+    with pytest.raises(AnalysisException):
+        mart.init()

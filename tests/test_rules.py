@@ -224,3 +224,30 @@ def test_alerts(spark):
     assert [r.account_id for r in ops.critical_accounts(report, stamp).collect()] == ["a"]
     calm = ops.alerts(history.limit(0), log.limit(0), report.filter("risk_level = 'Low'"), stamp)
     assert calm.count() == 0
+
+
+def test_days_count_for_all_versions_of_an_account(spark):
+    """A change of tier starts a new version; the account keeps its history."""
+    from tallyloom.operators import kpis, risk
+
+    accounts = spark.createDataFrame(
+        [(1, "a", "A", "1 Month", "Active", 5, 10, 0), (2, "a", "A", "1+ Year", "Active", 30, 60, 1)],
+        "account_key long, account_id string, account_name string, account_age_tier string, agent_status string, "
+        "daily_invite_limit int, daily_message_limit int, is_current int",
+    )
+    daily = spark.createDataFrame(
+        [(20240100 + d, 1 if d < 6 else 2, 0.02, 0.01, 0.5, 0.5, 4.0) for d in range(1, 8)],
+        "date_key int, account_key long, acceptance_rate double, reply_rate double, "
+        "invite_utilization double, message_utilization double, anomaly_score double",
+    )
+    assert risk.risk_report(accounts, daily).first()["days_of_data"] == 7
+    assert kpis.account_health(accounts, daily).first()["days_active"] == 7
+
+
+def test_a_null_group_is_scored(spark):
+    from tallyloom.operators import anomaly
+
+    rows = [(None if i % 2 else "g", float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    stats = anomaly._attach_stats(df, {"v": "v"}, ["g"])
+    assert stats.count() == 40 and stats.where("_stats.v.median IS NULL").isEmpty()
