@@ -260,11 +260,15 @@ def components(edges: DataFrame) -> DataFrame:
 _PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _bucket_pairs(bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketch: np.ndarray, threshold: float, partners: bool) -> np.ndarray:
+def _bucket_pairs(
+    bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketch: np.ndarray, threshold: float, used: np.ndarray | None = None, band: np.ndarray | None = None
+) -> np.ndarray:
     """Pairs of different labels in whole buckets (sorted by bucket) whose sketches agree enough.
 
-    With `partners` only the likeliest of each row outside the bucket's largest
-    label. The first `DARTS` bytes decide which pairs the others are compared for.
+    Without `band` only the likeliest partner of each row outside the bucket's
+    largest label. With it all pairs: those of a plain bucket in the first of their
+    common bands alone, so that a pair comes up once; the first `DARTS` bytes of
+    the sketches decide which pairs the others are compared for.
     """
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     out = [np.zeros((0, 2), np.int64)]
@@ -280,21 +284,26 @@ def _bucket_pairs(bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketc
                 agree += c[s + rows][:, None] == c[s:e]
             agree[place[rows][:, None] == place] = 0
             x, y = np.nonzero(agree >= _least(threshold))
-            if partners:
+            if band is None:
                 best = agree.argmax(axis=1)
                 x = np.flatnonzero(agree[np.arange(len(rows)), best] >= _least(threshold))
                 y = best[x]
-            elif sketch.shape[1] > DARTS and len(x):
-                full = np.concatenate([(sketch[s + rows[x[k : k + 8192]]] == sketch[s + y[k : k + 8192]]).sum(axis=1) for k in range(0, len(x), 8192)])
-                enough = full >= _least(threshold, sketch.shape[1])
-                x, y = x[enough], y[enough]
+            else:
+                chosen = [np.zeros(0, bool)]
+                for k in range(0, len(x), 8192):
+                    one, two = s + rows[x[k : k + 8192]], s + y[k : k + 8192]
+                    first = np.left_shift(1, (band[one] == band[two]).argmax(axis=1))
+                    here = (first == used[s]) | (np.bitwise_and(used[s], used[s] - 1) != 0)
+                    here[here] = (sketch[one[here]] == sketch[two[here]]).sum(axis=1) >= _least(threshold, sketch.shape[1])
+                    chosen.append(here)
+                x, y = x[np.concatenate(chosen)], y[np.concatenate(chosen)]
             out.append(np.stack([node[s + rows[x]], node[s + y]], axis=1))
     pairs = np.concatenate(out)
     return np.unique(np.sort(pairs, axis=1), axis=0)
 
 
-def _compared(rows: DataFrame, threshold: float, partners: bool) -> DataFrame:
-    """Pairs (a, b) of different labels within the buckets of (bucket, node, label, sketch)."""
+def _compared(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different labels within the buckets of (bucket, node, label, sketch), with (used, bands) all pairs."""
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +313,10 @@ def _compared(rows: DataFrame, threshold: float, partners: bool) -> DataFrame:
             t = pa.Table.from_batches(parts)
             bucket, node, label = (t.column(i).to_numpy() for i in range(3))
             sketch = np.frombuffer(b"".join(t.column(3).to_pylist()), np.uint8).reshape(len(t), -1)
-            pairs = _bucket_pairs(bucket, node, label, sketch, threshold, partners)
+            more = ()
+            if t.num_columns > 4:
+                more = t.column(4).to_numpy(), np.concatenate([c.flatten().to_numpy() for c in t.column(5).chunks]).reshape(len(t), -1)
+            pairs = _bucket_pairs(bucket, node, label, sketch, threshold, *more)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR_ARROW)
 
         for batch in batches:
@@ -341,9 +353,12 @@ def _across(active: DataFrame, labels: DataFrame, known: DataFrame, threshold: f
         rows = rows.join(mixed_buckets, ["bucket", "used"])
         final = (F.col("n") <= BUCKET_ROWS) | (F.bit_count("used") >= BANDS)
         fit = rows.where(final)
-        shown = finer(fit.select("node").distinct()) if finer else known.select("node", "sketch")
-        fit = fit.join(shown, "node").select("bucket", "node", "label", "sketch")
-        pairs = written(_compared(fit, threshold, finer is None), "pairs")
+        columns = ["bucket", "node", "label", "sketch"]
+        shown = known.select("node", "sketch")
+        if finer:
+            columns += ["used", "bands"]
+            shown = finer(fit.select("node").distinct()).join(known.select("node", "bands"), "node")
+        pairs = written(_compared(fit.join(shown, "node").select(*columns), threshold), "pairs")
         found = pairs if found is None else found.unionAll(pairs)
         large = rows.where(~final)
         if large.isEmpty():

@@ -89,6 +89,7 @@ def test_long_documents_have_several_frames(tmp_path):
     out.close()
     with pafs.LocalFileSystem().open_input_file(f"{tmp_path}/x.zst") as f:
         x = token_files.read_index(f, w.n_bytes)
+        f.seek(0)
         data = f.read()
     assert x.n_frames.tolist() == [4, 1] and x.nulls.tolist() == [False, True]
     sizes, sums = x.frames[:4, 0].tolist(), x.frames[:4, 2].tolist()
