@@ -693,6 +693,16 @@ _LIMITS = """recommended_daily_invites, recommended_daily_messages,
     CAST(message_ceiling AS INTEGER) AS message_ceiling"""
 oracle("capacity_limits", f"""SELECT c_custkey, account_age_tier, days_of_data, {_LIMITS},
     safety_factor, confidence, risk_level FROM grid_r""")
+oracle("capacity_reasoning", """SELECT c_custkey, risk_level, CASE WHEN days_of_data >= 3 THEN
+        printf('%s tier (%s), ceilings %d/%d; factor %.2f from anomaly %.2f, '
+            || 'acceptance %.2f%%, replies %.2f%%; confidence %s on %d days; level %s',
+            account_age_tier, CASE account_age_tier WHEN '< 1 Month' THEN 'Very High Risk'
+                WHEN '1 Month' THEN 'High Risk' WHEN '2-6 Months' THEN 'Moderate Risk'
+                WHEN '6-12 Months' THEN 'Low Risk' ELSE 'Minimal Risk' END,
+            invite_ceiling, message_ceiling, round(factor, 2), a, c * 100, r * 100, confidence,
+            days_of_data, risk_level)
+    ELSE printf('%d days of data are too few for a recommendation; ceilings %d/%d apply',
+        days_of_data, invite_ceiling, message_ceiling) END AS reasoning FROM grid_r""")
 oracle("risk_report", f"""SELECT account_id, account_name, account_age_tier AS account_tier,
     days_of_data, round(acc, 4) AS avg_acceptance_rate, round(rep, 4) AS avg_reply_rate,
     recent AS recent_anomaly_score, {_LIMITS}, safety_factor, confidence, risk_level
