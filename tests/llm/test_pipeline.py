@@ -39,11 +39,6 @@ def test_odd_rows_and_none(spark, sf_dir, odd_docs, no_docs):
         assert "shard" in docs.columns
 
 
-def test_run_is_repeatable(spark, sf_dir):
-    once, again = (sorted(map(tuple, P.run(spark, sf_dir).select("doc_id", "shard").collect())) for _ in range(2))
-    assert once == again and once
-
-
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_equal_sql(spark, sf_dir, name):
     import duckdb
