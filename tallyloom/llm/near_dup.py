@@ -38,7 +38,7 @@ FINE_DARTS = 512
 SLACK = 4.0
 #: Rounds in which texts are compared with their likeliest partner in another component only.
 PARTNER_ROUNDS = 2
-#: Buckets up to this size are compared in one task; larger ones are cut by further bands first.
+#: Buckets up to this size are compared in one task; larger ones in blocks of about this size.
 BUCKET_ROWS = 4096
 #: Node ids up to this number are broadcast (16 MB); more are joined by a shuffle.
 BROADCAST_NODES = 2_000_000
@@ -257,32 +257,38 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
-_PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int64())])
 
 
 def _bucket_pairs(
-    bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketch: np.ndarray, threshold: float, used: np.ndarray | None = None, band: np.ndarray | None = None
+    bucket: np.ndarray, node: np.ndarray, label: np.ndarray, sketch: np.ndarray, side: np.ndarray, threshold: float, used: np.ndarray | None = None, band: np.ndarray | None = None
 ) -> np.ndarray:
-    """Pairs of different labels in whole buckets (sorted by bucket) whose sketches agree enough.
+    """(row, partner, agreement) of different labels in buckets (sorted by bucket) whose sketches agree enough.
 
-    Without `band` only the likeliest partner of each row outside the bucket's
-    largest label. With it all pairs: those of a plain bucket in the first of their
-    common bands alone, so that a pair comes up once; the first `DARTS` bytes of
+    Where `side` is 0 the rows outside the bucket's largest label are compared with
+    all of it, elsewhere the rows of side 1 with those of side 2. Without `band` only
+    the likeliest partner of each row comes up. With it all pairs do, in the first of
+    their common bands alone, so that a pair comes up once; the first `DARTS` bytes of
     the sketches decide which pairs the others are compared for.
     """
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    out = [np.zeros((0, 2), np.int64)]
+    out = [np.zeros((0, 3), np.int64)]
     columns = sketch.T[:DARTS].copy()
     for s, e in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
         names, place = np.unique(label[s:e], return_inverse=True)
-        major = np.bincount(place).argmax()
-        others = np.flatnonzero(place != major)
+        if side[s:e].any():
+            others, facing = np.flatnonzero(side[s:e] == 1), np.flatnonzero(side[s:e] == 2)
+        else:
+            others, facing = np.flatnonzero(place != np.bincount(place).argmax()), np.arange(e - s)
+        if not len(facing):
+            continue
+        shown = columns[:, s + facing]
         for i in range(0, len(others), 64):
             rows = others[i : i + 64]
-            agree = np.zeros((len(rows), e - s), np.int16)
-            for c in columns:
-                agree += c[s + rows][:, None] == c[s:e]
-            agree[place[rows][:, None] == place] = 0
+            agree = np.zeros((len(rows), len(facing)), np.int16)
+            for c, d in zip(columns, shown, strict=True):
+                agree += c[s + rows][:, None] == d
+            agree[place[rows][:, None] == place[facing]] = 0
             x, y = np.nonzero(agree >= _least(threshold))
             if band is None:
                 best = agree.argmax(axis=1)
@@ -291,19 +297,22 @@ def _bucket_pairs(
             else:
                 chosen = [np.zeros(0, bool)]
                 for k in range(0, len(x), 8192):
-                    one, two = s + rows[x[k : k + 8192]], s + y[k : k + 8192]
-                    first = np.left_shift(1, (band[one] == band[two]).argmax(axis=1))
-                    here = (first == used[s]) | (np.bitwise_and(used[s], used[s] - 1) != 0)
+                    one, two = s + rows[x[k : k + 8192]], s + facing[y[k : k + 8192]]
+                    here = np.left_shift(1, (band[one] == band[two]).argmax(axis=1)) == used[s]
                     here[here] = (sketch[one[here]] == sketch[two[here]]).sum(axis=1) >= _least(threshold, sketch.shape[1])
                     chosen.append(here)
                 x, y = x[np.concatenate(chosen)], y[np.concatenate(chosen)]
-            out.append(np.stack([node[s + rows[x]], node[s + y]], axis=1))
-    pairs = np.concatenate(out)
-    return np.unique(np.sort(pairs, axis=1), axis=0)
+            out.append(np.stack([node[s + rows[x]], node[s + facing[y]], agree[x, y]], axis=1))
+    return np.concatenate(out)
 
 
-def _compared(rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different labels within the buckets of (bucket, node, label, sketch), with (used, bands) all pairs."""
+def _compared(rows: DataFrame, threshold: float, blocks: bool = False) -> DataFrame:
+    """Pairs (a, b) of different labels within the buckets of (bucket, node, label, sketch), with (used, bands) all pairs.
+
+    With `blocks` the buckets are pairs of blocks with a `side`, and a row that is to
+    get its likeliest partner only gets that of all its blocks.
+    """
+    every = "bands" in rows.columns
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,13 +320,17 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
 
         def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(parts)
-            bucket, node, label = (t.column(i).to_numpy() for i in range(3))
-            sketch = np.frombuffer(b"".join(t.column(3).to_pylist()), np.uint8).reshape(len(t), -1)
+            bucket, node, label = (t.column(c).to_numpy() for c in ("bucket", "node", "label"))
+            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(t), -1)
+            side = t.column("side").to_numpy() if blocks else np.zeros(len(t), np.int32)
             more = ()
-            if t.num_columns > 4:
-                more = t.column(4).to_numpy(), np.concatenate([c.flatten().to_numpy() for c in t.column(5).chunks]).reshape(len(t), -1)
-            pairs = _bucket_pairs(bucket, node, label, sketch, threshold, *more)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR_ARROW)
+            if every:
+                more = t.column("used").to_numpy(), np.concatenate([c.flatten().to_numpy() for c in t.column("bands").chunks]).reshape(len(t), -1)
+            found = _bucket_pairs(bucket, node, label, sketch, side, threshold, *more)
+            if every or not blocks:
+                found = np.unique(np.sort(found[:, :2], axis=1), axis=0)
+            agree = found[:, 2] if found.shape[1] > 2 else np.zeros(len(found), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(agree)], schema=_PAIR_ARROW)
 
         for batch in batches:
             if not batch.num_rows:
@@ -331,42 +344,56 @@ def _compared(rows: DataFrame, threshold: float) -> DataFrame:
         if held:
             yield from flush(held)
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    found = dealt.mapInArrow(run, "a long, b long, agree long")
+    if blocks and not every:
+        found = found.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _facing(large: DataFrame, shown: DataFrame) -> DataFrame:
+    """Rows of crowded buckets (bucket, used, node, label, n) with columns of `shown`, dealt to pairs of blocks.
+
+    The rows outside a bucket's largest label are hashed into blocks of about
+    `BUCKET_ROWS`, those of the largest label into further ones. Every block of the
+    former faces itself, each later one of the former and all of the latter: all pairs
+    of different labels, each in one task.
+    """
+    counts = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"))
+    largest = counts.groupBy("bucket").agg(F.max_by("label", F.struct("m", "label")).alias("major"), F.max("m").alias("m"))
+    salt = F.xxhash64("node", F.lit(BUCKET_ROWS))
+    own = large.join(largest, "bucket").withColumns({"others": F.expr(f"CAST(ceil((n - m) / {BUCKET_ROWS}) AS LONG)"), "rest": F.expr(f"CAST(ceil(m / {BUCKET_ROWS}) AS LONG)")})
+    own = own.withColumn("block", F.when(F.col("label") == F.col("major"), F.col("others") + F.pmod(salt, "rest")).otherwise(F.pmod(salt, "others")))
+    last = F.when(F.col("label") == F.col("major"), F.col("others") - 1).otherwise(F.col("others") + F.col("rest") - 1)
+    both = own.withColumn("last", last).join(shown, "node").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    key = F.xxhash64("bucket", F.least("block", "to"), F.greatest("block", "to"))
+    side = F.when(F.col("block") == F.col("to"), 0).when(F.col("block") < F.col("to"), 1).otherwise(2)
+    kept = [c for c in both.columns if c not in {"bucket", "n", "m", "major", "others", "rest", "block", "last", "to"}]
+    return both.select(key.alias("bucket"), side.alias("side"), *kept)
 
 
 def _across(active: DataFrame, labels: DataFrame, known: DataFrame, threshold: float, finer: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Pairs that share a bucket, are not in one component yet and whose sketches agree enough.
 
-    `active` has (bucket, used, node), `used` the bands in the bucket's key as bits. Only
-    buckets with several labels matter. One of more than `BUCKET_ROWS` rows is cut
-    by each of the bands it hasn't used: a similar pair agrees in some of them as
-    surely as in the first place, a pair that shares one passage seldom does.
-    `finer` gives finer sketches for some nodes; without it only the likeliest
-    partner of each row in a bucket counts.
+    `active` has (bucket, used, node), `used` the band of the bucket's key as a bit. Only
+    buckets with several labels matter. One of more than `BUCKET_ROWS` rows is compared
+    block by block in several tasks; none is left out. `finer` gives finer sketches for
+    some nodes; without it only the likeliest partner of each row in a bucket counts.
     """
-    found = None
     rows = active.join(labels, "node", "left").select("bucket", "used", "node", F.coalesce("label", "node").alias("label"))
-    while True:
-        rows = written(rows, "bucket-rows")
-        sizes = rows.groupBy("bucket", "used").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        mixed_buckets = sizes.where("lo <> hi").select("bucket", "used", "n")
-        rows = rows.join(mixed_buckets, ["bucket", "used"])
-        final = (F.col("n") <= BUCKET_ROWS) | (F.bit_count("used") >= BANDS)
-        fit = rows.where(final)
-        columns = ["bucket", "node", "label", "sketch"]
-        shown = known.select("node", "sketch")
-        if finer:
-            columns += ["used", "bands"]
-            shown = finer(fit.select("node").distinct()).join(known.select("node", "bands"), "node")
-        pairs = written(_compared(fit.join(shown, "node").select(*columns), threshold), "pairs")
-        found = pairs if found is None else found.unionAll(pairs)
-        large = rows.where(~final)
-        if large.isEmpty():
-            return found.distinct()
-        cut = large.join(known.select("node", F.posexplode("bands").alias("i", "band")), "node")
-        bit = F.expr("shiftleft(1L, i)")
-        cut = cut.where(F.col("used").bitwiseAND(bit) == 0)
-        rows = cut.select(F.xxhash64("bucket", "i", "band").alias("bucket"), F.col("used").bitwiseOR(bit).alias("used"), "node", "label")
+    rows = written(rows, "bucket-rows")
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    rows = rows.join(sizes.where("lo <> hi").select("bucket", "n"), "bucket")
+    columns = ["bucket", "node", "label", "sketch"]
+    shown = known.select("node", "sketch")
+    if finer:
+        columns += ["used", "bands"]
+        shown = finer(rows.select("node").distinct()).join(known.select("node", "bands"), "node")
+    fit, large = rows.where(F.col("n") <= BUCKET_ROWS), rows.where(F.col("n") > BUCKET_ROWS)
+    found = written(_compared(fit.join(shown, "node").select(*columns), threshold), "pairs")
+    if large.isEmpty():
+        return found
+    blocks = _facing(large, shown).select(*columns, "side")
+    return found.unionAll(written(_compared(blocks, threshold, blocks=True), "pairs")).distinct()
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, by_count: bool = False, shingle: int = SHINGLE) -> DataFrame:

@@ -118,3 +118,22 @@ def test_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 400)] + [(1000, 1001), (1001, 1002)], "a long, b long")
     got = dict(N.components(edges).collect())
     assert got == {i: 0 for i in range(401)} | {i: 1000 for i in (1000, 1001, 1002)}
+
+
+@pytest.mark.parametrize("all_pairs", [False, True])
+def test_crowded_buckets_lose_no_pair(spark, all_pairs, monkeypatch):
+    """One band in common for all texts and no other: cutting by further bands would part each similar pair."""
+    monkeypatch.setattr(N, "BUCKET_ROWS", 4)
+    rng = np.random.default_rng(11)
+    sketch = rng.integers(0, 256, (30, N.DARTS)).astype(np.uint8)
+    sketch[:, : N.ROWS] = 7
+    for i in range(0, 10, 2):
+        sketch[i + 1] = sketch[i]
+        sketch[i + 1, N.ROWS :: N.ROWS] += 1
+    rows = [(i, [0, *(1000 * i + k for k in range(1, N.BANDS))], bytearray(sketch[i].tobytes())) for i in range(30)]
+    known = spark.createDataFrame(rows, "node long, bands array<long>, sketch binary")
+    active = spark.createDataFrame([(0, 1, i) for i in range(30)], "bucket long, used long, node long")
+    labels = spark.createDataFrame([(i, 10) for i in range(10, 22)], "node long, label long")
+    finer = (lambda nodes: known.select("node", "sketch").join(nodes, "node")) if all_pairs else None
+    found = N._across(active, labels, known, N.THRESHOLD, finer)
+    assert sorted(map(tuple, found.collect())) == [(i, i + 1) for i in range(0, 10, 2)]
