@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import col, fresh, slices, with_columns
+from tallyloom.llm.common import col, fresh, slices, with_columns, written
 
 # Fixed values of the contract: the kinds in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex")
@@ -34,7 +34,8 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 #: The kind of spans that the tagger adds.
 TAGGED = "crf"
 
-#: Texts that training reads, about, and windows of them it keeps at most.
+#: Texts without a pattern match that training reads, about; windows of either sort it keeps
+#: at most, and texts with a match it reads, about.
 TRAIN_ROWS = 20_000
 TRAIN_WINDOWS = 4_000
 #: Tokens of context on either side of a token that isn't plain.
@@ -317,17 +318,28 @@ def _tagged_runs(text: str, values: list[tuple[int, int]], whole: list[str]) ->
         yield features(run, whole), tags
 
 
+def _may_match(text: Column) -> Column:
+    """True where a text may have a pattern match: each such text and few others, without Python."""
+    assign = rf"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{{{ASSIGN_LEAST},}}"""
+    return text.rlike(rf"{assign}|AKIA[A-Z0-9]{{{ACCESS_LEAST - 4},}}|[0-9a-f]{{{HEX_LEAST},}}")
+
+
 def train(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, windows: int = TRAIN_WINDOWS) -> Model | None:
-    """Fit on windows of about `rows` texts, at most `windows` with and `windows` without a secret.
+    """Fit on at most `windows` windows with and `windows` without a secret.
 
-    The texts are a hash lottery, the windows those with the least digest, so the
-    model doesn't depend on partitions. None if the sample has no secret.
+    They come from about `windows` distinct texts with a pattern match and `rows`
+    without one, each a hash lottery of its own, so few such texts among very many are
+    all learned and copies count once. The windows are those with the least digest:
+    the model doesn't depend on partitions. None if no text has a secret.
     """
-    n = docs.count()
-    if not n:
+    own = docs.select(col(text).alias("text")).where(col(text).isNotNull())
+    own = own.select("text", F.xxhash64("text").alias("hash"), _may_match(F.col("text")).alias("matches"))
+    some, plain = own.agg(*(F.approx_count_distinct(F.when(F.col("matches") == m, F.col("hash"))) for m in (True, False))).first()
+    if not some:
         return None
-    lottery = F.pmod(F.xxhash64(col(text)), F.lit(1_000_003)) < F.lit(min(1.0, rows / n) * 1_000_003)
-    sample = docs.select(col(text)).where(lottery)
+    chance = F.when(F.col("matches"), min(1.0, windows / some)).otherwise(min(1.0, rows / max(1, plain)))
+    lottery = F.pmod("hash", F.lit(1_000_000_007)) < chance * 1_000_000_007
+    sample = written(own.where(lottery).dropDuplicates(["hash"]).select("text", "matches"), "training")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,11 +348,11 @@ def train(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, windows:
                     found = [("\t".join("\n".join(f) for f in fs), "".join(map(str, tags))) for fs, tags in _windows(t or "")]
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.string())], ["features", "tags"])
 
-    found = sample.mapInArrow(collect, "features string, tags string").distinct()
     picked = []
-    for secret in (True, False):
-        some = found.where(F.contains("tags", F.lit("1")) == secret)
-        picked.append(some.orderBy(F.md5("features"), "tags").limit(windows).collect())
+    for secret, texts in ((True, sample.where("matches")), (False, sample)):
+        found = texts.select("text").mapInArrow(collect, "features string, tags string").distinct()
+        chosen = found.where(F.contains("tags", F.lit("1")) == secret)
+        picked.append(chosen.orderBy(F.md5("features"), "tags").limit(windows).collect())
     if not picked[0]:
         return None
     return fit([([f.split("\n") for f in r["features"].split("\t")], list(map(int, r["tags"]))) for r in [*picked[0], *picked[1]]])

@@ -111,6 +111,15 @@ def test_tagger_finds_unannounced_secrets_and_leaves_others(tagger):
         assert set(base) <= set(spans)
 
 
+def test_few_texts_with_secrets_among_many_are_all_learned(spark):
+    draw = random.Random(3)
+    texts = [" ".join(draw.choices(["some", "plain", "words", "of", "no", "note"], k=8)) + f" {i}" for i in range(3000)]
+    texts += [texts[0]] * 2000 + [f"a token = {draw.getrandbits(160):040x} stood here" for _ in range(2)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [bool(t) for (t,) in docs.select(S._may_match(docs["text"])).collect()] == [bool(brute_base(t)) for t in texts]
+    assert S.train(docs, rows=10, windows=40) is not None
+
+
 def test_secret_columns(odd_docs, no_docs, tagger):
     out = S.find_secrets(odd_docs, tagger)
     assert has_all(out, odd_docs, "base_spans", "secret_spans")
