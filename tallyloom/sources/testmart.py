@@ -137,13 +137,10 @@ def activity(t: TestTables, events: DataFrame | None = None) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str):
-    """(stream over the event files of a folder, its mapping to fact rows)."""
+    """(stream over the event table of a folder, its mapping to fact rows)."""
     t = TestTables(spark, sf_dir)
-    stream = (
-        spark.readStream.schema(t.events.schema)
-        .option("pathGlobFilter", "events*.parquet")
-        .parquet(t.sf_dir)
-    )
+    # The table may be one file or a folder of part files; only a pattern may name either.
+    stream = spark.readStream.schema(t.events.schema).parquet(f"{t.sf_dir}/[e]vents.parquet")
     return stream, lambda events: activity(t, events)
 
 

@@ -2,46 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.functions.columns import date_key, exprs
+from tallyloom.functions.columns import exprs
 from tallyloom.operators.facts import last_per_key
 from tallyloom.operators.measures import TYPE_COUNTS
 from tallyloom.sources import testmart as tm
 from tallyloom.sources.locations import work_folder
+from tallyloom.streaming.ingest import ingest_stream
 
 
-def daily_counts(activity: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Counts per day and account of a stream of activities.
+def daily_counts(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Counts per day and account of the days in `days`."""
+    touched = fact.join(days, "date_key", "left_semi")
+    counts = touched.groupBy("date_key", "account_key").agg(*exprs(TYPE_COUNTS))
+    return counts.select("account_key", *TYPE_COUNTS, "date_key")
 
-    State is one row per open (day, account); a day closes, and later rows for
-    it are dropped, once the watermark passes it by `lateness`.
-    """
-    timed = activity.withColumn("activity_timestamp", F.col("activity_timestamp").cast("timestamp"))
-    return (
-        timed.withWatermark("activity_timestamp", lateness)
-        .groupBy(F.window("activity_timestamp", "1 day").alias("w"), "account_key")
-        .agg(*exprs(TYPE_COUNTS))
-        .withColumn("date_key", F.expr(date_key("w.start")))
-        .drop("w")
-    )
 
+def start(
+    source: DataFrame,
+    to_fact: Callable[[DataFrame], DataFrame],
+    fact_path: str,
+    path: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Load every micro-batch into the fact and write the counts of its days.
 
-def start(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed counts of every micro-batch; a replayed one overwrites
-    its own folder."""
+    The days are counted from the whole fact, so rows may come at any time and
+    in any order; a replayed batch overwrites its own folder.
+    """
 
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def save(fact: DataFrame, rows: DataFrame, batch_id: int) -> None:
+        counts = daily_counts(fact, rows.select("date_key").distinct())
+        counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (
-        counts.writeStream.foreachBatch(save)
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return ingest_stream(source, fact_path, checkpoint, to_fact, after=save)
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:
@@ -51,9 +49,9 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream the event files of a folder and read the resulting counts."""
+    """Stream the event table of a folder and read the resulting counts."""
     folder = work_folder(spark, "stream-counts")
     source, to_fact = tm.event_stream(spark, sf_dir)
-    query = start(daily_counts(to_fact(source)), f"{folder}/counts", f"{folder}/checkpoint")
+    query = start(source, to_fact, f"{folder}/fact", f"{folder}/counts", f"{folder}/checkpoint")
     query.awaitTermination()
     return latest(spark, f"{folder}/counts")

@@ -26,12 +26,14 @@ def ingest_stream(
     order: str = "activity_timestamp",
     to_rejects: Callable[[DataFrame], DataFrame] | None = None,
     reject_path: str | None = None,
+    after: Callable[[DataFrame, DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Load all available files of a streaming source into the fact table.
 
     `to_fact` maps a batch of source rows to accepted fact rows, `to_rejects`
     to dead letters, which are kept per micro-batch, so a replayed one
-    overwrites its own.  The fact is partitioned by `date_key`.
+    overwrites its own.  `after` is called with the fact, the fact rows of the
+    batch and its id once they are loaded.  The fact is partitioned by `date_key`.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -47,6 +49,10 @@ def ingest_stream(
             to_rejects(batch).write.mode("overwrite").parquet(
                 f"{reject_path}/batch_id={batch_id}"
             )
+        if after is not None:
+            # Read anew: the listing above doesn't have the files just written.
+            fact = batch.sparkSession.read.schema(rows.schema).parquet(fact_path)
+            after(fact, rows, batch_id)
 
     # An empty append creates the table on the first run.
     empty = to_fact(source.sparkSession.createDataFrame([], source.schema))

@@ -228,3 +228,25 @@ def test_streamed_counts_equal_batch(spark, sf_dir):
     columns = stream.columns
     assert sorted(map(tuple, stream.collect())) == sorted(
         map(tuple, batch.select(*columns).collect()))
+
+
+def test_streams_count_late_events_of_a_folder_of_part_files(spark, sf_dir, tmp_path):
+    """Part files in reverse order of time, each a micro-batch, and one file twice."""
+    t = tm.TestTables(spark, sf_dir)
+    for name in ("nation", "customer"):
+        getattr(t, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    events = t.events
+    events.sort(events["ts"].desc()).coalesce(1).write.option("maxRecordsPerFile", 300).parquet(
+        f"{tmp_path}/events.parquet")
+    events.limit(50).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    source, to_fact = tm.event_stream(spark, str(tmp_path))
+    wanted = tm.daily(tm.TestTables(spark, sf_dir))
+    one = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1)
+    source = one.parquet(f"{tmp_path}/[e]vents.parquet")
+    query = daily_counts.start(
+        source, to_fact, f"{tmp_path}/f", f"{tmp_path}/counts", f"{tmp_path}/check")
+    query.awaitTermination()
+    for counts in (daily_counts.latest(spark, f"{tmp_path}/counts"),
+                   daily_counts.replay(spark, str(tmp_path))):
+        assert sorted(map(tuple, counts.collect())) == sorted(
+            map(tuple, wanted.select(*counts.columns).collect()))
