@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, language_id, mixing, near_dup, quality_cascade, secrets, separators, sharding, token_files, url_filter
+from tallyloom.llm import decontaminate, language_id, mixing, near_dup, quality_cascade, secrets, separators, sharding, token_files, url_filter, whitening
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -116,6 +116,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fit list is all rows; one row for each vector and component."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.components(vectors, whitening.fit(vectors, "embedding"), "embedding", ["vec_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_tagger": op1_secret_tagger,
     "op2_seekable_tokens": op2_seekable_tokens,
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_url_filter": op10_url_filter,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {
