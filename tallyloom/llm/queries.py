@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, language_id, mixing, near_dup, quality_cascade, secrets, separators, sharding, token_files, url_filter, whitening
+from tallyloom.llm import decontaminate, divergence, language_id, mixing, near_dup, quality_cascade, secrets, separators, sharding, token_files, url_filter, whitening
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -116,6 +116,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fit list is all rows; one row for each vector and component."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -133,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_url_filter": op10_url_filter,
+    "op12_source_divergence": op12_source_divergence,
     "op13_whitening": op13_whitening,
 }
 
@@ -178,5 +183,32 @@ chances AS (
 SELECT doc_id, source, copy, row_number() OVER (ORDER BY
   substr(md5('{MIX_SEED}/order/' || coalesce(CAST(doc_id AS VARCHAR), '') || '/' || copy), 1, 13), doc_id, copy) - 1 AS position
 FROM copies
+""",
+    "op12_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+kept AS (SELECT lang, term, count(*) AS n FROM docs GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM docs SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + CAST(1000000000 * CAST(coalesce(c.n, 0) + 2 AS HUGEINT) // CAST(coalesce(s.total, 0) + 2 * v AS HUGEINT) AS BIGINT) AS p,
+    1 + CAST(1000000000 * CAST(k.n + 2 AS HUGEINT) // CAST(l.total + 2 * v AS HUGEINT) AS BIGINT) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN sums s USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10
 """,
 }
