@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, divergence, language_id, mixing, near_dup, quality_cascade, secrets, separators, sharding, token_files, url_filter, whitening
+from tallyloom.llm import decontaminate, divergence, language_id, mixing, near_dup, personal_data, quality_cascade, secrets, separators, sharding, token_files, url_filter, whitening
 from tallyloom.llm.common import table, written
 
 SHARDS = 24
@@ -116,6 +116,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find_personal_data(docs, personal_data.train(docs))
+    base = F.col("base_spans")
+    return found.select(
+        "doc_id",
+        *(secrets.of_kind(base, k).alias(f"n_{k}") for k in personal_data.KINDS),
+        F.sha2(secrets.spelled(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.spelled(F.col("personal_spans")).alias("spans"),
+    )
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
@@ -137,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_url_filter": op10_url_filter,
+    "op11_personal_data": op11_personal_data,
     "op12_source_divergence": op12_source_divergence,
     "op13_whitening": op13_whitening,
 }
