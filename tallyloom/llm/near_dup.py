@@ -120,7 +120,7 @@ def weights(owner: np.ndarray, element: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def bands(signature: np.ndarray) -> np.ndarray:
     """A hash for each band of rows of a signature."""
-    parts = signature.reshape(len(signature), -1, ROWS)
+    parts = signature.reshape(len(signature), signature.shape[1] // ROWS, ROWS)
     total = np.arange(1, parts.shape[1] + 1, dtype=np.uint64) * _GOLDEN
     for j in range(ROWS):
         total = mixed(total ^ parts[:, :, j])
@@ -178,6 +178,8 @@ def _agreement():
 
     @F.arrow_udf(IntegerType())
     def agreement(a: pa.Array, b: pa.Array) -> pa.Array:
+        if not len(a):
+            return pa.array([], pa.int32())
         x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(len(v), -1) for v in (a, b))
         return pa.array((x == y).sum(axis=1), pa.int32())
 

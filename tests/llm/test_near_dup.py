@@ -104,6 +104,13 @@ def test_classes_equal_brute_force(spark, bucket, monkeypatch):
     assert found == sorted((k is None, k or 0, c is None, c or 0) for (k, _), c in zip(keyed, want, strict=True))
 
 
+def test_texts_without_words_only(spark):
+    docs = spark.createDataFrame([(1, ""), (2, "!!"), (3, "!!"), (4, None), (5, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 4, 5: 1}
+    assert sorted(r["doc_id"] for r in N.keep_one(docs).collect()) == [1, 2, 4]
+
+
 def test_one_row_of_each_class_stays(odd_docs, no_docs):
     kept = N.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
