@@ -8,11 +8,11 @@ operator's docstring says.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontaminate, language_id, mixing, near_dup, sharding
-from tallyloom.llm.common import ship, table, with_columns, written
+from tallyloom.llm.common import col, ship, table, written
 
 #: A text whose language is less sure than this, or that has none, is rejected.
 LEAST_SCORE = 0.25
@@ -23,36 +23,59 @@ MIX_SEED = 20240501
 ORACLE_SQL = None
 
 
+def _packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """`row`, a struct of all columns, and those that an operator needs: what it adds can't clash with a column of the input."""
+    return docs.select(F.struct(*map(col, docs.columns)).alias("row"), *map(col, needed))
+
+
+def _unpacked(found: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of `docs` back from `row`, but for changed ones."""
+    return found.select(*(changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a language, which becomes their `lang`; letterless and hopelessly mixed ones go.
 
-    Learned from the documents that have a `lang` already.
+    Learned from the documents that have a `lang` already; without one nothing is known, and all go. NULL
+    and empty texts go. Repeated rows are judged alike, an empty table stays empty, other columns pass as they are.
     """
     ship(spark)
-    predicted = language_id.languages(docs, language_id.train(docs), spans=False)
+    predicted = language_id.languages(_packed(docs, "text"), language_id.train(docs), spans=False)
     kept = predicted.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_score") >= LEAST_SCORE))
-    return with_columns(kept, {"lang": F.col("lang_pred")}).select(docs.columns)
+    return _unpacked(kept, docs, lang=F.col("lang_pred"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near-duplicates."""
+    """Keep one document of each class of near-duplicates, that with the least doc_id.
+
+    Of fully equal rows one stays. NULL texts all stay, texts without words are alike only if equal,
+    an empty table stays empty, and other columns pass as they are.
+    """
     ship(spark)
     return near_dup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which benchmark windows cover a twentieth of the words or more."""
-    judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return judged.where(~F.col("contaminated")).select(docs.columns)
+    """Drop documents of which benchmark windows cover a twentieth of the words or more.
+
+    NULL and empty texts have no words and stay; repeated rows go or stay together, other columns pass as they are.
+    """
+    judged = decontaminate.decontaminate(_packed(docs, "text"), table(spark, sf_dir, "benchmark"))
+    return _unpacked(judged.where(~F.col("contaminated")), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every source at an equal share of as many rows as there are, shuffled globally."""
-    return mixing.mix(docs, mixing.equal_targets(docs), seed=MIX_SEED).select(docs.columns)
+    """Every source at an equal share of as many rows as there are, shuffled globally.
+
+    NULL is a source of its own. Rows of one doc_id, NULL included, share one draw of their number of
+    copies. An empty table stays empty, other columns pass as they are.
+    """
+    mixed = mixing.mix(_packed(docs, "doc_id", "source"), mixing.equal_targets(docs), seed=MIX_SEED)
+    return _unpacked(mixed, docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add the `shard` of each row by its doc_id."""
+    """Add the `shard` of each row by its doc_id; rows of one doc_id, NULL included, share a shard. An own column `shard` is replaced."""
     return sharding.assign_shards(docs, [1.0] * SHARDS)
 
 
