@@ -9,15 +9,14 @@ from __future__ import annotations
 
 import bisect
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +35,7 @@ WORD_CAP = 4.0
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
 #: Word scores kept by one Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 SLICE_BYTES = 1 << 20
 
 # First code points of Unicode script ranges, each up to the next.
@@ -55,7 +54,8 @@ SCRIPTS = [
 ]
 _STARTS = [s for s, _ in SCRIPTS]
 _NOT_LATIN = chr(0x0370)
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters as `str.isalpha` has them; numerals such as ² and Ⅷ are none.
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def script(letter: str) -> str:
@@ -288,25 +288,16 @@ _SPAN_ARROW = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa
 _RESULT_ARROW = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(_SPAN_ARROW))])
 
 
-@lru_cache(maxsize=1)
-def _scorer(job: str) -> list[Scorer]:
-    """The scorer of one prediction, kept by a Python worker from batch to batch."""
-    return []
-
-
 def _predict(model: Broadcast, switch: float, spans: bool):
-    job = uuid.uuid4().hex
-
     @F.arrow_udf(RESULT)
-    def predict(texts: pa.Array) -> pa.Array:
-        held = _scorer(job)
-        if not held:
-            held.append(Scorer(model.value))
-        out = []
-        for part in slices(texts, SLICE_BYTES):
-            for r in identify(part.to_pylist(), held[0], switch, spans):
-                out.append({"lang": r.lang, "score": r.score, "spans": [dict(zip(("start", "end", "lang"), s, strict=True)) for s in r.spans]})
-        return pa.array(out, _RESULT_ARROW)
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(model.value)  # goes with the task, so later stages have its memory
+        for texts in batches:
+            out = []
+            for part in slices(texts, SLICE_BYTES):
+                for r in identify(part.to_pylist(), scorer, switch, spans):
+                    out.append({"lang": r.lang, "score": r.score, "spans": [dict(zip(("start", "end", "lang"), s, strict=True)) for s in r.spans]})
+            yield pa.array(out, _RESULT_ARROW)
 
     return predict
 

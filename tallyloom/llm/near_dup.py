@@ -145,7 +145,7 @@ def sketches(texts: DataFrame, by_count: bool = False, shingle: int = SHINGLE, d
                 if node not in seen:
                     seen.add(node)
                     new.append(i)
-            if len(seen) > 500_000:
+            if len(seen) > 100_000:
                 seen.clear()
             batch = batch.take(pa.array(new, pa.int64()))
             nodes, at = batch.column(0), 0
