@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom import constants as C
 from tallyloom.functions.columns import date_key, tier_value
+from tallyloom.operators.asof import as_of
 from tallyloom.operators.facts import absent_from, last_per_key
 
 
@@ -267,6 +268,46 @@ def scd2_merge(
     return kept.unionByName(rebuilt)
 
 
+def carried_keys(
+    old: DataFrame, versions: DataFrame, key: list[str], surrogate: str
+) -> DataFrame:
+    """(key, effective_from, surrogate, survivor): for every old version the start of the
+    version that now covers its start, its own key, and the key that version keeps.
+
+    A late change may merge versions or move their starts.  Of the old versions whose
+    starts a version covers, the first one's key survives; facts of the others are
+    to be moved to it (`rekeyed`), so no fact loses its account.
+    """
+    covered = as_of(
+        old.selectExpr(*key, surrogate, "effective_from AS _start"),
+        versions.select(*key, "effective_from"),
+        key, "_start", "effective_from", ["effective_from"], "_version",
+    ).selectExpr(*key, surrogate, "_start", "_version.effective_from")
+    first = covered.groupBy(*key, "effective_from").agg(
+        F.expr(f"min_by({surrogate}, struct(_start, {surrogate})) AS survivor")
+    )
+    return covered.drop("_start").join(first, [*key, "effective_from"])
+
+
+def with_carried_keys(versions: DataFrame, carried: DataFrame, key: list[str], surrogate: str) -> DataFrame:
+    """Versions with the surrogate key that survives in each; NULL where a version is new."""
+    kept = carried.filter(f"{surrogate} = survivor").select(*key, "effective_from", surrogate)
+    return versions.join(kept, [*key, "effective_from"], "left")
+
+
+def moved_keys(carried: DataFrame, surrogate: str) -> DataFrame:
+    """(surrogate, survivor) of the keys that don't survive."""
+    return carried.filter(f"{surrogate} <> survivor").select(surrogate, "survivor")
+
+
+def rekeyed(facts: DataFrame, moved: DataFrame, surrogate: str) -> DataFrame:
+    """Facts with their keys moved to the survivors."""
+    renamed = moved.withColumnRenamed("survivor", "_survivor")
+    return facts.join(renamed, surrogate, "left").selectExpr(
+        *[f"coalesce(_survivor, {c}) AS {c}" if c == surrogate else c for c in facts.columns]
+    )
+
+
 def current_versions(versions: DataFrame) -> DataFrame:
     return versions.filter("is_current = 1")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyloom import constants as C
 from tallyloom.functions.columns import count_type, divide, exprs, key_to_date, total
+from tallyloom.operators.asof import as_of
 
 INVITES, ACCEPTS = count_type(C.INVITE_SENT), count_type(C.INVITE_ACCEPTED)
 MESSAGES, REPLIES = count_type(C.MESSAGE_SENT), count_type(C.REPLY_RECEIVED)
@@ -55,20 +56,33 @@ def utilization(daily: DataFrame, by: list[str]) -> DataFrame:
 
 
 def invite_throughput(daily: DataFrame, accounts: DataFrame, by: list[str]) -> DataFrame:
-    """Invites over the sum of the account limit per snapshot row.
+    """Invites over the sum of the account's limit on each of its days.
 
-    Snapshots are reduced per account first; the limit then counts once per row.
+    The limit of a day is that of the last version that starts on it or before, or of the
+    first version where none does, whatever version's key the snapshot row has.  A day
+    counts once for an account, also where rows of two versions share it.  Accounts
+    without `effective_from` have one version.
     """
-    per_account = daily.groupBy(*dict.fromkeys([*by, "account_key"])).agg(
-        F.expr("sum(invites_sent) AS invites"), F.expr("count(*) AS days")
+    start = "to_date(effective_from)" if "effective_from" in accounts.columns else "DATE '1970-01-01'"
+    order = "effective_from" if "effective_from" in accounts.columns else "account_key"
+    starts = accounts.groupBy("account_id", F.expr(f"{start} AS _start")).agg(
+        F.expr(f"max_by(daily_invite_limit, {order}) AS daily_invite_limit")
     )
-    limits = accounts.filter("is_current = 1").select("account_key", "daily_invite_limit")
+    first = starts.groupBy("account_id").agg(F.expr("min_by(daily_invite_limit, _start) AS _first"))
+    days = (
+        daily.join(accounts.select("account_key", "account_id"), "account_key", "left")
+        .groupBy(*dict.fromkeys([*by, "date_key"]), "account_id")
+        .agg(F.expr("sum(invites_sent) AS invites"))
+        .selectExpr("*", f"{key_to_date('date_key')} AS _day")
+    )
+    limited = as_of(days, starts, ["account_id"], "_day", "_start", ["daily_invite_limit"], "_valid")
+    limit = "coalesce(_valid.daily_invite_limit, _first)"
     measures = {
         "invites_sent": "sum(invites)",
-        "invite_capacity": "sum(days * daily_invite_limit)",
-        "invite_throughput": divide("sum(invites)", "sum(days * daily_invite_limit)"),
+        "invite_capacity": f"sum({limit})",
+        "invite_throughput": divide("sum(invites)", f"sum({limit})"),
     }
-    return per_account.join(limits, "account_key", "left").groupBy(*by).agg(*exprs(measures))
+    return limited.join(first, "account_id", "left").groupBy(*by).agg(*exprs(measures))
 
 
 def risk_measures(scored: DataFrame, by: list[str]) -> DataFrame:

@@ -54,6 +54,12 @@ class Run:
                 self.counts[name] += n
         return self.spark.read.schema(checked.schema).parquet(folder)
 
+    def kept(self, df: DataFrame) -> DataFrame:
+        """`df` as a table in the shared folder: what is read from it doesn't change with the mart."""
+        folder = work_folder(self.spark, "kept")
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
     def reject(self, staged: DataFrame, entity: str, error_type: str) -> None:
         payload = [f.name for f in RECORDS[entity].fields if f.name in staged.columns]
         rejected = staged.filter("error_message IS NOT NULL")
@@ -111,8 +117,14 @@ def load_templates(run: Run, records: DataFrame) -> None:
     )
 
 
-def load_accounts(run: Run, records: DataFrame) -> None:
-    """Version history of accounts.  A version keeps its key; new ones are added."""
+def load_accounts(run: Run, records: DataFrame) -> list[int]:
+    """Version history of accounts; gives the days whose facts got other keys.
+
+    A version keeps its key, also where a late change moves its start; of versions
+    that a change merges the first one's key stays, and facts of the others move to it.
+    They move before the versions are published, to a key that is valid before and after,
+    so a run that dies in between is repeated without harm.
+    """
     tracked = ["account_email", "account_name", "account_age_tier", "agent_status",
                "risk_classification", "daily_invite_limit", "daily_message_limit"]
     rules = [*NO_ID, ("try_to_timestamp(changed_at) IS NULL", "missing or unreadable time")]
@@ -122,16 +134,33 @@ def load_accounts(run: Run, records: DataFrame) -> None:
         old.drop("account_key", "created_at", "updated_at"),
         changes, ["account_id"], tracked, "changed_at",
     )
-    version = ["account_id", "effective_from"]
-    keyed = merged.join(
-        old.select(*version, "account_key", "created_at"), version, "left"
-    ).selectExpr("*", f"{run.at} AS updated_at")
+    carried = run.kept(dims.carried_keys(old, merged, ["account_id"], "account_key"))
+    keyed = (
+        dims.with_carried_keys(merged, carried, ["account_id"], "account_key")
+        .join(old.select("account_key", "created_at"), "account_key", "left")
+        .selectExpr("*", f"{run.at} AS updated_at")
+    )
     known = keyed.filter("account_key IS NOT NULL")
     fresh = keyed.filter("account_key IS NULL").drop("account_key", "created_at").selectExpr(
         "*", "concat_ws('|', account_id, effective_from) AS _version", f"{run.at} AS created_at"
     )
     added = dims.assign_keys(fresh, "_version", "account_key", old).drop("_version")
+    days = move_facts(run, dims.moved_keys(carried, "account_key"))
     run.mart.publish("dim_account", known.unionByName(added))
+    return days
+
+
+def move_facts(run: Run, moved: DataFrame) -> list[int]:
+    """Rewrite the days that have facts of moved keys; gives these days."""
+    if moved.isEmpty():
+        return []
+    fact = run.mart.read("fact_activity")
+    affected = fact.join(moved, "account_key", "left_semi").select("date_key").distinct()
+    days = [r["date_key"] for r in affected.collect()]  # the calendar bounds them
+    if days:
+        rows = run.kept(dims.rekeyed(fact.filter(F.col("date_key").isin(days)), moved, "account_key"))
+        run.mart.overwrite_days("fact_activity", rows)
+    return days
 
 
 def load_leads(run: Run, records: DataFrame) -> None:
@@ -183,6 +212,19 @@ def load_activities(run: Run, records: DataFrame) -> tuple[DataFrame, DataFrame]
     return batch, accepted
 
 
+def refresh(run: Run, days: list[int]) -> None:
+    """Snapshot and scores after the facts of some days have changed."""
+    mart = run.mart
+    touched = run.spark.createDataFrame([(d,) for d in set(days)], "date_key int")
+    refreshed = facts.snapshot_refresh(
+        mart.read("fact_daily"),
+        mart.read("fact_activity").filter(F.col("date_key").isin(days)),
+        touched,
+        mart.read("dim_account"),
+    )
+    mart.publish("fact_daily", anomaly.anomaly_scores(refreshed))
+
+
 def raise_alerts(run: Run, report: DataFrame) -> None:
     """Write the alerts of this run from its log row, its data-quality row and
     its risk report."""
@@ -219,6 +261,7 @@ def run_daily(
         known = mart.read("dim_date")
         mart.append("dim_date", facts.absent_from(calendar, known, ["full_date"]))
 
+        moved: list[int] = []
         for entity, load in (
             ("account", load_accounts),
             ("template", load_templates),
@@ -226,19 +269,14 @@ def run_daily(
             ("lead", load_leads),
         ):
             if entity in sources:
-                load(run, sources[entity])
+                moved += load(run, sources[entity]) or []
         if "activity" in sources:
             batch, accepted = load_activities(run, sources["activity"])
             # The dates of a batch, bounded by the calendar, prune the fact's partitions.
-            days = [r["date_key"] for r in batch.select("date_key").distinct().collect()]
-            refreshed = facts.snapshot_refresh(
-                mart.read("fact_daily"),
-                mart.read("fact_activity").filter(F.col("date_key").isin(days)),
-                batch,
-                mart.read("dim_account"),
-            )
-            mart.publish("fact_daily", anomaly.anomaly_scores(refreshed))
+            refresh(run, [r["date_key"] for r in batch.select("date_key").distinct().collect()] + moved)
             run.advance(accepted, ACTIVITIES, "event_time")
+        elif moved:
+            refresh(run, moved)
 
         names = {*quality.MART_RULES.required, *[t for t, _ in quality.MART_RULES.unique]}
         tables = {name: mart.read(name) for name in names}

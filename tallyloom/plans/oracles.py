@@ -344,6 +344,24 @@ oracle("scd2_history", _VERSION_OUT, VERSIONS)
 oracle("scd2_merge", _VERSION_OUT, VERSIONS)
 oracle("scd2_current", _VERSION_OUT + " WHERE until IS NULL", VERSIONS)
 
+oracle("scd2_stable_keys", """SELECT * FROM (
+    WITH days AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 4 = 0 AS late,
+        arg_max(o_orderpriority, o_orderkey) AS state FROM orders GROUP BY ALL),
+    firsts AS (SELECT o_custkey, d, state FROM
+        (SELECT *, lag(state) OVER (PARTITION BY o_custkey ORDER BY d) AS was FROM days WHERE NOT late)
+        WHERE was IS DISTINCT FROM state),
+    changes AS (SELECT o_custkey, d, state FROM days WHERE late UNION ALL
+        SELECT o_custkey, d, state FROM firsts f WHERE NOT EXISTS
+            (SELECT 1 FROM days x WHERE x.late AND x.o_custkey = f.o_custkey AND x.d = f.d)),
+    now AS (SELECT o_custkey, d FROM
+        (SELECT *, lag(state) OVER (PARTITION BY o_custkey ORDER BY d) AS was FROM changes)
+        WHERE was IS DISTINCT FROM state),
+    covered AS (SELECT f.o_custkey, f.d AS start,
+        (SELECT max(n.d) FROM now n WHERE n.o_custkey = f.o_custkey AND n.d <= f.d) AS d FROM firsts f)
+    SELECT o_custkey, CAST(d AS VARCHAR) AS effective_from,
+        o_custkey * 100000 + date_diff('day', DATE '1990-01-01', start) AS version_key,
+        o_custkey * 100000 + date_diff('day', DATE '1990-01-01', min(start) OVER (PARTITION BY o_custkey, d)) AS survivor
+    FROM covered)""")
 oracle("surrogate_keys", """SELECT c_name, CAST((SELECT max(n_nationkey) FROM nation)
     + row_number() OVER (ORDER BY substr(md5(c_name), 1, 3), c_name) AS BIGINT) AS lead_key
     FROM customer""")
@@ -527,6 +545,14 @@ oracle("invite_throughput", """
         round(sum(invites_sent)::DOUBLE / sum(daily_invite_limit), 6) AS invite_throughput
     FROM daily JOIN (SELECT account_key, daily_invite_limit FROM account) USING (account_key)
     GROUP BY date_key""".replace("daily JOIN", "counted JOIN"))
+oracle("invite_throughput_versions", """
+    SELECT date_key, CAST(sum(invites_sent) AS BIGINT) AS invites_sent,
+        CAST(sum(inv_limit) AS BIGINT) AS invite_capacity,
+        round(sum(invites_sent)::DOUBLE / sum(inv_limit), 6) AS invite_throughput
+    FROM counted JOIN nation ON account_key = n_nationkey + 1
+    JOIN tiers ON region = (n_regionkey + CASE WHEN date_key < 20240110 THEN 0
+        WHEN n_nationkey % 2 = 1 AND date_key >= 20240120 THEN 2 ELSE 1 END) % 5
+    GROUP BY date_key""")
 oracle("risk_measures", """
     SELECT round(avg(anomaly_score), 6) AS avg_anomaly_score,
         max(anomaly_score) AS max_anomaly_score,
@@ -622,6 +648,9 @@ oracle("anomaly_scores_by_account", _SCORED, _score_ctes("account_key"))
 _Z = """CASE WHEN d = 0 THEN 0 ELSE round(0.6745::DOUBLE * (o_totalprice - m) / d, 4) END AS z"""
 oracle("modified_z", f"""SELECT o_orderkey, o_totalprice, {_Z} FROM orders,
     (SELECT median(o_totalprice) AS m, mad(o_totalprice) AS d FROM orders)""")
+oracle("modified_z_narrow_band", f"""SELECT o_orderkey, 1.7e9::DOUBLE + o_orderkey AS at,
+    {_Z.replace('o_totalprice', '(1.7e9::DOUBLE + o_orderkey)')} FROM orders,
+    (SELECT median(1.7e9::DOUBLE + o_orderkey) AS m, mad(1.7e9::DOUBLE + o_orderkey) AS d FROM orders)""")
 oracle("modified_z_by_priority", f"""SELECT o_orderkey, o_orderpriority, o_totalprice, {_Z}
     FROM orders JOIN (SELECT o_orderpriority, median(o_totalprice) AS m, mad(o_totalprice) AS d
         FROM orders GROUP BY ALL) USING (o_orderpriority)""")

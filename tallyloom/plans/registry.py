@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyloom import constants as C
 from tallyloom.functions.columns import date_key, flag, pick, truthy
 from tallyloom.operators import (
     anomaly,
@@ -215,6 +216,22 @@ def scd2_merge(t):
     return _versions_out(dims.scd2_merge(old, new, *HISTORY_OF_ORDERS))
 
 
+@query
+def scd2_stable_keys(t):
+    """Three of four orders are a customer's history with keys; the rest come late.
+
+    Every old version's key with the start of the version that covers it now and the
+    key that version keeps, both named by the start of their first version.
+    """
+    changes = orders_as_changes(t)
+    old = dims.scd2_history(changes.filter("o_orderkey % 4 <> 0"), *HISTORY_OF_ORDERS)
+    old = old.selectExpr("*", "o_custkey * 100000L + datediff(effective_from, DATE '1990-01-01') AS version_key")
+    late = changes.filter("o_orderkey % 4 = 0")
+    merged = dims.scd2_merge(old.drop("version_key"), late, *HISTORY_OF_ORDERS)
+    carried = dims.carried_keys(old, merged, ["o_custkey"], "version_key")
+    return carried.selectExpr("o_custkey", "CAST(effective_from AS STRING) AS effective_from", "version_key", "survivor")
+
+
 @query
 def scd2_current(t):
     versions = dims.scd2_history(orders_as_changes(t), *HISTORY_OF_ORDERS)
@@ -533,6 +550,37 @@ def invite_throughput(t):
     )
 
 
+def account_versions(t: tm.TestTables) -> DataFrame:
+    """Accounts whose tier changes on January 10 and, for odd nations, again on January 20."""
+    steps = t.nation.selectExpr(
+        "*", "explode(filter(array(0, 1, 2), s -> s < 2 OR n_nationkey % 2 = 1)) AS step"
+    ).selectExpr(
+        "*", "DATE '2023-12-01' + CASE step WHEN 0 THEN 0 WHEN 1 THEN 40 ELSE 50 END AS start",
+        f"{pick('(n_regionkey + step) % 5', dict(enumerate(C.TIERS)))} AS account_age_tier",
+    )
+    return dims.with_tier_limits(steps).selectExpr(
+        "CAST(n_nationkey + 1 + 100 * step AS BIGINT) AS account_key",
+        "CAST(n_nationkey AS STRING) AS account_id",
+        "account_age_tier", "daily_invite_limit", "daily_message_limit",
+        "CAST(start AS TIMESTAMP) AS effective_from",
+        "CAST(step = 1 + n_nationkey % 2 AS INT) AS is_current",
+    )
+
+
+@query
+def invite_throughput_versions(t):
+    """Facts of nations divisible by three keep their first version's key; the others have that of the day."""
+    day = "to_date(CAST(date_key AS STRING), 'yyyyMMdd')"
+    step = (
+        f"CASE WHEN (account_key - 1) % 3 = 0 OR {day} < DATE '2024-01-10' THEN 0 "
+        f"WHEN (account_key - 1) % 2 = 1 AND {day} >= DATE '2024-01-20' THEN 2 ELSE 1 END"
+    )
+    fact = changed(tm.activity(t), {"account_key": f"account_key + 100 * ({step})"})
+    versions = account_versions(t)
+    daily = facts.daily_snapshot(fact, versions)
+    return rounded(measures.invite_throughput(daily, versions, ["date_key"]), "invite_throughput")
+
+
 @query
 def risk_measures(t):
     return rounded(measures.risk_measures(scored(t), []), "avg_anomaly_score")
@@ -661,6 +709,13 @@ def modified_z(t):
     )
 
 
+@query
+def modified_z_narrow_band(t):
+    """Pooled over order keys as seconds far from zero: one logarithmic range holds them all."""
+    rows = t.orders.selectExpr("o_orderkey", "1.7e9D + o_orderkey AS at")
+    return changed(anomaly.with_modified_z(rows, "at", out="z"), {"z": "round(z, 4)"})
+
+
 @query
 def modified_z_by_priority(t):
     rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")

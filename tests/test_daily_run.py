@@ -228,8 +228,42 @@ def test_only_a_missing_path_means_no_table(spark, tmp_path, monkeypatch):
     mart.init()
 
     def broken(self):
-        raise AnalysisException(errorClass="PATH_ALREADY_EXISTS", messageParameters={"outputPath": "x"})
+        raise AnalysisException("[PATH_ALREADY_EXISTS] Path x already exists.")
 
     monkeypatch.setattr(MartTables, "_log", broken)
     with pytest.raises(AnalysisException):
         mart.init()
+
+
+def test_a_late_account_change_leaves_no_fact_without_account(spark, tmp_path):
+    """Two versions each, facts on both, then changes that move a start (a1) and merge two versions (a2)."""
+    mart = MartTables(spark, str(tmp_path / "mart"))
+
+    def run(day, **entities):
+        sources = {}
+        for e, rows in entities.items():
+            lines(tmp_path / f"{e}-{day}", rows)
+            sources[e] = read_records(spark, str(tmp_path / f"{e}-{day}"), e)
+        daily_run.run_daily(spark, mart, sources, dt.datetime(2024, 1, day, 6), "crm", clock=lambda: CLOCK)
+
+    def account(name, tier, day):
+        return {"id": name, "name": name, "age_tier": tier, "changed_at": f"2024-01-{day:02d} 00:00:00"}
+
+    def state(name):
+        accounts = {r.account_key: (r.account_age_tier, r.effective_from.day) for r in mart.read("dim_account").collect() if r.account_id == name}
+        facts = sorted((r.date_key, accounts.get(r.account_key)) for r in mart.read("fact_activity").collect() if r.activity_id.startswith(name))
+        days = {r.date_key: accounts[r.account_key] for r in mart.read("fact_daily").collect() if r.account_key in accounts}
+        return accounts, facts, days
+
+    both = ("a1", "a2")
+    acts = lambda days: [act(f"{n}-{d}", d, account=n) for n in both for d in days]
+    run(9, account=[account(n, "1 Month", 1) for n in both], activity=acts(range(2, 6)))
+    run(16, account=[account(n, "2-6 Months", 10) for n in both], activity=acts(range(11, 15)))
+    keys = {n: state(n)[0].keys() for n in both}
+    run(17, account=[account("a1", "2-6 Months", 5), account("a2", "2-6 Months", 1)])
+    accounts, facts, days = state("a1")
+    assert accounts.keys() == keys["a1"] and sorted(accounts.values()) == [("1 Month", 1), ("2-6 Months", 5)]
+    assert len(facts) == len(days) == 8 and None not in [a for _, a in facts]
+    accounts, facts, days = state("a2")
+    assert accounts == {min(keys["a2"]): ("2-6 Months", 1)}
+    assert len(facts) == len(days) == 8 and {a for _, a in facts} == set(days.values()) == {("2-6 Months", 1)}
