@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tallyloom.functions.columns import lit
 from tallyloom.operators import anomaly, dims, facts, increment, ops, quality, risk
 from tallyloom.schemas import RECORDS
+from tallyloom.sources.key_index import KeyIndex
 from tallyloom.sources.locations import work_folder
 from tallyloom.sources.tables import MartTables, write_alerts
 
@@ -205,10 +206,13 @@ def load_activities(run: Run, records: DataFrame) -> tuple[DataFrame, DataFrame]
     batch = facts.to_fact_activity(accepted, run.source_system).selectExpr(
         "*", "CAST(NULL AS BIGINT) AS template_key", f"{run.at} AS loaded_at"
     )
-    rows = facts.insert_facts(
-        mart.read("fact_activity"), batch, ["activity_id"], "activity_timestamp"
-    )
+    index = KeyIndex(run.spark, f"{mart.root}/key_index/fact_activity", "activity_id")
+    index.repair(mart.read("fact_activity"))
+    rows = run.kept(index.absent(facts.first_per_key(batch, ["activity_id"], "activity_timestamp")))
+    load = index.open()
     mart.append("fact_activity", rows)
+    index.add(rows)
+    index.close(load)
     return batch, accepted
 
 

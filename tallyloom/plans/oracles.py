@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 
-from tallyloom.operators.quality import MART_RULES
-
 SQL: dict[str, str] = {}
 
 # Shared table expressions, in order of dependence.
@@ -299,6 +297,14 @@ oracle("replace_by_key", """SELECT o_custkey, arg_max(o_orderkey, (o_orderdate,
 
 # Dimensions
 
+oracle("dim_template_load", """SELECT CAST(p_partkey AS VARCHAR) AS template_id,
+        CASE WHEN p_size <= 25 THEN 'new ' || p_name ELSE p_name END AS template_name, p_type AS template_body,
+        CASE WHEN p_size % 5 = 0 THEN 'Connection' ELSE p_brand END AS template_type,
+        CAST(CASE WHEN known THEN k ELSE n_known + k END AS BIGINT) AS template_key
+    FROM (SELECT *, count(*) FILTER (known) OVER () AS n_known,
+            row_number() OVER (PARTITION BY known ORDER BY substr(md5(CAST(p_partkey AS VARCHAR)), 1, 3), CAST(p_partkey AS VARCHAR)) AS k
+        FROM (SELECT *, p_partkey % 3 = 0 AS known FROM part))""")
+
 oracle("dim_date", """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key,
         CAST(d AS VARCHAR) AS full_date, CAST(isodow(d) - 1 AS INTEGER) AS day_of_week,
         dayname(d) AS day_name, CAST(day(d) AS INTEGER) AS day_of_month,
@@ -416,6 +422,10 @@ DAILY_COLUMNS = """date_key, account_key, invites_sent, invites_accepted, messag
     replies_received, follow_ups_sent, conversions, acceptance_rate, reply_rate,
     conversion_rate, invite_utilization, message_utilization"""
 oracle("daily_snapshot", f"SELECT {DAILY_COLUMNS} FROM daily")
+oracle("csv_export", f"SELECT {DAILY_COLUMNS} FROM daily")
+for _name in ("mart_append", "key_index_load"):
+    oracle(_name, "SELECT activity_id, date_key, account_key, activity_type, is_converted FROM act")
+oracle("scores_written_back", "SELECT date_key, account_key, anomaly_score, risk_flag FROM scored")
 oracle("snapshot_refresh", f"SELECT {DAILY_COLUMNS} FROM daily")
 oracle("daily_snapshot_dense", f"""
     SELECT CAST(strftime(day_, '%Y%m%d') AS INTEGER) AS date_key, s.account_key,
@@ -861,12 +871,27 @@ _TEXT = {"activity_id", "activity_type", "account_id", "account_age_tier",
          "risk_classification", "campaign_id", "campaign_name", "lead_id"}
 CHECKS = {
     "checks": _all(
-        *[_required(t, c, MART[t], _TEXT) for t, c in MART_RULES.required.items()],
-        *[_unique(t, k, MART[t]) for t, k in MART_RULES.unique],
-        *[_in_set(t, c, v, MART[t]) for t, c, v in MART_RULES.in_set],
-        *[_in_range(t, c, MART[t]) for t, c, _, _ in MART_RULES.in_range],
-        *[_fresh(t, c, "2024-02-01 00:00:00", MART[t]) for t, c in MART_RULES.fresh],
-        *[_fk(t, c, MART[p], pc, MART[t]) for t, c, p, pc in MART_RULES.references],
+        *[_required(t, c, MART[t], _TEXT) for t, c in (
+            ("fact_activity", ["activity_id", "date_key", "account_key", "activity_type", "activity_timestamp"]),
+            ("dim_account", ["account_id", "account_age_tier", "risk_classification"]),
+            ("dim_campaign", ["campaign_id", "campaign_name"]),
+            ("dim_lead", ["lead_id"]),
+            ("fact_daily", ["date_key", "account_key"]),
+        )],
+        *[_unique(t, k, MART[t]) for t, k in (
+            ("fact_activity", "activity_id"), ("dim_campaign", "campaign_id"),
+            ("dim_lead", "lead_id"), ("dim_date", "full_date"),
+        )],
+        _in_set("fact_activity", "activity_type", [
+            "invite_sent", "invite_accepted", "message_sent", "reply_received", "follow_up_sent",
+        ], MART["fact_activity"]),
+        _in_set("dim_account", "risk_classification", [
+            "Very High Risk", "High Risk", "Moderate Risk", "Low Risk", "Minimal Risk",
+        ], MART["dim_account"]),
+        *[_in_range("fact_daily", c, MART["fact_daily"]) for c in ("acceptance_rate", "reply_rate", "conversion_rate")],
+        _fresh("fact_activity", "activity_timestamp", "2024-02-01 00:00:00", MART["fact_activity"]),
+        *[_fk(t, c, MART[p], c, MART[t]) for t in ("fact_activity", "fact_daily")
+          for c, p in (("date_key", "dim_date"), ("account_key", "dim_account"))],
     ),
     "means": """SELECT count(*) AS total_checks,
         coalesce(avg(score) FILTER (dimension = 'completeness'), 1) AS c,
@@ -913,6 +938,11 @@ oracle("dq_latest", """SELECT CAST(strptime(date_key::VARCHAR, '%Y%m%d')::DATE A
 
 oracle("run_log", f"""SELECT run_id, strftime(a, {TS}) AS started_at,
     strftime(b, {TS}) AS ended_at, status, error_message FROM runs""", CHECKS)
+oracle("run_log_row", """SELECT 'run-1' AS run_id, 'load-1' AS correlation_id, 'full' AS run_type,
+    'success' AS status, '2024-02-01 00:00:00.000000' AS started_at, '2024-02-01 00:05:00.000000' AS ended_at,
+    count(*) AS rows_extracted, count(*) FILTER (error_message IS NULL) AS rows_loaded,
+    count(error_message) AS rows_rejected, CAST(NULL AS VARCHAR) AS error_message,
+    '2024-01-15 00:00:00.000000' AS watermark_value FROM checked""")
 _STAMP = "'2024-02-01 06:00:00.000000' AS raised_at"
 oracle("alerts", f"""
     SELECT {_STAMP}, 'pipeline_failure' AS alert_type, 'CRITICAL' AS severity,
@@ -935,6 +965,7 @@ oracle("alerts", f"""
     SELECT {_STAMP}, 'risk_critical', 'CRITICAL', 'accounts at critical risk: ' || n,
         CAST(json_object('accounts', n) AS VARCHAR)
     FROM (SELECT count(*) AS n FROM grid_r WHERE risk_level = 'Critical') WHERE n > 0""", CHECKS)
+SQL["alert_sink"] = SQL["alerts"]
 oracle("critical_accounts", f"""SELECT {_STAMP}, 'risk_critical' AS alert_type,
     CAST(c_custkey AS VARCHAR) AS account_id, CAST(NULL AS VARCHAR) AS account_name
     FROM grid_r WHERE risk_level = 'Critical'""")

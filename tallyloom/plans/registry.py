@@ -27,7 +27,11 @@ from tallyloom.operators import (
     trends,
     views,
 )
+from tallyloom.schemas import TABLES
 from tallyloom.sources import testmart as tm
+from tallyloom.sources.key_index import KeyIndex
+from tallyloom.sources.locations import work_folder
+from tallyloom.sources.tables import MartTables, write_alerts
 from tallyloom.streaming import daily_counts, ingest
 
 # Parameters of the registered queries.
@@ -962,6 +966,93 @@ def dq_latest(t):
     )
 
 
+# Tables of the mart, written and read back
+
+
+def scratch_mart(t: tm.TestTables, purpose: str) -> MartTables:
+    return MartTables(t.spark, work_folder(t.spark, purpose))
+
+
+def _stored(fact: DataFrame) -> DataFrame:
+    return fact.selectExpr("*", "CAST(NULL AS BIGINT) AS template_key", "CAST(NULL AS TIMESTAMP) AS loaded_at")
+
+
+FACT_COLUMNS = ["activity_id", "date_key", "account_key", "activity_type", "is_converted"]
+
+
+@query
+def mart_append(t):
+    """A version with the facts up to the watermark, and the later ones appended to it."""
+    mart, fact = scratch_mart(t, "append"), _stored(tm.activity(t))
+    mart.publish("fact_activity", fact.filter(f"activity_timestamp < {EARLY}"))
+    mart.append("fact_activity", fact.filter(f"activity_timestamp >= {EARLY}"))
+    return mart.read("fact_activity").select(*FACT_COLUMNS)
+
+
+@query
+def key_index_load(t):
+    """Three loads through the key index: half, a replay of all, and a load after one that died before its keys were added."""
+    mart, fact = scratch_mart(t, "indexed"), _stored(tm.activity(t))
+    index = KeyIndex(t.spark, f"{mart.root}/key_index", "activity_id", buckets=64)
+    mart.publish("fact_activity", fact.filter("lead_key % 2 = 0"))
+    index.repair(mart.read("fact_activity"))
+    for part, dies in (("lead_key % 4 = 1", False), ("lead_key % 8 < 4", True), ("true", False)):
+        index.repair(mart.read("fact_activity"))
+        load = index.open()
+        rows = index.absent(fact.filter(part))
+        folder = work_folder(t.spark, "rows")
+        rows.write.parquet(folder)
+        rows = t.spark.read.schema(rows.schema).parquet(folder)
+        mart.append("fact_activity", rows)
+        if not dies:
+            index.add(rows)
+            index.close(load)
+    return mart.read("fact_activity").select(*FACT_COLUMNS)
+
+
+@query
+def scores_written_back(t):
+    """The scored snapshot as a table of the mart."""
+    mart = scratch_mart(t, "scores")
+    mart.publish("fact_daily", scored(t))
+    return mart.read("fact_daily").select("date_key", "account_key", "anomaly_score", "risk_flag")
+
+
+@query
+def csv_export(t):
+    """The snapshot exported as CSV and read again."""
+    mart = scratch_mart(t, "export")
+    mart.publish("fact_daily", tm.daily(t))
+    mart.export_csv(f"{mart.root}/csv", ["fact_daily"])
+    schema = TABLES["fact_daily"]
+    found = t.spark.read.schema(schema).option("header", True).csv(f"{mart.root}/csv/fact_daily")
+    return found.drop("anomaly_score", "risk_flag")
+
+
+@query
+def alert_sink(t):
+    """Alerts appended as lines of JSON in two writes and read again."""
+    folder = work_folder(t.spark, "alerts")
+    history = quality.dq_history_row(mart_checks(t), RUN, STAMP, threshold=0.99)
+    raised = with_text_times(ops.alerts(history, daily_runs(t), grid_report(t), STAMP), "raised_at")
+    write_alerts(raised.filter("alert_type = 'pipeline_failure'"), folder)
+    write_alerts(raised.filter("alert_type <> 'pipeline_failure'"), folder)
+    return t.spark.read.schema(raised.schema).json(folder)
+
+
+@query
+def dim_template_load(t):
+    """Parts as message templates: every third is known, and all of the smaller ones come again with other names."""
+    records = t.part.selectExpr(
+        "CAST(p_partkey AS STRING) AS id", "p_name AS name", "p_type AS body",
+        "IF(p_size % 5 = 0, NULL, p_brand) AS type", "p_partkey", "p_size",
+    )
+    known = dims.assign_keys(dims.to_dim_template(records.filter("p_partkey % 3 = 0")), "template_id", "template_key")
+    again = changed(records, {"name": "concat('new ', name)"}).filter("p_size <= 25")
+    updates = dims.to_dim_template(again.unionByName(records.filter("p_size > 25 AND p_partkey % 3 <> 0")))
+    return dims.scd1_merge(known, updates, "template_id", "1", "template_key")
+
+
 # Run log and alerts
 
 
@@ -986,6 +1077,17 @@ def daily_runs(t: tm.TestTables) -> DataFrame:
     )
 
 
+@query
+def run_log_row(t):
+    """The log row of a run that loaded the checked records."""
+    counts = ops.load_counts(_checked(t)).first().asDict()
+    row = ops.run_row(
+        t.spark, run_id=RUN, correlation_id="load-1", run_type="full", status="success",
+        started_at=AS_OF, ended_at=AS_OF + dt.timedelta(minutes=5), watermark_value=WATERMARK, **counts,
+    )
+    return with_text_times(row, "started_at", "ended_at", "watermark_value")
+
+
 @query
 def run_log(t):
     return with_text_times(daily_runs(t), "started_at", "ended_at")

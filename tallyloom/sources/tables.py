@@ -103,9 +103,10 @@ class MartTables:
     # Exports
 
     def export_csv(self, folder: str, names: list[str] = EXPORTED) -> None:
-        """Every table as CSV with a header, one folder each."""
+        """Every table as CSV with a header and its columns in order, one folder each."""
         for name in names:
-            self.read(name).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+            rows = self.read(name).select(*[f.name for f in TABLES[name].fields])
+            rows.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
 
 def write_alerts(alerts: DataFrame, folder: str) -> None:
