@@ -294,3 +294,9 @@ def test_long_arrays_are_cut_whole():
     texts = pa.array(["a" * 10, None, "b" * 90, "", "c" * 5] * 4)
     parts = list(slices(texts, 100))
     assert pa.concat_arrays(parts).equals(texts) and len(parts) > 3
+
+
+def test_numerals_are_no_letters():
+    text = "²½① Ⅷ ٣ 12"
+    assert not any(map(str.isalpha, text)) and L._LETTERS.findall(text) == []
+    assert L._LETTERS.findall("Éa ñ中x1y") == ["Éa", "ñ中x", "y"]
