@@ -5,7 +5,8 @@ neighbouring words and features of the whole file, and decoded by Viterbi. The
 model learns from the pattern matches in a bounded sample of texts, and from
 variants of them: the same and respelled secrets without the words that
 announce them, and compounds of ordinary words. So it also finds secrets that
-no pattern names.
+no pattern names. A tagged span of any length counts if the model is sure of it
+and it doesn't lie inside a pattern match.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -38,19 +40,27 @@ TAGGED = "crf"
 #: at most, and texts with a match it reads, about.
 TRAIN_ROWS = 20_000
 TRAIN_WINDOWS = 4_000
-#: Tokens of context on either side of a token that isn't plain.
+#: Tokens a training window has at most; longer runs are cut into several.
+WINDOW_TOKENS = 64
+#: Plain tokens of context on either side of a token that isn't plain.
 CONTEXT = 3
-#: Least characters of a tagged secret.
-TAGGED_LEAST = 16
+#: Least chance that the model gives a tagged span, for it to count.
+SURE = 0.5
 
 _HEX_RUN = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
-_TOKEN = re.compile(r"""[^\s"'`,;:=()\[\]{}<>|#$%&*!?]+|[=:]""")
-#: Tokens in which something else than letters happens, or words that announce a secret.
-_NOTABLE = re.compile(r"[0-9_+/\\@=]|[a-z][A-Z]|[A-Za-z]{20}|[Pp]ass(?:w|code|phrase)|PASSW|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi.?[Kk]ey|[Cc]redential|[Bb]earer")
-_PLAIN = re.compile(r"[^\W\d_]{1,19}[.-]?")
+# What tokens don't contain; = and : are tokens of their own.
+_BETWEEN = r"""\s"'`,;:=()\[\]{}<>|#$%&*!?"""
+_TOKEN = re.compile(rf"[^{_BETWEEN}]+|[=:]")
+# Anything but letters, other scripts' characters and a closing dot or hyphen, or words that announce a secret.
+_NOTABLE = re.compile(
+    rf"[0-9_+/\\@~^=:\x00-\x08\x0e-\x1b\x7f]|[.-](?=[^{_BETWEEN}])|[a-z][A-Z]|[A-Za-z]{{20}}"
+    r"|[Pp]ass(?:w|code|phrase)|PASSW|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Aa]pi.?[Kk]ey|[Cc]redential|[Bb]earer"
+)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CASED = re.compile(r"[a-z][A-Z]")
 _HEXISH = re.compile(r"[0-9A-F]+|[0-9a-f]+")
+_CLASSES = re.compile(r"[a-z]+|[A-Z]+|[0-9]+|[^a-zA-Z0-9]+")
+_DATED = re.compile(r"[0-9]{1,4}([-/.:])[0-9]{1,2}(?:\1[0-9]{1,4})?\W*")
 
 
 class Span(NamedTuple):
@@ -87,8 +97,8 @@ def tokens(text: str, start: int = 0, end: int | None = None) -> list[Token]:
 
 
 def is_plain(token: str) -> bool:
-    """A short run of letters that announces nothing: its tag is O wherever it stands (see `Model.cuts`)."""
-    return _PLAIN.fullmatch(token) is not None and _NOTABLE.search(token) is None
+    """A token without anything notable: its tag is O among its like (see `Model.cuts`)."""
+    return _NOTABLE.search(token) is None
 
 
 def shape(token: str) -> list[str]:
@@ -105,7 +115,11 @@ def shape(token: str) -> list[str]:
         f"entropy {round(entropy)} length {min(n // 8, 5)}",
         f"letters {min(max(map(len, _LETTERS.findall(token)), default=0) // 2, 5)}",
     ]
-    out += [name for name, test in (("all digits", digits == n), ("hexadecimal", _HEXISH.fullmatch(token)), ("mixed case", _CASED.search(token)), ("dots", token.count(".") >= 2), ("at", "@" in token), ("slash", "/" in token), ("long mixed", n >= 16 and 0 < digits < n)) if test]
+    parts = _CLASSES.findall(token)
+    kinds = sum((any(map(str.islower, parts)), any(map(str.isupper, parts)), digits > 0))
+    inner = sum(not x.isalnum() for x in parts)
+    out += [f"switches {min(len(parts) - 2 * inner, 12)} of {min(n // 4, 5)}", f"kinds {kinds} marks {min(inner, 3)}", f"kinds {kinds} entropy {round(2 * entropy)}"]
+    out += [name for name, test in (("date", _DATED.fullmatch(token)), ("all digits", digits == n), ("hexadecimal", _HEXISH.fullmatch(token)), ("mixed case", _CASED.search(token)), ("dots", token.count(".") >= 2), ("at", "@" in token), ("slash", "/" in token), ("long mixed", n >= 16 and 0 < digits < n)) if test]
     return out
 
 
@@ -127,13 +141,27 @@ def file_features(text: str) -> list[str]:
     return [f"file marks {min(marks, 3)}", f"file symbols {min(3, int(20 * symbols / n))}"]
 
 
-def features(run: list[Token], whole: list[str]) -> list[list[str]]:
-    """Features of each token: shape first, then neighbours (named by their distance), then the file's."""
-    words = ["", "", *(word(t.text) for t in run), "", ""]
+class Run(NamedTuple):
+    """Tokens in a row, and whether the text starts and ends with them; else plain tokens surround them."""
+
+    tokens: list[Token]
+    first: bool
+    last: bool
+
+
+def neighbours(run: Run) -> Iterator[list[str]]:
+    """The features of each token's neighbours, named by their distance."""
+    before, after = "" if run.first else "plain", "" if run.last else "plain"
+    words = [before, before, *(word(t.text) for t in run.tokens), after]
+    for i in range(len(run.tokens)):
+        yield [f"-1 {words[i + 1]}", f"-2 {words[i]} {words[i + 1]}", f"+1 {words[i + 3]}"]
+
+
+def features(run: Run, whole: list[str]) -> list[list[str]]:
+    """Features of each token: shape first, then neighbours, then the file's."""
     out = []
-    for i, t in enumerate(run):
+    for t, near in zip(run.tokens, neighbours(run), strict=True):
         own = shape(t.text)
-        near = [f"-1 {words[i + 1]}", f"-2 {words[i]} {words[i + 1]}", f"+1 {words[i + 3]}"]
         out.append([*own, *near, *whole, "plain token" if own == ["plain"] else "notable token"])
     return out
 
@@ -150,31 +178,55 @@ class Model(NamedTuple):
     weights: np.ndarray
     transitions: np.ndarray
 
-    def emissions(self, rows: list[list[str]]) -> np.ndarray:
-        out = np.zeros((len(rows), 3))
-        for i, row in enumerate(rows):
-            known = [k for k in map(self.features.get, row) if k is not None]
-            if known:
-                out[i] = self.weights[known].sum(axis=0)
-        return out
+    def score(self, row: list[str]) -> tuple[float, float, float]:
+        """The scores of O, B and I by these features together."""
+        known = [k for k in map(self.features.get, row) if k is not None]
+        return tuple(self.weights[known].sum(axis=0).tolist())
 
-    def decode(self, rows: list[list[str]]) -> list[int]:
-        """The best tags by Viterbi; ties go to the lower tag."""
-        scores = self.emissions(rows)
-        best, back = scores[0] + np.array([0.0, 0.0, _NEVER]), []
-        for row in scores[1:]:
-            paths = best[:, None] + self.transitions
-            back.append(paths.argmax(axis=0))
-            best = paths.max(axis=0) + row
-        tag = int(best.argmax())
+    def emissions(self, rows: list[list[str]]) -> np.ndarray:
+        return np.array([self.score(row) for row in rows])
+
+    def decode(self, scores: list[tuple[float, float, float]]) -> list[int]:
+        """The best tags by Viterbi for the scores of a run's tokens; ties go to the lower tag."""
+        (oo, ob, _), (bo, bb, bi), (io, ib, ii) = self.transitions.tolist()
+        o, b, i = scores[0][O], scores[0][B], scores[0][I] + _NEVER
+        back = []
+        for so, sb, si in scores[1:]:
+            to_o, to_b, to_i = (o + oo, b + bo, i + io), (o + ob, b + bb, i + ib), (o + _NEVER, b + bi, i + ii)
+            o, b, i = max(to_o), max(to_b), max(to_i)
+            back.append((to_o.index(o), to_b.index(b), to_i.index(i)))
+            o, b, i = o + so, b + sb, i + si
+        tag = (o, b, i).index(max(o, b, i))
         out = [tag]
         for step in reversed(back):
-            tag = int(step[tag])
+            tag = step[tag]
             out.append(tag)
         return out[::-1]
 
+    def chances(self, scores: list[tuple[float, float, float]], spans: list[tuple[int, int]]) -> list[float]:
+        """The chance that a secret has exactly the tokens from a to b (exclusive), for each of these spans."""
+        rows = np.array(scores)
+        n = len(rows)
+        forward, backward = np.empty((n, 3)), np.zeros((n, 3))
+        forward[0] = rows[0] + np.array([0.0, 0.0, _NEVER])
+        for j in range(1, n):
+            forward[j] = _sum_exp(forward[j - 1][:, None] + self.transitions, 0) + rows[j]
+        for j in range(n - 2, -1, -1):
+            backward[j] = _sum_exp(self.transitions + rows[j + 1] + backward[j + 1], 1)
+        total = _sum_exp(forward[-1], 0)
+        out = []
+        for a, b in spans:
+            score, tag = forward[a, B], B
+            for j in range(a + 1, b):
+                score, tag = score + self.transitions[tag, I] + rows[j, I], I
+            if b < n:
+                ends = self.transitions[tag] + rows[b] + backward[b]
+                score += _sum_exp(ends[[O, B]], 0)
+            out.append(float(np.exp(score - total)))
+        return out
+
     def cuts(self) -> bool:
-        """True if a plain token between plain tokens is O in every best path, for any file.
+        """True if a plain token among plain tokens is O in every best path, for any file.
 
         Tagging it B or I instead may gain from transitions at most four times
         their range; its scores must outweigh that. Then a text may be decoded
@@ -189,90 +241,110 @@ class Model(NamedTuple):
         return loss > gain
 
 
-def runs(text: str, whole: bool = False) -> Iterator[list[Token]]:
-    """Runs of tokens around notable ones, `CONTEXT` plain tokens on either side; with `whole` all tokens as one run."""
+def runs(text: str, whole: bool = False) -> Iterator[Run]:
+    """Runs of tokens: every one that isn't plain, `CONTEXT` plain ones on either side; with `whole` all tokens as one run."""
     if whole:
         run = tokens(text)
         if run:
-            yield run
+            yield Run(run, True, True)
         return
-    done = at = 0
-    run: list[Token] = []
-    while m := _NOTABLE.search(text, at):
-        start = _back(text, m.start(), done)
-        end = _ahead(text, m.end())
-        if run and start <= done:
-            start = done
-        elif run:
-            yield run
+    run, first, done = [], True, 0
+    while m := _NOTABLE.search(text, done):
+        before, all_of_them = _back(text, m.start(), done)
+        if run and not all_of_them:
+            yield Run(run, first, False)
             run = []
-        run += tokens(text, start, end)
-        done = end
-        # Skip what is covered but for the context, which may hold the next notable token.
-        at = max(m.end(), m.start() + 1)
-        while at < end and (n := _NOTABLE.search(text, at, end)):
-            at = n.end()
-            further = _ahead(text, at)
-            if further > end:
-                run += tokens(text, end, further)
-                end = done = further
-        at = end
+        if not run:
+            first = done == 0 and all_of_them
+        run += before
+        left = CONTEXT
+        for t in _TOKEN.finditer(text, run[-1].end if before else done):
+            token = Token(t[0], t.start(), t.end())
+            if t.start() < m.end() or not is_plain(token.text):
+                left = CONTEXT
+            elif not left:
+                break
+            else:
+                left -= 1
+            run.append(token)
+        done = run[-1].end
     if run:
-        yield run
-
-
-_BREAK = re.compile(r"\s+")
-
-
-def _ahead(text: str, at: int) -> int:
-    """The end of the `CONTEXT`-th white-space word after the one at `at`."""
-    for _ in range(CONTEXT + 1):
-        m = _BREAK.search(text, at)
-        if not m:
-            return len(text)
-        at = m.end()
-    return m.start()
+        yield Run(run, first, _TOKEN.search(text, done) is None)
 
 
-def _back(text: str, at: int, least: int) -> int:
-    """The start of the `CONTEXT`-th white-space word before the one at `at`, not before `least`."""
-    for _ in range(CONTEXT + 1):
-        while at > least and not text[at - 1].isspace():
-            at -= 1
-        start = at
-        while at > least and text[at - 1].isspace():
-            at -= 1
-        if at <= least:
-            return start if at == start else least
-    return start
+def _back(text: str, at: int, least: int) -> tuple[list[Token], bool]:
+    """The last `CONTEXT` tokens that end at `at` or before, none before `least`; and whether these are all there are.
 
-
-def tagged_spans(text: str, model: Model) -> list[Span]:
-    """The secrets that the tags mark; shorter ones than `TAGGED_LEAST` don't count."""
-    whole = file_features(text)
-    out = []
-    for run in runs(text, whole=not model.cuts()):
-        tags = model.decode(features(run, whole))
-        i = 0
-        while i < len(run):
-            j = i + 1
-            if tags[i] == B:
-                while j < len(run) and tags[j] == I:
-                    j += 1
-                if run[j - 1].end - run[i].start >= TAGGED_LEAST:
-                    out.append(Span(TAGGED, run[i].start, run[j - 1].end))
-            i = j
-    return out
+    A single token more is taken too, so two or more plain tokens stand before what isn't all.
+    """
+    width = 64
+    while True:
+        start = max(least, at - width)
+        found = tokens(text, start, at)
+        # The token at `at` may begin before it, and the first one before `start`.
+        if found and found[-1].end == at and _TOKEN.match(text, found[-1].start).end() > at:
+            found.pop()
+        if start == least:
+            return (found, True) if len(found) <= CONTEXT + 1 else (found[-CONTEXT:], False)
+        if len(found) > CONTEXT + 2:
+            return found[-CONTEXT:], False
+        width *= 4
+
+
+#: Shapes whose scores a tagger remembers.
+REMEMBERED = 50_000
+
+
+class Tagger:
+    """A model with the scores of shapes and neighbours it has met; these only save time."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.whole = not model.cuts()
+        self.shapes = lru_cache(REMEMBERED)(self._shape)
+        self.near = lru_cache(REMEMBERED)(lambda *names: model.score(list(names)))
+
+    def _shape(self, token: str) -> tuple[float, float, float]:
+        own = shape(token)
+        return self.model.score([*own, "plain token" if own == ["plain"] else "notable token"])
+
+    def spans(self, text: str) -> list[Span]:
+        """The secrets that the tags mark and that are as likely as `SURE`, without marks at their ends."""
+        whole = self.near(*file_features(text))
+        out = []
+        for run in runs(text, self.whole):
+            scores = []
+            for t, near in zip(run.tokens, neighbours(run), strict=True):
+                (o1, b1, i1), (o2, b2, i2), (o3, b3, i3) = self.shapes(t.text), self.near(*near), whole
+                scores.append((o1 + o2 + o3, b1 + b2 + b3, i1 + i2 + i3))
+            tags = self.model.decode(scores)
+            if B not in tags:
+                continue
+            places = []
+            for i, tag in enumerate(tags):
+                if tag == B:
+                    places.append((i, i + 1))
+                elif tag == I:
+                    places[-1] = (places[-1][0], i + 1)
+            for (a, b), chance in zip(places, self.model.chances(scores, places), strict=True):
+                start, end = run.tokens[a].start, run.tokens[b - 1].end
+                while start < end and not (text[start].isalnum() or text[start] in "_+/"):
+                    start += 1
+                while start < end and not (text[end - 1].isalnum() or text[end - 1] in "_+/="):
+                    end -= 1
+                if chance >= SURE and start < end:
+                    out.append(Span(TAGGED, start, end))
+        return out
 
 
-def scan(text: str | None, model: Model | None) -> tuple[list[Span], list[Span]]:
-    """(pattern spans, all spans): those of the tagger join where they overlap no pattern span."""
+def scan(text: str | None, tagger: Tagger | None) -> tuple[list[Span], list[Span]]:
+    """(pattern spans, all spans): those of the tagger join unless they lie inside a pattern span."""
     if not text:
         return [], []
     base = base_spans(text)
-    if model is None:
+    if tagger is None:
         return base, base
-    extra = [s for s in tagged_spans(text, model) if not any(s.start < b.end and b.start < s.end for b in base)]
+    extra = [s for s in tagger.spans(text) if not any(b.start <= s.start and s.end <= b.end for b in base)]
     order = (*KINDS, TAGGED)
     return base, sorted([*base, *extra], key=lambda s: (s.start, order.index(s.kind)))
 
@@ -280,22 +352,45 @@ def scan(text: str | None, model: Model | None) -> tuple[list[Span], list[Span]]
 _ALPHABETS = ("0123456789ABCDEF", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_-")
 
 
+def _short(draw: random.Random) -> str:
+    """A short random secret in which letters of both cases and digits change at least four times."""
+    while True:
+        value = "".join(draw.choices(_ALPHABETS[1], k=draw.randint(8, 15)))
+        parts = _CLASSES.findall(value)
+        if len(parts) > 4 and len({x[0].isdigit() + 2 * x[0].isupper() for x in parts}) == 3:
+            return value
+
+
 def _variants(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     """Short texts for training with the places of their secrets, made from a text with secrets; the text decides all choices."""
     draw = random.Random(zlib.crc32(text.encode()))
     words = [w for w in text.split() if is_plain(w)] or ["a"]
     for a, b in sorted(set(_values(text))):
         value = text[a:b]
-        respelled = ["".join(draw.choices(x, k=draw.randint(20, 44))) for x in _ALPHABETS]
+        respelled = ["".join(draw.choices(x, k=draw.randint(16, 44))) for x in _ALPHABETS]
         for secret in (value, *respelled):
             before, after = " ".join(draw.choices(words, k=4)) + " ", " " + " ".join(draw.choices(words, k=4))
             yield before + secret + after, [(len(before), len(before) + len(secret))]
+        # Prefixed ones, ones in groups, and short ones.
+        alphabet = draw.choice(["0123456789abcdef", *_ALPHABETS])
+        prefix, more = draw.choice(words)[: draw.randint(2, 4)].lower(), draw.choice(["", "", draw.choice(words)[:4].lower() + "_"])
+        prefixed = prefix + draw.choice("_-") + more + "".join(draw.choices(alphabet, k=draw.randint(16, 36))) + draw.choice(["", _short(draw)[:4]])
+        groups = "-".join("".join(draw.choices(_ALPHABETS[1], k=draw.randint(4, 6))) for _ in range(draw.randint(3, 5)))
+        for secret in (prefixed, groups, *(_short(draw) for _ in range(3))):
+            before, after = " ".join(draw.choices(words, k=4)) + " ", " " + " ".join(draw.choices(words, k=4))
+            yield before + secret + after, [(len(before), len(before) + len(secret))]
         for mark in "-_/.@":
             own = mark.join(draw.choices(words, k=draw.randint(2, 4))).lower() + draw.choice(["", str(draw.randint(0, 9999)), mark + str(draw.randint(0, 99))])
             yield " ".join([*draw.choices(words, k=3), own, *draw.choices(words, k=3)]), []
         path = draw.choices([w.lower() for w in words], k=6)
         yield f"{words[0]} https://{path[0]}.{path[1]}/{path[2]}/{draw.randint(0, 9999)}/{path[3]}-{path[4]}-{path[5]} {words[-1]}", []
-        yield " ".join([*draw.choices(words, k=3), str(draw.randint(10**9, 10**20)), *draw.choices(words, k=3)]), []
+        yield f"{words[0]} https://{path[0]}.example.com/{path[1][0]}/{path[2]}{draw.randint(0, 9)}/{path[3].capitalize()}{draw.randint(0, 99)}?{path[4]}={draw.randint(0, 99)} {words[-1]}", []
+        name, number = draw.choice(words), str(draw.randint(0, 99999))
+        harmless = [str(draw.randint(10**9, 10**20)), name + number, name.upper() + "-" + number, name.capitalize() + draw.choice(words).capitalize() + number[:2], "v" + ".".join(number), number + name[:2]]
+        harmless += [draw.choice(words).lower() + name.capitalize() + draw.choice(["", draw.choice(words).capitalize()]), name[0].lower() + name.capitalize() + number[:2]]
+        harmless += [f"{draw.randint(1900, 2100)}-{draw.randint(1, 12):02}-{draw.randint(1, 31):02}", f"{draw.choice(words)}_{name}_{number}", f"{name}{number}@{draw.choice(words)}.example.com"]
+        for own in harmless:
+            yield " ".join([*draw.choices(words, k=3), own, *draw.choices(words, k=3)]), []
 
 
 def _windows(text: str) -> Iterator[tuple[list[list[str]], list[int]]]:
@@ -311,11 +406,13 @@ def _windows(text: str) -> Iterator[tuple[list[list[str]], list[int]]]:
 def _tagged_runs(text: str, values: list[tuple[int, int]], whole: list[str]) -> Iterator[tuple[list[list[str]], list[int]]]:
     for run in runs(text):
         tags, last = [], None
-        for t in run:
+        for t in run.tokens:
             inside = next((v for v in values if t.start < v[1] and v[0] < t.end), None)
             tags.append(O if inside is None else I if inside == last else B)
             last = inside
-        yield features(run, whole), tags
+        found = features(run, whole)
+        for i in range(0, len(tags), WINDOW_TOKENS):
+            yield found[i : i + WINDOW_TOKENS], tags[i : i + WINDOW_TOKENS]
 
 
 def _may_match(text: Column) -> Column:
@@ -358,12 +455,8 @@ def train(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, windows:
     return fit([([f.split("\n") for f in r["features"].split("\t")], list(map(int, r["tags"]))) for r in [*picked[0], *picked[1]]])
 
 
-def fit(windows: list[tuple[list[list[str]], list[int]]], epochs: int = 150, rate: float = 0.15, decay: float = 0.0005) -> Model:
-    """Weights of greatest conditional likelihood with a quadratic penalty, by Adam over all windows at once.
-
-    Windows longer than 64 tokens are cut.
-    """
-    cut = [(f[i : i + 64], t[i : i + 64]) for f, t in windows for i in range(0, len(t), 64)]
+def fit(cut: list[tuple[list[list[str]], list[int]]], epochs: int = 150, rate: float = 0.15, decay: float = 0.0005) -> Model:
+    """Weights of greatest conditional likelihood with a quadratic penalty, by Adam over all windows at once."""
     names: dict[str, int] = {}
     for fs, _ in cut:
         for f in fs:
@@ -434,13 +527,15 @@ _RESULT_ARROW = pa.struct([("base", pa.list_(_SPAN_ARROW)), ("spans", pa.list_(_
 
 def _scan_udf(model: Broadcast):
     @F.arrow_udf(RESULT)
-    def find(texts: pa.Array) -> pa.Array:
-        held, out = model.value, []
-        for part in slices(texts):
-            for t in part.to_pylist():
-                base, spans = scan(t, held)
-                out.append({"base": [s._asdict() for s in base], "spans": [s._asdict() for s in spans]})
-        return pa.array(out, _RESULT_ARROW)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tagger = Tagger(model.value) if model.value else None  # goes with the task
+        for texts in batches:
+            out = []
+            for part in slices(texts):
+                for t in part.to_pylist():
+                    base, spans = scan(t, tagger)
+                    out.append({"base": [s._asdict() for s in base], "spans": [s._asdict() for s in spans]})
+            yield pa.array(out, _RESULT_ARROW)
 
     return find
 
@@ -449,7 +544,7 @@ def find_secrets(docs: DataFrame, model: Model | None, text: str = "text") -> Da
     """Add `base_spans` and `secret_spans`: arrays of (kind, start, end), code points, end exclusive.
 
     NULL and empty texts have none; without a model both are the pattern spans.
-    A tagged span that overlaps a pattern span isn't added. No row is dropped,
+    A tagged span inside a pattern span isn't added. No row is dropped,
     nothing is shuffled, equal rows get equal spans; input columns named like
     new ones are replaced.
     """

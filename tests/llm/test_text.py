@@ -1,5 +1,6 @@
 """Secrets, benchmark windows, quality rules, languages: brute force, edge cases, held-out accuracy."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -50,26 +51,37 @@ def tagger(spark, sf_dir):
 def test_runs_decode_as_whole_texts(tagger):
     assert tagger.cuts()
     draw = random.Random(2)
-    parts = ["plain", "words", "and,", "more.", "été", "token", "=", "key:", '"9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"', "x@y.example.com", "+1", "(555)", "12.7.0.1", "getUserName", "snake_case_name", "\n", "  ", "###", "a" * 30, "ghp16C7e42F292c6912E7710c838347Ae178B4a"]
-    for _ in range(400):
-        t = " ".join(draw.choices(parts, k=draw.randint(0, 40)))
+    parts = ["plain", "words", "and,", "more.", "été", "token", "=", "key:", '"9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"', "x@y.example.com", "+1", "(555)", "12.7.0.1", "getUserName", "snake_case_name", "\n", "  ", "###", "a" * 30, "ghp16C7e42F292c6912E7710c838347Ae178B4a", "abcd-efgh-ijkl-mnop", "correct-horse-battery-staple", "dots.in.it", "x9Kd-82Lq-Pz0v-77Rt", "aB3xK9pQ", "नमस्ते", "第三十二", "~", "-", "api key"]
+    kinds = [parts, parts[:4] * 12 + parts[-14:]]
+    for k in range(600):
+        t = " ".join(draw.choices(kinds[k % 2], k=draw.randint(0, 60)))
         whole, full = S.file_features(t), S.tokens(t)
-        want = {full[i].start for i, k in enumerate(tagger.decode(S.features(full, whole))) if k} if full else set()
-        got = {r[i].start for r in S.runs(t) for i, k in enumerate(tagger.decode(S.features(r, whole))) if k}
+        rows = {x.start: f for r in S.runs(t, whole=True) for x, f in zip(r.tokens, S.features(r, whole), strict=True)}
+        found = list(S.runs(t))
+        seen = [x for r in found for x in r.tokens]
+        assert [x.start for x in seen] == sorted({x.start for x in seen}) and {x.start for x in full if not S.is_plain(x.text)} <= {x.start for x in seen}
+        assert all(S.features(r, whole) == [rows[x.start] for x in r.tokens] for r in found), t
+        want = {full[i].start for i, k in enumerate(tagger.decode(tagger.emissions(list(rows.values())).tolist())) if k} if full else set()
+        got = {r.tokens[i].start for r in found for i, k in enumerate(tagger.decode(tagger.emissions(S.features(r, whole)).tolist())) if k}
         assert got == want, t
 
 
 def test_viterbi_is_the_best_path(tagger):
     from itertools import product
 
-    rows = S.features(S.tokens("my key = 9f86d081884c7d659a2feaa0 and"), ["file marks 1"])
+    rows = S.features(S.Run(S.tokens("my key = 9f86d081884c7d659a2feaa0 and"), True, True), ["file marks 1"])
     scores = tagger.emissions(rows)
 
     def total(tags):
         start = S._NEVER if tags[0] == S.I else 0.0
         return start + sum(scores[i, k] for i, k in enumerate(tags)) + sum(tagger.transitions[a, b] for a, b in zip(tags, tags[1:], strict=False))
 
-    assert total(tagger.decode(rows)) == pytest.approx(max(map(total, product(range(3), repeat=len(rows)))))
+    paths = {tags: total(tags) for tags in product(range(3), repeat=len(rows))}
+    assert total(tagger.decode(scores.tolist())) == pytest.approx(max(paths.values()))
+    weight = {tags: math.exp(x) for tags, x in paths.items()}
+    spans = [(3, 4), (2, 4), (0, 1), (3, 5)]
+    want = [sum(x for tags, x in weight.items() if tags[a] == S.B and all(k == S.I for k in tags[a + 1 : b]) and tags[b : b + 1] != (S.I,)) for a, b in spans]
+    assert tagger.chances(scores.tolist(), spans) == pytest.approx([x / sum(weight.values()) for x in want])
 
 
 def test_gradient_is_that_of_the_likelihood():
@@ -100,17 +112,37 @@ def test_gradient_is_that_of_the_likelihood():
 
 
 def test_tagger_finds_unannounced_secrets_and_leaves_others(tagger):
+    found = S.Tagger(tagger)
     for t, want in (
         ("send 9233A8ECF7C5B09FE5949719B6B82BC439E9329B to him", ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B"]),
         ("it was ghp_16C7e42F292c6912E7710c838347Ae178B4a again", ["ghp_16C7e42F292c6912E7710c838347Ae178B4a"]),
+        ("then sk_live_0123456789abcdef01234567XYZ9, he said", ["sk_live_0123456789abcdef01234567XYZ9"]),
+        ("we got x9Kd-82Lq-Pz0v-77Rt. And then", ["x9Kd-82Lq-Pz0v-77Rt"]),
+        ("a line a1b2c3d4e5f6a7b8c9d0e1f2. And then", []),
         ("card 4068516892505468 ip 24.243.215.198 mail anna.78@mail3.example.com phone +1 (555) 555-5657", []),
         ("die Donaudampfschifffahrtsgesellschaft and some well-known-thing of 2024", []),
     ):
-        base, spans = S.scan(t, tagger)
+        base, spans = S.scan(t, found)
         assert [t[s.start : s.end] for s in spans if s.kind == S.TAGGED] == want
         assert set(base) <= set(spans)
 
 
+def test_short_secrets_and_false_alarms(tagger):
+    """Planted in held-out words: random letters and digits of 8 to 15 characters, and harmless things."""
+    found, draw = S.Tagger(tagger), random.Random(77)
+    words = "river window seven garden letter morning paper quiet stone number".split()
+    around = lambda x: " ".join([*draw.choices(words, k=6), x, *draw.choices(words, k=6)])
+    tagged = lambda t: [t[s.start : s.end] for s in S.scan(t, found)[1]]
+    secrets = ["".join(draw.choices(S._ALPHABETS[1], k=draw.randint(8, 15))) for _ in range(500)]
+    assert sum(tagged(around(x)) == [x] for x in secrets) >= 400
+    w = lambda: draw.choice(words)
+    harmless = [f for _ in range(60) for f in (
+        f"{w()}{w().capitalize()}", f"{w()}_{w()}_{draw.randint(0, 999)}", f"{w()}-{w()}-{w()}", f"2024-0{draw.randint(1, 9)}-1{draw.randint(0, 9)}", f"v1.{draw.randint(0, 9)}.3",
+        f"{w()}{draw.randint(0, 999)}@{w()}.example.com", f"10.{draw.randint(0, 99)}.0.1", f"{draw.randint(0, 10**9)}", f"https://{w()}.example.com/{w()}/{draw.randint(0, 99)}", f"{w().upper()}-{draw.randint(0, 9999)}",
+    )]
+    assert sum(bool(tagged(around(x))) for x in harmless) <= len(harmless) // 50
+
+
 def test_few_texts_with_secrets_among_many_are_all_learned(spark):
     draw = random.Random(3)
     texts = [" ".join(draw.choices(["some", "plain", "words", "of", "no", "note"], k=8)) + f" {i}" for i in range(3000)]
