@@ -496,26 +496,29 @@ def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
 def _gradient(idx: np.ndarray, tag: np.ndarray, real: np.ndarray, w: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the negative log likelihood, by the forward-backward recursions over padded windows."""
     n, longest, _ = idx.shape
-    scores = w[idx].sum(axis=2)
+    own = idx[real]
+    scores = np.zeros((n, longest, 3))
+    scores[real] = w[own].sum(axis=1)
     forward = np.zeros((n, longest, 3))
     backward = np.zeros((n, longest, 3))
     forward[:, 0] = scores[:, 0] + np.array([0.0, 0.0, _NEVER])
     for j in range(1, longest):
-        step = _sum_exp(forward[:, j - 1, :, None] + t, 1) + scores[:, j]
-        forward[:, j] = np.where(real[:, j, None], step, forward[:, j - 1])
+        live = np.flatnonzero(real[:, j])
+        forward[:, j] = forward[:, j - 1]
+        forward[live, j] = _sum_exp(forward[live, j - 1, :, None] + t, 1) + scores[live, j]
     for j in range(longest - 2, -1, -1):
-        step = _sum_exp(t + (scores[:, j + 1] + backward[:, j + 1])[:, None, :], 2)
-        backward[:, j] = np.where(real[:, j + 1, None], step, 0.0)
-    total = _sum_exp(forward[:, -1], 1)
-    chance = np.exp(forward + backward - total[:, None, None]) * real[:, :, None]
-    chance -= (np.arange(3) == tag[:, :, None]) * real[:, :, None]
+        live = np.flatnonzero(real[:, j + 1])
+        backward[live, j] = _sum_exp(t + (scores[live, j + 1] + backward[live, j + 1])[:, None, :], 2)
+    total = np.broadcast_to(_sum_exp(forward[:, -1], 1)[:, None], real.shape)
+    chance = np.exp(forward[real] + backward[real] - total[real][:, None])
+    chance -= np.arange(3) == tag[real][:, None]
     gw = np.zeros_like(w)
-    flat = np.repeat(chance.reshape(-1, 3), idx.shape[2], axis=0)
     for k in range(3):
-        gw[:, k] = np.bincount(idx.ravel(), weights=flat[:, k], minlength=len(w))
+        gw[:, k] = np.bincount(own.ravel(), weights=np.repeat(chance[:, k], own.shape[1]), minlength=len(w))
     both = real[:, 1:]
-    pair = np.exp(forward[:, :-1, :, None] + t + (scores + backward)[:, 1:, None, :] - total[:, None, None, None]) * both[:, :, None, None]
-    gt = pair.sum(axis=(0, 1))
+    ahead = (scores + backward)[:, 1:][both]
+    pair = np.exp(forward[:, :-1][both][:, :, None] + t + ahead[:, None, :] - total[:, 1:][both][:, None, None])
+    gt = pair.sum(axis=0)
     np.subtract.at(gt, (tag[:, :-1][both], tag[:, 1:][both]), 1.0)
     return gw, gt
 
