@@ -146,23 +146,29 @@ def replace_by_key(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataF
 
 # Dead letters
 
+# The line of a record as it was written, where the record's own columns don't hold all of it.
+RAW = "raw_record"
+
 
 def to_dead_letter(
     rejected: DataFrame, payload: list[str], run_id: str, error_type: str, failed_at: str
 ) -> DataFrame:
     """Dead-letter rows for rejected records; `run_id` and `failed_at` are expressions.
 
-    `payload` names the record's own columns.  The id is a digest of run,
-    message and payload, so a replayed task gives the same ids.
+    `payload` names the record's own columns; a line kept in `raw_record` is the
+    payload as it was written.  The id is a digest of type, message and payload, so the
+    same rejected record has the same id in every run.
     """
+    text = f"to_json(struct({', '.join(payload)}), map('ignoreNullFields', 'false'))"
+    if RAW in rejected.columns:
+        text = f"coalesce({RAW}, {text})"
     return rejected.selectExpr(
         "error_message",
         f"{run_id} AS run_id",
         f"{failed_at} AS failed_at",
-        f"to_json(struct({', '.join(payload)}), map('ignoreNullFields', 'false'))"
-        " AS record_payload",
+        f"{text} AS record_payload",
     ).selectExpr(
-        "sha2(concat_ws('|', run_id, error_message, record_payload), 256) AS dlq_id",
+        f"sha2(concat_ws('|', {lit(error_type)}, error_message, record_payload), 256) AS dlq_id",
         "run_id",
         "record_payload",
         f"{lit(error_type)} AS error_type",
@@ -173,6 +179,11 @@ def to_dead_letter(
     )
 
 
+def insert_letters(known: DataFrame, letters: DataFrame) -> DataFrame:
+    """Rows to append: the first letter of every id that isn't known."""
+    return insert_facts(known, letters, ["dlq_id"], "failed_at")
+
+
 def unretried(dead_letters: DataFrame, limit: int = 100) -> DataFrame:
     """Newest dead letters that were not retried."""
     return (

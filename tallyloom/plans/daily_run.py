@@ -64,10 +64,8 @@ class Run:
     def reject(self, staged: DataFrame, entity: str, error_type: str) -> None:
         payload = [f.name for f in RECORDS[entity].fields if f.name in staged.columns]
         rejected = staged.filter("error_message IS NOT NULL")
-        self.mart.append(
-            "dead_letter",
-            facts.to_dead_letter(rejected, payload, lit(self.run_id), error_type, self.at),
-        )
+        letters = facts.to_dead_letter(rejected, payload, lit(self.run_id), error_type, self.at)
+        self.mart.append("dead_letter", facts.insert_letters(self.mart.read("dead_letter"), letters))
 
     def watermark(self, entity: str) -> str | None:
         if self.run_type == "full":

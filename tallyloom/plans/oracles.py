@@ -203,8 +203,7 @@ CTE["checked"] = """SELECT lead_id, type, response_time_hours,
          WHEN c.account_key IS NULL THEN 'unknown account' END AS error_message
     FROM timed LEFT JOIN connected c ON agent_id = account_id"""
 CTE["letters"] = """SELECT
-    sha256(CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'run-1' ELSE 'run-2' END
-           || '|unknown account|' || payload) AS dlq_id,
+    sha256('load|unknown account|' || payload) AS dlq_id,
     CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'run-1' ELSE 'run-2' END AS run_id,
     payload AS record_payload, 'load' AS error_type, 'unknown account' AS error_message,
     strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS failed_at

@@ -50,6 +50,8 @@ TABLES = {
         error_type string, error_message string, failed_at timestamp, retried int,
         retried_at timestamp"""),
     "watermark": _struct("entity_name string, last_watermark timestamp, updated_at timestamp"),
+    "load_ledger": _struct("""stream string, batch_id bigint, run_id string,
+        committed_at timestamp, rows_extracted bigint, rows_loaded bigint, rows_rejected bigint"""),
     "dq_history": _struct("""run_id string, check_timestamp timestamp, completeness_score double,
         uniqueness_score double, validity_score double, timeliness_score double,
         referential_integrity_score double, composite_dq_score double, pass_fail string,
@@ -73,6 +75,7 @@ KEYS = {
     "run_log": ["run_id"],
     "dead_letter": ["dlq_id"],
     "watermark": ["entity_name"],
+    "load_ledger": ["stream", "batch_id"],
     "dq_history": ["run_id", "check_timestamp"],
 }
 

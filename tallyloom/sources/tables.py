@@ -8,6 +8,7 @@ Facts are partitioned by date and only ever appended to.
 
 from __future__ import annotations
 
+import copy
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,6 +27,12 @@ class MartTables:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def on(self, spark: SparkSession) -> MartTables:
+        """The same mart in another session, such as a micro-batch's."""
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
     # State
 
     def _log(self) -> DataFrame:

@@ -79,7 +79,7 @@ def ingest_records(
 ) -> StreamingQuery:
     """The whole activity load on a stream of raw records: times, keys, rules,
     facts and dead letters (`at` is the expression of their time)."""
-    payload = source.columns
+    payload = [c for c in source.columns if c != facts.RAW]
 
     def checked(batch: DataFrame) -> DataFrame:
         resolved = facts.resolve_keys(facts.with_event_time(batch), accounts, campaigns, leads)
