@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyloom.functions.columns import exprs
-from tallyloom.operators.facts import last_per_key
 from tallyloom.operators.measures import TYPE_COUNTS
 from tallyloom.sources import testmart as tm
 from tallyloom.sources.locations import work_folder
@@ -29,23 +28,29 @@ def start(
     path: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Load every micro-batch into the fact and write the counts of its days.
+    """Load every micro-batch into the fact and replace the counts of its days.
 
     The days are counted from the whole fact, so rows may come at any time and
-    in any order; a replayed batch overwrites its own folder.
+    in any order, and a replayed batch writes the same. The table under `path` has
+    one folder for each day: it doesn't grow with the number of batches.
     """
 
     def save(fact: DataFrame, rows: DataFrame, batch_id: int) -> None:
         counts = daily_counts(fact, rows.select("date_key").distinct())
-        counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        (
+            counts.hint("rebalance", "date_key")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("date_key")
+            .parquet(path)
+        )
 
     return ingest_stream(source, fact_path, checkpoint, to_fact, after=save)
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The current counts: the last written row of each day and account."""
-    rows = spark.read.parquet(path)
-    return last_per_key(rows, ["date_key", "account_key"], "batch_id").drop("batch_id")
+    """The current counts, one row for each day and account."""
+    return spark.read.parquet(path)
 
 
 def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
