@@ -17,6 +17,10 @@ def _attach_stats(df: DataFrame, metrics: dict[str, str], by: list[str]) -> Data
     """
     values = metric_values(df, by, metrics)
     stats = robust_stats(values, [*by, "metric"], bounded_groups=not by)
+    return _with_stats(df, stats, metrics, by)
+
+
+def _with_stats(df: DataFrame, stats: DataFrame, metrics: dict[str, str], by: list[str]) -> DataFrame:
     parts = ", ".join(
         f"'{m}', max(CASE WHEN metric = '{m}' THEN struct(rows, q1, median, q3, mad) END)"
         for m in metrics
@@ -83,24 +87,53 @@ def risk_flag(score: str) -> str:
     )
 
 
+def _scored_values(
+    df: DataFrame, metrics: list[tuple[str, float, str]], null_as: float
+) -> dict[str, str]:
+    missing = lit(float(null_as))
+    return {
+        m: f"nanvl(coalesce(CAST({m} AS DOUBLE), {missing}), {missing})"
+        for m, *_ in metrics if m in df.columns
+    }
+
+
+def metric_days(
+    daily: DataFrame,
+    metrics: list[tuple[str, float, str]] = C.ANOMALY_METRICS,
+    null_as: float = 0.0,
+) -> DataFrame:
+    """(date_key, metric, value, n): how often each value that enters the scores occurs on a day.
+
+    Days are merged by putting their rows together, so only touched days need be counted again.
+    """
+    df = with_ghost_rate(daily)
+    return metric_values(df, ["date_key"], _scored_values(df, metrics, null_as))
+
+
+def pooled_stats(days: DataFrame) -> DataFrame:
+    """Statistics of each metric over all days of `metric_days`, equal to those over the rows themselves."""
+    return robust_stats(days.select("metric", "value", "n"), ["metric"], bounded_groups=True)
+
+
 def anomaly_scores(
     daily: DataFrame,
     metrics: list[tuple[str, float, str]] = C.ANOMALY_METRICS,
     partition_by: list[str] | None = None,
     null_as: float = 0.0,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Add per-metric z and fence columns, `anomaly_score` and `risk_flag`.
 
     Statistics are pooled over all rows unless `partition_by` is given.  A
     metric that is not a column is left out and not weighted; NULL and NaN read
     as `null_as`.  With fewer than five rows every z and the score are 0 and the fence columns are NULL.
+    With `stats` (`pooled_stats`) the rows are scored by these, row by row, without a look at other rows.
     """
     df = with_ghost_rate(daily.drop("anomaly_score", "risk_flag"))
     present = [m for m in metrics if m[0] in df.columns]
     if not present:
         return df.selectExpr("*", "0D AS anomaly_score", "'Normal' AS risk_flag")
-    missing = lit(float(null_as))
-    values = {m: f"nanvl(coalesce(CAST({m} AS DOUBLE), {missing}), {missing})" for m, *_ in present}
+    values = _scored_values(df, present, null_as)
 
     zs, columns = [], []
     for name, _, bad in present:
@@ -117,9 +150,12 @@ def anomaly_scores(
         ]
     total = " + ".join(f"_z_{name} * {lit(weight)}" for name, weight, _ in present)
     weights = lit(sum(weight for _, weight, _ in present))
+    if stats is None:
+        attached = _attach_stats(df, values, partition_by or [])
+    else:
+        attached = _with_stats(df, stats, values, [])
     return (
-        _attach_stats(df, values, partition_by or [])
-        .selectExpr("*", *zs)
+        attached.selectExpr("*", *zs)
         .selectExpr(
             *df.columns, *columns, f"round(({total}) / {weights}, 4) AS anomaly_score"
         )

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallyloom.functions.columns import lit
-from tallyloom.operators import anomaly, dims, facts, increment, ops, quality, risk
+from tallyloom.operators import dims, facts, increment, ops, quality, risk
 from tallyloom.schemas import RECORDS
 from tallyloom.sources.key_index import KeyIndex
 from tallyloom.sources.locations import work_folder
@@ -215,16 +215,12 @@ def load_activities(run: Run, records: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def refresh(run: Run, days: list[int]) -> None:
-    """Snapshot and scores after the facts of some days have changed."""
+    """Snapshot days and statistics of the scores after the facts of some days have changed."""
+    if not days:
+        return
     mart = run.mart
-    touched = run.spark.createDataFrame([(d,) for d in set(days)], "date_key int")
-    refreshed = facts.snapshot_refresh(
-        mart.read("fact_daily"),
-        mart.read("fact_activity").filter(F.col("date_key").isin(days)),
-        touched,
-        mart.read("dim_account"),
-    )
-    mart.publish("fact_daily", anomaly.anomaly_scores(refreshed))
+    fact = mart.read("fact_activity").filter(F.col("date_key").isin(list(set(days))))
+    mart.put_days(run.kept(facts.daily_snapshot(fact, mart.read("dim_account"))))
 
 
 def raise_alerts(run: Run, report: DataFrame) -> None:

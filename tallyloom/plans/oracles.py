@@ -425,6 +425,7 @@ oracle("csv_export", f"SELECT {DAILY_COLUMNS} FROM daily")
 for _name in ("mart_append", "key_index_load"):
     oracle(_name, "SELECT activity_id, date_key, account_key, activity_type, is_converted FROM act")
 oracle("scores_written_back", "SELECT date_key, account_key, anomaly_score, risk_flag FROM scored")
+oracle("scores_by_day_loads", "SELECT date_key, account_key, anomaly_score, risk_flag FROM scored")
 oracle("snapshot_refresh", f"SELECT {DAILY_COLUMNS} FROM daily")
 oracle("daily_snapshot_dense", f"""
     SELECT CAST(strftime(day_, '%Y%m%d') AS INTEGER) AS date_key, s.account_key,

@@ -1018,6 +1018,19 @@ def scores_written_back(t):
     return mart.read("fact_daily").select("date_key", "account_key", "anomaly_score", "risk_flag")
 
 
+@query
+def scores_by_day_loads(t):
+    """The snapshot loaded in three parts of its days, one of them twice; scores by the merged values of all days."""
+    mart, daily = scratch_mart(t, "days"), tm.daily(t)
+    mart.init(["fact_daily", "metric_days", "score_stats"])
+    folder = work_folder(t.spark, "daily")
+    daily.write.parquet(folder)
+    daily = t.spark.read.schema(daily.schema).parquet(folder)
+    for part in (0, 1, 0, 2):
+        mart.put_days(daily.filter(f"date_key % 3 = {part}"))
+    return mart.read("fact_daily").select("date_key", "account_key", "anomaly_score", "risk_flag")
+
+
 @query
 def csv_export(t):
     """The snapshot exported as CSV and read again."""

@@ -43,6 +43,10 @@ TABLES = {
         follow_ups_sent bigint, conversions bigint, acceptance_rate double, reply_rate double,
         conversion_rate double, invite_utilization double, message_utilization double,
         anomaly_score double, risk_flag string"""),
+    # How often each value of a scored metric occurs on a day, and the pooled statistics of all days.
+    "metric_days": _struct("date_key int, metric string, value double, n bigint"),
+    "score_stats": _struct("""metric string, rows bigint, q1 double, median double, q3 double,
+        mad double"""),
     "run_log": _struct("""run_id string, correlation_id string, run_type string, status string,
         started_at timestamp, ended_at timestamp, rows_extracted bigint, rows_loaded bigint,
         rows_rejected bigint, error_message string, watermark_value timestamp"""),
@@ -72,6 +76,8 @@ KEYS = {
     "dim_template": ["template_id"],
     "fact_activity": ["activity_id"],
     "fact_daily": ["date_key", "account_key"],
+    "metric_days": ["date_key", "metric", "value"],
+    "score_stats": ["metric"],
     "run_log": ["run_id"],
     "dead_letter": ["dlq_id"],
     "watermark": ["entity_name"],

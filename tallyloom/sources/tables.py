@@ -4,19 +4,25 @@ Parquet has no MERGE, so a table that is rewritten gets a new folder, and a
 row in the `_versions` log then makes it the current one; a job that dies
 before that row leaves the old state in place.  One job writes at a time.
 Facts are partitioned by date and only ever appended to.
+
+Scores of the snapshot depend on statistics over all days, so every batch changes
+them all.  They aren't stored: the statistics are, a few rows as a version of their
+own, and `read` scores the rows by the current ones.
 """
 
 from __future__ import annotations
 
 import copy
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+from tallyloom.operators import anomaly
 from tallyloom.schemas import TABLES
 
-PARTITIONED = {"fact_activity": ["date_key"], "fact_daily": ["date_key"]}
+PARTITIONED = dict.fromkeys(("fact_activity", "fact_daily", "metric_days"), ["date_key"])
 EXPORTED = ["dim_date", "dim_account", "dim_campaign", "dim_lead", "dim_template",
             "fact_activity", "fact_daily", "dq_history"]
 _LOG = "table_name string, seq bigint, folder string"
@@ -53,42 +59,50 @@ class MartTables:
             return None
         return row["last"]
 
-    def init(self) -> None:
-        """Create the tables that do not exist yet, empty."""
-        for name, schema in TABLES.items():
+    def init(self, names: Iterable[str] = TABLES) -> None:
+        """Create the tables that do not exist yet, empty; values of days are counted from the snapshot there is."""
+        for name in names:
             if self._current(name) is None:
-                self.publish(name, self.spark.createDataFrame([], schema))
+                counted = name == "metric_days" and self._current("fact_daily")
+                self.publish(name, anomaly.metric_days(self.stored("fact_daily")) if counted
+                             else self.spark.createDataFrame([], TABLES[name]))
 
     # Reads and writes
 
     def path(self, name: str) -> str:
         return f"{self.root}/{self._current(name)['folder']}"
 
-    def read(self, name: str) -> DataFrame:
+    def stored(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
 
-    def _write(self, name: str, df: DataFrame, path: str) -> None:
+    def read(self, name: str) -> DataFrame:
+        """A table as it stands; the snapshot with the scores of the current statistics, if there are any."""
+        rows = self.stored(name)
+        if name != "fact_daily" or not (self._current("score_stats") or {"seq": 1})["seq"] > 1:
+            return rows
+        scored = anomaly.anomaly_scores(rows, stats=self.stored("score_stats"))
+        return scored.select(*[f.name for f in TABLES[name].fields])
+
+    def _write(self, name: str, df: DataFrame, path: str, mode: str = "append") -> None:
+        """Missing columns become NULL."""
+        absent = [F.lit(None).cast(f.dataType).alias(f.name)
+                  for f in TABLES[name].fields if f.name not in df.columns]
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
         keys = PARTITIONED.get(name, [])
-        rows = df.select(*columns)
+        rows = df.select("*", *absent).select(*columns)
         # Rows of a date are brought together, so it is not scattered over the
         # files of every task; a date too large for one task is split again.
         rows = rows.hint("rebalance", *keys) if keys else rows
-        rows.write.mode("append").partitionBy(*keys).parquet(path)
+        rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows to the current version."""
         self._write(name, df, self.path(name))
 
     def publish(self, name: str, df: DataFrame) -> None:
-        """Write a new version of a table and make it the current one.
-
-        Missing columns become NULL.
-        """
-        absent = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
-                  for f in TABLES[name].fields if f.name not in df.columns]
+        """Write a new version of a table and make it the current one."""
         folder = f"{name}/v-{uuid.uuid4().hex}"
-        self._write(name, df.selectExpr("*", *absent), f"{self.root}/{folder}")
+        self._write(name, df, f"{self.root}/{folder}")
         last = self._current(name)
         entry = [(name, last["seq"] + 1 if last else 1, folder)]
         self.spark.createDataFrame(entry, _LOG).coalesce(1).write.mode("append").parquet(
@@ -97,15 +111,17 @@ class MartTables:
 
     def overwrite_days(self, name: str, df: DataFrame) -> None:
         """Replace the dates present in `df`, in place."""
-        columns = [f.name for f in TABLES[name].fields]
-        (
-            df.select(*columns)
-            .hint("rebalance", "date_key")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date_key")
-            .parquet(self.path(name))
-        )
+        self._write(name, df, self.path(name), "overwrite")
+
+    def put_days(self, daily: DataFrame) -> None:
+        """Replace days of the snapshot, count their values and renew the statistics of the scores.
+
+        `daily` is read three times, so it should be a written table. All steps can be
+        repeated: a job that dies in between is made good by the same call.
+        """
+        self.overwrite_days("fact_daily", daily.drop("anomaly_score", "risk_flag"))
+        self.overwrite_days("metric_days", anomaly.metric_days(daily))
+        self.publish("score_stats", anomaly.pooled_stats(self.stored("metric_days")))
 
     # Exports
 

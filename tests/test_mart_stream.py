@@ -41,11 +41,11 @@ class FragileMart(MartTables):
         super().__init__(spark, root)
         self.left = [left]  # shared by copies of the mart in other sessions
 
-    def _write(self, name, df, path):
+    def _write(self, name, df, path, *mode):
         self.left[0] -= 1
         if self.left[0] < 0:
             raise Killed(name)
-        super()._write(name, df, path)
+        super()._write(name, df, path, *mode)
 
 
 def dimensions(spark, folder):
@@ -111,10 +111,11 @@ def test_stream_equals_batch_wherever_it_dies(spark, tmp_path, batch, monkeypatc
         add(self, rows)
 
     monkeypatch.setattr(KeyIndex, "add", fragile_add)
-    # Letters, facts, snapshot, watermark, ledger: died before each of these, and before the key index.
+    # Letters, facts, snapshot, its values, statistics, watermark, ledger: died before each of these,
+    # and before the key index.
     for n in (1, 2):
         deliver(tmp_path / "in", n)
-        for left in (0, 2, 4) if n == 1 else (1, 3):
+        for left in (0, 2, 3, 6) if n == 1 else (1, 4, 5):
             with pytest.raises(Exception, match="Killed"):
                 stream(FragileMart(spark, mart.root, left), tmp_path)
         if n == 2:
