@@ -40,6 +40,8 @@ INDEX_MAGIC, SEEK_MAGIC, SEEKABLE_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 #: Text bytes that one file should hold.
 FILE_TEXT_BYTES = 64 << 20
 READ_BYTES = 8 << 20
+#: Text bytes encoded at a time.
+SLICE_BYTES = 4 << 20
 LEVEL = 3
 
 _MANIFEST_ARROW = pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_frames", pa.int64()), ("n_bytes", pa.int64())])
@@ -152,7 +154,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, key: st
         enc, out = encoder(vocabulary), None
         for batch in batches:
             keys, at = batch.column(0).to_pylist(), 0
-            for texts in slices(batch.column(1), 1 << 20):
+            for texts in slices(batch.column(1), SLICE_BYTES):
                 if out is None:
                     store, path = filesystem(folder)
                     store.create_dir(path, recursive=True)
@@ -176,6 +178,8 @@ def document_index(manifest: DataFrame) -> DataFrame:
     """One row for each document from the files' tails: where it is and how long; no document is read.
 
     `start` counts the ids of all documents before it, over the files in order.
+    The index is a written table: a job that reads documents by it needs one Python
+    worker a task, and no more workers stay with their caches.
     """
     # One row per file of about 64 MB of text.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -210,7 +214,7 @@ def document_index(manifest: DataFrame) -> DataFrame:
                         ["doc_id", "part", "file", "start", "n_tokens", "frame", "offset", "sizes", "checksums"],
                     )
 
-    return files.mapInArrow(index, INDEX)
+    return written(files.mapInArrow(index, INDEX), "token-index")
 
 
 def _frames(data: bytes, sizes: list[int], checksums: list[int]) -> bytes:

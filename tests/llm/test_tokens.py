@@ -34,6 +34,20 @@ def test_encoder_equals_the_library(library, plain):
     library.encode_special_tokens = False
 
 
+def test_new_words_are_encoded_together(library):
+    """The library gets a few joined texts for many new words, and the ids are still each word's own."""
+    draw, enc, sizes = random.Random(4), Encoder(PATH), []
+    texts = [" ".join("".join(draw.choices("aeinorst\xe9,.\n'7", k=draw.randint(2, 9))).strip() or "x" for _ in range(500)) for _ in range(20)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    inner = enc._whole
+    enc._whole = lambda batch: sizes.append(len(batch)) or inner(batch)
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == want
+    assert sum(sizes) < 2000
+    enc = Encoder(PATH)
+    enc.spaced[:] = False  # as if other tokens held spaces: each piece by itself
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == want
+
+
 def test_files_hold_every_document(spark, odd_docs, library):
     manifest = token_files.write_token_files(odd_docs, PATH)
     index = token_files.document_index(manifest)
