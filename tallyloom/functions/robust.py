@@ -112,14 +112,19 @@ def _narrowed(cells: DataFrame, by: list[str], parent: list[str]) -> DataFrame:
     )
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` as a table in the shared folder."""
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def _kept(ranges: DataFrame, bounded_groups: bool) -> DataFrame:
     """The ranges as a small table: local rows, or written where there may be many groups."""
     spark = ranges.sparkSession
     if bounded_groups:
         return spark.createDataFrame(ranges.collect(), ranges.schema)
-    folder = work_folder(spark, "ranges")
-    ranges.write.parquet(folder)
-    return spark.read.schema(ranges.schema).parquet(folder)
+    return stored(ranges, "ranges")
 
 
 def _inside(

@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyloom import constants as C
 from tallyloom.functions.columns import lit, ratio
-from tallyloom.functions.robust import metric_values, robust_stats
+from tallyloom.functions.robust import metric_values, robust_stats, stored
+
+# Groups whose statistics are broadcast, some hundred bytes each.
+BROADCAST_GROUPS = 20_000
 
 
 def _attach_stats(df: DataFrame, metrics: dict[str, str], by: list[str]) -> DataFrame:
     """Add a struct `_stats` with one struct (rows, q1, median, q3, mad) per metric.
 
     Without `by` the statistics are one row and enter as a scalar subquery;
-    with `by` they are joined on the partition columns.
+    with `by` they are joined on the partition columns, so that no task gets all rows of
+    a large group: up to `BROADCAST_GROUPS` groups are broadcast, the stored statistics of
+    more are joined by a shuffle whose large groups Spark can split.
     """
     values = metric_values(df, by, metrics)
     stats = robust_stats(values, [*by, "metric"], bounded_groups=not by)
@@ -28,7 +33,10 @@ def _with_stats(df: DataFrame, stats: DataFrame, metrics: dict[str, str], by: li
     wide = F.expr(f"named_struct({parts})").alias("_stats")
     if not by:
         return df.select("*", stats.agg(wide).scalar().alias("_stats"))
-    grouped = stats.groupBy(*by).agg(wide).withColumnsRenamed({c: f"_by_{c}" for c in by})
+    grouped = stored(stats.groupBy(*by).agg(wide), "group-stats")
+    if grouped.count() <= BROADCAST_GROUPS:
+        grouped = F.broadcast(grouped)
+    grouped = grouped.withColumnsRenamed({c: f"_by_{c}" for c in by})
     same = F.expr(" AND ".join(f"{c} <=> _by_{c}" for c in by))
     return df.join(grouped, same, "left").drop(*[f"_by_{c}" for c in by])
 

@@ -76,3 +76,23 @@ def test_a_mart_without_counted_days_counts_them_once(spark, tmp_path):
     mart.put_days(snapshot(spark, DAYS[2:], 6))
     whole = old.unionByName(snapshot(spark, DAYS[2:], 6))
     assert scores(mart.read("fact_daily")) == scores(anomaly.anomaly_scores(whole))
+
+
+def test_rows_of_a_large_group_are_not_dealt_by_group(spark, monkeypatch):
+    """Few groups' statistics are broadcast whatever Spark's own limit; more are joined as a stored table. Groups may be NULL."""
+    rows = [(i, None if i % 50 == 0 else "a" if i % 10 else "b", float(i * i % 101)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "i long, flag string, x double")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = anomaly.with_iqr_flag(df, "x", 0.2, ["flag"], out="hit")
+        assert "SortMergeJoin" not in few._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(anomaly, "BROADCAST_GROUPS", 1)
+        many = anomaly.with_iqr_flag(df, "x", 0.2, ["flag"], out="hit")
+        plan = many._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Aggregate" not in plan
+        found = sorted(map(tuple, few.collect()), key=lambda r: r[0])
+        assert found == sorted(map(tuple, many.collect()), key=lambda r: r[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {r[3] for r in found} == {0, 1} and len(found) == 2000
