@@ -78,3 +78,10 @@ def test_queries_have_a_row_for_each_input_row(spark, sf_dir, name):
     n = spark.read.parquet(f"{sf_dir}/{'pages' if pages else 'documents'}.parquet").count()
     assert out.columns[0] == ("page_id" if pages else "doc_id")
     assert rows == n or name.startswith("op4") and 0.5 * n < rows < 1.5 * n
+
+
+def test_languages_are_predicted_once(spark, odd_docs, sf_dir):
+    """The filter on the language doesn't have its own copy of the prediction."""
+    kept = P.identify_language(spark, odd_docs, sf_dir)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert not kept.isEmpty()
